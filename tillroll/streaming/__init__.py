@@ -1,0 +1,5 @@
+"""Streaming: intentionally empty.
+
+Both report jobs are batch: the reference has no streams, watermarks,
+windows or state, so nothing here is built (see README, "Not built").
+"""
