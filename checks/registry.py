@@ -95,3 +95,100 @@ def _filter_query(key: str, ftype: str, dyn: str):
 
 for _k, (_ft, _dyn) in STORE_FILTERS.items():
     _filter_query(_k, _ft, _dyn)
+
+
+# ---- tracked items (M1-M7) -----------------------------------------------
+
+from checks import oracle_profit as OP  # noqa: E402
+from tillroll.operators import items as I  # noqa: E402
+from tillroll.plans.stages import checkpointed  # noqa: E402
+
+AS_OF = OP.AS_OF
+
+
+def _item_stages(spark, sf_dir) -> I.ItemStages:
+    return I.build_items(standin_tables(spark, sf_dir), AS_OF, checkpointed)
+
+
+@register("reorderable_items", OP.plain("cr"))
+def q_reorderable(spark, sf_dir):
+    return _item_stages(spark, sf_dir).reorderables
+
+
+@register("alias_items", OP.plain("upc"))
+def q_alias(spark, sf_dir):
+    return _item_stages(spark, sf_dir).alias
+
+
+@register("expand_family", OP.counted("items_m3"))
+def q_family(spark, sf_dir):
+    return _item_stages(spark, sf_dir).family
+
+
+@register("readd_alias_items", OP.counted("items_m4_add"))
+def q_readded(spark, sf_dir):
+    return _item_stages(spark, sf_dir).readded
+
+
+@register("flip_report_code", OP.counted("items_m5"))
+def q_flipped(spark, sf_dir):
+    return _item_stages(spark, sf_dir).flipped
+
+
+@register("recent_out_of_stock", OP.plain("oos"))
+def q_oos(spark, sf_dir):
+    return _item_stages(spark, sf_dir).out_of_stock
+
+
+@register("items", OP.counted("items"))
+def q_items(spark, sf_dir):
+    return _item_stages(spark, sf_dir).items
+
+
+# ---- measures and the report (M8-M16) --------------------------------------
+
+from tillroll.plans import profit_job as PJ  # noqa: E402
+
+
+def _run(spark, sf_dir) -> PJ.ProfitRun:
+    return PJ.run_profit(standin_tables(spark, sf_dir), AS_OF)
+
+
+@register("receipts_by_item", OP.measure("receipts_hold"))
+def q_receipts_feeds(spark, sf_dir):
+    return _run(spark, sf_dir).receipts_feeds
+
+
+@register("legacy_receipts_by_item", OP.measure("receipts_legacy"))
+def q_legacy(spark, sf_dir):
+    return _run(spark, sf_dir).legacy_receipts
+
+
+@register("consolidate_receipts", OP.measure("receipts"))
+def q_receipts(spark, sf_dir):
+    return _run(spark, sf_dir).receipts
+
+
+@register("store_shipments_by_item", OP.measure("store_ship"))
+def q_store_ship(spark, sf_dir):
+    return _run(spark, sf_dir).store_ship
+
+
+@register("retail_sales_by_item", OP.measure("store_sales"))
+def q_store_sales(spark, sf_dir):
+    return _run(spark, sf_dir).store_sales
+
+
+@register("wholesale_sales_by_item", OP.measure("ws_calc"))
+def q_ws_feeds(spark, sf_dir):
+    return _run(spark, sf_dir).wholesale_feeds
+
+
+@register("consolidate_wholesale", OP.measure("ws"))
+def q_ws(spark, sf_dir):
+    return _run(spark, sf_dir).wholesale
+
+
+@register("profit_by_title", OP.profit())
+def q_profit(spark, sf_dir):
+    return _run(spark, sf_dir).report

@@ -38,3 +38,10 @@ def materialize(df: DataFrame) -> DataFrame:
     """Eagerly checkpoint ``df`` (reliable, lineage cut)."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def checkpointed(df: DataFrame) -> tuple[DataFrame, int]:
+    """Checkpoint ``df`` and return it with its row count (read back from
+    the checkpoint, so the count does not recompute the plan)."""
+    out = materialize(df)
+    return out, out.count()
