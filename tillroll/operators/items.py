@@ -235,7 +235,8 @@ def build_items(tables, as_of, stage=None) -> ItemStages:
     pm, pmd, od = tables["product_master"], tables["product_master_dist"], tables["order_detail"]
     recent = recent_oos_codes(tables["oos_item_log"], as_of)
     candidates = _ttb(pm).select(F.col("ItemCode").alias("MasterCode")).unionByName(recent).distinct()
-    po, po_rows = stage(first_po(od, candidates))
+    candidates, cand_rows = stage(candidates)
+    po, po_rows = stage(first_po(od, candidates, cand_rows))
     cr, cr_rows = stage(reorderable_items(pm, pmd, po))
     upc = alias_items(pm, pmd)
     family = expand_family(cr, pm, pmd, upc, cr_rows)

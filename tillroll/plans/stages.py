@@ -1,17 +1,22 @@
 """Reliable materialisation of reused stages.
 
-A stage read by several later joins (the tracked-item set) is checkpointed
-into the shared folder the cluster names in ``spark.checkpoint.dir``: this
-cuts its lineage and survives executor loss.  The folder is read from the
-session; a local folder is set only when none is configured and the master
-is local (tests, single-machine runs).
+A stage read by several later joins (the tracked-item set, the first-PO
+table, the shipments in range) is written once as a Parquet table into the
+shared folder the cluster names in ``spark.checkpoint.dir`` and read back.
+That cuts its lineage, survives executor loss (the files are on shared
+storage, not executor disks), computes the stage exactly once, and gives the
+planner true file sizes for its broadcast decisions.  The folder is read from
+the session; a local folder is set only when none is configured and the
+master is local (tests, single-machine runs).
 """
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -35,13 +40,19 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Eagerly checkpoint ``df`` (reliable, lineage cut)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` as a Parquet stage table under the checkpoint folder and
+    return a DataFrame reading it (lineage cut, computed once)."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/tillroll-stages/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def checkpointed(df: DataFrame) -> tuple[DataFrame, int]:
-    """Checkpoint ``df`` and return it with its row count (read back from
-    the checkpoint, so the count does not recompute the plan)."""
-    out = materialize(df)
-    return out, out.count()
+    """Materialise ``df`` and return it with its row count.  The count is an
+    observed metric of the write itself, so it costs no extra job."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/tillroll-stages/{uuid.uuid4().hex}"
+    obs = Observation("stage_rows")
+    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+    return spark.read.parquet(path), int(obs.get["rows"])
