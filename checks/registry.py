@@ -192,3 +192,40 @@ def q_ws(spark, sf_dir):
 @register("profit_by_title", OP.profit())
 def q_profit(spark, sf_dir):
     return _run(spark, sf_dir).report
+
+
+# ---- audits and the report sink (M16, M23-M25, S9) -------------------------
+
+import uuid  # noqa: E402
+
+from tillroll.operators import audit as A  # noqa: E402
+from tillroll.plans.stages import checkpoint_dir  # noqa: E402
+
+
+@register("dup_reorderable_report_codes", OP.dup_report_codes())
+def q_dup_codes(spark, sf_dir):
+    return A.duplicate_keys(_item_stages(spark, sf_dir).reorderables, ["ReportItemCode"])
+
+
+@register("dup_report_items", OP.dup_report_items())
+def q_dup_items(spark, sf_dir):
+    return A.duplicate_keys(_run(spark, sf_dir).report, ["ItemCode"])
+
+
+@register("trace_duplicated_items", OP.trace_duplicated_items())
+def q_trace(spark, sf_dir):
+    report = _run(spark, sf_dir).report
+    return A.item_trace(report, A.duplicate_keys(report, ["ItemCode"]))
+
+
+@register("family_fanout", OP.family_fanout())
+def q_fanout(spark, sf_dir):
+    st = _item_stages(spark, sf_dir)
+    return A.family_fanout(st.reorderables, st.family)
+
+
+@register("refresh_report", OP.profit())
+def q_refresh(spark, sf_dir):
+    base = f"{checkpoint_dir(spark).rstrip('/')}/reports/profit_by_title-{uuid.uuid4().hex}"
+    PJ.refresh_report(_run(spark, sf_dir).report, base)
+    return PJ.read_report(spark, base)
