@@ -35,16 +35,18 @@ def _ttb(pm: DataFrame) -> DataFrame:
     return pm.filter(F.col("UserChar15") == TTB_LINE)
 
 
-def product_rows(pm: DataFrame, pmd: DataFrame) -> DataFrame:
+def product_rows(pm: DataFrame, pmd: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Product x distribution rows with the item attributes.
 
     ``MasterCode`` is the 20-character code, ``ItemCode`` its short form,
     ``RawReport`` the distribution report code as stored (may be NULL) and
     ``ReportItemCode`` that code defaulted to the product's own code.
+    ``keep`` names extra product columns to carry along.
     """
-    p = pm.select("ItemCode", "Title", "ISBN", "Cost", "Price", "MfgSuggestedPrice", "SectionCode", "VendorID")
+    p = pm.select("ItemCode", "Title", "ISBN", "Cost", "Price", "MfgSuggestedPrice", "SectionCode", "VendorID", *keep)
     d = pmd.select("ItemCode", F.col("ReportItemCode").alias("RawReport"), "UPC")
     return p.join(d, "ItemCode").select(
+        *keep,
         F.col("ItemCode").alias("MasterCode"),
         "Title",
         key7(F.col("ItemCode")).alias("ItemCode"),
@@ -90,10 +92,16 @@ def _with_po(rows: DataFrame, po: DataFrame) -> DataFrame:
     return rows.join(po, "MasterCode", "left").withColumn("OrgBuyer", F.lit(""))
 
 
-def reorderable_items(pm: DataFrame, pmd: DataFrame, po: DataFrame) -> DataFrame:
+def line_rows(pm: DataFrame, pmd: DataFrame) -> DataFrame:
+    """Product rows of the product line (with the reorderable flag): the
+    input of M1, M3 and M4."""
+    return product_rows(_ttb(pm), pmd, keep=("Reorderable",))
+
+
+def reorderable_items(line: DataFrame, po: DataFrame) -> DataFrame:
     """M1: distinct attribute rows of reorderable items in the product line.
-    ``po`` maps MasterCode -> OrgPO (``first_po``)."""
-    rows = product_rows(_ttb(pm).filter(F.col("Reorderable") == REORDERABLE), pmd)
+    ``line`` is ``line_rows``; ``po`` maps MasterCode -> OrgPO (``first_po``)."""
+    rows = line.filter(F.col("Reorderable") == REORDERABLE)
     return _with_po(rows, po).select(*ITEM_COLS).distinct()
 
 
@@ -113,7 +121,7 @@ def _alias_master_codes(upc: DataFrame) -> DataFrame:
     return upc.select(F.col("ItemCode").alias("MasterCode")).distinct()
 
 
-def expand_family(cr: DataFrame, pm: DataFrame, pmd: DataFrame, upc: DataFrame, cr_rows: int | None = None) -> DataFrame:
+def expand_family(cr: DataFrame, line: DataFrame, upc: DataFrame, cr_rows: int | None = None) -> DataFrame:
     """M3: every product-line item sharing a report code with a reorderable
     item, carrying the reorderable's attributes, plus the reorderables
     themselves (set union).  Weighted rows, ``n`` = 1.
@@ -122,10 +130,8 @@ def expand_family(cr: DataFrame, pm: DataFrame, pmd: DataFrame, upc: DataFrame,
     (family, attributes) before the join, so the join emits exactly the
     distinct output rows and nothing more.
     """
-    fam = _ttb(pm)
     fam_rows = (
-        product_rows(fam, pmd)
-        .filter(F.col("RawReport").isNotNull())
+        line.filter(F.col("RawReport").isNotNull())
         .join(_alias_master_codes(upc), "MasterCode", "left_anti")
         .select("RawReport", "ItemCode")
         .distinct()
@@ -139,13 +145,13 @@ def expand_family(cr: DataFrame, pm: DataFrame, pmd: DataFrame, upc: DataFrame,
     return rows.withColumn(WEIGHT, F.lit(1).cast("bigint"))
 
 
-def readd_alias_items(cr: DataFrame, pm: DataFrame, pmd: DataFrame, upc: DataFrame, po: DataFrame) -> DataFrame:
+def readd_alias_items(cr: DataFrame, line: DataFrame, upc: DataFrame, po: DataFrame) -> DataFrame:
     """M4: alias items of a reorderable family, with their own attributes.
 
     The reference inserts each such row once per reorderable row of the
     family (no dedup); the weight ``n`` is that family size.
     """
-    rows = product_rows(_ttb(pm), pmd).join(_alias_master_codes(upc), "MasterCode", "left_semi")
+    rows = line.join(_alias_master_codes(upc), "MasterCode", "left_semi")
     fam_size = cr.groupBy(F.col("ReportItemCode").alias("RawReport")).agg(F.count(F.lit(1)).alias(WEIGHT))
     rows = rows.join(fam_size, "RawReport")
     return _with_po(rows, po).groupBy(*ITEM_COLS).agg(F.sum(WEIGHT).alias(WEIGHT))
@@ -225,23 +231,26 @@ def _identity(df: DataFrame) -> tuple[DataFrame, int | None]:
 def build_items(tables, as_of, stage=None) -> ItemStages:
     """Run M1-M7.
 
-    ``stage`` materialises a reused intermediate and returns it with its
-    row count (``plans.stages.checkpointed``); without it every stage stays
-    a lazy plan.  The first-PO table is computed once, for every code that
-    can become an item (product-line codes and recently out-of-stock
-    codes), so the order lines are scanned once.
+    ``stage`` materialises an intermediate read more than once and returns
+    it with its row count (``plans.stages.checkpointed``).  Without it every
+    stage stays one lazy plan, and each reuse inlines the whole lineage
+    again -- fine for a small test, not for a production run.  The first-PO
+    table is computed once, for every code that can become an item
+    (product-line codes and recently out-of-stock codes), so the order lines
+    are scanned once.
     """
     stage = stage or _identity
     pm, pmd, od = tables["product_master"], tables["product_master_dist"], tables["order_detail"]
-    recent = recent_oos_codes(tables["oos_item_log"], as_of)
-    candidates = _ttb(pm).select(F.col("ItemCode").alias("MasterCode")).unionByName(recent).distinct()
+    line, _ = stage(line_rows(pm, pmd))
+    recent, _ = stage(recent_oos_codes(tables["oos_item_log"], as_of))
+    candidates = line.select("MasterCode").unionByName(recent).distinct()
     candidates, cand_rows = stage(candidates)
     po, po_rows = stage(first_po(od, candidates, cand_rows))
-    cr, cr_rows = stage(reorderable_items(pm, pmd, po))
-    upc = alias_items(pm, pmd)
-    family = expand_family(cr, pm, pmd, upc, cr_rows)
-    readded = readd_alias_items(cr, pm, pmd, upc, po)
-    flipped = weighted(flip_report_code(family.unionByName(readded), cr, cr_rows))
+    cr, cr_rows = stage(reorderable_items(line, po))
+    upc, _ = stage(alias_items(pm, pmd))
+    family = expand_family(cr, line, upc, cr_rows)
+    readded = readd_alias_items(cr, line, upc, po)
+    flipped, _ = stage(weighted(flip_report_code(family.unionByName(readded), cr, cr_rows)))
     oos = recent_out_of_stock(recent, pm, pmd, flipped, po)
     with_oos = flipped.unionByName(oos.withColumn(WEIGHT, F.lit(1).cast("bigint")))
     items = weighted(attach_buyer(with_oos, tables["order_header"], po_rows))
