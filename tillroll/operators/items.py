@@ -181,10 +181,13 @@ def recent_out_of_stock(
     pmd: DataFrame,
     items: DataFrame,
     po: DataFrame,
+    recent_rows: int | None = None,
 ) -> DataFrame:
     """M6: items logged out of stock within the year (``recent_oos_codes``)
-    and not yet tracked, from any product line.  Distinct rows."""
-    rows = product_rows(pm, pmd).join(recent, "MasterCode", "left_semi")
+    and not yet tracked, from any product line.  Distinct rows.  Products
+    are cut to the logged codes before the product/distribution join."""
+    codes = bounded_broadcast(recent.select(F.col("MasterCode").alias("ItemCode")), recent_rows)
+    rows = product_rows(pm.join(codes, "ItemCode", "left_semi"), pmd)
     rows = rows.join(items.select("ItemCode").distinct(), "ItemCode", "left_anti")
     return _with_po(rows, po).select(*ITEM_COLS).distinct()
 
@@ -241,17 +244,17 @@ def build_items(tables, as_of, stage=None) -> ItemStages:
     """
     stage = stage or _identity
     pm, pmd, od = tables["product_master"], tables["product_master_dist"], tables["order_detail"]
-    line, _ = stage(line_rows(pm, pmd))
-    recent, _ = stage(recent_oos_codes(tables["oos_item_log"], as_of))
+    line, line_n = stage(line_rows(pm, pmd))
+    recent, recent_n = stage(recent_oos_codes(tables["oos_item_log"], as_of))
     candidates = line.select("MasterCode").unionByName(recent).distinct()
-    candidates, cand_rows = stage(candidates)
-    po, po_rows = stage(first_po(od, candidates, cand_rows))
+    bound = None if line_n is None or recent_n is None else line_n + recent_n
+    po, po_rows = stage(first_po(od, candidates, bound))
     cr, cr_rows = stage(reorderable_items(line, po))
     upc, _ = stage(alias_items(pm, pmd))
     family = expand_family(cr, line, upc, cr_rows)
     readded = readd_alias_items(cr, line, upc, po)
     flipped, _ = stage(weighted(flip_report_code(family.unionByName(readded), cr, cr_rows)))
-    oos = recent_out_of_stock(recent, pm, pmd, flipped, po)
+    oos = recent_out_of_stock(recent, pm, pmd, flipped, po, recent_n)
     with_oos = flipped.unionByName(oos.withColumn(WEIGHT, F.lit(1).cast("bigint")))
     items = weighted(attach_buyer(with_oos, tables["order_header"], po_rows))
     return ItemStages(cr, upc, family, readded, flipped, oos, items)

@@ -47,10 +47,11 @@ def profit_rows(
     money_mode: str = "half_up",
     items_rows: int | None = None,
 ) -> DataFrame:
-    """M15.  Measures are at most a few rows per item, so the chain of left
-    joins runs on item-sized inputs; stock rows are cut to the item codes
-    (broadcast semi join under the row bound) before joining."""
-    i = items.select(*ITEM_COLS).distinct()
+    """M15.  ``items`` is the weighted item set (distinct rows; the weight
+    column is not needed here).  Measures are at most a few rows per item,
+    so the chain of left joins runs on item-sized inputs; stock rows are cut
+    to the item codes (broadcast semi join under the row bound) first."""
+    i = items.select(*ITEM_COLS)
     r = receipts.select(
         "ItemCode", F.col("RcvdDate").alias("r_date"), F.col("RcvdQty").alias("r_qty"), F.col("RcvdAmt").alias("r_amt")
     )

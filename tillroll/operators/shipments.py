@@ -128,7 +128,7 @@ def received_shipments(
     keys = shipments.select(*SHIP_KEYS).distinct()
     rows_per_ship = shipments.groupBy(*SHIP_KEYS).agg(F.count(F.lit(1)).alias("n_rows"))
     heads = sr_header.select(*SHIP_KEYS, "BatchID").join(
-        bounded_broadcast(keys, None), SHIP_KEYS, "left_semi"
+        bounded_broadcast(keys, shipments_rows), SHIP_KEYS, "left_semi"
     )
     batches = heads.select("BatchID").distinct()
     batch_qty = (
@@ -148,7 +148,12 @@ def _not_received(shipments: DataFrame, received: DataFrame) -> DataFrame:
     return shipments.join(received.select(*SHIP_KEYS), SHIP_KEYS, "left_anti")
 
 
-def _with_vendor_labels(open_ships: DataFrame, shipment_vendor_detail: DataFrame, vendor_master: DataFrame) -> DataFrame:
+def _with_vendor_labels(
+    open_ships: DataFrame,
+    shipment_vendor_detail: DataFrame,
+    vendor_master: DataFrame,
+    ships_rows: int | None = None,
+) -> DataFrame:
     """Left-join each drop shipment's line vendors and their names.
 
     Lines are deduplicated per (shipment, vendor) and restricted to the
@@ -160,7 +165,7 @@ def _with_vendor_labels(open_ships: DataFrame, shipment_vendor_detail: DataFrame
         shipment_vendor_detail.filter(F.col("ShipmentType") == "R")
         .select(*SHIP_KEYS, F.col("VendorId").alias("LineVendor"))
         .distinct()
-        .join(bounded_broadcast(keys), SHIP_KEYS, "left_semi")
+        .join(bounded_broadcast(keys, ships_rows), SHIP_KEYS, "left_semi")
     )
     vm = vendor_master.select(F.col("VendorID").alias("VmVendorID"), F.col("Name").alias("VmName"))
     j = open_ships.join(lines, SHIP_KEYS, "left").join(
@@ -174,10 +179,13 @@ def not_received_all(
     received: DataFrame,
     shipment_vendor_detail: DataFrame,
     vendor_master: DataFrame,
+    shipments_rows: int | None = None,
 ) -> DataFrame:
     """Not-received W and R shipments; W labelled 'CDC', R by vendor.
     Unordered, Vendor last."""
-    labelled = _with_vendor_labels(_not_received(shipments, received), shipment_vendor_detail, vendor_master)
+    labelled = _with_vendor_labels(
+        _not_received(shipments, received), shipment_vendor_detail, vendor_master, shipments_rows
+    )
     distinct_rows = labelled.select(
         F.col("VendorLabel").alias("Vendor"),
         "Location",
@@ -216,10 +224,13 @@ def not_received_vendor(
     received: DataFrame,
     shipment_vendor_detail: DataFrame,
     vendor_master: DataFrame,
+    shipments_rows: int | None = None,
 ) -> DataFrame:
     """Not-received drop shipments of one vendor, labelled with every
     vendor on the shipment; Vendor first, ordered (date as text)."""
-    labelled = _with_vendor_labels(_not_received(shipments, received), shipment_vendor_detail, vendor_master)
+    labelled = _with_vendor_labels(
+        _not_received(shipments, received), shipment_vendor_detail, vendor_master, shipments_rows
+    )
     return (
         labelled.select(
             F.col("VendorLabel").alias("Vendor"),

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 
 from tillroll.operators import shipments as S
 from tillroll.operators.params import varchar_param
-from tillroll.plans.stages import materialize
+from tillroll.plans.stages import checkpointed
 from tillroll.sources.tables import Tables
 
 
@@ -41,11 +41,13 @@ def shipment_not_received(
     ships = S.shipments_in_range(
         tables["shipment_header"], tables["shipment_detail"], stores, start, end, mode, vendor
     )
+    rows = None
     if reuse:
-        ships = materialize(ships)
-    received = S.received_shipments(ships, tables["sr_header"], tables["sr_detail"])
+        ships, rows = checkpointed(ships)
+    received = S.received_shipments(ships, tables["sr_header"], tables["sr_detail"], rows)
+    svd, vm = tables["shipment_vendor_detail"], tables["vendor_master"]
     if mode == "cdc":
         return S.not_received_cdc(ships, received)
     if mode == "all":
-        return S.not_received_all(ships, received, tables["shipment_vendor_detail"], tables["vendor_master"])
-    return S.not_received_vendor(ships, received, tables["shipment_vendor_detail"], tables["vendor_master"])
+        return S.not_received_all(ships, received, svd, vm, rows)
+    return S.not_received_vendor(ships, received, svd, vm, rows)
