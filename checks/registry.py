@@ -248,3 +248,13 @@ def q_refresh(spark, sf_dir):
 def clear_shared() -> None:
     """Forget shared runs (the benchmark times each query from scratch)."""
     _RUNS.clear()
+
+
+@register("profit_by_title_unique_fanout", OP.profit_unique())
+def q_profit_unique(spark, sf_dir):
+    return _shared(
+        "profit_unique",
+        spark,
+        sf_dir,
+        lambda: PJ.run_profit(standin_tables(spark, sf_dir), AS_OF, fanout="unique"),
+    ).report
