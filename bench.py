@@ -22,9 +22,7 @@ from tillroll.plans.session import build_session  # noqa: E402
 HEADLINE = [
     "profit_by_title",
     "items",
-    "consolidate_receipts",
     "retail_sales_by_item",
-    "consolidate_wholesale",
     "not_received_all",
     "not_received_cdc",
     "not_received_vendor",

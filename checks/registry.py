@@ -258,3 +258,28 @@ def q_profit_unique(spark, sf_dir):
         sf_dir,
         lambda: PJ.run_profit(standin_tables(spark, sf_dir), AS_OF, fanout="unique"),
     ).report
+
+
+# ---- primitives of SURVEY 7.2 on the driver tables --------------------------
+
+from pyspark.sql import functions as _F  # noqa: E402
+
+from tillroll.operators.sales import retail_stores  # noqa: E402
+
+
+@register("first_po_by_item", OP.first_po_sql())
+def q_first_po(spark, sf_dir):
+    t = standin_tables(spark, sf_dir)
+    pm = t["product_master"]
+    codes = pm.filter(_F.col("UserChar15") == I.TTB_LINE).select(_F.col("ItemCode").alias("MasterCode"))
+    return I.first_po(t["order_detail"], codes)
+
+
+@register("recent_oos_codes", OP.recent_oos_sql())
+def q_recent_oos(spark, sf_dir):
+    return I.recent_oos_codes(standin_tables(spark, sf_dir)["oos_item_log"], AS_OF)
+
+
+@register("retail_store_set", OP.retail_stores_sql())
+def q_retail_stores(spark, sf_dir):
+    return retail_stores(standin_tables(spark, sf_dir)["locations"])

@@ -10,6 +10,7 @@ the family size as a weight).
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -244,13 +245,17 @@ def build_items(tables, as_of, stage=None) -> ItemStages:
     """
     stage = stage or _identity
     pm, pmd, od = tables["product_master"], tables["product_master_dist"], tables["order_detail"]
-    line, line_n = stage(line_rows(pm, pmd))
-    recent, recent_n = stage(recent_oos_codes(tables["oos_item_log"], as_of))
+    # The product-line rows and the recent out-of-stock codes are
+    # independent: materialise them concurrently (two jobs in flight).
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        f_line = pool.submit(stage, line_rows(pm, pmd))
+        f_recent = pool.submit(stage, recent_oos_codes(tables["oos_item_log"], as_of))
+        (line, line_n), (recent, recent_n) = f_line.result(), f_recent.result()
     candidates = line.select("MasterCode").unionByName(recent).distinct()
     bound = None if line_n is None or recent_n is None else line_n + recent_n
     po, po_rows = stage(first_po(od, candidates, bound))
     cr, cr_rows = stage(reorderable_items(line, po))
-    upc, _ = stage(alias_items(pm, pmd))
+    upc = alias_items(pm, pmd)
     family = expand_family(cr, line, upc, cr_rows)
     readded = readd_alias_items(cr, line, upc, po)
     flipped, _ = stage(weighted(flip_report_code(family.unionByName(readded), cr, cr_rows)))
