@@ -254,7 +254,9 @@ def build_items(tables, as_of, stage=None) -> ItemStages:
     candidates = line.select("MasterCode").unionByName(recent).distinct()
     bound = None if line_n is None or recent_n is None else line_n + recent_n
     po, po_rows = stage(first_po(od, candidates, bound))
-    cr, cr_rows = stage(reorderable_items(line, po))
+    # The reorderable set is small and its size is bounded by the
+    # product-line rows, so it stays a plan rather than another write.
+    cr, cr_rows = reorderable_items(line, po), line_n
     upc = alias_items(pm, pmd)
     family = expand_family(cr, line, upc, cr_rows)
     readded = readd_alias_items(cr, line, upc, po)

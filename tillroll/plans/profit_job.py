@@ -8,7 +8,7 @@ per item code, then left-join the measures to the items.
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,20 +21,71 @@ from tillroll.plans.stages import checkpointed
 from tillroll.sources.tables import Tables
 
 
-@dataclass
 class ProfitRun:
     """Every stage of one run, for audits and traces (the debug script's
-    view of the job)."""
-
-    items: ItemStages
-    receipts_feeds: DataFrame  # M8
-    legacy_receipts: DataFrame  # M9
-    receipts: DataFrame  # M10
-    store_ship: DataFrame  # M11
-    store_sales: DataFrame  # M12
-    wholesale_feeds: DataFrame  # M13
-    wholesale: DataFrame  # M14
-    report: DataFrame  # M15
+    view of the job).  The item set is built and materialised up front;
+    each measure is planned on first access, so a query that needs one
+    measure does not plan the others."""
+
+    def __init__(self, tables: Tables, as_of, fanout: str, money_mode: str, reuse: bool):
+        self._t = tables
+        self.as_of = as_of
+        self.money_mode = money_mode
+        stage = checkpointed if reuse else None
+        st = build_items(tables, as_of, stage)
+        items, rows = checkpointed(st.items) if reuse else (st.items, None)
+        st.items = items
+        self.items: ItemStages = st
+        self.items_rows = rows
+        self.weights = item_weights(items, fanout, rows)
+
+    @cached_property
+    def receipts_feeds(self) -> DataFrame:  # M8
+        t = self._t
+        return R.receipts_by_item(
+            t["receipt_header"], t["receipt_detail"], t["ar_receipt_header"], t["ar_receipt_detail"], self.weights
+        )
+
+    @cached_property
+    def legacy_receipts(self) -> DataFrame:  # M9
+        return R.legacy_receipts_by_item(self._t["pop_receipt_header"], self._t["pop_receipt_line"], self.weights)
+
+    @cached_property
+    def receipts(self) -> DataFrame:  # M10
+        return R.consolidate_receipts(self.receipts_feeds, self.legacy_receipts)
+
+    @cached_property
+    def store_ship(self) -> DataFrame:  # M11
+        return SA.store_shipments_by_item(self._t["transfer_header"], self._t["transfer_detail"], self.weights)
+
+    @cached_property
+    def store_sales(self) -> DataFrame:  # M12
+        return SA.retail_sales_by_item(self._t["sales_item_history"], self._t["locations"], self.weights)
+
+    @cached_property
+    def wholesale_feeds(self) -> DataFrame:  # M13
+        t = self._t
+        return SA.wholesale_sales_by_item(
+            t["sop_open_header"], t["sop_open_line"], t["sop_hist_header"], t["sop_hist_line"], self.weights
+        )
+
+    @cached_property
+    def wholesale(self) -> DataFrame:  # M14
+        return SA.consolidate_wholesale(self.wholesale_feeds)
+
+    @cached_property
+    def report(self) -> DataFrame:  # M15
+        return profit_rows(
+            self.items.items,
+            self.receipts,
+            self.store_ship,
+            self.store_sales,
+            self.wholesale,
+            self._t["wms_available_qty"],
+            self.as_of,
+            self.money_mode,
+            self.items_rows,
+        )
 
 
 def run_profit(
@@ -44,21 +95,9 @@ def run_profit(
     money_mode: str = "half_up",
     reuse: bool = True,
 ) -> ProfitRun:
-    stage = checkpointed if reuse else None
-    st = build_items(tables, as_of, stage)
-    items, rows = checkpointed(st.items) if reuse else (st.items, None)
-    st.items = items
-    w = item_weights(items, fanout, rows)
-    t = tables
-    feeds = R.receipts_by_item(t["receipt_header"], t["receipt_detail"], t["ar_receipt_header"], t["ar_receipt_detail"], w)
-    legacy = R.legacy_receipts_by_item(t["pop_receipt_header"], t["pop_receipt_line"], w)
-    receipts = R.consolidate_receipts(feeds, legacy)
-    ship = SA.store_shipments_by_item(t["transfer_header"], t["transfer_detail"], w)
-    sales = SA.retail_sales_by_item(t["sales_item_history"], t["locations"], w)
-    ws_feeds = SA.wholesale_sales_by_item(t["sop_open_header"], t["sop_open_line"], t["sop_hist_header"], t["sop_hist_line"], w)
-    ws = SA.consolidate_wholesale(ws_feeds)
-    report = profit_rows(items, receipts, ship, sales, ws, t["wms_available_qty"], as_of, money_mode, rows)
-    return ProfitRun(st, feeds, legacy, receipts, ship, sales, ws_feeds, ws, report)
+    """Build the item set (materialised when ``reuse``) and return the run;
+    measures and the report are planned lazily from it."""
+    return ProfitRun(tables, as_of, fanout, money_mode, reuse)
 
 
 def profit_by_title(tables: Tables, as_of, fanout: str = "reference", money_mode: str = "half_up", reuse: bool = True) -> DataFrame:
