@@ -9,8 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: the padding prefix of a master code (twenty zeros).
-_ZEROS20 = "0" * 20
+from tillroll.fixed import CODE_WIDTH, SHORT_CODE_WIDTH
+
+_ZEROS = "0" * CODE_WIDTH
 
 
 def key20(c: Column) -> Column:
@@ -18,12 +19,12 @@ def key20(c: Column) -> Column:
 
     Not ``lpad``: ``lpad`` keeps the leftmost 20 of a longer value.
     """
-    return F.right(F.concat(F.lit(_ZEROS20), c), F.lit(20))
+    return F.right(F.concat(F.lit(_ZEROS), c), F.lit(CODE_WIDTH))
 
 
 def key7(c: Column) -> Column:
     """Short item code: the last seven characters."""
-    return F.right(c, F.lit(7))
+    return F.right(c, F.lit(SHORT_CODE_WIDTH))
 
 
 def not_blank(c: Column) -> Column:

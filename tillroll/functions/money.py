@@ -12,6 +12,8 @@ from decimal import Decimal
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tillroll.fixed import PERCENT_SUFFIX
+
 MONEY = "decimal(19,4)"
 
 # Rounding of the fifth decimal in a money division is not visible in the
@@ -46,7 +48,7 @@ def money_pct_text(num: Column, den: Column, guard: Column, mode: str = "half_up
     pct = F.when(guard, F.lit(Decimal("0")).cast(MONEY)).otherwise(
         money(money_div(num, den, mode) * F.lit(Decimal("100")))
     )
-    return F.concat(pct.cast("decimal(19,2)").cast("string"), F.lit(" %"))
+    return F.concat(pct.cast("decimal(19,2)").cast("string"), F.lit(PERCENT_SUFFIX))
 
 
 def ratio_pct_text(num: Column, den: Column, guard: Column) -> Column:
@@ -55,4 +57,4 @@ def ratio_pct_text(num: Column, den: Column, guard: Column) -> Column:
     A value of 10000 % or more overflows ``decimal(8,4)`` and raises."""
     q = num.cast("decimal(18,0)") / den.cast("decimal(18,0)")
     pct = F.when(guard, F.lit(Decimal("0"))).otherwise(q * F.lit(Decimal("100")))
-    return F.concat(pct.cast("decimal(8,4)").cast("string"), F.lit(" %"))
+    return F.concat(pct.cast("decimal(8,4)").cast("string"), F.lit(PERCENT_SUFFIX))

@@ -26,10 +26,7 @@ ITEM_COLS = [
 ]
 WEIGHT = "n"
 
-# The product-line flag and the reorderable flag.
-TTB_LINE = "TTB"
-REORDERABLE = "Y"
-ALIAS_PREFIX = "UPC"
+from tillroll.fixed import ALIAS_PREFIX, REORDERABLE, TTB_LINE  # noqa: E402
 
 
 def _ttb(pm: DataFrame) -> DataFrame:

@@ -3,14 +3,12 @@ measures, 31 columns in report order, distinct."""
 
 from __future__ import annotations
 
-import datetime as dt
 from decimal import Decimal
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions import (
-    MONEY,
     date_text_or_na,
     money,
     money_pct_text,

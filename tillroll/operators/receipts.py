@@ -9,10 +9,8 @@ from tillroll.functions import money, to_int
 from tillroll.operators.params import ts_literal
 from tillroll.operators.weights import ItemWeights, int_times
 
-# Legacy purchasing receipts count before this date, and only
-# receipt type 1.
-POP_CUTOFF = "2010-06-30"
-POP_RECEIPT_TYPE = 1
+from tillroll.fixed import POP_CUTOFF, POP_RECEIPT_TYPE  # noqa: E402
+
 RECEIPT_COLS = ["ItemCode", "RcvdDate", "RcvdQty", "RcvdAmt"]
 
 

@@ -14,16 +14,19 @@ from tillroll.plans.strategy import bounded_broadcast
 QTY = "decimal(38,5)"
 AVG = "decimal(38,6)"
 
-# Register-sale type, the store-number range counted as
-# retail, wholesale order type, document id, void batch, and the customer
-# codes (exact and by prefix) that are internal, not sales.
-SALE_TYPE = "S"
-STORE_NO_RANGE = (1, 200)
-SOP_INVOICE_TYPE = 3
-SOP_DOC_ID = "STD"
-SOP_VOID_BATCH = "Sales Void"
-INTERNAL_CUSTOMERS = ("SAMPLE", "REPS")
-INTERNAL_CUSTOMER_PREFIXES = ("MRDC", "RDC", "TTB")
+from tillroll.fixed import (  # noqa: E402
+    ACTIVE_STATUS,
+    INTERNAL_CUSTOMER_PREFIXES,
+    INTERNAL_CUSTOMERS,
+    NOT_RETURN_FLAG,
+    RETAIL_FLAG,
+    RETURN_FLAG,
+    SALE_TYPE,
+    SOP_DOC_ID,
+    SOP_INVOICE_TYPE,
+    SOP_VOID_BATCH,
+    STORE_NO_RANGE,
+)
 
 
 def store_shipments_by_item(transfer_header: DataFrame, transfer_detail: DataFrame, w: ItemWeights) -> DataFrame:
@@ -46,8 +49,8 @@ def retail_stores(locations: DataFrame) -> DataFrame:
     """Active retail stores whose number is an integer within the range."""
     lo, hi = STORE_NO_RANGE
     return locations.filter(
-        (F.col("RetailStore") == "Y")
-        & (F.col("Status") == "A")
+        (F.col("RetailStore") == RETAIL_FLAG)
+        & (F.col("Status") == ACTIVE_STATUS)
         & F.col("LocationNo").try_cast("int").between(lo, hi)
     ).select("LocationID")
 
@@ -69,8 +72,10 @@ def retail_sales_by_item(sales: DataFrame, locations: DataFrame, w: ItemWeights)
         .join(w.keys20(), "Code20", "left_semi")
         .join(bounded_broadcast(retail_stores(locations)), "LocationID")
     )
-    signed = F.when(F.col("isreturn") == "Y", -F.col("quantity")).otherwise(F.col("quantity"))
-    marked = F.when((F.col("unitprice") > F.col("registerprice")) & (F.col("isreturn") == "N"), 1).otherwise(0)
+    signed = F.when(F.col("isreturn") == RETURN_FLAG, -F.col("quantity")).otherwise(F.col("quantity"))
+    marked = F.when(
+        (F.col("unitprice") > F.col("registerprice")) & (F.col("isreturn") == NOT_RETURN_FLAG), 1
+    ).otherwise(0)
     agg = s.groupBy("Code20").agg(
         F.sum(signed).alias("_sq"),
         F.sum("ExtendedAmt").alias("_amt"),

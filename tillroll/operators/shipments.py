@@ -16,13 +16,17 @@ from tillroll.functions import mmddyyyy, store_label, vendor_label
 from tillroll.operators.params import as_datetime, char_param, ts_literal
 from tillroll.plans.strategy import bounded_broadcast
 
-# Location filter types, the store numbers the RDC filter
-# leaves out, and the shipment types each report mode covers.
-FILTER_TYPES = ("All Locations", "Store", "District", "Region", "RDC", "State")
-RDC_EXCLUDED = ("00451", "00710", "00999")
-MODE_TYPES = {"all": ("W", "R"), "cdc": ("W",), "vendor": ("R",)}
-SUPPLY_COMPANY = "SUP"
-WAREHOUSE_LABEL = "CDC"
+from tillroll.fixed import (  # noqa: E402
+    DROP_SHIP_TYPE,
+    MODE_TYPES,
+    PARAM_CHAR_WIDTH,
+    RDC_EXCLUDED,
+    RETAIL_FLAG,
+    STORE_TYPE,
+    SUPPLY_COMPANY,
+    WAREHOUSE_TYPE,
+    WAREHOUSE_VENDOR as WAREHOUSE_LABEL,
+)
 
 SHIP_KEYS = ["ShipmentNo", "ShipmentType"]
 
@@ -38,24 +42,24 @@ def resolve_locations(
     'All Locations' and 'State' require LocationType 'S'; 'Store',
     'District', 'Region' and 'RDC' do not.  An unknown type gives no stores.
     """
-    ft = char_param(filter_type, 20)
-    dyn = char_param(dyn_filter, 20)
-    retail = F.col("RetailStore") == "Y"
+    ft = char_param(filter_type, PARAM_CHAR_WIDTH)
+    dyn = char_param(dyn_filter, PARAM_CHAR_WIDTH)
+    retail = F.col("RetailStore") == RETAIL_FLAG
     if ft == "All Locations":
-        src = locations.filter((F.col("LocationType") == "S") & retail)
+        src = locations.filter((F.col("LocationType") == STORE_TYPE) & retail)
     elif ft == "Store":
         src = locations.filter((F.col("LocationNo") == F.lit(dyn)) & retail)
     elif ft == "District":
         src = locations.filter((F.col("DistrictCode") == F.lit(dyn)) & retail)
     elif ft == "Region":
-        src = report_locations.filter((F.col("Region") == F.lit(dyn)) & (F.col("Retail") == "Y"))
+        src = report_locations.filter((F.col("Region") == F.lit(dyn)) & (F.col("Retail") == RETAIL_FLAG))
     elif ft == "RDC":
         src = locations.filter(
             ~F.col("LocationNo").isin(*RDC_EXCLUDED) & (F.col("RDCLocationNo") == F.lit(dyn)) & retail
         )
     elif ft == "State":
         src = locations.filter(
-            (F.col("LocationType") == "S") & retail & (F.col("StateCode") == F.lit(dyn))
+            (F.col("LocationType") == STORE_TYPE) & retail & (F.col("StateCode") == F.lit(dyn))
         )
     else:
         src = locations.filter(F.lit(False))
@@ -162,7 +166,7 @@ def _with_vendor_labels(
     """
     keys = open_ships.select(*SHIP_KEYS).distinct()
     lines = (
-        shipment_vendor_detail.filter(F.col("ShipmentType") == "R")
+        shipment_vendor_detail.filter(F.col("ShipmentType") == DROP_SHIP_TYPE)
         .select(*SHIP_KEYS, F.col("VendorId").alias("LineVendor"))
         .distinct()
         .join(bounded_broadcast(keys, ships_rows), SHIP_KEYS, "left_semi")
@@ -198,8 +202,8 @@ def not_received_all(
         "ShipmentDate",
         "ShipmentNumber",
         "ShipmentType",
-        F.when(F.col("ShipmentType") == "W", F.lit(WAREHOUSE_LABEL))
-        .when(F.col("ShipmentType") == "R", F.col("Vendor"))
+        F.when(F.col("ShipmentType") == WAREHOUSE_TYPE, F.lit(WAREHOUSE_LABEL))
+        .when(F.col("ShipmentType") == DROP_SHIP_TYPE, F.col("Vendor"))
         .alias("Vendor"),
     )
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from tillroll.fixed import ALL_VENDORS, VENDOR_PARAM_WIDTH, WAREHOUSE_VENDOR
 from tillroll.operators import shipments as S
 from tillroll.operators.params import varchar_param
 from tillroll.plans.stages import checkpointed
@@ -12,10 +13,10 @@ from tillroll.sources.tables import Tables
 
 
 def report_mode(vendor_id: str) -> str:
-    v = (varchar_param(vendor_id, 10) or "").rstrip().upper()
-    if v == "ALL":
+    v = (varchar_param(vendor_id, VENDOR_PARAM_WIDTH) or "").rstrip().upper()
+    if v == ALL_VENDORS.upper():
         return "all"
-    if v == "CDC":
+    if v == WAREHOUSE_VENDOR.upper():
         return "cdc"
     return "vendor"
 
@@ -36,7 +37,7 @@ def shipment_not_received(
     steers the broadcast choices.
     """
     mode = report_mode(vendor_id)
-    vendor = (varchar_param(vendor_id, 10) or "").rstrip() if mode == "vendor" else None
+    vendor = (varchar_param(vendor_id, VENDOR_PARAM_WIDTH) or "").rstrip() if mode == "vendor" else None
     stores = S.resolve_locations(tables["locations"], tables["report_locations"], filter_type, dyn_filter)
     ships = S.shipments_in_range(
         tables["shipment_header"], tables["shipment_detail"], stores, start, end, mode, vendor
