@@ -73,11 +73,17 @@ def profit_rows(
     w = wms.select(F.col("ITEM").alias("ItemCode"), F.col("AvailableQty").alias("w_qty")).join(
         bounded_broadcast(keys, items_rows), "ItemCode", "left_semi"
     )
+    # Each measure has at most one row per item row (one per code, or per
+    # distinct (code, cost) for shipments), so the item set's row count
+    # bounds it: broadcast under the row bound, no sort-merge chain.
+    def small(df: DataFrame) -> DataFrame:
+        return bounded_broadcast(df, items_rows) if items_rows is not None else df
+
     j = (
-        i.join(r, "ItemCode", "left")
-        .join(ship, "ItemCode", "left")
-        .join(ss, "ItemCode", "left")
-        .join(ws, "ItemCode", "left")
+        i.join(small(r), "ItemCode", "left")
+        .join(small(ship), "ItemCode", "left")
+        .join(small(ss), "ItemCode", "left")
+        .join(small(ws), "ItemCode", "left")
         .join(w, "ItemCode", "left")
     )
 

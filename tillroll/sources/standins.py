@@ -284,7 +284,8 @@ class StandinTables(dict):
     """Lazy ``Tables`` mapping over one driver-data folder.
 
     A view is built on first access; building is lazy in Spark too (no job
-    runs until an action).
+    runs until an action).  The driver files are read-only, so one mapping
+    per (session, folder) is kept, like a catalog caching table metadata.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
@@ -307,5 +308,11 @@ class StandinTables(dict):
         return df
 
 
+_CACHE: dict[tuple, StandinTables] = {}
+
+
 def standin_tables(spark: SparkSession, sf_dir: str) -> StandinTables:
-    return StandinTables(spark, sf_dir)
+    key = (id(spark), spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in _CACHE:
+        _CACHE[key] = StandinTables(spark, sf_dir)
+    return _CACHE[key]
