@@ -120,6 +120,7 @@ def received_shipments(
     sr_header: DataFrame,
     sr_detail: DataFrame,
     shipments_rows: int | None = None,
+    stage=None,
 ) -> DataFrame:
     """(ShipmentNo, ShipmentType, qty) with ``sum(qty) > 0``.
 
@@ -134,10 +135,15 @@ def received_shipments(
     heads = sr_header.select(*SHIP_KEYS, "BatchID").join(
         bounded_broadcast(keys, shipments_rows), SHIP_KEYS, "left_semi"
     )
+    # With ``stage`` the receipt headers of these shipments are written once:
+    # the batch-id broadcast check then needs no extra scan of the headers.
+    heads_rows = None
+    if stage is not None:
+        heads, heads_rows = stage(heads)
     batches = heads.select("BatchID").distinct()
     batch_qty = (
         sr_detail.select("BatchID", "qty")
-        .join(bounded_broadcast(batches), "BatchID", "left_semi")
+        .join(bounded_broadcast(batches, heads_rows), "BatchID", "left_semi")
         .groupBy("BatchID")
         .agg(F.sum("qty").alias("bq"))
     )

@@ -45,7 +45,9 @@ def shipment_not_received(
     rows = None
     if reuse:
         ships, rows = checkpointed(ships)
-    received = S.received_shipments(ships, tables["sr_header"], tables["sr_detail"], rows)
+    received = S.received_shipments(
+        ships, tables["sr_header"], tables["sr_detail"], rows, checkpointed if reuse else None
+    )
     svd, vm = tables["shipment_vendor_detail"], tables["vendor_master"]
     if mode == "cdc":
         return S.not_received_cdc(ships, received)
