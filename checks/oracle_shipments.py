@@ -92,11 +92,13 @@ def shipments_sql(mode, start, end, vendor=None, filter_type="All Locations", dy
     )
 
 
-def received_sql(mode, start, end, vendor=None, filter_type="All Locations", dyn=None) -> str:
-    return with_standins(_prefix(mode, start, end, vendor, filter_type, dyn) + "SELECT * FROM shipment_received")
+def received_sql(mode, start, end, vendor=None, filter_type="All Locations", dyn=None, standins=True) -> str:
+    body = _prefix(mode, start, end, vendor, filter_type, dyn) + "SELECT * FROM shipment_received"
+    return with_standins(body) if standins else body
 
 
-def not_received_sql(mode, start, end, vendor=None, filter_type="All Locations", dyn=None) -> str:
+def not_received_sql(mode, start, end, vendor=None, filter_type="All Locations", dyn=None, standins=True) -> str:
+    """``standins=False`` leaves the table names to the caller's database."""
     head = _prefix(mode, start, end, vendor, filter_type, dyn)
     label = "coalesce(v.VendorID, 'No Shipping Detail') || ' - ' || coalesce(v.Name, '')"
     if mode == "cdc":
@@ -126,4 +128,4 @@ LEFT JOIN shipment_vendor_detail sd ON a.ShipmentNo = sd.ShipmentNo AND a.Shipme
 LEFT JOIN vendor_master v ON sd.VendorId = v.VendorID AND sd.ShipmentType = 'R'
 WHERE sr.ShipmentNo IS NULL
 ORDER BY 2, 3, 4, 5, 1"""
-    return with_standins(head + body)
+    return with_standins(head + body) if standins else head + body
