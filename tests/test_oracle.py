@@ -32,3 +32,22 @@ def test_entry_contract(spark):
     df = E.entry(spark)
     assert df.columns[:3] == ["ItemCode", "Title", "ISBN"]
     assert df.count() >= 0
+
+
+_SPARK_TO_DUCK = {
+    "string": "VARCHAR",
+    "int": "INTEGER",
+    "bigint": "BIGINT",
+    "timestamp_ntz": "TIMESTAMP",
+    "date": "DATE",
+    "double": "DOUBLE",
+}
+
+
+@pytest.mark.parametrize("name", [n for n, (_, sql) in REGISTRY.items() if sql is not None])
+def test_query_types_match_oracle(spark, con, name):
+    fn, sql = REGISTRY[name]
+    df = fn(spark, SF_DIR)
+    spark_types = {f.name: _SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString().upper()) for f in df.schema.fields}
+    duck_types = {r[0]: r[1] for r in con.execute(f"DESCRIBE {sql}").fetchall()}
+    assert spark_types == duck_types
