@@ -62,15 +62,14 @@ def product_rows(pm: DataFrame, pmd: DataFrame, keep: tuple[str, ...] = ()) -> D
 def recent_oos_codes(oos_log: DataFrame, as_of) -> DataFrame:
     """Padded codes whose latest out-of-stock entry is within the year
     before ``as_of`` (the HAVING max(runtime) > as_of - 1 year of the
-    reference).  The log aggregates map-side, so a code on a third of the
-    log still sends one row per map task."""
+    reference).  ``max(runtime) > bound`` holds exactly when some entry is
+    after the bound, so the log is filtered first -- the range reaches the
+    scan and only the last year is read -- then deduplicated map-side."""
     bound = ts_literal(one_year_before(as_of))
     return (
-        oos_log.select(key20(F.col("Item")).alias("MasterCode"), "runtime")
-        .groupBy("MasterCode")
-        .agg(F.max("runtime").alias("_last"))
-        .filter(F.col("_last") > bound)
-        .select("MasterCode")
+        oos_log.filter(F.col("runtime") > bound)
+        .select(key20(F.col("Item")).alias("MasterCode"))
+        .distinct()
     )
 
 

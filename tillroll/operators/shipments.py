@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tillroll.functions import mmddyyyy, store_label, vendor_label
 from tillroll.operators.params import as_datetime, char_param, ts_literal
-from tillroll.plans.strategy import bounded_broadcast
+from tillroll.plans.strategy import bounded_broadcast, fits_broadcast
 
 from tillroll.fixed import (  # noqa: E402
     DROP_SHIP_TYPE,
@@ -92,13 +92,19 @@ def shipments_in_range(
 
     lines = shipment_detail.filter(F.col("ShipmentType").isin(*types))
     if mode == "vendor":
-        # One vendor: its lines, one row per shipment (map-side dedup first).
-        keep = lines.filter(F.col("VendorID") == F.lit(vendor_id)).select(*SHIP_KEYS, "VendorID").distinct()
+        lines = lines.filter(F.col("VendorID") == F.lit(vendor_id)).select(*SHIP_KEYS, "VendorID")
+    else:
+        lines = lines.filter(F.col("Company") != SUPPLY_COMPANY).select(*SHIP_KEYS)
+    # Lines carry no date: cut them to the shipments in range first (broadcast
+    # under the row bound), then deduplicate per shipment map-side, so one
+    # very large shipment contributes one key per map task.
+    in_range = sh.select(*SHIP_KEYS)
+    if fits_broadcast(in_range):
+        lines = lines.join(F.broadcast(in_range), SHIP_KEYS, "left_semi")
+    keep = lines.distinct()
+    if mode == "vendor":
         sh = sh.join(keep, SHIP_KEYS, "inner")
     else:
-        # Existence of a non-supply line; dedup before the shuffle so one
-        # very large shipment contributes one key per map task.
-        keep = lines.filter(F.col("Company") != SUPPLY_COMPANY).select(*SHIP_KEYS).distinct()
         sh = sh.join(keep, SHIP_KEYS, "left_semi")
 
     st = bounded_broadcast(stores.select(F.col("LocationNo").alias("ToLocationNo"), "LocationNo", "LocationName"))
@@ -174,8 +180,8 @@ def _with_vendor_labels(
     lines = (
         shipment_vendor_detail.filter(F.col("ShipmentType") == DROP_SHIP_TYPE)
         .select(*SHIP_KEYS, F.col("VendorId").alias("LineVendor"))
-        .distinct()
         .join(bounded_broadcast(keys, ships_rows), SHIP_KEYS, "left_semi")
+        .distinct()
     )
     vm = vendor_master.select(F.col("VendorID").alias("VmVendorID"), F.col("Name").alias("VmName"))
     j = open_ships.join(lines, SHIP_KEYS, "left").join(
