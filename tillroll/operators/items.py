@@ -228,7 +228,7 @@ def _identity(df: DataFrame) -> tuple[DataFrame, int | None]:
     return df, None
 
 
-def build_items(tables, as_of, stage=None) -> ItemStages:
+def build_items(tables, as_of, stage=None, on_candidates=None) -> ItemStages:
     """Run M1-M7.
 
     ``stage`` materialises an intermediate read more than once and returns
@@ -237,7 +237,9 @@ def build_items(tables, as_of, stage=None) -> ItemStages:
     again -- fine for a small test, not for a production run.  The first-PO
     table is computed once, for every code that can become an item
     (product-line codes and recently out-of-stock codes), so the order lines
-    are scanned once.
+    are scanned once.  ``on_candidates(codes, bound)`` is called with that
+    candidate set (``MasterCode``) and a bound on its rows as soon as it is
+    known, so fact roll-ups can start while the item steps continue.
     """
     stage = stage or _identity
     pm, pmd, od = tables["product_master"], tables["product_master_dist"], tables["order_detail"]
@@ -249,6 +251,8 @@ def build_items(tables, as_of, stage=None) -> ItemStages:
         (line, line_n), (recent, recent_n) = f_line.result(), f_recent.result()
     candidates = line.select("MasterCode").unionByName(recent).distinct()
     bound = None if line_n is None or recent_n is None else line_n + recent_n
+    if on_candidates is not None:
+        on_candidates(candidates, bound)
     po, po_rows = stage(first_po(od, candidates, bound))
     # The reorderable set is small and its size is bounded by the
     # product-line rows, so it stays a plan rather than another write.

@@ -7,24 +7,29 @@ from pyspark.sql import functions as F
 
 from tillroll.functions import money, to_int
 from tillroll.operators.params import ts_literal
-from tillroll.operators.weights import ItemWeights, int_times
+from tillroll.operators.weights import CodeKeys, ItemWeights, int_times
 
 from tillroll.fixed import POP_CUTOFF, POP_RECEIPT_TYPE  # noqa: E402
 
 RECEIPT_COLS = ["ItemCode", "RcvdDate", "RcvdQty", "RcvdAmt"]
 
 
-def _receipt_feed(header: DataFrame, detail: DataFrame, w: ItemWeights) -> DataFrame:
+def receipt_sums(header: DataFrame, detail: DataFrame, keys: CodeKeys) -> DataFrame:
+    """One receipt feed summed per item code (the fact-side work): lines cut
+    to the codes, joined to their header, aggregated map-side first."""
     d = detail.select("RECEIPT_ID", F.col("ITEM").alias("ItemCode"), "TOTAL_QTY").join(
-        w.keys7(), "ItemCode", "left_semi"
+        keys.keys7(), "ItemCode", "left_semi"
     )
     f = d.join(header.select("RECEIPT_ID", "RECEIPT_DATE"), "RECEIPT_ID")
-    agg = f.groupBy("ItemCode").agg(
+    return f.groupBy("ItemCode").agg(
         F.min("RECEIPT_DATE").alias("RcvdDate"),
         F.sum(F.coalesce(F.col("TOTAL_QTY"), F.lit(0))).alias("_q0"),
         F.sum("TOTAL_QTY").alias("_q1"),
     )
-    j = agg.join(w.per_code(), "ItemCode")
+
+
+def _scale_receipts(sums: DataFrame, w: ItemWeights) -> DataFrame:
+    j = sums.join(w.per_code(), "ItemCode")
     return j.select(
         "ItemCode",
         "RcvdDate",
@@ -39,27 +44,31 @@ def receipts_by_item(
     ar_receipt_header: DataFrame,
     ar_receipt_detail: DataFrame,
     w: ItemWeights,
+    sums: tuple[DataFrame, DataFrame] | None = None,
 ) -> DataFrame:
     """M8: per item, first receipt date, quantity and cost-valued amount from
     the current and the archive receipts; the two feeds are set-unioned
-    (identical rows from both count once)."""
-    cur = _receipt_feed(receipt_header, receipt_detail, w)
-    arc = _receipt_feed(ar_receipt_header, ar_receipt_detail, w)
-    return cur.unionByName(arc).distinct()
+    (identical rows from both count once).  ``sums`` are the two feeds'
+    ``receipt_sums`` when already computed (for a superset of the codes)."""
+    cur, arc = sums or (
+        receipt_sums(receipt_header, receipt_detail, w.keys),
+        receipt_sums(ar_receipt_header, ar_receipt_detail, w.keys),
+    )
+    return _scale_receipts(cur, w).unionByName(_scale_receipts(arc, w)).distinct()
 
 
-def legacy_receipts_by_item(pop_header: DataFrame, pop_line: DataFrame, w: ItemWeights, cutoff: str = POP_CUTOFF) -> DataFrame:
-    """M9: legacy purchasing receipts before ``cutoff``.  Quantity is
-    extended cost / unit cost (unit cost 0 read as 1, NULL ratio as 0),
-    truncated to int after the sum."""
+def legacy_sums(pop_header: DataFrame, pop_line: DataFrame, keys: CodeKeys, cutoff: str = POP_CUTOFF) -> DataFrame:
+    """Legacy purchasing receipts before ``cutoff`` summed per item code.
+    Quantity is extended cost / unit cost (unit cost 0 read as 1, NULL ratio
+    as 0)."""
     d = pop_line.select("POPRCTNM", F.col("ITEMNMBR").alias("ItemCode"), "EXTDCOST", "UNITCOST").join(
-        w.keys7(), "ItemCode", "left_semi"
+        keys.keys7(), "ItemCode", "left_semi"
     )
     h = pop_header.filter(
         (F.col("POPTYPE") == POP_RECEIPT_TYPE) & (F.col("receiptdate") < ts_literal(cutoff))
     ).select("POPRCTNM", "receiptdate")
     unit = F.when(F.col("UNITCOST") == 0, F.lit(1)).otherwise(F.col("UNITCOST"))
-    agg = (
+    return (
         d.join(h, "POPRCTNM")
         .groupBy("ItemCode")
         .agg(
@@ -68,6 +77,18 @@ def legacy_receipts_by_item(pop_header: DataFrame, pop_line: DataFrame, w: ItemW
             F.sum(F.coalesce(F.col("EXTDCOST"), F.lit(0))).alias("_amt"),
         )
     )
+
+
+def legacy_receipts_by_item(
+    pop_header: DataFrame,
+    pop_line: DataFrame,
+    w: ItemWeights,
+    cutoff: str = POP_CUTOFF,
+    sums: DataFrame | None = None,
+) -> DataFrame:
+    """M9: legacy receipts per item; the quantity is truncated to int after
+    the sum (and after scaling by the multiplicity)."""
+    agg = sums if sums is not None else legacy_sums(pop_header, pop_line, w.keys, cutoff)
     j = agg.join(w.per_code(), "ItemCode")
     return j.select(
         "ItemCode",

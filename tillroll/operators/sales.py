@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions import MONEY, money, to_int
-from tillroll.operators.weights import ItemWeights
+from tillroll.operators.weights import CodeKeys, ItemWeights
 from tillroll.plans.strategy import bounded_broadcast
 
 QTY = "decimal(38,5)"
@@ -29,13 +29,20 @@ from tillroll.fixed import (  # noqa: E402
 )
 
 
-def store_shipments_by_item(transfer_header: DataFrame, transfer_detail: DataFrame, w: ItemWeights) -> DataFrame:
-    """Shipped quantity (int) and cost-valued amount per (item, cost);
-    distinct output rows, so one item may have a row per cost."""
+def shipment_sums(transfer_header: DataFrame, transfer_detail: DataFrame, keys: CodeKeys) -> DataFrame:
+    """Store-shipment quantity summed per padded item code."""
     d = transfer_detail.select("TransferID", F.col("ItemCode").alias("Code20"), "Qty").join(
-        w.keys20(), "Code20", "left_semi"
+        keys.keys20(), "Code20", "left_semi"
     )
-    agg = d.join(transfer_header.select("TransferID"), "TransferID").groupBy("Code20").agg(F.sum("Qty").alias("_q"))
+    return d.join(transfer_header.select("TransferID"), "TransferID").groupBy("Code20").agg(F.sum("Qty").alias("_q"))
+
+
+def store_shipments_by_item(
+    transfer_header: DataFrame, transfer_detail: DataFrame, w: ItemWeights, sums: DataFrame | None = None
+) -> DataFrame:
+    """Shipped quantity (int) and cost-valued amount per (item, cost);
+    distinct output rows, so one item may have a row per cost."""
+    agg = sums if sums is not None else shipment_sums(transfer_header, transfer_detail, w.keys)
     j = agg.join(w.per_code_cost(), "Code20")
     q = F.col("_q") * F.col("n")
     return j.select(
@@ -55,9 +62,10 @@ def retail_stores(locations: DataFrame) -> DataFrame:
     ).select("LocationID")
 
 
-def retail_sales_by_item(sales: DataFrame, locations: DataFrame, w: ItemWeights) -> DataFrame:
-    """Register sales at retail stores: net quantity (returns negative;
-    a NULL flag counts as a sale), amount, average amount, markdown count."""
+def sales_sums(sales: DataFrame, locations: DataFrame, keys: CodeKeys) -> DataFrame:
+    """Register sales at retail stores summed per padded item code: net
+    quantity (a NULL return flag counts as a sale), amount, amount count,
+    markdown count."""
     s = (
         sales.filter(F.col("XactionType") == SALE_TYPE)
         .select(
@@ -69,19 +77,25 @@ def retail_sales_by_item(sales: DataFrame, locations: DataFrame, w: ItemWeights)
             "unitprice",
             "registerprice",
         )
-        .join(w.keys20(), "Code20", "left_semi")
+        .join(keys.keys20(), "Code20", "left_semi")
         .join(bounded_broadcast(retail_stores(locations)), "LocationID")
     )
     signed = F.when(F.col("isreturn") == RETURN_FLAG, -F.col("quantity")).otherwise(F.col("quantity"))
     marked = F.when(
         (F.col("unitprice") > F.col("registerprice")) & (F.col("isreturn") == NOT_RETURN_FLAG), 1
     ).otherwise(0)
-    agg = s.groupBy("Code20").agg(
+    return s.groupBy("Code20").agg(
         F.sum(signed).alias("_sq"),
         F.sum("ExtendedAmt").alias("_amt"),
         F.count("ExtendedAmt").alias("_cnt"),
         F.sum(marked).alias("_md"),
     )
+
+
+def retail_sales_by_item(sales: DataFrame, locations: DataFrame, w: ItemWeights, sums: DataFrame | None = None) -> DataFrame:
+    """Register sales at retail stores: net quantity, amount, average
+    amount, markdown count per item."""
+    agg = sums if sums is not None else sales_sums(sales, locations, w.keys)
     j = agg.join(w.per_code(), "Code20")
     n = F.col("n")
     return j.select(
@@ -108,14 +122,18 @@ def wholesale_orders(header: DataFrame) -> DataFrame:
     return header.filter(keep).select("SOPNUMBE")
 
 
-def _wholesale_feed(header: DataFrame, lines: DataFrame, w: ItemWeights) -> DataFrame:
+def wholesale_sums(header: DataFrame, lines: DataFrame, keys: CodeKeys) -> DataFrame:
+    """One wholesale feed (open or history) summed per item code."""
     d = lines.select("SOPNUMBE", F.col("ITEMNMBR").alias("ItemCode"), "QTYTOINV", "XTNDPRCE").join(
-        w.keys7(), "ItemCode", "left_semi"
+        keys.keys7(), "ItemCode", "left_semi"
     )
-    agg = d.join(wholesale_orders(header), "SOPNUMBE").groupBy("ItemCode").agg(
+    return d.join(wholesale_orders(header), "SOPNUMBE").groupBy("ItemCode").agg(
         F.sum("QTYTOINV").alias("_q"), F.sum("XTNDPRCE").alias("_a")
     )
-    j = agg.join(w.per_code(), "ItemCode")
+
+
+def _scale_wholesale(sums: DataFrame, w: ItemWeights) -> DataFrame:
+    j = sums.join(w.per_code(), "ItemCode")
     q = (F.col("_q") * F.col("n")).cast(QTY)
     a = (F.col("_a") * F.col("n")).cast(QTY)
     return j.select(
@@ -132,10 +150,12 @@ def wholesale_sales_by_item(
     hist_header: DataFrame,
     hist_lines: DataFrame,
     w: ItemWeights,
+    sums: tuple[DataFrame, DataFrame] | None = None,
 ) -> DataFrame:
     """Per item and feed (open, history): quantity, amount and average
     price (0 when the quantity sums to 0); the feeds are set-unioned."""
-    return _wholesale_feed(open_header, open_lines, w).unionByName(_wholesale_feed(hist_header, hist_lines, w)).distinct()
+    o, h = sums or (wholesale_sums(open_header, open_lines, w.keys), wholesale_sums(hist_header, hist_lines, w.keys))
+    return _scale_wholesale(o, w).unionByName(_scale_wholesale(h, w)).distinct()
 
 
 def consolidate_wholesale(feeds: DataFrame) -> DataFrame:

@@ -23,6 +23,30 @@ from tillroll.plans.strategy import fits_broadcast
 FANOUTS = ("reference", "unique")
 
 
+@dataclass
+class CodeKeys:
+    """Short and padded item codes a fact table is cut to."""
+
+    short: DataFrame  # ItemCode (7)
+    small: bool  # within the broadcast bound
+
+    def _b(self, df: DataFrame) -> DataFrame:
+        return F.broadcast(df) if self.small else df
+
+    def keys7(self, name: str = "ItemCode") -> DataFrame:
+        return self._b(self.short.select(F.col("ItemCode").alias(name)))
+
+    def keys20(self, name: str = "Code20") -> DataFrame:
+        return self._b(self.short.select(key20(F.col("ItemCode")).alias(name)).distinct())
+
+
+def code_keys(short_codes: DataFrame, rows: int | None = None) -> CodeKeys:
+    """Keys from a DataFrame with a short ``ItemCode`` column; ``rows``
+    bounds its size when known."""
+    short = short_codes.select("ItemCode").distinct()
+    return CodeKeys(short, fits_broadcast(short, rows))
+
+
 @dataclass
 class ItemWeights:
     by_code: DataFrame  # ItemCode, Code20, n, max_cost
@@ -32,11 +56,15 @@ class ItemWeights:
     def _b(self, df: DataFrame) -> DataFrame:
         return F.broadcast(df) if self.small else df
 
+    @property
+    def keys(self) -> CodeKeys:
+        return CodeKeys(self.by_code.select("ItemCode"), self.small)
+
     def keys7(self, name: str = "ItemCode") -> DataFrame:
-        return self._b(self.by_code.select(F.col("ItemCode").alias(name)))
+        return self.keys.keys7(name)
 
     def keys20(self, name: str = "Code20") -> DataFrame:
-        return self._b(self.by_code.select(F.col("Code20").alias(name)).distinct())
+        return self.keys.keys20(name)
 
     def per_code(self) -> DataFrame:
         return self._b(self.by_code)

@@ -8,15 +8,19 @@ per item code, then left-join the measures to the items.
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tillroll.functions import key7
 
 from tillroll.operators import receipts as R
 from tillroll.operators import sales as SA
 from tillroll.operators.items import ItemStages, build_items
 from tillroll.operators.profit import REPORT_COLUMNS, profit_rows
-from tillroll.operators.weights import item_weights
+from tillroll.operators.weights import code_keys, item_weights
 from tillroll.plans.stages import checkpointed
 from tillroll.sources.tables import Tables
 
@@ -27,28 +31,67 @@ class ProfitRun:
     each measure is planned on first access, so a query that needs one
     measure does not plan the others."""
 
-    def __init__(self, tables: Tables, as_of, fanout: str, money_mode: str, reuse: bool):
+    def __init__(self, tables: Tables, as_of, fanout: str, money_mode: str, reuse: bool, overlap: bool = True):
         self._t = tables
         self.as_of = as_of
         self.money_mode = money_mode
+        self._sums: dict[str, DataFrame] | None = None
         stage = checkpointed if reuse else None
-        st = build_items(tables, as_of, stage)
-        items, rows = checkpointed(st.items) if reuse else (st.items, None)
-        st.items = items
-        self.items: ItemStages = st
-        self.items_rows = rows
-        self.weights = item_weights(items, fanout, rows)
+        overlap = overlap and reuse
+        futures = {}
+        pool = ThreadPoolExecutor(max_workers=4) if overlap else None
+
+        def start_fact_sums(candidates: DataFrame, bound: int | None) -> None:
+            # Fact roll-ups need only the codes that can become items: sum
+            # every feed per candidate code now, in background jobs, while
+            # the item steps go on.  The multiplicity join later keeps only
+            # real item codes, so the result is the same.
+            keys = code_keys(candidates.select(key7(F.col("MasterCode")).alias("ItemCode")), bound)
+            t = tables
+            makers = {
+                "rc": lambda: R.receipt_sums(t["receipt_header"], t["receipt_detail"], keys),
+                "ra": lambda: R.receipt_sums(t["ar_receipt_header"], t["ar_receipt_detail"], keys),
+                "legacy": lambda: R.legacy_sums(t["pop_receipt_header"], t["pop_receipt_line"], keys),
+                "ship": lambda: SA.shipment_sums(t["transfer_header"], t["transfer_detail"], keys),
+                "sales": lambda: SA.sales_sums(t["sales_item_history"], t["locations"], keys),
+                "wo": lambda: SA.wholesale_sums(t["sop_open_header"], t["sop_open_line"], keys),
+                "wh": lambda: SA.wholesale_sums(t["sop_hist_header"], t["sop_hist_line"], keys),
+            }
+            for name, make in makers.items():
+                futures[name] = pool.submit(lambda make=make: checkpointed(make())[0])
+
+        try:
+            st = build_items(tables, as_of, stage, start_fact_sums if overlap else None)
+            items, rows = checkpointed(st.items) if reuse else (st.items, None)
+            st.items = items
+            self.items: ItemStages = st
+            self.items_rows = rows
+            self.weights = item_weights(items, fanout, rows)
+            if overlap:
+                self._sums = {name: f.result() for name, f in futures.items()}
+        finally:
+            if pool is not None:
+                pool.shutdown(wait=True)
+
+    def _s(self, *names):
+        if self._sums is None:
+            return None
+        got = tuple(self._sums[n] for n in names)
+        return got if len(got) > 1 else got[0]
 
     @cached_property
     def receipts_feeds(self) -> DataFrame:  # M8
         t = self._t
         return R.receipts_by_item(
-            t["receipt_header"], t["receipt_detail"], t["ar_receipt_header"], t["ar_receipt_detail"], self.weights
+            t["receipt_header"], t["receipt_detail"], t["ar_receipt_header"], t["ar_receipt_detail"], self.weights,
+            self._s("rc", "ra"),
         )
 
     @cached_property
     def legacy_receipts(self) -> DataFrame:  # M9
-        return R.legacy_receipts_by_item(self._t["pop_receipt_header"], self._t["pop_receipt_line"], self.weights)
+        return R.legacy_receipts_by_item(
+            self._t["pop_receipt_header"], self._t["pop_receipt_line"], self.weights, sums=self._s("legacy")
+        )
 
     @cached_property
     def receipts(self) -> DataFrame:  # M10
@@ -56,17 +99,20 @@ class ProfitRun:
 
     @cached_property
     def store_ship(self) -> DataFrame:  # M11
-        return SA.store_shipments_by_item(self._t["transfer_header"], self._t["transfer_detail"], self.weights)
+        return SA.store_shipments_by_item(
+            self._t["transfer_header"], self._t["transfer_detail"], self.weights, self._s("ship")
+        )
 
     @cached_property
     def store_sales(self) -> DataFrame:  # M12
-        return SA.retail_sales_by_item(self._t["sales_item_history"], self._t["locations"], self.weights)
+        return SA.retail_sales_by_item(self._t["sales_item_history"], self._t["locations"], self.weights, self._s("sales"))
 
     @cached_property
     def wholesale_feeds(self) -> DataFrame:  # M13
         t = self._t
         return SA.wholesale_sales_by_item(
-            t["sop_open_header"], t["sop_open_line"], t["sop_hist_header"], t["sop_hist_line"], self.weights
+            t["sop_open_header"], t["sop_open_line"], t["sop_hist_header"], t["sop_hist_line"], self.weights,
+            self._s("wo", "wh"),
         )
 
     @cached_property
@@ -94,10 +140,13 @@ def run_profit(
     fanout: str = "reference",
     money_mode: str = "half_up",
     reuse: bool = True,
+    overlap: bool = True,
 ) -> ProfitRun:
-    """Build the item set (materialised when ``reuse``) and return the run;
-    measures and the report are planned lazily from it."""
-    return ProfitRun(tables, as_of, fanout, money_mode, reuse)
+    """Build the item set (materialised when ``reuse``) and return the run.
+    With ``overlap`` the fact feeds are summed per candidate code in
+    background jobs while the item set is built; measures and the report are
+    planned lazily from the item set and those sums."""
+    return ProfitRun(tables, as_of, fanout, money_mode, reuse, overlap)
 
 
 def profit_by_title(tables: Tables, as_of, fanout: str = "reference", money_mode: str = "half_up", reuse: bool = True) -> DataFrame:

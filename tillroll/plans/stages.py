@@ -53,6 +53,6 @@ def checkpointed(df: DataFrame) -> tuple[DataFrame, int]:
     observed metric of the write itself, so it costs no extra job."""
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/tillroll-stages/{uuid.uuid4().hex}"
-    obs = Observation("stage_rows")
+    obs = Observation(f"stage_rows_{uuid.uuid4().hex}")  # unique: stages may run concurrently
     df.observe(obs, F.count(F.lit(1)).alias("rows")).write.parquet(path)
     return spark.read.parquet(path), int(obs.get["rows"])
