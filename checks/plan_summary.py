@@ -53,6 +53,25 @@ def summary(df) -> str:
     return "\n".join(lines)
 
 
+def fact_side(spark, sf_dir) -> dict:
+    """The per-code fact sums (run as background stage jobs in the job)."""
+    from checks.registry import AS_OF
+    from tillroll.operators import receipts as R
+    from tillroll.operators import sales as SA
+    from tillroll.plans.profit_job import run_profit
+    from tillroll.sources.standins import standin_tables
+
+    t = standin_tables(spark, sf_dir)
+    keys = run_profit(t, AS_OF, overlap=False).weights.keys
+    return {
+        "fact side: receipt_sums (current receipts)": R.receipt_sums(t["receipt_header"], t["receipt_detail"], keys),
+        "fact side: legacy_sums": R.legacy_sums(t["pop_receipt_header"], t["pop_receipt_line"], keys),
+        "fact side: shipment_sums": SA.shipment_sums(t["transfer_header"], t["transfer_detail"], keys),
+        "fact side: sales_sums": SA.sales_sums(t["sales_item_history"], t["locations"], keys),
+        "fact side: wholesale_sums (open)": SA.wholesale_sums(t["sop_open_header"], t["sop_open_line"], keys),
+    }
+
+
 def main(argv):
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
     spark = build_session("local[8]")
@@ -63,6 +82,11 @@ def main(argv):
         print(f"## {name}\n")
         print(summary(REGISTRY[name][0](spark, sf_dir)))
         print()
+    if not argv[1:]:
+        for name, df in fact_side(spark, sf_dir).items():
+            print(f"## {name}\n")
+            print(summary(df))
+            print()
 
 
 if __name__ == "__main__":
