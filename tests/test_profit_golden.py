@@ -243,3 +243,29 @@ def test_audits(run):
     assert [(r.reorderable_rows, r.family_rows) for r in fan] == [(2, 6)]
     traced = A.item_trace(run.report, ["1000005"]).collect()
     assert [r.ItemCode for r in traced] == ["1000005"]
+
+
+def _rows(df):
+    from collections import Counter
+
+    return Counter(tuple(r) for r in df.collect())
+
+
+def test_overlapped_fact_sums_equal_the_plain_path(spark, run):
+    plain = PJ.run_profit(make_tables(spark, **ROWS), AS_OF, overlap=False)
+    assert run._sums is not None and plain._sums is None
+    assert _rows(run.report) == _rows(plain.report)
+
+
+def test_money_mode_switch_reaches_the_percent_text(spark):
+    rows = dict(ROWS)
+    # price 3, one wholesale sale of 3 units for 3.00 -> average 1.0000;
+    # discount ratio (3 - 1) / 3 = 0.66666...: HALF_UP 0.6667, cut 0.6666.
+    rows["product_master"] = [pm("1000001", "One", 1, 3, "TTB", "Y")]
+    rows["product_master_dist"] = [(pad20("1000001"), pad20("1000001"), "U1")]
+    rows["sop_open_line"] = [("S1", "1000001", D(3), D(3))]
+    rows["sop_hist_line"] = []
+    half = PJ.run_profit(make_tables(spark, **rows), AS_OF, reuse=False).report.first()
+    cut = PJ.run_profit(make_tables(spark, **rows), AS_OF, money_mode="truncate", reuse=False).report.first()
+    assert half.TTBAvgDiscPct == "66.67 %"
+    assert cut.TTBAvgDiscPct == "66.66 %"
