@@ -229,7 +229,7 @@ def test_report_rules(run):
 
 
 def test_unique_fanout_counts_each_code_once(spark, run):
-    uniq = PJ.run_profit(make_tables(spark, **ROWS), AS_OF, fanout="unique", reuse=False)
+    uniq = PJ.run_profit(make_tables(spark, **ROWS), AS_OF, fanout="unique")
     ws = {r.ITEMNMBR: r for r in uniq.wholesale.collect()}
     assert ws["1000001"].TTBSoldQty == Decimal("100.00000")  # 1 + 99 once
     ref = {r.ITEMNMBR: r for r in run.wholesale.collect()}
@@ -265,7 +265,7 @@ def test_money_mode_switch_reaches_the_percent_text(spark):
     rows["product_master_dist"] = [(pad20("1000001"), pad20("1000001"), "U1")]
     rows["sop_open_line"] = [("S1", "1000001", D(3), D(3))]
     rows["sop_hist_line"] = []
-    half = PJ.run_profit(make_tables(spark, **rows), AS_OF, reuse=False).report.first()
-    cut = PJ.run_profit(make_tables(spark, **rows), AS_OF, money_mode="truncate", reuse=False).report.first()
+    half = PJ.run_profit(make_tables(spark, **rows), AS_OF).report.first()
+    cut = PJ.run_profit(make_tables(spark, **rows), AS_OF, money_mode="truncate").report.first()
     assert half.TTBAvgDiscPct == "66.67 %"
     assert cut.TTBAvgDiscPct == "66.66 %"
