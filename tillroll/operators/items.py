@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from tillroll.functions import key7, key20, pick_isbn
 from tillroll.operators.params import one_year_before, ts_literal
 from tillroll.plans.strategy import bounded_broadcast
+from tillroll.fixed import ALIAS_PREFIX, REORDERABLE, TTB_LINE
 
 ITEM_COLS = [
     "Title", "ItemCode", "ReportItemCode", "ISBN", "Cost", "Price", "MSRP",
@@ -26,8 +27,6 @@ ITEM_COLS = [
 ]
 WEIGHT = "n"
 
-from tillroll.fixed import ALIAS_PREFIX, REORDERABLE, TTB_LINE  # noqa: E402
-
 
 def _ttb(pm: DataFrame) -> DataFrame:
     return pm.filter(F.col("UserChar15") == TTB_LINE)

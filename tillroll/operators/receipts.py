@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from tillroll.functions import money, to_int
 from tillroll.operators.params import ts_literal
 from tillroll.operators.weights import CodeKeys, ItemWeights, int_times
+from tillroll.fixed import POP_CUTOFF, POP_RECEIPT_TYPE
 
-from tillroll.fixed import POP_CUTOFF, POP_RECEIPT_TYPE  # noqa: E402
 
 RECEIPT_COLS = ["ItemCode", "RcvdDate", "RcvdQty", "RcvdAmt"]
 
