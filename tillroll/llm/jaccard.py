@@ -31,8 +31,10 @@ from tillroll.llm.components import components
 from tillroll.llm.tables import Stages, buckets, plain
 
 _U = np.uint64
-SKETCH_BITS = 18
-SLICES = 16
+#: Counters of the frequency estimate: about one for every 50 shingles tells rare from frequent ones well.
+SKETCH_BITS = 22
+SLICES = 64
+MOST = np.iinfo(np.uint16).max
 FRAGMENTS = 8
 #: Pairs that one step of the numpy loop tests at most.
 STEP = 1 << 20
@@ -54,9 +56,9 @@ class Order:
     """The global order of n-grams: estimated count first, then name; and its fragments."""
 
     def __init__(self, counts: np.ndarray, fragments: int):
-        self.counts = np.minimum(counts, (1 << 24) - 1).astype(_U)
-        levels, times = np.unique(self.counts[self.counts > 0], return_counts=True)
-        mass = np.cumsum(levels * times.astype(_U)).astype(float)
+        self.counts = counts
+        levels, times = np.unique(counts[counts > 0], return_counts=True)
+        mass = np.cumsum(levels.astype(float) * times)
         cuts = []
         for k in range(1, fragments) if len(levels) else ():
             goal = mass[-1] * k / fragments
@@ -67,7 +69,7 @@ class Order:
         self.cuts = np.array(cuts, dtype=_U)
 
     def rank(self, names: np.ndarray) -> np.ndarray:
-        return (self.counts[names % _U(len(self.counts))] << _U(40)) | (names >> _U(24))
+        return (self.counts[names % _U(len(self.counts))].astype(_U) << _U(40)) | (names >> _U(24))
 
     def fragment(self, ranks: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.cuts, ranks, side="right")
@@ -103,9 +105,10 @@ def jaccard_components(
                 [piece.column("doc_id"), piece.column("row"), pa.array(sizes), pa.array(node), *none],
                 names=["doc_id", "row", "n", "node", "slice", "counts"],
             )
-        full = [k for k, part in enumerate(np.split(counts, SLICES)) if part.any()]
+        parts = np.split(np.minimum(counts, MOST).astype(np.uint16), SLICES)
+        full = [k for k, part in enumerate(parts) if part.any()]
         none = pa.nulls(len(full), pa.int64())
-        blobs = [np.split(counts, SLICES)[k].tobytes() for k in full]
+        blobs = [parts[k].tobytes() for k in full]
         yield pa.RecordBatch.from_arrays(
             [none, none, none, none, pa.array(full, pa.int32()), pa.array(blobs, pa.binary())],
             names=["doc_id", "row", "n", "node", "slice", "counts"],
@@ -120,16 +123,17 @@ def jaccard_components(
         total = 0
         for part in parts:
             for blob in part.column("counts").to_pylist():
-                total = total + np.frombuffer(blob, dtype=np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([total.tobytes()])], names=["slice", "counts"])
+                total = total + np.frombuffer(blob, dtype=np.uint16).astype(np.int64)
+        held = np.minimum(total, MOST).astype(np.uint16).tobytes()
+        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([held])], names=["slice", "counts"])
 
-    counts = np.zeros((SLICES, (1 << sketch_bits) // SLICES), dtype=np.int64)
+    counts = np.zeros((SLICES, (1 << sketch_bits) // SLICES), dtype=np.uint16)
     for x in described.where(F.col("slice").isNotNull()).select("slice", "counts").groupBy("slice").applyInArrow(summed, "slice int, counts binary").collect():
-        counts[x["slice"]] = np.frombuffer(x["counts"], dtype=np.int64)  # SLICES rows of a fixed size
-    order = Order(counts.ravel(), fragments)
+        counts[x["slice"]] = np.frombuffer(x["counts"], dtype=np.uint16)  # SLICES rows of a fixed size
+    shared = spark.sparkContext.broadcast(Order(counts.ravel(), fragments))  # 2 bytes for each counter
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out = packed.Packer(count, ("name", "node", "n"))
+        out, order = packed.Packer(count, ("name", "node", "n")), shared.value
         for piece in W.pieces(batches):
             owner, names, sizes, node = sets_of(piece.column("text"), width)
             _, first = np.unique(node, return_index=True)
@@ -150,10 +154,10 @@ def jaccard_components(
         new = np.ones(len(name), dtype=bool)
         new[1:] = (name[1:] != name[:-1]) | (node[1:] != node[:-1])
         name, node, n = name[new], node[new], n[new]
-        shared = np.zeros(len(name), dtype=bool)
-        shared[1:] = name[1:] == name[:-1]
-        shared[:-1] |= shared[1:]
-        name, node, n = name[shared], node[shared], n[shared]
+        twin = np.zeros(len(name), dtype=bool)
+        twin[1:] = name[1:] == name[:-1]
+        twin[:-1] |= twin[1:]
+        name, node, n = name[twin], node[twin], n[twin]
         # within a list, sets of one size class are near enough in size; the least node of the class is its hub
         size = np.floor(np.log(np.maximum(n, 1)) / np.log(100 / percent)).astype(np.int64)
         by = np.lexsort((node, size, name))
@@ -174,6 +178,7 @@ def jaccard_components(
     chosen = members.join(star.select("node"), "node", "left_semi").groupBy("node").agg(F.min("row").alias("row"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        order = shared.value
         for piece in W.pieces(batches):
             owner, names, _, node = sets_of(piece.column("text"), width)
             part = order.fragment(order.rank(names))

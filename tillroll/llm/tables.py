@@ -39,11 +39,17 @@ class Stages:
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.root}/{name}"
-        df.write.parquet(path)
+        df.write.option("compression", "zstd").parquet(path)
+        self._release()
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def _release(self) -> None:
+        """Spark deletes shuffle files once the driver has collected the queries they belong to; the last one may stay."""
+        gc.collect()
+        self.spark.sparkContext._jvm.System.gc()
+
     def drop(self, *names: str) -> None:
-        """Delete the named tables (all without names), and let Spark drop shuffle files nobody refers to."""
+        """Delete the named tables (all without names)."""
         if self.spark.sparkContext._jsc is None:
             return
         jvm = self.spark.sparkContext._jvm
@@ -53,9 +59,6 @@ class Stages:
                 path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
         except (ConnectionError, OSError):
             return  # the session has ended
-        if names:
-            gc.collect()
-            jvm.System.gc()
 
 
 def plain(df: DataFrame, **columns: str) -> DataFrame:
