@@ -99,7 +99,7 @@ def _before(model: Automaton, state: np.ndarray, opens: np.ndarray, level: int)
 def train(docs: DataFrame, stages: Stages, order: int = ORDER, keep_bits: int = KEEP_BITS, discount: float = DISCOUNT) -> Automaton:
     """The automaton of the rows of docs (text)."""
     spark = docs.sparkSession
-    count = buckets(spark, 1)
+    count = buckets(spark)
 
     def added(table: pa.Table) -> pa.Table:
         key, n = packed.unpack(table, "key", _U), packed.unpack(table, "n", np.uint32)
@@ -179,7 +179,7 @@ def score_documents(docs: DataFrame, learn: str = "true", order: int = ORDER, ke
     training rows every token is unseen.  Other columns are not read.
     """
     spark = docs.sparkSession
-    stages, count = Stages(spark, "lm"), buckets(spark, 1)
+    stages, count = Stages(spark, "lm"), buckets(spark)
     docs = plain(docs, doc_id="long", text="string")
     docs = docs.withColumn("learn", F.coalesce(F.expr(learn), F.lit(False))).withColumn("row", F.xxhash64("doc_id", "text"))
     model = train(docs.where("learn").select("text"), stages, order, keep_bits, discount)

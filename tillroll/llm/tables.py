@@ -66,6 +66,6 @@ def plain(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*[F.col(f"`{name}`").cast(kind).alias(name) for name, kind in columns.items()])
 
 
-def buckets(spark: SparkSession, times: int = 4) -> int:
-    """Hash buckets for packed exchanges: a few for each shuffle partition, so that they grow with the cluster's setting."""
-    return times * int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+def buckets(spark: SparkSession) -> int:
+    """Hash buckets for packed exchanges: as many as shuffle partitions, so that they grow with the cluster's setting."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
