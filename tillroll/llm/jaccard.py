@@ -6,14 +6,15 @@ name.  The order is cut into fragments.  Where a pair of texts is to be judged,
 each fragment counts the pair's overlap within it, apart from the others, and
 the counts are summed by pair: the exact intersection.
 
-Which pairs are judged: two linked sets share one of the rarest n-grams of
-both (prefix filter) and have near sizes (length filter), so the postings of
-these n-grams hold every link.  A posting list is never expanded into its
-pairs.  First each text is judged against one hub of its lists; that joins
-the groups of copies.  Then only pairs of the same list that lie in different
-components remain, less those that the distances to a common hub rule out
-(Jaccard distance is a metric).  What is left is judged in full, so no link
-between components is lost.  Equal sets are one node from the start.
+Which pairs are judged: two linked sets share some (``SHARED``) of the rarest
+n-grams of both (prefix filter) and have near sizes (length filter), so the
+postings of these n-grams hold every link.  A posting list is never expanded
+into its pairs.  First each text is judged against one hub, that of most of
+its lists; this joins the groups of copies.  Then only pairs of the same lists
+that lie in different components remain, less those that the distances to a
+common hub rule out (Jaccard distance is a metric).  What is left is judged in
+full, so no link between components is lost.  Equal sets are one node from the
+start.
 """
 
 from __future__ import annotations
@@ -36,6 +37,8 @@ SKETCH_BITS = 22
 SLICES = 64
 MOST = np.iinfo(np.uint16).max
 FRAGMENTS = 8
+#: Of their rarest n-grams, linked sets share so many (or their whole overlap, if that is less).
+SHARED = 4
 #: Pairs that one step of the numpy loop tests at most.
 STEP = 1 << 20
 
@@ -142,7 +145,7 @@ def jaccard_components(
             by = np.lexsort((order.rank(names), owner))
             place = np.arange(len(names)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
             # any link has at least percent of the own set in common
-            prefix = np.minimum(sizes, sizes - -(-percent * sizes // 100) + 1)
+            prefix = np.minimum(sizes, sizes - -(-percent * sizes // 100) + SHARED)
             use = by[(place < prefix[owner]) & once[owner]]
             yield from out.add((W.mix(names[use]) % _U(count)).astype(np.int64), names[use], node[owner[use]], sizes[owner[use]].astype(np.int32))
         yield from out.flush()
@@ -171,11 +174,9 @@ def jaccard_components(
         docs.mapInArrow(post, packed.schema(("name", "node", "n"))).groupBy("bucket").applyInArrow(lists, "name long, node long, n int, hub long"),
         "posted",
     )
-    star = posted.groupBy("node").agg(F.min("hub").alias("hub"), F.first("n").alias("n"))
-    star = stages.write(star, "star")
-
-    # the sets of the nodes that stand in some list, cut into fragments
-    chosen = members.join(star.select("node"), "node", "left_semi").groupBy("node").agg(F.min("row").alias("row"))
+    star = posted.where("node <> hub").groupBy("node", "hub").agg(F.count(F.lit(1)).alias("lists"), F.first("n").alias("n"))
+    star = star.where("lists > 1").groupBy("node").agg(F.max(F.struct("lists", "hub")).alias("best"), F.first("n").alias("n"))
+    star = stages.write(star.select("node", "best.hub", "n"), "star")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order = shared.value
@@ -192,13 +193,12 @@ def jaccard_components(
                 names=["node", "part", "names"],
             )
 
-    sets = stages.write(
-        docs.join(chosen.select("row"), "row").select("text").mapInArrow(cut, "node long, part int, names array<long>"),
-        "sets",
-    )
-
-    def overlaps(pairs: DataFrame) -> DataFrame:
+    def overlaps(pairs: DataFrame, name: str) -> DataFrame:
         """pairs (a, b, na, nb) with the size of their intersection: partial counts by fragment, summed."""
+        ends = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+        rows = members.join(ends, "node", "left_semi").groupBy("node").agg(F.min("row").alias("row"))
+        sets = docs.join(rows.select("row"), "row").select("text").mapInArrow(cut, "node long, part int, names array<long>")
+        sets = stages.write(sets, f"{name}-sets")
         left = sets.select(F.col("node").alias("a"), "part", F.col("names").alias("x"))
         right = sets.select(F.col("node").alias("b"), "part", F.col("names").alias("y"))
         partial = (
@@ -206,20 +206,24 @@ def jaccard_components(
             .select("a", "b", "na", "nb", "part", F.size(F.array_intersect("x", "y")).cast("long").alias("k"))
         )
         # equal rows of docs give a fragment twice: one count each
-        return partial.distinct().groupBy("a", "b", "na", "nb").agg(F.sum("k").alias("k"))
+        judged = stages.write(partial.distinct().groupBy("a", "b", "na", "nb").agg(F.sum("k").alias("k")), name)
+        stages.drop(f"{name}-sets")
+        return judged
 
     linked = F.expr(f"100 * k >= {percent} * (na + nb - k)")
-    pairs = star.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b"), F.col("n").alias("nb"))
-    pairs = pairs.join(star.select(F.col("node").alias("a"), F.col("n").alias("na")), "a")
-    judged = stages.write(overlaps(pairs), "judged")
+    sizes_of = posted.groupBy(F.col("node").alias("a")).agg(F.first("n").alias("na"))
+    pairs = star.select(F.col("hub").alias("a"), F.col("node").alias("b"), F.col("n").alias("nb")).join(sizes_of, "a")
+    judged = overlaps(stages.write(pairs, "pairs"), "judged")
     first = components(judged.where(linked), stages, "first")
 
     # what is known of each node: its component, its hub, its distance to the hub
+    far = judged.select(F.col("a").alias("hub"), F.col("b").alias("node"), F.expr("1 - k / (na + nb - k)").alias("far"))
     known = (
-        star.select("node", "hub")
+        posted.join(star.select("node", F.col("hub").alias("best")), "node", "left")
+        .select("name", "node", "n", F.coalesce("best", "node").alias("hub"))
         .join(first, "node", "left")
-        .join(judged.select(F.col("a").alias("hub"), F.col("b").alias("node"), F.expr("1 - k / (na + nb - k)").alias("far")), ["node", "hub"], "left")
-        .select("node", F.coalesce("root", "node").alias("root"), "hub", F.expr("if(node = hub, 0D, coalesce(far, 1D))").alias("far"))
+        .join(far, ["node", "hub"], "left")
+        .select("name", "node", "n", F.coalesce("root", "node").alias("root"), "hub", F.expr("if(node = hub, 0D, coalesce(far, 1D))").alias("far"))
     )
 
     def across(table: pa.Table) -> pa.Table:
@@ -230,7 +234,7 @@ def jaccard_components(
         ends = np.append(at[1:], len(name))
         low, high = np.minimum.reduceat(root, at) if len(at) else at, np.maximum.reduceat(root, at) if len(at) else at
         mixed = low != high
-        got = [np.zeros((0, 4), dtype=np.int64)]
+        got = [(np.zeros((0, 4), dtype=np.int64), np.zeros(0, dtype=np.int64))]
         end_of = np.repeat(ends, ends - at)
         # partners stand behind, in the list, up to the largest size allowed
         pos = np.flatnonzero(np.repeat(mixed, ends - at))
@@ -248,19 +252,20 @@ def jaccard_components(
             x, y = x[use], y[use]
             swap = node[x] > node[y]
             x, y = np.where(swap, y, x), np.where(swap, x, y)
-            got.append(np.unique(np.stack([node[x], node[y], n[x], n[y]], axis=1), axis=0))
-        rows = np.unique(np.concatenate(got), axis=0)
-        return pa.table({c: pa.array(rows[:, k]) for k, c in enumerate(("a", "b", "na", "nb"))})
+            got.append(np.unique(np.stack([node[x], node[y], n[x], n[y]], axis=1), axis=0, return_counts=True))
+        rows, lists = (np.concatenate(x) for x in zip(*got, strict=True))
+        return pa.table({c: pa.array(rows[:, k]) for k, c in enumerate(("a", "b", "na", "nb"))} | {"lists": lists})
 
     rest = (
-        posted.select("name", "node", "n").join(known, "node")
-        .withColumn("bucket", F.pmod(F.xxhash64("name"), F.lit(count)))
+        known.withColumn("bucket", F.pmod(F.xxhash64("name"), F.lit(count)))
         .groupBy("bucket")
-        .applyInArrow(across, "a long, b long, na long, nb long")
-        .distinct()
-    )
-    rest = stages.write(rest, "rest")
-    more = stages.write(overlaps(rest), "more").where(linked)
+        .applyInArrow(across, "a long, b long, na long, nb long, lists long")
+        .groupBy("a", "b", "na", "nb")
+        .agg(F.sum("lists").alias("lists"))
+        .where(f"lists >= least({SHARED}, ceil({percent} * (na + nb) / {100 + percent}))")
+        .drop("lists")
+    )
+    more = overlaps(stages.write(rest, "rest"), "more").where(linked)
     links = judged.where(linked).select("a", "b").union(more.select("a", "b"))
     found = components(links, stages, "all")
     ends = links.select(F.col("a").alias("node")).union(links.select(F.col("b").alias("node")))
@@ -272,7 +277,7 @@ def jaccard_components(
     )
     least = classes.groupBy("root").agg(F.min("class_id").alias("component_id"))
     classes = stages.write(classes.join(least, "root").select("node", "class_id", "component_id", "n_links"), "classes")
-    stages.drop("posted", "sets", "judged", "rest", "more")
+    stages.drop("posted", "star", "pairs", "judged", "rest", "more")
     alone = F.col("n") == 0
     return members.join(classes, "node").select(
         "doc_id",
