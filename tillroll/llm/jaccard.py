@@ -139,15 +139,18 @@ def jaccard_components(
         out, order = packed.Packer(count, ("name", "node", "n")), shared.value
         for piece in W.pieces(batches):
             owner, names, sizes, node = sets_of(piece.column("text"), width)
-            _, first = np.unique(node, return_index=True)
             once = np.zeros(len(node), dtype=bool)
-            once[first] = True
+            once[np.unique(node, return_index=True)[1]] = True
             by = np.lexsort((order.rank(names), owner))
             place = np.arange(len(names)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
             # any link has at least percent of the own set in common
             prefix = np.minimum(sizes, sizes - -(-percent * sizes // 100) + SHARED)
-            use = by[(place < prefix[owner]) & once[owner]]
-            yield from out.add((W.mix(names[use]) % _U(count)).astype(np.int64), names[use], node[owner[use]], sizes[owner[use]].astype(np.int32))
+            first = (place < prefix[owner]) & once[owner]
+            use = by[first]
+            # a partner that is no smaller leaves less of the own set unshared: the last bit marks that shorter prefix
+            early = sizes - -(-2 * percent * sizes // (100 + percent)) + SHARED
+            marked = 2 * sizes[owner[use]] + (place[first] < early[owner[use]])
+            yield from out.add((W.mix(names[use]) % _U(count)).astype(np.int64), names[use], node[owner[use]], marked.astype(np.int32))
         yield from out.flush()
 
     def lists(table: pa.Table) -> pa.Table:
@@ -161,17 +164,18 @@ def jaccard_components(
         twin[1:] = name[1:] == name[:-1]
         twin[:-1] |= twin[1:]
         name, node, n = name[twin], node[twin], n[twin]
+        early, n = (n & 1).astype(bool), n >> 1
         # within a list, sets of one size class are near enough in size; the least node of the class is its hub
         size = np.floor(np.log(np.maximum(n, 1)) / np.log(100 / percent)).astype(np.int64)
         by = np.lexsort((node, size, name))
-        name, node, n, size = name[by], node[by], n[by], size[by]
+        name, node, n, size, early = name[by], node[by], n[by], size[by], early[by]
         opens = np.ones(len(name), dtype=bool)
         opens[1:] = (name[1:] != name[:-1]) | (size[1:] != size[:-1])
         hub = node[np.flatnonzero(opens)][np.cumsum(opens) - 1] if len(node) else node
-        return pa.table({"name": name.view(np.int64), "node": node, "n": n, "hub": hub})
+        return pa.table({"name": name.view(np.int64), "node": node, "n": n, "early": early, "hub": hub})
 
     posted = stages.write(
-        docs.mapInArrow(post, packed.schema(("name", "node", "n"))).groupBy("bucket").applyInArrow(lists, "name long, node long, n int, hub long"),
+        docs.mapInArrow(post, packed.schema(("name", "node", "n"))).groupBy("bucket").applyInArrow(lists, "name long, node long, n int, early boolean, hub long"),
         "posted",
     )
     star = posted.where("node <> hub").groupBy("node", "hub").agg(F.count(F.lit(1)).alias("lists"), F.first("n").alias("n"))
@@ -220,15 +224,17 @@ def jaccard_components(
     far = judged.select(F.col("a").alias("hub"), F.col("b").alias("node"), F.expr("1 - k / (na + nb - k)").alias("far"))
     known = (
         posted.join(star.select("node", F.col("hub").alias("best")), "node", "left")
-        .select("name", "node", "n", F.coalesce("best", "node").alias("hub"))
+        .select("name", "node", "n", "early", F.coalesce("best", "node").alias("hub"))
         .join(first, "node", "left")
         .join(far, ["node", "hub"], "left")
-        .select("name", "node", "n", F.coalesce("root", "node").alias("root"), "hub", F.expr("if(node = hub, 0D, coalesce(far, 1D))").alias("far"))
+        .select("name", "node", "n", "early", F.coalesce("root", "node").alias("root"), "hub", F.expr("if(node = hub, 0D, coalesce(far, 1D))").alias("far"))
     )
 
     def across(table: pa.Table) -> pa.Table:
         name, node, n, root, hub, far = (table.column(c).to_numpy() for c in ("name", "node", "n", "root", "hub", "far"))
+        early = table.column("early").to_numpy()
         by = np.lexsort((node, n, name))
+        early = early[by]
         name, node, n, root, hub, far = name[by], node[by], n[by].astype(np.int64), root[by], hub[by], far[by]
         at = np.flatnonzero(np.append(True, name[1:] != name[:-1])) if len(name) else np.zeros(0, np.int64)
         ends = np.append(at[1:], len(name))
@@ -236,8 +242,8 @@ def jaccard_components(
         mixed = low != high
         got = [(np.zeros((0, 4), dtype=np.int64), np.zeros(0, dtype=np.int64))]
         end_of = np.repeat(ends, ends - at)
-        # partners stand behind, in the list, up to the largest size allowed
-        pos = np.flatnonzero(np.repeat(mixed, ends - at))
+        # partners stand behind, in the list, up to the largest size allowed; the smaller set has the n-gram early
+        pos = np.flatnonzero(np.repeat(mixed, ends - at) & early)
         reach = _reach(name, n, pos, end_of, percent)
         spans = np.maximum(reach - pos - 1, 0)
         cuts = np.searchsorted(np.cumsum(spans), np.arange(0, int(spans.sum()) + STEP, STEP)) if len(spans) else []
@@ -256,13 +262,17 @@ def jaccard_components(
         rows, lists = (np.concatenate(x) for x in zip(*got, strict=True))
         return pa.table({c: pa.array(rows[:, k]) for k, c in enumerate(("a", "b", "na", "nb"))} | {"lists": lists})
 
+    # what lies behind the prefixes can't make up for n-grams that these don't share
+    small, large = "least(na, nb)", "greatest(na, nb)"
+    behind_small = f"({small} - least({small}, {small} - ceil({2 * percent} * {small} / {100 + percent}) + {SHARED}))"
+    behind_large = f"({large} - least({large}, {large} - ceil({percent} * {large} / 100) + {SHARED}))"
     rest = (
         known.withColumn("bucket", F.pmod(F.xxhash64("name"), F.lit(count)))
         .groupBy("bucket")
         .applyInArrow(across, "a long, b long, na long, nb long, lists long")
         .groupBy("a", "b", "na", "nb")
         .agg(F.sum("lists").alias("lists"))
-        .where(f"lists >= least({SHARED}, ceil({percent} * (na + nb) / {100 + percent}))")
+        .where(f"lists >= ceil({percent} * (na + nb) / {100 + percent}) - greatest({behind_small}, {behind_large})")
         .drop("lists")
     )
     more = overlaps(stages.write(rest, "rest"), "more").where(linked)
