@@ -205,7 +205,7 @@ def score_documents(docs: DataFrame, learn: str = "true", order: int = ORDER, ke
                 state = _before(now, states[level], opens, level)
                 arc = now.next_states(level, state, word)
                 weight = np.append(now.weights[level], 0.0)[arc]
-                leave = np.where(state >= 0, now.failure[level][state], 1.0)
+                leave = np.append(now.failure[level], 1.0)[state]
                 p = weight + leave * p
             row = piece.column("row").to_numpy()
             learnt = piece.column("learn").to_numpy(zero_copy_only=False)

@@ -246,7 +246,7 @@ def jaccard_components(
         pos = np.flatnonzero(np.repeat(mixed, ends - at) & early)
         reach = _reach(name, n, pos, end_of, percent)
         spans = np.maximum(reach - pos - 1, 0)
-        cuts = np.searchsorted(np.cumsum(spans), np.arange(0, int(spans.sum()) + STEP, STEP)) if len(spans) else []
+        cuts = np.searchsorted(np.cumsum(spans), np.arange(0, int(spans.sum()) + STEP, STEP)) if len(spans) else [0]
         for i, j in zip(cuts, [*cuts[1:], len(pos)], strict=True):
             x = np.repeat(pos[i:j], spans[i:j])
             y = W.ranges(pos[i:j] + 1, spans[i:j])
