@@ -24,7 +24,7 @@ from tillroll.llm import words as W
 from tillroll.llm.tables import plain
 
 _U = np.uint64
-SAMPLE = 20_000
+SAMPLE = 6_000
 FEATURE_BITS = 20
 #: Besides the whole word, its first bytes are features: inflected forms share them.
 STEMS = (5, 6, 7, 8)
