@@ -79,8 +79,8 @@ def test_hot_item_code(spark, no_broadcast):
 
 def test_hot_shipment(spark, no_broadcast):
     heads = [("BIG", "W", "00001", T("2015-01-01 08:00:00")), ("S2", "W", "00001", T("2015-01-01 09:00:00"))]
-    lines = [("BIG", "W", "SUP" if i % 2 else "HPB", f"V{i % 9}") for i in range(4000)]
-    lines += [("S2", "W", "HPB", "V1")] * 10 + [(f"X{i}", "W", "HPB", "V1") for i in range(3000)]
+    lines = [("BIG", "W", "SUP" if i % 2 else "OWN", f"V{i % 9}") for i in range(4000)]
+    lines += [("S2", "W", "OWN", "V1")] * 10 + [(f"X{i}", "W", "OWN", "V1") for i in range(3000)]
     sr_h = [("BIG", "W", 1), ("BIG", "W", 2)]
     sr_d = [(1, Decimal(1))] * 3000 + [(2, Decimal(-1))] * 3000 + [(1, None)] * 10
     t = make_tables(

@@ -35,7 +35,7 @@ ship = st.tuples(
 def report_tables(draw):
     heads = draw(st.lists(ship, min_size=1, max_size=8, unique_by=lambda r: (r[0], r[1])))
     keys = [(h[0], h[1]) for h in heads] + [("S9", "W")]
-    line = st.tuples(st.sampled_from(keys), st.sampled_from(["SUP", "HPB", None]), st.sampled_from(["V1", "V2", "V3"]))
+    line = st.tuples(st.sampled_from(keys), st.sampled_from(["SUP", "OWN", None]), st.sampled_from(["V1", "V2", "V3"]))
     lines = [(k[0], k[1], c, v) for k, c, v in draw(st.lists(line, max_size=14))]
     vlines = [(k[0], k[1], v) for k, _, v in draw(st.lists(line, max_size=8))]
     batch = st.tuples(st.sampled_from(keys), st.integers(min_value=1, max_value=6))

@@ -41,10 +41,10 @@ def tables(spark):
         ("S10", "W", "00001", T("2014-12-31 15:00:00")),  # not received, earlier date
     ]
     lines = [
-        ("S1", "W", "HPB", "V9"), ("S2", "R", "HPB", "V1"), ("S3", "W", "HPB", "V9"),
-        ("S4", "W", "SUP", "V9"), ("S5", "W", "SUP", "V9"), ("S5", "W", "HPB", "V9"),
-        ("S6", "R", "HPB", "V1"), ("S6", "R", "HPB", "V2"), ("S7", "X", "HPB", "V9"),
-        ("S8", "W", None, "V9"), ("S9", "W", "HPB", "V9"), ("S10", "W", "HPB", "V9"),
+        ("S1", "W", "OWN", "V9"), ("S2", "R", "OWN", "V1"), ("S3", "W", "OWN", "V9"),
+        ("S4", "W", "SUP", "V9"), ("S5", "W", "SUP", "V9"), ("S5", "W", "OWN", "V9"),
+        ("S6", "R", "OWN", "V1"), ("S6", "R", "OWN", "V2"), ("S7", "X", "OWN", "V9"),
+        ("S8", "W", None, "V9"), ("S9", "W", "OWN", "V9"), ("S10", "W", "OWN", "V9"),
     ]
     vend_lines = [("S2", "R", "V1"), ("S6", "R", "V1"), ("S6", "R", "V2"), ("S5", "W", "V3")]
     sr_h = [("S1", "W", 1), ("S2", "R", 2), ("S2", "R", 3), ("S5", "W", 5), ("S9", "W", 9)]

@@ -154,28 +154,26 @@ def profit_by_title(tables: Tables, as_of, fanout: str = "reference", money_mode
     return run_profit(tables, as_of, fanout, money_mode, reuse).report
 
 
-_POINTER = "_latest"
-
-
 def refresh_report(report: DataFrame, base: str, version: str | None = None) -> str:
     """Full refresh of the stored report.
 
-    The reference truncates, then inserts, so a failure leaves the table
-    empty.  Here the rows go to a fresh version folder first; only after
-    that write commits does the one-line pointer move to it, so readers see
-    the old or the new report, never a partial one.  Returns the folder.
+    The rows go to a fresh version folder.  A version counts once its write
+    has committed (``_SUCCESS``), and readers take the newest such version, so
+    they see the old or the new report, never a partial one, and no second
+    step can fail in between.  Returns the folder.
     """
-    spark = report.sparkSession
     version = version or dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S%fZ")
     path = f"{base.rstrip('/')}/v={version}"
     report.select(*REPORT_COLUMNS).write.mode("errorifexists").parquet(path)
-    spark.createDataFrame([(path,)], "path string").coalesce(1).write.mode("overwrite").text(
-        f"{base.rstrip('/')}/{_POINTER}"
-    )
     return path
 
 
 def read_report(spark: SparkSession, base: str) -> DataFrame:
     """The stored report as of the last completed refresh."""
-    path = spark.read.text(f"{base.rstrip('/')}/{_POINTER}").first()[0]
-    return spark.read.parquet(path)
+    jvm = spark.sparkContext._jvm
+    done = jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/v=*/_SUCCESS")
+    found = done.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(done)
+    versions = sorted(x.getPath().getParent().toString() for x in found)
+    if not versions:
+        raise FileNotFoundError(f"no completed report version below {base}")
+    return spark.read.parquet(versions[-1])

@@ -39,15 +39,6 @@ def checkpoint_dir(spark: SparkSession) -> str:
     )
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` as a Parquet stage table under the checkpoint folder and
-    return a DataFrame reading it (lineage cut, computed once)."""
-    spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/tillroll-stages/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.parquet(path)
-
-
 def checkpointed(df: DataFrame) -> tuple[DataFrame, int]:
     """Materialise ``df`` and return it with its row count.  The count is an
     observed metric of the write itself, so it costs no extra job."""

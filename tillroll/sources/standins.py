@@ -235,7 +235,7 @@ FROM {{orders}}
 SELECT CAST(l_orderkey AS STRING) AS ShipmentNo,
        {_ship_type('l_orderkey')} AS ShipmentType,
        CASE WHEN l_suppkey % 10 = 0 THEN 'SUP' WHEN l_suppkey % 10 = 1 THEN NULL
-            ELSE 'HPB' END AS Company,
+            ELSE 'OWN' END AS Company,
        CAST(l_suppkey AS STRING) AS VendorID
 FROM {{lineitem}}
 """,
