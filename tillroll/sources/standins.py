@@ -4,9 +4,10 @@ relations of the two jobs (mapping in FIXTURES.md C).
 Each view is one SQL SELECT in the subset that Spark SQL and DuckDB both
 accept, so the Spark jobs and the DuckDB oracle read identical inputs and a
 check compares operators, not adapters.  The rules shape values -- NULLs,
-blanks, flags, codes, and items with no match in a feed -- and never sample:
-every row of a source table feeds the views built from it, so the views grow
-linearly with the driver data.  Real deployments read catalog tables instead
+blanks, flags, and codes or keys that match nothing -- and never rows: every
+view has one row for each row of its driver table (the header pairs split by
+date add up to it, ``locations`` holds both its tables), and it is the
+operators' own joins and filters that drop rows.  Real deployments read catalog tables instead
 (``tillroll.sources.load_tables``).
 
 Placeholders ``{lineitem}`` etc. name driver tables: Spark binds them to
@@ -36,6 +37,12 @@ def _short7(c: str) -> str:
     return _SHORT7.format(c=c)
 
 
+def _unless(rule: str, code: str, c: str) -> str:
+    """``code``, or a code outside every master where ``rule`` holds: a feed
+    then has no match for that item, though all of its rows are there."""
+    return f"CASE WHEN {rule} THEN 'X' || CAST({c} AS STRING) ELSE {code} END"
+
+
 def _ship_type(c: str) -> str:
     return _SHIP_TYPE.format(c=c)
 
@@ -58,19 +65,17 @@ WHERE CAST(o_orderdate AS DATE) {{cmp}} DATE '1999-01-01'
 
 _SOP_LINE = f"""
 SELECT 'S' || CAST(l_orderkey AS STRING) AS SOPNUMBE,
-       {_short7('l_partkey')} AS ITEMNMBR,
+       {_unless('l_partkey % 13 = 0', _short7('l_partkey'), 'l_partkey')} AS ITEMNMBR,
        CAST(CASE WHEN l_returnflag = 'R' THEN -l_quantity ELSE l_quantity END AS DECIMAL(19,5)) AS QTYTOINV,
        CAST(CASE WHEN l_returnflag = 'R' THEN -l_extendedprice ELSE l_extendedprice END AS DECIMAL(19,5)) AS XTNDPRCE
 FROM {{lineitem}}
-WHERE l_partkey % 13 <> 0
 """
 
 _RECEIPT_DETAIL = f"""
 SELECT l_orderkey AS RECEIPT_ID,
-       {_short7('l_partkey')} AS ITEM,
+       {_unless('l_partkey % 5 = 0', _short7('l_partkey'), 'l_partkey')} AS ITEM,
        CASE WHEN l_tax = 0 THEN NULL ELSE CAST(l_quantity AS DECIMAL(19,5)) END AS TOTAL_QTY
 FROM {{lineitem}}
-WHERE l_linestatus = 'O' AND l_partkey % 5 <> 0
 """
 
 STANDIN_SQL: dict[str, str] = {
@@ -107,11 +112,12 @@ SELECT lpad(CAST(l_orderkey AS STRING), 10, '0') AS PONumber,
        {_pad20('l_partkey')} AS ItemCode
 FROM {{lineitem}}
 """,
-    # T4: out-of-stock log from error events (item = user id, unpadded).
+    # T4: out-of-stock log, one entry per event (item = user id, unpadded);
+    # only error events are recent, the others lie three years back.
     "oos_item_log": """
-SELECT CAST(user_id AS STRING) AS Item, ts AS runtime
+SELECT CAST(user_id AS STRING) AS Item,
+       CASE WHEN event_type = 'error' THEN ts ELSE ts - INTERVAL '3' YEAR END AS runtime
 FROM {events}
-WHERE event_type = 'error'
 """,
     # T5: purchase-order headers; some buyers NULL.
     "order_header": """
@@ -131,7 +137,7 @@ SELECT o_orderkey AS RECEIPT_ID, o_orderdate AS RECEIPT_DATE
 FROM {orders}
 WHERE CAST(o_orderdate AS DATE) < DATE '1998-01-01'
 """,
-    # Receipt lines (open lines); the header join splits the two.
+    # Receipt lines; the header join splits the two.
     "receipt_detail": _RECEIPT_DETAIL,
     "ar_receipt_detail": _RECEIPT_DETAIL,
     # Legacy purchasing receipts, dated ten years on so that the
@@ -144,29 +150,29 @@ FROM {orders}
 """,
     "pop_receipt_line": f"""
 SELECT 'P' || CAST(l_orderkey AS STRING) AS POPRCTNM,
-       {_short7('l_partkey')} AS ITEMNMBR,
+       {_unless('l_partkey % 5 = 0', _short7('l_partkey'), 'l_partkey')} AS ITEMNMBR,
        CAST(CAST(l_extendedprice AS DECIMAL(19,2)) * CAST(l_quantity AS DECIMAL(19,5)) AS DECIMAL(19,5)) AS EXTDCOST,
        CASE l_linenumber WHEN 7 THEN CAST(0 AS DECIMAL(19,5)) WHEN 6 THEN NULL
             ELSE CAST(CAST(l_extendedprice AS DECIMAL(19,2)) AS DECIMAL(19,5)) END AS UNITCOST
 FROM {{lineitem}}
-WHERE l_linestatus = 'F' AND l_partkey % 5 <> 0
 """,
-    # Transfers to stores.
+    # Transfers to stores; headers of pending orders match no line,
+    # and lines flagged 'A' have no quantity, those flagged 'R' none shipped.
     "transfer_header": """
-SELECT o_orderkey AS TransferID FROM {orders} WHERE o_orderstatus <> 'P'
+SELECT CASE WHEN o_orderstatus = 'P' THEN -o_orderkey ELSE o_orderkey END AS TransferID
+FROM {orders}
 """,
     "transfer_detail": f"""
 SELECT l_orderkey AS TransferID,
-       {_pad20('l_partkey')} AS ItemCode,
-       CAST(l_quantity AS DECIMAL(19,5)) AS Qty
+       {_unless('l_partkey % 7 = 0', _pad20('l_partkey'), 'l_partkey')} AS ItemCode,
+       CAST(CASE l_returnflag WHEN 'N' THEN l_quantity WHEN 'R' THEN 0 END AS DECIMAL(19,5)) AS Qty
 FROM {{lineitem}}
-WHERE l_returnflag = 'N' AND l_partkey % 7 <> 0
 """,
     # Register sales at supplier-locations; 'R' lines are returns,
     # 'N' lines have no return flag; a markdown when discount > tax.
     "sales_item_history": f"""
 SELECT CAST(l_suppkey AS STRING) AS LocationID,
-       {_pad20('l_partkey')} AS ItemCode,
+       {_unless('l_partkey % 9 = 0', _pad20('l_partkey'), 'l_partkey')} AS ItemCode,
        CASE l_returnflag WHEN 'R' THEN 'Y' WHEN 'A' THEN 'N' END AS isreturn,
        CAST(l_quantity AS DECIMAL(19,5)) AS quantity,
        CAST(l_extendedprice AS DECIMAL(19,4)) AS ExtendedAmt,
@@ -175,7 +181,6 @@ SELECT CAST(l_suppkey AS STRING) AS LocationID,
             * (1 + CAST(l_tax AS DECIMAL(4,2)) - CAST(l_discount AS DECIMAL(4,2))) AS DECIMAL(19,4)) AS registerprice,
        CASE l_linestatus WHEN 'F' THEN 'S' ELSE 'V' END AS XactionType
 FROM {{lineitem}}
-WHERE l_partkey % 9 <> 0
 """,
     # Stores (one per nation, numbers 00000-00024) plus register
     # locations (one per supplier, numbers from 00025 or 'HQ...').
@@ -209,11 +214,10 @@ FROM {supplier}
     "sop_hist_header": _SOP_HEADER.replace("{cmp}", "<"),
     "sop_open_line": _SOP_LINE,
     "sop_hist_line": _SOP_LINE,
-    # Warehouse stock, missing for some items.
+    # Warehouse stock; some rows are of items outside the master.
     "wms_available_qty": f"""
-SELECT {_short7('p_partkey')} AS ITEM, p_size AS AvailableQty
+SELECT {_unless('p_partkey % 11 = 0', _short7('p_partkey'), 'p_partkey')} AS ITEM, p_size AS AvailableQty
 FROM {{part}}
-WHERE p_partkey % 11 <> 0
 """,
     # Report locations (stores with their region).
     "report_locations": """
@@ -241,17 +245,15 @@ FROM {{lineitem}}
 """,
     "shipment_vendor_detail": f"""
 SELECT CAST(l_orderkey AS STRING) AS ShipmentNo,
-       {_ship_type('l_orderkey')} AS ShipmentType,
-       CAST(l_suppkey AS STRING) AS VendorId
+       CASE WHEN l_returnflag = 'N' THEN 'X' ELSE {_ship_type('l_orderkey')} END AS ShipmentType,
+       CASE WHEN l_returnflag = 'A' THEN CAST(l_suppkey AS STRING) END AS VendorId
 FROM {{lineitem}}
-WHERE l_returnflag = 'A'
 """,
     "sr_header": f"""
 SELECT CAST(o_orderkey AS STRING) AS ShipmentNo,
        {_ship_type('o_orderkey')} AS ShipmentType,
-       o_orderkey AS BatchID
+       CASE WHEN o_orderstatus <> 'P' THEN o_orderkey END AS BatchID
 FROM {{orders}}
-WHERE o_orderstatus <> 'P'
 """,
     "sr_detail": """
 SELECT l_orderkey AS BatchID,
@@ -260,10 +262,10 @@ SELECT l_orderkey AS BatchID,
 FROM {lineitem}
 """,
     "vendor_master": """
-SELECT CAST(s_suppkey AS STRING) AS VendorID,
+SELECT CASE WHEN s_suppkey % 7 = 0 THEN 'OLD' || CAST(s_suppkey AS STRING)
+            ELSE CAST(s_suppkey AS STRING) END AS VendorID,
        CASE WHEN s_suppkey % 7 = 1 THEN NULL ELSE s_name END AS Name
 FROM {supplier}
-WHERE s_suppkey % 7 <> 0
 """,
 }
 
