@@ -1,83 +1,104 @@
-"""DuckDB oracle SQL for the shipment report, written the way the reference
-states it: row joins, GROUP BY ... HAVING, and LEFT JOIN ... IS NULL."""
+"""DuckDB oracle SQL for the shipment report, from its rules:
+
+* a shipment counts when its header lies in the range, goes to a chosen store
+  and has at least one line that qualifies for the mode;
+* it is received when the quantities of its batches sum to more than zero;
+* what is left is labelled: warehouse shipments by a constant, drop shipments
+  by each vendor on them, or by a fixed text when no known vendor is named.
+"""
 
 from __future__ import annotations
 
 import datetime as dt
 
 from checks.sqlkit import with_standins
+from tillroll import fixed as X
+
+
+def _quoted(values) -> str:
+    return ", ".join("'" + v.replace("'", "''") + "'" for v in values)
+
 
-# Fixed value: the RDC filter's excluded store numbers.
-_RDC_EXCLUDED = "('00451','00710','00999')"
+def _store_rules(filter_type: str, dyn: str | None) -> tuple[str, list[str]]:
+    """(table, conditions) of a store filter; an unknown filter chooses none."""
+    chosen = "NULL" if dyn is None else _quoted([dyn])
+    retail = f"RetailStore = '{X.RETAIL_FLAG}'"
+    store = f"LocationType = '{X.STORE_TYPE}'"
+    rules = {
+        "All Locations": ("locations", [retail, store]),
+        "Store": ("locations", [retail, f"LocationNo = {chosen}"]),
+        "District": ("locations", [retail, f"DistrictCode = {chosen}"]),
+        "Region": ("report_locations", [f"Retail = '{X.RETAIL_FLAG}'", f"Region = {chosen}"]),
+        "RDC": ("locations", [retail, f"RDCLocationNo = {chosen}", f"NOT (LocationNo IN ({_quoted(X.RDC_EXCLUDED)}))"]),
+        "State": ("locations", [retail, store, f"StateCode = {chosen}"]),
+    }
+    return rules.get(filter_type, ("locations", ["FALSE"]))
 
 
 def locs_sql(filter_type: str, dyn: str | None) -> str:
-    d = "NULL" if dyn is None else f"'{dyn}'"
-    if filter_type == "All Locations":
-        return "SELECT LocationNo, Name AS LocationName FROM locations WHERE LocationType = 'S' AND RetailStore = 'Y'"
-    if filter_type == "Store":
-        return f"SELECT LocationNo, Name AS LocationName FROM locations WHERE LocationNo = {d} AND RetailStore = 'Y'"
-    if filter_type == "District":
-        return f"SELECT LocationNo, Name AS LocationName FROM locations WHERE DistrictCode = {d} AND RetailStore = 'Y'"
-    if filter_type == "Region":
-        return f"SELECT LocationNo, Name AS LocationName FROM report_locations WHERE Region = {d} AND Retail = 'Y'"
-    if filter_type == "RDC":
-        return (
-            "SELECT LocationNo, Name AS LocationName FROM locations "
-            f"WHERE LocationNo NOT IN {_RDC_EXCLUDED} AND RDCLocationNo = {d} AND RetailStore = 'Y'"
-        )
-    if filter_type == "State":
-        return (
-            "SELECT LocationNo, Name AS LocationName FROM locations "
-            f"WHERE LocationType = 'S' AND RetailStore = 'Y' AND StateCode = {d}"
-        )
-    return "SELECT LocationNo, Name AS LocationName FROM locations WHERE 1 = 0"
-
-
-def _bounds(start: str, end: str) -> tuple[str, str]:
-    s = dt.datetime.fromisoformat(start)
-    e = dt.datetime.fromisoformat(end) + dt.timedelta(days=1)
-    return s.strftime("%Y-%m-%d %H:%M:%S"), e.strftime("%Y-%m-%d %H:%M:%S")
-
-
-def _shipment_all(mode: str, start: str, end: str, vendor: str | None) -> str:
-    s, e = _bounds(start, end)
-    loc = "rpad(l.LocationNo, 5, ' ') || ' - ' || rpad(l.LocationName, 30, ' ')"
-    if mode == "vendor":
-        return f"""
-SELECT DISTINCT sh.ShipmentNo, sh.ShipmentType, {loc} AS Location, sh.ToLocationNo,
-       strftime(sh.DateTransferred, '%m/%d/%Y') AS ShipmentDate, sd.VendorID
-FROM shipment_header sh
-JOIN shipment_detail sd ON sh.ShipmentNo = sd.ShipmentNo AND sh.ShipmentType = sd.ShipmentType
-JOIN locs l ON sh.ToLocationNo = l.LocationNo
-WHERE sh.DateTransferred >= TIMESTAMP '{s}' AND sh.DateTransferred < TIMESTAMP '{e}'
-  AND sh.ShipmentType IN ('R') AND sd.VendorID = '{vendor}'"""
-    types = "('W','R')" if mode == "all" else "('W')"
-    return f"""
-SELECT DISTINCT sh.ShipmentNo, sh.ShipmentType, {loc} AS Location, sh.ToLocationNo,
-       strftime(sh.DateTransferred, '%m/%d/%Y') AS ShipmentDate
-FROM shipment_header sh
-JOIN shipment_detail sd ON sh.ShipmentNo = sd.ShipmentNo AND sh.ShipmentType = sd.ShipmentType
-JOIN locs l ON sh.ToLocationNo = l.LocationNo
-WHERE sh.DateTransferred >= TIMESTAMP '{s}' AND sh.DateTransferred < TIMESTAMP '{e}'
-  AND sh.ShipmentType IN {types} AND sd.Company <> 'SUP'"""
+    table, conditions = _store_rules(filter_type, dyn)
+    return f"FROM {table} SELECT LocationNo, Name AS LocationName WHERE {' AND '.join(conditions)}"
 
 
+def _in_range(mode: str, start: str, end: str, vendor: str | None) -> str:
+    """CTEs ``stores``, ``candidates`` (headers) and ``in_range``."""
+    first, last = dt.date.fromisoformat(start), dt.date.fromisoformat(end)
+    if mode == "vendor":
+        line_rule, extra = f"line.VendorID = {_quoted([vendor])}", f", {_quoted([vendor])} AS VendorID"
+    else:
+        line_rule, extra = f"line.Company <> '{X.SUPPLY_COMPANY}'", ""
+    return f"""
+candidates AS (
+  SELECT DISTINCT ShipmentNo, ShipmentType, ToLocationNo, CAST(DateTransferred AS DATE) AS shipped
+  FROM shipment_header AS head
+  WHERE CAST(DateTransferred AS DATE) BETWEEN DATE '{first}' AND DATE '{last}'
+    AND ShipmentType IN ({_quoted(X.MODE_TYPES[mode])})
+    AND EXISTS (FROM shipment_detail AS line
+                WHERE line.ShipmentNo = head.ShipmentNo AND line.ShipmentType = head.ShipmentType AND {line_rule})),
+store_labels AS (
+  SELECT DISTINCT LocationNo AS ToLocationNo,
+         concat(rpad(LocationNo, {X.LOCATION_NO_WIDTH}, ' '), '{X.LABEL_SEPARATOR}',
+                rpad(LocationName, {X.LOCATION_NAME_WIDTH}, ' ')) AS Location
+  FROM stores WHERE LocationName IS NOT NULL
+  UNION SELECT LocationNo, NULL FROM stores WHERE LocationName IS NULL),
+in_range AS (
+  SELECT ShipmentNo, ShipmentType, Location, ToLocationNo, strftime(shipped, '%m/%d/%Y') AS ShipmentDate{extra}
+  FROM candidates JOIN store_labels USING (ToLocationNo))"""
+
+
+# A shipment with several rows in range has its received quantity once for each.
 _RECEIVED = """
-SELECT a.ShipmentNo, a.ShipmentType, CAST(SUM(rd.qty) AS DECIMAL(38,5)) AS qty
-FROM shipment_all a
-JOIN sr_header rh ON a.ShipmentNo = rh.ShipmentNo AND a.ShipmentType = rh.ShipmentType
-JOIN sr_detail rd ON rh.BatchID = rd.BatchID
-GROUP BY a.ShipmentNo, a.ShipmentType
-HAVING SUM(rd.qty) > 0"""
-
-
-def _prefix(mode, start, end, vendor, filter_type, dyn) -> str:
-    return (
-        f"WITH locs AS ({locs_sql(filter_type, dyn)}),\n"
-        f"shipment_all AS ({_shipment_all(mode, start, end, vendor)}),\n"
-        f"shipment_received AS ({_RECEIVED})\n"
-    )
+batch_totals AS (SELECT BatchID, sum(qty) AS units FROM sr_detail GROUP BY BatchID),
+shipment_totals AS (
+  SELECT ShipmentNo, ShipmentType, sum(units) AS units
+  FROM sr_header JOIN batch_totals USING (BatchID) GROUP BY ALL),
+received AS (
+  SELECT ShipmentNo, ShipmentType, CAST(sum(units) AS DECIMAL(38,5)) AS qty
+  FROM in_range JOIN shipment_totals USING (ShipmentNo, ShipmentType)
+  GROUP BY ALL HAVING sum(units) > 0)"""
+
+_OPEN = """
+outstanding AS (SELECT * FROM in_range ANTI JOIN received USING (ShipmentNo, ShipmentType))"""
+
+# One name for each vendor on a drop shipment; a vendor the master does not know has none.
+_NAMED = f"""
+named AS (
+  SELECT DISTINCT d.ShipmentNo, concat(v.VendorID, '{X.LABEL_SEPARATOR}', coalesce(v.Name, '')) AS Vendor
+  FROM shipment_vendor_detail AS d JOIN vendor_master AS v ON v.VendorID = d.VendorId
+  WHERE d.ShipmentType = '{X.DROP_SHIP_TYPE}'
+  UNION
+  SELECT ShipmentNo, '{X.NO_VENDOR_TEXT}{X.LABEL_SEPARATOR}'
+  FROM shipment_vendor_detail AS d
+  WHERE ShipmentType = '{X.DROP_SHIP_TYPE}' AND NOT EXISTS (FROM vendor_master AS v WHERE v.VendorID = d.VendorId)),
+unnamed AS (
+  SELECT DISTINCT ShipmentNo, '{X.NO_VENDOR_TEXT}{X.LABEL_SEPARATOR}' AS Vendor
+  FROM outstanding ANTI JOIN named USING (ShipmentNo))"""
+
+_COLUMNS = "Location, ShipmentDate, ShipmentNo AS ShipmentNumber, ShipmentType"
+
+
+def _chain(filter_type, dyn, *ctes: str) -> str:
+    return f"WITH stores AS ({locs_sql(filter_type, dyn)})," + ",".join(ctes) + "\n"
 
 
 def stores_sql(filter_type: str, dyn: str | None) -> str:
@@ -85,47 +106,28 @@ def stores_sql(filter_type: str, dyn: str | None) -> str:
 
 
 def shipments_sql(mode, start, end, vendor=None, filter_type="All Locations", dyn=None) -> str:
-    return with_standins(
-        f"WITH locs AS ({locs_sql(filter_type, dyn)}),\n"
-        f"shipment_all AS ({_shipment_all(mode, start, end, vendor)})\n"
-        "SELECT * FROM shipment_all"
-    )
+    return with_standins(_chain(filter_type, dyn, _in_range(mode, start, end, vendor)) + "SELECT * FROM in_range")
 
 
 def received_sql(mode, start, end, vendor=None, filter_type="All Locations", dyn=None, standins=True) -> str:
-    body = _prefix(mode, start, end, vendor, filter_type, dyn) + "SELECT * FROM shipment_received"
+    body = _chain(filter_type, dyn, _in_range(mode, start, end, vendor), _RECEIVED) + "SELECT * FROM received"
     return with_standins(body) if standins else body
 
 
 def not_received_sql(mode, start, end, vendor=None, filter_type="All Locations", dyn=None, standins=True) -> str:
     """``standins=False`` leaves the table names to the caller's database."""
-    head = _prefix(mode, start, end, vendor, filter_type, dyn)
-    label = "coalesce(v.VendorID, 'No Shipping Detail') || ' - ' || coalesce(v.Name, '')"
+    ctes = [_in_range(mode, start, end, vendor), _RECEIVED, _OPEN]
+    warehouse = f"SELECT {_COLUMNS}, '{X.WAREHOUSE_VENDOR}' AS Vendor FROM outstanding"
+    drop_ship = (
+        f"SELECT {_COLUMNS}, Vendor FROM outstanding JOIN (FROM named UNION ALL FROM unnamed) USING (ShipmentNo) "
+        f"WHERE ShipmentType = '{X.DROP_SHIP_TYPE}'"
+    )
     if mode == "cdc":
-        body = """
-SELECT a.Location, a.ShipmentDate, a.ShipmentNo AS ShipmentNumber, a.ShipmentType, 'CDC' AS Vendor
-FROM shipment_all a
-LEFT JOIN shipment_received sr ON a.ShipmentNo = sr.ShipmentNo AND a.ShipmentType = sr.ShipmentType
-WHERE sr.ShipmentNo IS NULL
-ORDER BY a.Location, a.ShipmentDate, a.ShipmentNo, a.ShipmentType"""
-    elif mode == "all":
-        body = f""", vendor_rows AS (
-SELECT DISTINCT {label} AS Vendor, a.Location, a.ShipmentDate, a.ShipmentNo AS ShipmentNumber, a.ShipmentType
-FROM shipment_all a
-LEFT JOIN shipment_vendor_detail sd ON a.ShipmentNo = sd.ShipmentNo AND a.ShipmentType = sd.ShipmentType AND sd.ShipmentType = 'R'
-LEFT JOIN vendor_master v ON sd.VendorId = v.VendorID AND sd.ShipmentType = 'R'
-LEFT JOIN shipment_received sr ON a.ShipmentNo = sr.ShipmentNo AND a.ShipmentType = sr.ShipmentType
-WHERE sr.ShipmentNo IS NULL)
-SELECT Location, ShipmentDate, ShipmentNumber, ShipmentType,
-       CASE ShipmentType WHEN 'W' THEN 'CDC' WHEN 'R' THEN Vendor END AS Vendor
-FROM vendor_rows"""
+        final = warehouse
     else:
-        body = f"""
-SELECT DISTINCT {label} AS Vendor, a.Location, a.ShipmentDate, a.ShipmentNo AS ShipmentNumber, a.ShipmentType
-FROM shipment_all a
-LEFT JOIN shipment_received sr ON a.ShipmentNo = sr.ShipmentNo AND a.ShipmentType = sr.ShipmentType
-LEFT JOIN shipment_vendor_detail sd ON a.ShipmentNo = sd.ShipmentNo AND a.ShipmentType = sd.ShipmentType AND sd.ShipmentType = 'R'
-LEFT JOIN vendor_master v ON sd.VendorId = v.VendorID AND sd.ShipmentType = 'R'
-WHERE sr.ShipmentNo IS NULL
-ORDER BY 2, 3, 4, 5, 1"""
-    return with_standins(head + body) if standins else head + body
+        ctes.append(_NAMED)
+        final = f"SELECT DISTINCT * FROM ({drop_ship})"
+        if mode == "all":
+            final += f" UNION ALL SELECT DISTINCT * FROM ({warehouse} WHERE ShipmentType = '{X.WAREHOUSE_TYPE}')"
+    body = _chain(filter_type, dyn, *ctes) + final
+    return with_standins(body) if standins else body
