@@ -15,8 +15,8 @@ send to all tasks.  All counts are over all training texts: every flush of a
 task sends its distinct words and n-grams to hash buckets, so a frequent
 word is one entry a flush.  An n-gram can only be kept if the shorter ones
 are, so others are not sent.  Words below the share are in no table: a document's
-rare words travel to their bucket, which counts them there and sends back the
-document's sum; each is by definition rare, so no bucket is hot.
+rare words travel to their bucket, which counts them there and sends the
+document's sum on in packed rows, one more exchange away; each is by definition rare, so no bucket is hot.
 """
 
 from __future__ import annotations
@@ -227,18 +227,30 @@ def score_documents(docs: DataFrame, learn: str = "true", order: int = ORDER, ke
             yield from map(_widened, out.add((W.mix(name[first]) % _U(count)).astype(np.int64), name[first], row[owner[first]], n))
         yield from map(_widened, out.flush())
 
+    def summed(doc: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+        docs, to = np.unique(doc, return_inverse=True)
+        return docs, [np.bincount(to, weights=x, minlength=len(docs)) for x in values]
+
     def rare_sums(table: pa.Table) -> pa.Table:
+        """Each text's sums over the rare words of a bucket, in rows packed by text."""
         name, doc, n = (packed.unpack(table, c, t) for c, t in (("name", _U), ("doc", np.int64), ("n", np.int32)))
         _, at = np.unique(name, return_inverse=True)
         c = np.bincount(at, weights=np.maximum(-n, 0))[at] if len(at) else np.zeros(0)
         n = np.abs(n)
-        docs, to = np.unique(doc, return_inverse=True)
-        sums = [np.bincount(to, weights=x, minlength=len(docs)) for x in (n * (c > 0), n * np.log10(c + 1))]
-        return pa.table({"row": docs, "n_known": sums[0].astype(np.int64), "base": sums[1]})
+        docs, (known, base) = summed(doc, n * (c > 0), n * np.log10(c + 1))
+        out = packed.Packer(count, ("doc", "known", "base"))
+        to = (W.mix(docs.view(_U)) % _U(count)).astype(np.int64)
+        return pa.Table.from_batches([*out.add(to, docs, known, base), *out.flush()])
+
+    def document_sums(table: pa.Table) -> pa.Table:
+        doc, known, base = (packed.unpack(table, c, t) for c, t in (("doc", np.int64), ("known", np.float64), ("base", np.float64)))
+        docs, (known, base) = summed(doc, known, base)
+        return pa.table({"row": docs, "n_known": known.astype(np.int64), "base": base})
 
     walked = stages.write(docs.mapInArrow(walk, _SCHEMA), "walked")
     rare = walked.where(F.col("bucket").isNotNull()).select("bucket", "name", "doc", "n")
-    rare = rare.groupBy("bucket").applyInArrow(rare_sums, "row long, n_known long, base double")
+    rare = rare.groupBy("bucket").applyInArrow(rare_sums, packed.schema(("doc", "known", "base")))
+    rare = rare.groupBy("bucket").applyInArrow(document_sums, "row long, n_known long, base double")
     parts = walked.where(F.col("bucket").isNull()).select("row", "n_tokens", "n_known", "base", "score", F.lit(1).alias("times")).unionByName(
         rare.select("row", F.lit(0).alias("n_tokens"), "n_known", "base", F.col("base").alias("score"), F.lit(0).alias("times"))
     )
