@@ -12,8 +12,13 @@ postings of these n-grams hold every link.  A posting list is never expanded
 into its pairs.  First each text is judged against one hub, that of most of
 its lists; this joins the groups of copies.  Then only pairs of the same lists
 that lie in different components remain, less those that the distances to a
-common hub rule out (Jaccard distance is a metric).  What is left is judged in
-full, so no link between components is lost.  Equal sets are one node from the
+common hub rule out (Jaccard distance is a metric) and, in long lists, less
+those whose sketches differ too much.  A sketch holds for each of some hash
+buckets whether the set has an odd count there; two sketches differ in at most
+as many bits as the sets differ in n-grams, so the bound is exact.  In some
+rounds each text is judged against its likeliest partner among these, which
+joins components and so removes further pairs.  What is left is judged in full,
+so no link between components is lost.  Equal sets are one node from the
 start.
 """
 
@@ -41,6 +46,11 @@ FRAGMENTS = 8
 SHARED = 4
 #: Pairs that one step of the numpy loop tests at most.
 STEP = 1 << 20
+#: Lists of more texts have their pairs tested by sketches of so many bits.
+LONG_LIST = 16
+SKETCH = 1024
+#: Rounds in which each text is judged against its likeliest partner outside its component.
+ROUNDS = 2
 
 
 def sets_of(texts: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -55,6 +65,13 @@ def sets_of(texts: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray, np.nda
     return owner, names, sizes, node
 
 
+def odd_sketches(owner: np.ndarray, names: np.ndarray, texts: int) -> list[bytes]:
+    """For each text a bit for every hash bucket: whether the set has an odd count in it."""
+    at = owner * SKETCH + (W.mix(names ^ _U(0x2545F491)) % _U(SKETCH)).astype(np.int64)
+    odd = (np.bincount(at, minlength=texts * SKETCH) & 1).astype(np.uint8)
+    return [x.tobytes() for x in np.packbits(odd.reshape(texts, SKETCH), axis=1)]
+
+
 class Order:
     """The global order of n-grams: estimated count first, then name; and its fragments."""
 
@@ -172,10 +189,11 @@ def jaccard_components(
         opens = np.ones(len(name), dtype=bool)
         opens[1:] = (name[1:] != name[:-1]) | (size[1:] != size[:-1])
         hub = node[np.flatnonzero(opens)][np.cumsum(opens) - 1] if len(node) else node
-        return pa.table({"name": name.view(np.int64), "node": node, "n": n, "early": early, "hub": hub})
+        _, at, length = np.unique(name, return_inverse=True, return_counts=True)
+        return pa.table({"name": name.view(np.int64), "node": node, "n": n, "early": early, "hub": hub, "long": length[at] > LONG_LIST})
 
     posted = stages.write(
-        docs.mapInArrow(post, packed.schema(("name", "node", "n"))).groupBy("bucket").applyInArrow(lists, "name long, node long, n int, early boolean, hub long"),
+        docs.mapInArrow(post, packed.schema(("name", "node", "n"))).groupBy("bucket").applyInArrow(lists, "name long, node long, n int, early boolean, hub long, long boolean"),
         "posted",
     )
     star = posted.where("node <> hub").groupBy("node", "hub").agg(F.count(F.lit(1)).alias("lists"), F.first("n").alias("n"))
@@ -197,11 +215,14 @@ def jaccard_components(
                 names=["node", "part", "names"],
             )
 
+    def texts_of(nodes: DataFrame) -> DataFrame:
+        rows = members.join(nodes, "node", "left_semi").groupBy("node").agg(F.min("row").alias("row"))
+        return docs.join(rows.select("row"), "row").select("text")
+
     def overlaps(pairs: DataFrame, name: str) -> DataFrame:
         """pairs (a, b, na, nb) with the size of their intersection: partial counts by fragment, summed."""
         ends = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-        rows = members.join(ends, "node", "left_semi").groupBy("node").agg(F.min("row").alias("row"))
-        sets = docs.join(rows.select("row"), "row").select("text").mapInArrow(cut, "node long, part int, names array<long>")
+        sets = texts_of(ends).mapInArrow(cut, "node long, part int, names array<long>")
         sets = stages.write(sets, f"{name}-sets")
         left = sets.select(F.col("node").alias("a"), "part", F.col("names").alias("x"))
         right = sets.select(F.col("node").alias("b"), "part", F.col("names").alias("y"))
@@ -220,14 +241,28 @@ def jaccard_components(
     judged = overlaps(stages.write(pairs, "pairs"), "judged")
     first = components(judged.where(linked), stages, "first")
 
+    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in W.pieces(batches):
+            owner, names, _, node = sets_of(piece.column("text"), width)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(node), pa.array(odd_sketches(owner, names, len(node)), pa.binary())], names=["node", "sketch"]
+            )
+
+    sketched = texts_of(posted.where("long").select("node").distinct()).mapInArrow(sketch, "node long, sketch binary")
+    sketched = stages.write(sketched.dropDuplicates(["node"]), "sketched")
+
     # what is known of each node: its component, its hub, its distance to the hub
     far = judged.select(F.col("a").alias("hub"), F.col("b").alias("node"), F.expr("1 - k / (na + nb - k)").alias("far"))
     known = (
         posted.join(star.select("node", F.col("hub").alias("best")), "node", "left")
-        .select("name", "node", "n", "early", F.coalesce("best", "node").alias("hub"))
+        .select("name", "node", "n", "early", "long", F.coalesce("best", "node").alias("hub"))
         .join(first, "node", "left")
+        .join(sketched.withColumn("long", F.lit(True)), ["node", "long"], "left")
         .join(far, ["node", "hub"], "left")
-        .select("name", "node", "n", "early", F.coalesce("root", "node").alias("root"), "hub", F.expr("if(node = hub, 0D, coalesce(far, 1D))").alias("far"))
+        .select(
+            "name", "node", "n", "early", F.coalesce("root", "node").alias("root"), "hub",
+            F.expr("if(node = hub, 0D, coalesce(far, 1D))").alias("far"), "sketch",
+        )
     )
 
     def across(table: pa.Table) -> pa.Table:
@@ -235,12 +270,17 @@ def jaccard_components(
         early = table.column("early").to_numpy()
         by = np.lexsort((node, n, name))
         early = early[by]
+        # a list has a sketch for each of its texts, or for none
+        bits, _ = W.buffer_of(table.column("sketch").drop_null())
+        bits = np.frombuffer(bits.tobytes(), dtype=_U).reshape(-1, SKETCH // 64)
+        held = ~table.column("sketch").is_null().to_numpy()
+        place, held = (np.cumsum(held) - 1)[by], held[by]
         name, node, n, root, hub, far = name[by], node[by], n[by].astype(np.int64), root[by], hub[by], far[by]
         at = np.flatnonzero(np.append(True, name[1:] != name[:-1])) if len(name) else np.zeros(0, np.int64)
         ends = np.append(at[1:], len(name))
         low, high = np.minimum.reduceat(root, at) if len(at) else at, np.maximum.reduceat(root, at) if len(at) else at
         mixed = low != high
-        got = [(np.zeros((0, 4), dtype=np.int64), np.zeros(0, dtype=np.int64))]
+        got = [(np.zeros((0, 5), dtype=np.int64), np.zeros(0, dtype=np.int64))]
         end_of = np.repeat(ends, ends - at)
         # partners stand behind, in the list, up to the largest size allowed; the smaller set has the n-gram early
         pos = np.flatnonzero(np.repeat(mixed, ends - at) & early)
@@ -256,11 +296,18 @@ def jaccard_components(
             # the partner may be the other's hub, and then their distance is known
             use &= ~((hub[x] == node[y]) & (far[x] > near)) & ~((hub[y] == node[x]) & (far[y] > near))
             x, y = x[use], y[use]
+            # linked sets differ in at most (100 - percent) / (100 + percent) of their sizes' sum
+            test = np.flatnonzero(held[x])
+            apart = np.zeros(len(x), dtype=np.int64)
+            for part in np.array_split(test, len(test) // (STEP >> 3) + 1):
+                apart[part] = np.bitwise_count(bits[place[x[part]]] ^ bits[place[y[part]]]).sum(axis=1, dtype=np.int64)
+            use = apart * (100 + percent) <= (100 - percent) * (n[x] + n[y])
+            x, y, apart = x[use], y[use], apart[use]
             swap = node[x] > node[y]
             x, y = np.where(swap, y, x), np.where(swap, x, y)
-            got.append(np.unique(np.stack([node[x], node[y], n[x], n[y]], axis=1), axis=0, return_counts=True))
+            got.append(np.unique(np.stack([node[x], node[y], n[x], n[y], apart], axis=1), axis=0, return_counts=True))
         rows, lists = (np.concatenate(x) for x in zip(*got, strict=True))
-        return pa.table({c: pa.array(rows[:, k]) for k, c in enumerate(("a", "b", "na", "nb"))} | {"lists": lists})
+        return pa.table({c: pa.array(rows[:, k]) for k, c in enumerate(("a", "b", "na", "nb", "apart"))} | {"lists": lists})
 
     # what lies behind the prefixes can't make up for n-grams that these don't share
     small, large = "least(na, nb)", "greatest(na, nb)"
@@ -269,14 +316,25 @@ def jaccard_components(
     rest = (
         known.withColumn("bucket", F.pmod(F.xxhash64("name"), F.lit(count)))
         .groupBy("bucket")
-        .applyInArrow(across, "a long, b long, na long, nb long, lists long")
+        .applyInArrow(across, "a long, b long, na long, nb long, apart long, lists long")
         .groupBy("a", "b", "na", "nb")
-        .agg(F.sum("lists").alias("lists"))
+        .agg(F.sum("lists").alias("lists"), F.max("apart").alias("apart"))
         .where(f"lists >= ceil({percent} * (na + nb) / {100 + percent}) - greatest({behind_small}, {behind_large})")
-        .drop("lists")
     )
-    more = overlaps(stages.write(rest, "rest"), "more").where(linked)
-    links = judged.where(linked).select("a", "b").union(more.select("a", "b"))
+    rest = stages.write(rest.withColumn("odds", F.expr("struct(apart / (na + nb) as apart, -lists as lists)")).drop("lists", "apart"), "rest")
+    links = judged.where(linked).select("a", "b")
+    for k in range(ROUNDS):
+        ends = rest.withColumn("node", F.explode(F.array("a", "b")))
+        best = ends.groupBy("node").agg(F.min(F.struct("odds", "a", "b", "na", "nb")).alias("best")).select("best.a", "best.b", "best.na", "best.nb")
+        tried = overlaps(stages.write(best.distinct(), f"best-{k}"), f"tried-{k}")
+        links = links.union(tried.where(linked).select("a", "b"))
+        joined = components(links, stages, f"joined-{k}")
+        at = joined.select(F.col("node").alias("a"), F.col("root").alias("x"))
+        bt = joined.select(F.col("node").alias("b"), F.col("root").alias("y"))
+        rest = rest.join(tried.select("a", "b"), ["a", "b"], "left_anti").join(at, "a", "left").join(bt, "b", "left")
+        rest = stages.write(rest.where("coalesce(x, a) <> coalesce(y, b)").drop("x", "y"), f"rest-{k}")
+    more = overlaps(rest.drop("odds"), "more").where(linked)
+    links = links.union(more.select("a", "b"))
     found = components(links, stages, "all")
     ends = links.select(F.col("a").alias("node")).union(links.select(F.col("b").alias("node")))
     classes = (
@@ -287,7 +345,8 @@ def jaccard_components(
     )
     least = classes.groupBy("root").agg(F.min("class_id").alias("component_id"))
     classes = stages.write(classes.join(least, "root").select("node", "class_id", "component_id", "n_links"), "classes")
-    stages.drop("posted", "star", "pairs", "judged", "rest", "more")
+    rounds = [f"{x}-{k}" for k in range(ROUNDS) for x in ("best", "tried", "rest")]
+    stages.drop("posted", "star", "pairs", "judged", "sketched", "rest", "more", *rounds)
     alone = F.col("n") == 0
     return members.join(classes, "node").select(
         "doc_id",
