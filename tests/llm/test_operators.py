@@ -244,3 +244,45 @@ def test_mixture(docs, empty):
     times = sum(r["times"] for r in got.collect())
     assert mixed_documents(docs).count() == times and mixed_documents(docs).columns == docs.columns
     assert mix_sources(empty).count() == 0
+
+
+def _backoff(training, text, discount=0.75):
+    """log10 probability of text by a trigram model of training (text: times), written down plainly."""
+    grams = [Counter(), Counter(), Counter()]
+    for t, times in training.items():
+        ts = ["<s>", *_words(t, True), None]
+        for k in range(3):
+            for g, n in Counter(zip(*[ts[i:] for i in range(k + 1)])).items():
+                grams[k][g] += n * times
+    texts = grams[0].pop(("<s>",))
+    n, v = sum(grams[0].values()), len(grams[0])
+    held, used = Counter(), Counter()
+    for k in (1, 2):
+        for g, c in grams[k].items():
+            if c >= 2:
+                used[g[:-1]] += c - discount
+
+    def p(context, w):
+        if not context:
+            return (grams[0][(w,)] + 1) / (n + v + 1)
+        of = texts if context == ("<s>",) else grams[len(context) - 1][context]
+        if of < 2:
+            return p(context[1:], w)
+        c = grams[len(context)][(*context, w)]
+        return max(c - discount, 0) / of * (c >= 2) + (1 - used[context] / of) * p(context[1:], w)
+
+    ts = ["<s>", *_words(text, True), None]
+    return sum(math.log10(p(tuple(ts[max(0, i - 2) : i]), ts[i])) for i in range(1, len(ts)))
+
+
+def test_language_model_keeps_rare_ngrams_of_a_large_corpus(spark):
+    # 8.4 million tokens: a least count that grew with them would be 5 and lose the n-grams seen four times
+    few = {"one rare phrase stands here": 4, "another Rare phrase stood here once": 2, "one rare word": 1, "": 3, "the the the rare phrase": 2}
+    filler = "of the " * 140_000
+    rows = [(t, k) for t, k in few.items()]
+    small = spark.createDataFrame(rows, "text string, k int").selectExpr("text", "explode(sequence(1, k)) AS copy")
+    large = spark.range(30).selectExpr("repeat('of the ', 140000) AS text", "cast(id AS int) AS copy")
+    docs = small.unionByName(large).selectExpr("xxhash64(text, copy) AS doc_id", "text")
+    got = {(r["n_tokens"], round(r["score"], 6)) for r in score_documents(docs).collect()}
+    want = {(len(_words(t)) + 1, round(_backoff(few | {filler: 30}, t), 6)) for t in few}
+    assert want <= got

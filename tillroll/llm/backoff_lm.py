@@ -8,15 +8,17 @@ arc holds what the state's arcs leave: p(w | state) = arc + failure * p(w |
 shorter state), down to the unigram (c + 1) / (N + V + 1) with one place for
 all unseen words.  The probabilities of a state sum to 1.
 
-A state or an arc is kept if its count is at least 2 and at least the share
-``2**-KEEP_BITS`` of all training tokens.  The rule is the same at every size,
-and it bounds the automaton to 2**KEEP_BITS entries a level, small enough to
-send to all tasks.  All counts are over all training texts: every flush of a
-task sends its distinct words and n-grams to hash buckets, so a frequent
-word is one entry a flush.  An n-gram can only be kept if the shorter ones
-are, so others are not sent.  Words below the share are in no table: a document's
-rare words travel to their bucket, which counts them there and sends the
-document's sum on in packed rows, one more exchange away; each is by definition rare, so no bucket is hot.
+A state or an arc is kept if its count over all training texts is at least
+``LEAST``, whatever the input's size, so the model grows with the input.  It is
+never in one place: n-grams, arcs and failure weights are written tables.  Where
+a token has no arc, log p is the failure's log plus that of the shorter context,
+so a text's score is a sum over its n-grams of one value each: log p less what
+the shorter contexts give, and the n-gram's own log failure for the token behind
+it.  Each text's n-grams travel to hash buckets in packed rows, meet the values
+there, and the text's sums travel on, level by level.
+
+Tasks know kept n-grams by a bit table of fixed size; a false hit costs a
+needless entry and never changes a result.
 """
 
 from __future__ import annotations
@@ -35,138 +37,144 @@ from tillroll.llm.tables import Stages, buckets, plain
 
 _U = np.uint64
 ORDER = 3
-KEEP_BITS = 21
+LEAST = 2
 DISCOUNT = 0.75
-END = W.mix(np.array([2], _U))[0]
+END, START = W.mix(np.array([2, 3], _U))
+#: The bit table has 2**(FILTER_BITS + 6) bits.
+FILTER_BITS = 21
+#: Entries that a task holds before it sends them (n-grams have two names and weights, so fewer than ``packed.FLUSH``).
+HELD = 1_500_000
 
 
 @dataclass
-class Automaton:
-    """words: kept names in order, with counts; arcs[k]: keys (state of k + 1 words, word)
-    in order, weights, and failure weights by state; total and types of the training tokens."""
+class Model:
+    """values[k]: a table (key, c, value) of the kept n-grams of k + 1 words; filters[k]: their bit table;
+    total and types of the training tokens."""
 
     total: int
     types: int
-    names: np.ndarray
-    counts: np.ndarray
-    keys: list[np.ndarray]
-    weights: list[np.ndarray]
-    failure: list[np.ndarray]
-
-    def word_states(self, names: np.ndarray) -> np.ndarray:
-        return _find(self.names, names)
-
-    def next_states(self, level: int, state: np.ndarray, word: np.ndarray) -> np.ndarray:
-        """The arc of each (state of level + 1 words, word), -1 where there is none."""
-        key = (state.astype(_U) << _U(32)) | word.astype(_U)
-        return np.where((state >= 0) & (word >= 0), _find(self.keys[level], key), -1)
-
-
-def _find(ordered: np.ndarray, values: np.ndarray) -> np.ndarray:
-    if not len(ordered):
-        return np.full(len(values), -1, dtype=np.int64)
-    at = np.minimum(np.searchsorted(ordered, values), len(ordered) - 1)
-    return np.where(ordered[at] == values, at, -1)
+    values: list[DataFrame]
+    filters: list[np.ndarray]
 
 
 def _tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(names, bounds by text): the words, A-Z folded, and an end after each text."""
+    """(names, bounds by text): a start, the words, A-Z folded, and an end."""
     words = W.words_of(texts, fold=True)
-    names = np.insert(words.hash, words.first[1:], END)
-    return names, words.first + np.arange(len(words.first))
-
-
-def _states(model: Automaton, names: np.ndarray, bounds: np.ndarray, levels: int) -> list[np.ndarray]:
-    """For k = 1 to levels: the state of the k tokens up to and with each token.  A text's start is a
-    word of its own, numbered behind the last, and stands before the first token."""
-    opens = np.zeros(len(names), dtype=bool)
-    opens[bounds[:-1]] = True
-    word = model.word_states(names)
-    found = [word]
-    for k in range(1, levels):
-        found.append(model.next_states(k - 1, _before(model, found[k - 1], opens, k - 1), word))
-    return found
-
-
-def _before(model: Automaton, state: np.ndarray, opens: np.ndarray, level: int) -> np.ndarray:
-    """The state of level + 1 tokens that stands before each token."""
-    out = np.empty_like(state)
-    out[1:] = state[:-1]
-    out[opens] = len(model.names) if level == 0 else -1
-    return out
-
-
-def train(docs: DataFrame, stages: Stages, order: int = ORDER, keep_bits: int = KEEP_BITS, discount: float = DISCOUNT) -> Automaton:
-    """The automaton of the rows of docs (text)."""
+    at = np.stack([words.first[:-1], words.first[1:]], axis=1).ravel()
+    names = np.insert(words.hash, at, np.tile([START, END], len(at) // 2))
+    return names, words.first + 2 * np.arange(len(words.first))
+
+
+def _maybe(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """False for keys that are surely not kept."""
+    return (bits[keys >> _U(64 - FILTER_BITS)] >> ((keys >> _U(58 - FILTER_BITS)) & _U(63))) & _U(1) > 0
+
+
+def _filter(kept: DataFrame) -> np.ndarray:
+    place = F.expr(f"shiftrightunsigned(key, {64 - FILTER_BITS})").alias("place")
+    bit = F.expr(f"shiftleft(1L, cast(shiftrightunsigned(key, {58 - FILTER_BITS}) & 63 as int))").alias("bit")
+    got = kept.select(place, bit).groupBy("place").agg(F.bit_or("bit").alias("bit")).toArrow()  # at most 2**FILTER_BITS rows
+    bits = np.zeros(1 << FILTER_BITS, dtype=_U)
+    bits[got.column("place").to_numpy()] = got.column("bit").to_numpy().view(_U)
+    return bits
+
+
+def _grams(names: np.ndarray, bounds: np.ndarray, level: int, filters: list[np.ndarray]) -> tuple[np.ndarray, ...]:
+    """(place, key, prefix, suffix) of the n-grams of level + 1 tokens that end at each place and may be kept by
+    their parts; a word is its own prefix and suffix."""
+    keys, place = names, np.arange(len(names))
+    inside = place - np.repeat(bounds[:-1], np.diff(bounds))
+    may = np.ones(len(names), dtype=bool)
+    prefix = suffix = keys
+    for k in range(1, level + 1):
+        may &= _maybe(filters[k - 1], keys)
+        may[1:] &= may[:-1].copy()
+        may &= inside >= k
+        prefix, suffix = np.roll(keys, 1), keys
+        keys = W.mix(prefix * _U(0xD6E8FEB86659FD93) + suffix + _U(k))
+    return place[may], keys[may], prefix[may], suffix[may]
+
+
+def train(docs: DataFrame, stages: Stages, order: int = ORDER, least: int = LEAST, discount: float = DISCOUNT) -> Model:
+    """The model of the rows of docs (text)."""
     spark = docs.sparkSession
     count = buckets(spark)
+    names = ("key", "prefix", "suffix", "n")
+
+    def totals(level: int, filters: list[np.ndarray], least: int) -> DataFrame:
+        """key, prefix, suffix, n of the n-grams that are counted ``least`` times."""
+        shared = spark.sparkContext.broadcast(filters)
+
+        def sent(out: packed.Packer, held: list[tuple[np.ndarray, ...]], last: bool) -> Iterator[pa.RecordBatch]:
+            """Distinct n-grams of what is held, once that is much."""
+            if held and (last or sum(len(x[0]) for x in held) >= (HELD if level else packed.FLUSH)):
+                key, *parts = (np.concatenate(x) for x in zip(*held, strict=True))
+                held.clear()
+                key, at, n = np.unique(key, return_index=True, return_counts=True)
+                parts = [x[at] for x in parts]
+                del at
+                yield from out.add((W.mix(key) % _U(count)).astype(np.int64), *([key] if not level else parts), n.astype(np.uint32))
+                yield from out.flush()
+
+        columns = ("prefix", "n") if not level else names[1:]
+
+        def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            out, held = packed.Packer(count, columns), []
+            for piece in W.pieces(batches):
+                tokens, bounds = _tokens(piece.column("text"))
+                place, key, prefix, suffix = _grams(tokens, bounds, level, shared.value)
+                if not level:
+                    use = key != START
+                    held.append((key[use],))
+                else:
+                    held.append((key, prefix, suffix))
+                yield from sent(out, held, False)
+            yield from sent(out, held, True)
 
-    def added(table: pa.Table) -> pa.Table:
-        key, n = packed.unpack(table, "key", _U), packed.unpack(table, "n", np.uint32)
-        key, at = np.unique(key, return_inverse=True)
-        return pa.table({"key": key.view(np.int64), "n": np.bincount(at, weights=n, minlength=len(key)).astype(np.int64)})
-
-    def totals(entries, name: str) -> DataFrame:
-        summed = docs.mapInArrow(entries, packed.schema(("key", "n"))).groupBy("bucket").applyInArrow(added, "key long, n long")
-        return stages.write(summed, name)
-
-    def sent(out: packed.Packer, held: list[np.ndarray], last: bool) -> Iterator[pa.RecordBatch]:
-        """Distinct keys of what is held, once that is much."""
-        if held and (last or sum(map(len, held)) >= packed.FLUSH):
-            key, n = np.unique(np.concatenate(held), return_counts=True)
-            held.clear()
-            yield from out.add((W.mix(key) % _U(count)).astype(np.int64), key, n.astype(np.uint32))
-            yield from out.flush()
+        def added(table: pa.Table) -> pa.Table:
+            prefix, n = packed.unpack(table, "prefix", _U), packed.unpack(table, "n", np.uint32)
+            suffix = packed.unpack(table, "suffix", _U) if level else prefix
+            key = W.mix(prefix * _U(0xD6E8FEB86659FD93) + suffix + _U(level)) if level else prefix
+            key, at, to = np.unique(key, return_index=True, return_inverse=True)
+            n = np.bincount(to, weights=n, minlength=len(key)).astype(np.int64)
+            use = n >= least
+            return pa.table({c: x[use].view(np.int64) for c, x in zip(names, (key, prefix[at], suffix[at], n), strict=True)})
 
-    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out, held = packed.Packer(count, ("key", "n")), []
-        for piece in W.pieces(batches):
-            held.append(_tokens(piece.column("text"))[0])
-            yield from sent(out, held, False)
-        yield from sent(out, held, True)
+        summed = docs.mapInArrow(entries, packed.schema(columns)).groupBy("bucket").applyInArrow(added, "key long, prefix long, suffix long, n long")
+        return summed if level else summed.select("key", "n")
 
-    counted = totals(words, "words")
-    total, types, texts = counted.agg(
+    words = stages.write(totals(0, [], 1), "words")
+    total, types, texts = words.agg(
         F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1)), F.coalesce(F.sum(F.when(F.col("key") == int(END.view(np.int64)), F.col("n"))), F.lit(0))
     ).first()
-    least = max(2, -(-total // 2**keep_bits))
-
-    def kept(counted: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-        got = counted.where(F.col("n") >= least).toArrow()  # at most 2**keep_bits rows: their counts sum to no more than total
-        key, n = got.column("key").to_numpy().view(_U), got.column("n").to_numpy()
-        by = np.argsort(key)
-        return key[by], n[by]
+    opening = spark.createDataFrame([(int(START.view(np.int64)), int(texts))], "key long, n long")
+    # c of a word, and what the n-gram adds to the logarithm of the shorter context's
+    known = words.unionByName(opening.select("key", F.lit(0).cast("long").alias("n"))).select("key", F.col("n").alias("c"), F.lit(0.0).alias("delta"))
+    states = words.where(F.col("n") >= least).unionByName(opening).withColumn("p", (F.col("n") + 1) / F.lit(float(total + types + 1)))
+    model = Model(int(total), int(types), [], [])
+    for level in range(1, order):
+        model.filters.append(_filter(states))
+        grams = stages.write(totals(level, list(model.filters), least), f"grams-{level}")
+        held = grams.groupBy(F.col("prefix").alias("key")).agg(F.sum(F.col("n") - F.lit(discount)).alias("held"))
+        failures = stages.write(held.join(states, "key").select("key", F.col("n").alias("of"), (1 - F.col("held") / F.col("n")).alias("failure")), f"failures-{level}")
+        shorter = states.select(F.col("key").alias("suffix"), F.col("p").alias("short"))
+        arcs = grams.join(failures.withColumnRenamed("key", "prefix"), "prefix").join(shorter, "suffix")
+        arcs = arcs.withColumn("p", (F.col("n") - F.lit(discount)) / F.col("of") + F.col("failure") * F.col("short"))
+        arcs = arcs.withColumn("delta", F.log10(F.col("p") / (F.col("failure") * F.col("short"))))
+        arcs = stages.write(arcs.select("key", "delta", *(["n", "p"] if level < order - 1 else [])), f"arcs-{level}")
+        stages.drop(f"grams-{level}")
+        model.values.append(_valued(known.join(failures.select("key", F.log10("failure").alias("leave")), "key", "left")))
+        known, states = arcs.select("key", F.lit(0).cast("long").alias("c"), "delta"), arcs.drop("delta")
+    model.filters.append(_filter(states))
+    model.values.append(_valued(known.withColumn("leave", F.lit(0.0))))
+    return model
 
-    names, counts = kept(counted)
-    model = Automaton(int(total), int(types), names, counts, [], [], [])
-    held_counts = np.append(counts, texts)  # of the states; a text's start is the last one
-    for level in range(order - 1):
-        shared = spark.sparkContext.broadcast(model)
 
-        def grams(batches: Iterator[pa.RecordBatch], level: int = level, shared=shared) -> Iterator[pa.RecordBatch]:
-            out, held, now = packed.Packer(count, ("key", "n")), [], shared.value
-            for piece in W.pieces(batches):
-                tokens, bounds = _tokens(piece.column("text"))
-                states = _states(now, tokens, bounds, level + 1)
-                opens = np.zeros(len(tokens), dtype=bool)
-                opens[bounds[:-1]] = True
-                state = _before(now, states[level], opens, level)
-                use = (state >= 0) & (states[0] >= 0)
-                held.append((state[use].astype(_U) << _U(32)) | states[0][use].astype(_U))
-                yield from sent(out, held, False)
-            yield from sent(out, held, True)
-
-        key, n = kept(totals(grams, f"grams-{level}"))
-        state = (key >> _U(32)).astype(np.int64)
-        weight = (n - discount) / held_counts[state]
-        model.keys.append(key)
-        model.weights.append(weight)
-        model.failure.append(1 - np.bincount(state, weights=weight, minlength=len(held_counts)))
-        held_counts = n
-    return model
+def _valued(known: DataFrame) -> DataFrame:
+    return known.select("key", "c", (F.col("delta") + F.coalesce("leave", F.lit(0.0))).alias("value"))
 
 
-def score_documents(docs: DataFrame, learn: str = "true", order: int = ORDER, keep_bits: int = KEEP_BITS, discount: float = DISCOUNT) -> DataFrame:
+def score_documents(docs: DataFrame, learn: str = "true", order: int = ORDER, least: int = LEAST, discount: float = DISCOUNT) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score, one row for each row of docs.
 
     Reads doc_id and text.  Rows for which the SQL condition ``learn`` holds
@@ -182,78 +190,85 @@ def score_documents(docs: DataFrame, learn: str = "true", order: int = ORDER, ke
     stages, count = Stages(spark, "lm"), buckets(spark)
     docs = plain(docs, doc_id="long", text="string")
     docs = docs.withColumn("learn", F.coalesce(F.expr(learn), F.lit(False))).withColumn("row", F.xxhash64("doc_id", "text"))
-    model = train(docs.where("learn").select("text"), stages, order, keep_bits, discount)
-    shared = spark.sparkContext.broadcast(model)
+    model = train(docs.where("learn").select("text"), stages, order, least, discount)
+    scale = float(np.log10(model.total + model.types + 1.0))
+    shared = spark.sparkContext.broadcast(model.filters)
 
-    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Sums of each text, but for its rare words; these leave in packed rows."""
-        now = shared.value
-        out = packed.Packer(count, ("name", "doc", "n"))
+    def sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in W.pieces(batches):
-            tokens, bounds = _tokens(piece.column("text"))
-            states = _states(now, tokens, bounds, order - 1)
-            opens = np.zeros(len(tokens), dtype=bool)
-            opens[bounds[:-1]] = True
-            word = states[0]
-            known = word >= 0
-            # log10 (c + 1) for kept words; the rare ones' is added by their bucket
-            base = np.zeros(len(tokens))
-            base[known] = np.log10(now.counts[word[known]] + 1.0)
-            scale = np.log10(now.total + now.types + 1.0)
-            p = np.where(known, 10 ** (base - scale), 1.0)
-            for level in range(order - 1):
-                state = _before(now, states[level], opens, level)
-                arc = now.next_states(level, state, word)
-                weight = np.append(now.weights[level], 0.0)[arc]
-                leave = np.append(now.failure[level], 1.0)[state]
-                p = weight + leave * p
-            row = piece.column("row").to_numpy()
-            learnt = piece.column("learn").to_numpy(zero_copy_only=False)
-            sizes = np.diff(bounds)
-            sums = [np.add.reduceat(x, bounds[:-1]) for x in (base, np.log10(p))]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(row), pa.nulls(len(row), pa.int32()), pa.array(sizes), pa.array(W.sums_by_text(known, bounds)), pa.array(sums[0] - sizes * scale),
-                 pa.array(sums[1] - (sizes - W.sums_by_text(known, bounds)) * scale), *[pa.nulls(len(row), pa.binary())] * 3],
-                names=_COLUMNS,
-            )
-            rare = np.flatnonzero(~known)
-            owner = np.repeat(np.arange(len(row)), sizes)[rare]
-            by = np.lexsort((tokens[rare], owner))
-            owner, name = owner[by], tokens[rare][by]
-            first = np.flatnonzero(np.append(True, (owner[1:] != owner[:-1]) | (name[1:] != name[:-1]))) if len(by) else by
-            n = np.diff(np.append(first, len(by)))
-            # a negative count marks a text that teaches
-            n = np.where(learnt[owner[first]], -n, n).astype(np.int32)
-            yield from map(_widened, out.add((W.mix(name[first]) % _U(count)).astype(np.int64), name[first], row[owner[first]], n))
-        yield from map(_widened, out.flush())
+            words = W.words_of(piece.column("text"), fold=True)
+            yield pa.RecordBatch.from_arrays([piece.column("row"), pa.array(words.counts + 1)], names=["row", "n_tokens"])
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = packed.Packer(count, ("key", "c", "value"))
+        for batch in batches:
+            key, c, value = (batch.column(name).to_numpy() for name in ("key", "c", "value"))
+            key = key.view(_U)
+            yield from out.add((W.mix(key) % _U(count)).astype(np.int64), key, c, value)
+            if out.size >= HELD:
+                yield from out.flush()
+        yield from out.flush()
 
     def summed(doc: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
         docs, to = np.unique(doc, return_inverse=True)
         return docs, [np.bincount(to, weights=x, minlength=len(docs)) for x in values]
 
-    def rare_sums(table: pa.Table) -> pa.Table:
-        """Each text's sums over the rare words of a bucket, in rows packed by text."""
-        name, doc, n = (packed.unpack(table, c, t) for c, t in (("name", _U), ("doc", np.int64), ("n", np.int32)))
-        _, at = np.unique(name, return_inverse=True)
-        c = np.bincount(at, weights=np.maximum(-n, 0))[at] if len(at) else np.zeros(0)
-        n = np.abs(n)
-        docs, (known, base) = summed(doc, n * (c > 0), n * np.log10(c + 1))
-        out = packed.Packer(count, ("doc", "known", "base"))
+    def answer(asked: pa.Table, kept: pa.Table) -> pa.Table:
+        """Each text's sums over the n-grams of a bucket, in rows packed by text."""
+        name, doc, n = (packed.unpack(asked, c, t) for c, t in (("name", _U), ("doc", np.int64), ("n", np.int32)))
+        key, c, value = (packed.unpack(kept, x, t) for x, t in (("key", _U), ("c", np.int64), ("value", np.float64)))
+        by = np.argsort(key)
+        key, c, value = key[by], c[by], value[by]
+        if len(key):
+            at = np.minimum(np.searchsorted(key, name), len(key) - 1)
+            hit = key[at] == name
+            at = at[hit]
+        else:
+            hit, at = np.zeros(len(name), dtype=bool), np.zeros(0, np.int64)
+        n = n[hit]
+        docs, sums = summed(doc[hit], n * (c[at] > 0), n * np.log10(c[at] + 1.0), n * value[at])
+        out = packed.Packer(count, ("doc", "known", "base", "score"))
         to = (W.mix(docs.view(_U)) % _U(count)).astype(np.int64)
-        return pa.Table.from_batches([*out.add(to, docs, known, base), *out.flush()])
+        batches = [*out.add(to, docs, *sums), *out.flush()]
+        return pa.Table.from_batches(batches, _ANSWER)
 
     def document_sums(table: pa.Table) -> pa.Table:
-        doc, known, base = (packed.unpack(table, c, t) for c, t in (("doc", np.int64), ("known", np.float64), ("base", np.float64)))
-        docs, (known, base) = summed(doc, known, base)
-        return pa.table({"row": docs, "n_known": known.astype(np.int64), "base": base})
-
-    walked = stages.write(docs.mapInArrow(walk, _SCHEMA), "walked")
-    rare = walked.where(F.col("bucket").isNotNull()).select("bucket", "name", "doc", "n")
-    rare = rare.groupBy("bucket").applyInArrow(rare_sums, packed.schema(("doc", "known", "base")))
-    rare = rare.groupBy("bucket").applyInArrow(document_sums, "row long, n_known long, base double")
-    parts = walked.where(F.col("bucket").isNull()).select("row", "n_tokens", "n_known", "base", "score", F.lit(1).alias("times")).unionByName(
-        rare.select("row", F.lit(0).alias("n_tokens"), "n_known", "base", F.col("base").alias("score"), F.lit(0).alias("times"))
-    )
+        doc, *values = (packed.unpack(table, c, t) for c, t in (("doc", np.int64), ("known", np.float64), ("base", np.float64), ("score", np.float64)))
+        docs, (known, base, score) = summed(doc, *values)
+        return pa.table({"row": docs, "n_known": known.astype(np.int64), "base": base, "score": score})
+
+    def sums_of(level: int) -> DataFrame:
+        def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            out = packed.Packer(count, ("name", "doc", "n"))
+            for piece in W.pieces(batches):
+                tokens, bounds = _tokens(piece.column("text"))
+                place, name, _, _ = _grams(tokens, bounds, level, shared.value)
+                owner = np.searchsorted(bounds, place, side="right") - 1
+                if level:
+                    may = _maybe(shared.value[level], name)
+                    owner, name = owner[may], name[may]
+                by = np.lexsort((name, owner))
+                owner, name = owner[by], name[by]
+                first = np.flatnonzero(np.append(True, (owner[1:] != owner[:-1]) | (name[1:] != name[:-1]))) if len(by) else by
+                n = np.diff(np.append(first, len(by))).astype(np.int32)
+                name = name[first]
+                yield from out.add((W.mix(name) % _U(count)).astype(np.int64), name, piece.column("row").to_numpy()[owner[first]], n)
+                if out.size >= HELD:
+                    yield from out.flush()
+            yield from out.flush()
+
+        asked = docs.select("text", "row").mapInArrow(ask, packed.schema(("name", "doc", "n")))
+        kept = model.values[level].mapInArrow(pack, packed.schema(("key", "c", "value")))
+        answered = asked.groupBy("bucket").cogroup(kept.groupBy("bucket")).applyInArrow(answer, packed.schema(("doc", "known", "base", "score")))
+        answered = answered.groupBy("bucket").applyInArrow(document_sums, "row long, n_known long, base double, score double")
+        return stages.write(answered, f"sums-{level}")
+
+    parts = docs.select("text", "row").mapInArrow(sizes, "row long, n_tokens long")
+    parts = parts.select("row", "n_tokens", F.lit(0).cast("long").alias("n_known"), (-scale * F.col("n_tokens")).alias("base"), F.lit(0.0).alias("score"), F.lit(1).alias("times"))
+    for level in reversed(range(order)):
+        parts = parts.unionByName(sums_of(level).select("row", F.lit(0).cast("long").alias("n_tokens"), "n_known", "base", "score", F.lit(0).alias("times")))
+        # lower levels read the tables of their own and the failures of the next
+        stages.drop(*([f"arcs-{level}", f"failures-{level + 1}"] if level else ["words", "failures-1"]))
     # equal rows of docs share a key: their sums are alike, so each has its part
     sums = parts.groupBy("row").agg(*[F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base", "score", "times")])
     return docs.select("doc_id", "learn", "row").join(sums, "row").select(
@@ -262,16 +277,8 @@ def score_documents(docs: DataFrame, learn: str = "true", order: int = ORDER, ke
         *[F.expr(f"{c} div times").alias(c) for c in ("n_tokens", "n_known")],
         F.lit(model.total).cast("long").alias("train_tokens"),
         (F.col("base") / F.col("times")).alias("base_score"),
-        (F.col("score") / F.col("times")).alias("score"),
+        ((F.col("base") + F.col("score")) / F.col("times")).alias("score"),
     )
 
 
-_COLUMNS = ["row", "bucket", "n_tokens", "n_known", "base", "score", "name", "doc", "n"]
-_SCHEMA = "row long, bucket int, n_tokens long, n_known long, base double, score double, name binary, doc binary, n binary"
-
-
-def _widened(batch: pa.RecordBatch) -> pa.RecordBatch:
-    """Packed rare words in the columns of ``walk``."""
-    k = batch.num_rows
-    blank = [pa.nulls(k, kind) for kind in (pa.int64(), pa.int64(), pa.float64(), pa.float64())]
-    return pa.RecordBatch.from_arrays([pa.nulls(k, pa.int64()), batch.column(0), *blank, *batch.columns[1:]], names=_COLUMNS)
+_ANSWER = pa.schema([("bucket", pa.int32()), *[(c, pa.binary()) for c in ("doc", "known", "base", "score")]])
