@@ -16,7 +16,7 @@ from tillroll.llm.backoff_lm import score_documents
 from tillroll.llm.decontaminate import clean_documents, contaminated
 from tillroll.llm.fertility import keep_good, measure
 from tillroll.llm.jaccard import jaccard_components, one_of_each
-from tillroll.llm.licences import scan_licences
+from tillroll.llm.licences import TEMPLATES, scan_licences
 from tillroll.llm.mixture import mix_sources, mixed_documents
 from tillroll.llm.recompress import remove_repeats
 from tillroll.llm.sharding import _capacity, _cuts, Positions, shard_documents
@@ -286,3 +286,36 @@ def test_language_model_keeps_rare_ngrams_of_a_large_corpus(spark):
     got = {(r["n_tokens"], round(r["score"], 6)) for r in score_documents(docs).collect()}
     want = {(len(_words(t)) + 1, round(_backoff(few | {filler: 30}, t), 6)) for t in few}
     assert want <= got
+
+
+def test_licence_blocks_across_lines_against_brute_force(spark):
+    def names(t):
+        return re.findall("[0-9a-z]+", t.lower())
+
+    def brute(text):
+        w, got, best = names(text), set(), 0.0
+        for label, templates in TEMPLATES.items():
+            for t in templates:
+                words = set(names(t))
+                reach = math.ceil(100 * len(names(t)) / 80)
+                top = max((len(words & set(w[i : i + reach])) / len(words) for i in range(len(w))), default=0.0)
+                if 100 * round(top * len(words)) >= 80 * len(words):
+                    got, best = got | {label}, max(best, top)
+        return ",".join(sorted(got)), best
+
+    mit, bsd = TEMPLATES["mit"][1], TEMPLATES["bsd"][0]
+    filler = " ".join(f"word{i}" for i in range(400))
+    texts = [t.replace(" ", "\n", k) for ts in TEMPLATES.values() for t in ts for k in (0, 1, 100)]
+    texts += [mit.replace("obtaining", "obtaining\n * "), mit + " " + bsd.replace(" ", "\n", 3), f"{filler} {mit} {filler} {mit}",
+              "released " + filler + " under the " + filler + " license", mit.replace(" ", " x "), filler, "the the the of of to", ""]
+    rng = np.random.default_rng(3)
+    texts += [" ".join(rng.permutation([*names(mit), *names(bsd)[: rng.integers(1, 19)], *["x"] * rng.integers(0, 6)])) for _ in range(60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r for r in scan_licences(docs, phrases={"no such phrase": "none"}).collect()}
+    for i, t in enumerate(texts):
+        labels, score = brute(t)
+        assert got[i]["labels"] == labels and math.isclose(got[i]["score"], score), t
+        assert (got[i]["n_blocks"] > 0) == (labels != "")
+    at = {t: i for i, t in enumerate(texts)}
+    assert got[at[f"{filler} {mit} {filler} {mit}"]]["n_blocks"] == 2
+    assert got[at["released " + filler + " under the " + filler + " license"]]["labels"] == ""

@@ -1,13 +1,15 @@
 """Licence text in documents: fixed phrases, and an exact set-similarity join with templates.
 
-Every line of a document is a block, a set of words.  A block matches a template
-when it holds the threshold's share of the template's words.  All template
+A block is a run of words of one text, across line breaks, and a set of words.  It
+matches a template of m words when it has at most m * 100 / percent words (so as
+many foreign ones as the threshold lets a template's own words be missing) and
+holds the threshold's share of the template's distinct words.  All template
 words stand in one order, rarest first by their count over the whole input.  A
 block can only match a template if it holds one of the first
-|T| - need + 1 words of it (prefix filter); it needs as many words as the
-template asks for (length filter), and from the place of its first prefix word
-enough of the template must be left (positional filter).  What passes is
-verified with the whole sets.
+|T| - need + 1 words of it (prefix filter); from the place of its first word in
+the order enough of the template is left then (positional filter).  It needs as
+many places of template words as the template asks for within its length (length
+filter).  What passes is verified with the whole sets.
 
 The templates are the stated query set: their words and order are the only data
 that all tasks get, and their size does not depend on the input.
@@ -16,6 +18,7 @@ that all tasks get, and their size does not depend on the input.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -60,43 +63,78 @@ def _names(text: str) -> np.ndarray:
 
 
 class TemplateIndex:
-    """The templates' words in the global order, and their prefixes."""
+    """The templates with their words in the global order."""
 
     def __init__(self, templates: dict[str, list[str]], percent: int, counts: dict[int, int]):
-        self.percent, self.labels, self.sets, self.needs = percent, [], [], []
+        self.templates: list[Template] = []
         vocabulary = {int(h) for texts in templates.values() for t in texts for h in _names(t)}
         self.order = {h: i for i, h in enumerate(sorted(vocabulary, key=lambda h: (counts.get(h, 0), h)))}
-        self.prefix: dict[int, list[tuple[int, int]]] = {}
         for label, texts in templates.items():
             for text in texts:
-                words = sorted({int(h) for h in _names(text)}, key=self.order.get)
+                sequence = _names(text)
+                words = sorted({int(h) for h in sequence}, key=self.order.get)
                 if not words:
                     continue
                 need = -(-percent * len(words) // 100)
-                for place, h in enumerate(words[: len(words) - need + 1]):
-                    self.prefix.setdefault(h, []).append((len(self.sets), place))
-                self.labels.append(label)
-                self.sets.append(frozenset(words))
-                self.needs.append(need)
+                prefix = np.array(sorted(words[: len(words) - need + 1]), dtype=_U)
+                self.templates.append(Template(label, np.array(sorted(words), dtype=_U), prefix, need, -(-100 * len(sequence) // percent)))
         self.known = np.array(sorted(vocabulary), dtype=_U)
-        self.openers = np.array(sorted(self.prefix), dtype=_U)
-
-    def matches(self, block: list[int]) -> list[tuple[int, float]]:
-        """(template, containment) of all templates that the block matches."""
-        held = sorted(set(block) & self.order.keys(), key=self.order.get)
-        found, tried = [], set()
-        for place, h in enumerate(held):
-            for t, at in self.prefix.get(h, ()):
-                need = self.needs[t]
-                # the first shared word: at most what follows it, in either set, is shared as well
-                if t in tried or min(len(self.sets[t]) - at, len(held) - place) < need:
-                    tried.add(t)
-                    continue
-                tried.add(t)
-                shared = len(self.sets[t].intersection(held))
-                if shared >= need:
-                    found.append((t, shared / len(self.sets[t])))
-        return found
+
+
+@dataclass
+class Template:
+    """words and prefix in the order of their names; a block has at most ``reach`` words and ``need`` of the template's."""
+
+    label: str
+    words: np.ndarray
+    prefix: np.ndarray
+    need: int
+    reach: int
+
+    def matches(self, place: np.ndarray, name: np.ndarray, opens: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(start, end, containment) by end of a matching block: the shortest block that ends there, and the
+        largest containment of one that does.  From the places and names of template words, and the
+        number of the first word of each one's text."""
+        none = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        use = _among(name, self.words)
+        place, name, opens = place[use], name[use], opens[use]
+        # a block holds a word of the prefix
+        early = place[_among(name, self.prefix)] if len(name) else place
+        if not len(early):
+            return none
+        after = np.searchsorted(early, place)
+        use = place - early[np.maximum(np.searchsorted(early, place, side="right") - 1, 0)]
+        use = (use >= 0) & (use < self.reach)
+        ahead = early[np.minimum(after, len(early) - 1)] - place
+        use |= (ahead >= 0) & (ahead < self.reach)
+        place, name, opens = place[use], name[use], opens[use]
+        low = np.maximum(place - self.reach + 1, opens)
+        # and as many places as the template asks for
+        enough = np.flatnonzero(np.arange(len(place)) - np.searchsorted(place, low) + 1 >= self.need)
+        if not len(enough):
+            return none
+        shared = np.zeros(len(enough), dtype=np.int64)
+        for h in self.words:
+            shared += self._last(place, name, h)[enough] >= low[enough]
+        found = enough[shared >= self.need]
+        if not len(found):
+            return none
+        latest = np.sort(np.stack([self._last(place, name, h)[found] for h in self.words]), axis=0)
+        return latest[-self.need], place[found], shared[shared >= self.need] / len(self.words)
+
+    @staticmethod
+    def _last(place: np.ndarray, name: np.ndarray, h: int) -> np.ndarray:
+        """At each place, the last one so far that has the word."""
+        return np.maximum.accumulate(np.where(name == h, place, -1))
+
+
+def _apart(start: np.ndarray, end: np.ndarray) -> list[int]:
+    """From blocks in the order of their ends (and starts): the first one, the first behind it, and so on."""
+    got, k = [], 0
+    while k < len(start):
+        got.append(k)
+        k = int(np.searchsorted(start, end[k], side="right"))
+    return got
 
 
 def _among(values: np.ndarray, ordered: np.ndarray) -> np.ndarray:
@@ -112,7 +150,9 @@ def scan_licences(docs: DataFrame, templates: dict[str, list[str]] | None = None
     first_word and last_word are the smallest and largest word number at which
     one starts (null without one).  base_labels has the phrases' labels, labels
     also those of the matched templates (distinct, sorted, comma-joined; the
-    empty string without any).  n_blocks counts the lines that match a template.
+    empty string without any).  n_blocks counts the blocks that match a template,
+    for each template from the left without overlap; blocks of several templates
+    that overlap count once.
     score is 1 where a phrase stands, else the largest containment among the
     matches, else 0.  Null text counts as empty; repeated rows give a row each;
     a null doc_id stays null; an empty table gives an empty result.  Other
@@ -154,21 +194,22 @@ def scan_licences(docs: DataFrame, templates: dict[str, list[str]] | None = None
                     base[i].add(label)
             more = [set(x) for x in base]
             score = np.where(n_base > 0, 1.0, 0.0)
-            n_blocks = np.zeros(n_texts, dtype=np.int64)
-            # lines that hold a word of some prefix are candidates
-            lines = W.scan(words.buf, words.bounds, separators=b"\n")
-            hits = np.flatnonzero(_among(names, index.openers))
-            line = np.unique(np.searchsorted(lines.start, words.start[hits], side="right") - 1)
-            low = np.searchsorted(words.start, lines.start[line])
-            high = np.searchsorted(words.start, lines.end[line])
-            owner = np.searchsorted(lines.first, line, side="right") - 1
-            enough = high - low >= min(index.needs)
-            for i, a, b in zip(owner[enough], low[enough], high[enough], strict=True):
-                found = index.matches(names[a:b].tolist())
-                n_blocks[i] += bool(found)
-                for t, share in found:
-                    more[i].add(index.labels[t])
-                    score[i] = max(score[i], share)
+            place = np.flatnonzero(_among(names, index.known)) if len(names) else np.zeros(0, np.int64)
+            opens = words.first[np.searchsorted(words.first, place, side="right") - 1]
+            blocks = [np.zeros((0, 2), np.int64)]
+            for template in index.templates:
+                start, end, share = template.matches(place, names[place], opens)
+                text = np.searchsorted(words.first, end, side="right") - 1
+                np.maximum.at(score, text, share)
+                for i in np.unique(text):
+                    more[i].add(template.label)
+                pick = _apart(start, end)
+                blocks.append(np.stack([start[pick], end[pick]], axis=1))
+            block = np.concatenate(blocks)
+            block = block[np.lexsort((block[:, 1], block[:, 0]))]
+            behind = np.ones(len(block), dtype=bool)
+            behind[1:] = block[1:, 0] > np.maximum.accumulate(block[:, 1])[:-1]
+            n_blocks = np.bincount(np.searchsorted(words.first, block[behind, 0], side="right") - 1, minlength=n_texts)
             some = n_base > 0
             yield pa.RecordBatch.from_arrays(
                 [piece.column("doc_id"), pa.array(words.counts), pa.array(n_base), pa.array(first, mask=~some), pa.array(last, mask=~some),
