@@ -21,7 +21,8 @@ from tillroll.llm.mixture import mix_sources, mixed_documents
 from tillroll.llm.recompress import remove_repeats
 from tillroll.llm.sharding import _capacity, _cuts, Positions, shard_documents
 from tillroll.llm.token_codes import Codes, encode, read_codes, write_codes
-from tillroll.llm.toxicity import score_toxicity, train
+from tillroll.llm.toxicity import _named, score_toxicity, train
+from tillroll.llm.words import word_hash
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, row string, hub string, size int"
 LONG = " ".join(f"w{i % 997}x{i}" for i in range(30_000))
@@ -319,3 +320,15 @@ def test_licence_blocks_across_lines_against_brute_force(spark):
     at = {t: i for i, t in enumerate(texts)}
     assert got[at[f"{filler} {mit} {filler} {mit}"]]["n_blocks"] == 2
     assert got[at["released " + filler + " under the " + filler + " license"]]["labels"] == ""
+
+
+def test_toxicity_learns_from_all_of_twenty_thousand_rows(spark):
+    # ten words, each in five toxic texts of 8000 rows: all five are needed
+    rows = [(i, f"plain talk number {i}" + (f" xq{i // 10 % 10}z" if i % 10 == 0 and i < 500 else ""), int(i % 10 == 0)) for i in range(8_000)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = train(table.select("doc_id", "text"), table.select("doc_id", "toxic"))
+    names = {int(_named(np.array([word_hash(f"xq{k}z")], dtype=np.uint64), 0)[0]) for k in range(10)}
+    assert names <= set(model.chosen.tolist())
+    few = spark.createDataFrame([(k, f"xq{k}z", 0) for k in range(10)] + [(10, "talk", 0)], "doc_id long, text string, toxic int")
+    score = {r["doc_id"]: r["score"] for r in score_toxicity(few, model).collect()}
+    assert all(score[k] > score[10] for k in range(10))

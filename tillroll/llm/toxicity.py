@@ -7,7 +7,9 @@ squared difference of the two scores.  So the model can't lean on the mention
 of a group: a neutral mention is scored as the same sentence about another.
 
 Learning is on the driver, from a bounded sample (``sample`` labelled rows, by
-smallest hash of doc_id); scoring covers every whole text in one pass.
+smallest hash of doc_id); features are counted and chosen from sums made on
+Spark, and only the chosen ones' values come to the driver.  Scoring covers every
+whole text in one pass.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ from tillroll.llm import words as W
 from tillroll.llm.tables import plain
 
 _U = np.uint64
-SAMPLE = 6_000
+SAMPLE = 20_000
 FEATURE_BITS = 20
 #: Besides the whole word, its first bytes are features: inflected forms share them.
 STEMS = (5, 6, 7, 8)
@@ -102,22 +104,21 @@ class Model:
 Features = tuple[np.ndarray, np.ndarray]
 
 
-def fit(rows: list[tuple[int, Features, Features | None]]) -> Model:
-    """From (label, (features, values), those of the swapped copy or None) by row."""
-    label = np.array([r[0] for r in rows], dtype=float)
-    n, positive = len(rows), int(label.sum())
-    if positive in (0, n):  # one class tells nothing
-        return Model(np.zeros(0, _U), np.zeros(0), float(np.log((positive + 1) / (n - positive + 1))))
-    owner = np.repeat(np.arange(n), [len(r[1][0]) for r in rows])
-    found = np.concatenate([r[1][0] for r in rows])
-    names, at = np.unique(found, return_inverse=True)
-    texts = np.bincount(at, minlength=len(names))
-    toxic = np.bincount(at, weights=label[owner], minlength=len(names))
+def choose(names: np.ndarray, texts: np.ndarray, toxic: np.ndarray, n: int, positive: int) -> np.ndarray:
+    """The features, in order, that tell best; of each one the texts and the toxic ones that have it, out of n and positive."""
+    by = np.argsort(names)
+    names, texts, toxic = names[by], texts[by], toxic[by]
     p1, p0, p = toxic / positive, (texts - toxic) / (n - positive), texts / n
     z = (p1 - p0) / np.sqrt(np.maximum(p * (1 - p), 1e-9) * (1 / positive + 1 / (n - positive)))
     strong = np.flatnonzero((texts >= MIN_TEXTS) & (np.abs(z) >= MIN_Z))
     strong = np.sort(strong[np.argsort(-np.abs(z[strong]), kind="stable")[:MAX_FEATURES]])
-    chosen = names[strong]
+    return names[strong]
+
+
+def fit(rows: list[tuple[int, Features, Features | None]], chosen: np.ndarray) -> Model:
+    """From (label, (features, values), those of the swapped copy or None) by row."""
+    label = np.array([r[0] for r in rows], dtype=float)
+    n, positive = len(rows), int(label.sum())
 
     def sparse(parts: list[Features]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         row = np.repeat(np.arange(len(parts)), [len(x[0]) for x in parts])
@@ -156,12 +157,30 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, identity: li
     """Learn from at most ``sample`` rows of labels (doc_id, toxic) whose text is in docs (doc_id, text).
 
     Rows with a null doc_id or label teach nothing.  The bound makes the labels
-    small enough to send to all tasks; features of the sample come to the driver.
+    small enough to send to all tasks; the chosen features' values come to the driver.
     """
     docs, labels = plain(docs, doc_id="long", text="string"), plain(labels, doc_id="long", toxic="int")
     few = labels.where("doc_id is not null and toxic is not null").orderBy(F.xxhash64("doc_id"), "doc_id", "toxic").limit(sample)
     old, new = _swaps(identity if identity is not None else IDENTITY)
 
+    taught = docs.join(F.broadcast(few), "doc_id").select("text", "toxic")
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in W.pieces(batches):
+            owner, found, _ = _counted(_all_features(features(piece.column("text"))))
+            names, at = np.unique(found, return_inverse=True)
+            label = piece.column("toxic").to_numpy()[owner]
+            sums = (np.bincount(at, weights=x, minlength=len(names)).astype(np.int64) for x in (np.ones(len(at)), label))
+            yield pa.RecordBatch.from_arrays([pa.array(names.view(np.int64)), *map(pa.array, sums)], names=["feature", "texts", "toxic"])
+
+    n, positive = taught.agg(F.count(F.lit(1)), F.coalesce(F.sum("toxic"), F.lit(0))).first()
+    if positive in (0, n):  # one class tells nothing
+        return Model(np.zeros(0, _U), np.zeros(0), float(np.log((positive + 1) / (n - positive + 1))))
+    counted = taught.mapInArrow(count, "feature long, texts long, toxic long").groupBy("feature").agg(F.sum("texts").alias("texts"), F.sum("toxic").alias("toxic"))
+    counted = counted.where(F.col("texts") >= MIN_TEXTS).toArrow()  # at most 2**FEATURE_BITS rows
+    names, texts, toxic = (counted.column(c).to_numpy() for c in ("feature", "texts", "toxic"))
+    chosen = choose(names.view(_U), texts, toxic, n, positive)
+
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in W.pieces(batches):
             words = features(piece.column("text"))
@@ -170,7 +189,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, identity: li
             mention = W.sums_by_text(hit, words.first) > 0
             columns = [piece.column("toxic")]
             for names in (None, np.where(hit, new[at], words.hash)):
-                owner, found, value = _counted(_all_features(words, names))
+                owner, found, value = _counted(_all_features(words, names), chosen)
                 cut = np.searchsorted(owner, np.arange(piece.num_rows + 1))
                 for x in (found.astype(np.uint32), value.astype(np.float32)):
                     blobs = [x[a:b].tobytes() for a, b in zip(cut, cut[1:], strict=False)]
@@ -178,13 +197,13 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, identity: li
             yield pa.RecordBatch.from_arrays(columns, names=["toxic", "a", "av", "b", "bv"])
 
     schema = "toxic int, a binary, av binary, b binary, bv binary"
-    rows = docs.join(F.broadcast(few), "doc_id").select("text", "toxic").mapInArrow(read, schema).collect()
+    rows = taught.mapInArrow(read, schema).collect() if len(chosen) else [(label, b"", b"", None, None) for (label,) in taught.select("toxic").collect()]
 
     def of(x: bytes | None, values: bytes) -> Features | None:
         return None if x is None else (np.frombuffer(x, np.uint32).astype(_U), np.frombuffer(values, np.float32))
 
-    rows = sorted(rows, key=lambda r: (r["toxic"], r["a"], r["av"]))
-    return fit([(r["toxic"], of(r["a"], r["av"]), of(r["b"], r["bv"])) for r in rows])
+    rows = sorted(rows, key=lambda r: (r[0], *(x or b"" for x in r[1:])))
+    return fit([(label, of(a, av), of(b, bv)) for label, a, av, b, bv in rows], chosen)
 
 
 def score_toxicity(docs: DataFrame, model: Model, limit: float = LIMIT) -> DataFrame:
