@@ -17,12 +17,15 @@ from pyspark.sql import functions as F
 from tillroll.llm.backoff_lm import score_documents
 from tillroll.llm.decontaminate import contaminated
 from tillroll.llm.fertility import measure
+from tillroll.llm.filter_audit import audit_filters
 from tillroll.llm.jaccard import jaccard_components
 from tillroll.llm.licences import scan_licences
 from tillroll.llm.mixture import mix_sources
+from tillroll.llm.prefix_hashes import fingerprint_documents
 from tillroll.llm.recompress import remove_repeats
 from tillroll.llm.sharding import shard_documents
 from tillroll.llm.tables import Stages
+from tillroll.llm.token_alignment import align_tokens
 from tillroll.llm.token_codes import read_codes, write_codes
 from tillroll.llm.toxicity import score_toxicity, train
 
@@ -82,11 +85,29 @@ def op10_mixture(spark: SparkSession, folder: str) -> DataFrame:
     return mix_sources(_table(spark, folder, "documents"))
 
 
+def op11_prefix_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprint_documents(_table(spark, folder, "documents"))
+
+
+def op12_token_alignment(
+    spark: SparkSession,
+    folder: str,
+    path_a: str = public_tokenizers.path("byte_bpe_50k.json"),
+    path_b: str = public_tokenizers.path("piece_bpe_32k.model"),
+) -> DataFrame:
+    return align_tokens(_table(spark, folder, "documents"), path_a, path_b)
+
+
+def op13_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return audit_filters(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_sharding, op2_token_codes, op3_licence_scan, op4_ngram_jaccard, op5_substring_dedup,
         op6_quality_rules, op7_toxicity, op8_backoff_lm, op9_decontamination, op10_mixture,
+        op11_prefix_fingerprints, op12_token_alignment, op13_filter_audit,
     )
 }
 
@@ -233,9 +254,48 @@ SELECT doc_id, held_out, count(*) AS n_tokens, count(c) AS n_known, CAST(any_val
 FROM t LEFT JOIN c USING (word), n GROUP BY doc_id, held_out
 """
 
+OP13 = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), l AS (
+  SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id
+), e AS (
+  SELECT text, min(doc_id) AS least FROM d GROUP BY text
+), m AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+    CASE WHEN len(w) < 200 THEN 1 ELSE 0 END + CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 2 ELSE 0 END
+    + CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 2 * length(text) THEN 4 ELSE 0 END
+    + CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 8 ELSE 0 END + CASE WHEN doc_id > least THEN 16 ELSE 0 END AS mask
+  FROM d JOIN e USING (text) LEFT JOIN l USING (doc_id)
+), c AS (
+  SELECT part, mask, count(*) AS n, count(*) FILTER (good) AS g, count(*) FILTER (toxic) AS t FROM m GROUP BY part, mask
+), grow(o) AS (
+  SELECT '' UNION ALL SELECT o || f FROM grow, (VALUES ('A'), ('B'), ('C'), ('D'), ('E')) v(f) WHERE length(o) < 5 AND position(f IN o) = 0
+), steps AS (
+  SELECT o, s, 1 << (ascii(substr(o, s, 1)) - 65) AS bit,
+    coalesce(list_sum(list_transform(range(1, s), lambda k: 1 << (ascii(substr(o, k, 1)) - 65))), 0)::BIGINT AS before
+  FROM grow, (SELECT unnest(range(1, 6))::INTEGER AS s) WHERE length(o) = 5
+), r AS (
+  SELECT part, o, s, bit,
+    sum(CASE WHEN mask & (before | bit) = 0 THEN n ELSE 0 END) AS kept,
+    sum(CASE WHEN mask & before = 0 AND mask & bit > 0 THEN n ELSE 0 END) AS removed,
+    sum(CASE WHEN mask & before > 0 AND mask & bit > 0 THEN n ELSE 0 END) AS redundant,
+    sum(CASE WHEN mask = bit THEN n ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN mask & before = 0 AND mask & bit > 0 THEN g ELSE 0 END) AS good_lost,
+    sum(CASE WHEN mask & before = 0 AND mask & bit > 0 THEN t ELSE 0 END) AS toxic_lost
+  FROM c, steps GROUP BY part, o, s, bit
+)
+SELECT part, o AS filter_order, s AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+  CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+  CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley
+FROM r
+"""
+
 ORACLES: dict[str, str] = {
     "op4_ngram_jaccard": OP4,
     "op5_substring_dedup": OP5,
     "op9_decontamination": OP9,
     "op10_mixture": OP10,
+    "op13_filter_audit": OP13,
 }
