@@ -5,8 +5,8 @@ the same bytes (a space, then the text) into tokens.  Where an A token and a B
 token end together and the next token of both begins with a space stands an
 anchor.  Anchors cut a document into windows, mostly of one word, and the ids of
 a window decide its alignment: the groups between its shared ends, and the
-pairs of ids that share a group.  So each distinct window is aligned once and
-remembered by its ids; the rest is arithmetic on arrays.
+pairs of ids that share a group.  So each distinct window is aligned once (all new
+ones of a batch together) and remembered by its ids.
 
 Scale: texts are tokenised once and leave a table of each document's distinct
 pairs.  The numbers of documents for each pair are summed in the tasks before
@@ -33,9 +33,9 @@ from tillroll.llm.vocab import WordCoder
 
 _U = np.uint64
 COMMON = 1_000_000
-KEEP_WINDOWS = 300_000
-KEEP_PAIRS = 1_000_000
-PIECE_BYTES = 2 << 20
+KEEP_WINDOWS = 500_000
+KEEP_PAIRS = 2_000_000
+PIECE_BYTES = 1 << 20
 SPACE = 0x20
 
 
@@ -51,7 +51,10 @@ def _unit_starts(buf: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     one, two, three = buf[at - 1], buf[np.maximum(at - 2, 0)], buf[np.maximum(at - 3, 0)]
     wide = (two == 0xC2) & ((one == 0x85) | (one == 0xA0)) | (three == 0xE1) | (three == 0xE2)
     wide |= (three == 0xE3) & (two == 0x80) & (one == 0x80)
-    return np.union1d(at[(one > SPACE) & (one != 0x7F) & ~wide], bounds[:-1])
+    is_start = np.zeros(len(buf) + 1, bool)
+    is_start[at[(one > SPACE) & (one != 0x7F) & ~wide]] = True
+    is_start[bounds[:-1]] = True
+    return np.flatnonzero(is_start)
 
 
 class Vocabulary:
@@ -114,56 +117,110 @@ def piece_vocabulary(path: str) -> Vocabulary:
     return _loaded[path]
 
 
-def align(a_ids: list[int], a_ends: list[int], b_ids: list[int], b_ends: list[int]) -> list[tuple[list[int], list[int]]]:
-    """The groups (A ids, B ids) between the shared ends of one window."""
-    groups, i, j = [], 0, 0
-    while i < len(a_ids):
-        k, m = i, j
-        while a_ends[k] != b_ends[m]:
-            if a_ends[k] < b_ends[m]:
-                k += 1
-            else:
-                m += 1
-        groups.append((a_ids[i : k + 1], b_ids[j : m + 1]))
-        i, j = k + 1, m + 1
-    return groups
+def _digits(n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The decimal digits of 0 to n - 1 one after another, where each starts, and its length."""
+    texts = [str(i).encode() for i in range(n)]
+    sizes = np.array([len(t) for t in texts], np.int64)
+    return np.frombuffer(b"".join(texts), np.uint8), np.cumsum(sizes) - sizes, sizes
+
+
+_COMMA, _BAR, _SEMICOLON = b",|;"
+
+
+class Alignment:
+    """The groups of windows that stand one after another, all at once.
+
+    ``sides`` holds for A and B the ids, the tokens' byte lengths and the tokens
+    of each window.  A window has the same bytes on both sides, so over all windows a group ends
+    wherever the running byte counts of both sides meet.
+    """
+
+    def __init__(self, sides: list[tuple[np.ndarray, np.ndarray, np.ndarray]]):
+        (a, a_sizes, a_counts), (b, b_sizes, b_counts) = sides
+        windows = len(a_counts)
+        ends = [np.cumsum(x) for x in (a_sizes, b_sizes)]
+        shared = ends[0][_among(ends[0], ends[1])]
+        last = np.cumsum(a_counts) - 1
+        self._window = np.searchsorted(ends[0][last], shared)  # of each group
+        self.n_groups = np.bincount(self._window, minlength=windows)
+        group = [np.searchsorted(shared, e) for e in ends]  # of each token
+        self._counts = [np.bincount(g, minlength=len(shared)) for g in group]
+        self._group, self._ids, self._windows = group, (a, b), windows
+
+    def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(pairs of each window, code, times): the distinct id pairs that share a group."""
+        (ga, _), (a, b), (_, nb) = self._group, self._ids, self._counts
+        first = np.cumsum(nb) - nb
+        times = nb[ga]
+        codes = np.repeat(a.astype(_U) << _U(32), times) | b[W.ranges(first[ga], times)]
+        window = np.repeat(self._window[ga], times)
+        order = np.lexsort((codes, window))
+        codes, window = codes[order], window[order]
+        opens = np.flatnonzero(np.r_[True, (codes[1:] != codes[:-1]) | (window[1:] != window[:-1])]) if len(codes) else np.zeros(0, np.int64)
+        return np.bincount(window[opens], minlength=self._windows), codes[opens], np.diff(np.r_[opens, len(codes)])
+
+    def texts(self, digits: tuple[np.ndarray, np.ndarray, np.ndarray]) -> list[bytes]:
+        """Each window's groups as text, a semicolon behind every one."""
+        flat, starts, sizes = digits
+        na, nb = self._counts
+        before = np.cumsum(na + nb) - na - nb
+        at, mark = np.empty(int((na + nb).sum()), np.int64), np.empty(int((na + nb).sum()), np.uint8)
+        for (ids, group, n, shift, last) in zip(self._ids, self._group, (na, nb), (0, na), (_BAR, _SEMICOLON), strict=True):
+            first = np.cumsum(n) - n
+            place = (before + shift)[group] + np.arange(len(ids)) - first[group]
+            at[place] = ids
+            mark[place] = _COMMA
+            mark[(before + shift + n - 1)] = last
+        wide = sizes[at]
+        ends = np.cumsum(wide + 1)
+        out = np.empty(int(ends[-1]) if len(ends) else 0, np.uint8)
+        out[W.ranges(ends - wide - 1, wide)] = flat[W.ranges(starts[at], wide)]
+        out[ends - 1] = mark
+        tokens = np.bincount(self._window, weights=na + nb, minlength=self._windows).astype(np.int64)
+        cut = [0, *ends[np.cumsum(tokens) - 1].tolist()]
+        raw = out.tobytes()
+        return [raw[i:j] for i, j in zip(cut, cut[1:], strict=False)]
+
+
+def _among(places: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """Which of the ascending ``places`` are among the ascending ``others``."""
+    if not len(others):
+        return np.zeros(len(places), bool)
+    return others[np.minimum(np.searchsorted(others, places), len(others) - 1)] == places
 
 
 class Windows:
-    """Alignments by window: a number for each distinct pair of id tuples, and flat arrays of what it holds."""
+    """The memo: alignments of the windows met so far, found by the 64-bit names of their id tuples."""
 
-    def __init__(self):
+    def __init__(self, ids: int):
+        self._digits = _digits(ids)
         self.clear()
 
     def clear(self) -> None:
-        self.numbers: dict[tuple[bytes, bytes], int] = {}
-        self.text: list[str] = []
-        self.n_groups, self.n_pairs, self.first, self.codes, self.times = [], [], [], [], []
-        self.size = 0
-
-    def number(self, a_ids: np.ndarray, a_sizes: np.ndarray, b_ids: np.ndarray, b_sizes: np.ndarray) -> int:
-        key = a_ids.tobytes(), b_ids.tobytes()
-        known = self.numbers.get(key)
-        if known is None:
-            known = self.numbers[key] = len(self.text)
-            groups = align(a_ids.tolist(), a_sizes.cumsum().tolist(), b_ids.tolist(), b_sizes.cumsum().tolist())
-            pairs: dict[int, int] = {}
-            for xs, ys in groups:
-                for x in xs:
-                    for y in ys:
-                        pairs[x << 32 | y] = pairs.get(x << 32 | y, 0) + 1
-            self.text.append(";".join(f"{','.join(map(str, xs))}|{','.join(map(str, ys))}" for xs, ys in groups))
-            self.n_groups.append(len(groups))
-            self.n_pairs.append(len(pairs))
-            self.first.append(self.size)
-            self.codes.extend(pairs)
-            self.times.extend(pairs.values())
-            self.size += len(pairs)
-        return known
+        self.names, self.slots = np.zeros(0, _U), np.zeros(0, np.int64)
+        self.text: list[bytes] = []
+        self.n_groups, self.n_pairs, self.times = (np.zeros(0, np.int64) for _ in range(3))
+        self.codes = np.zeros(0, _U)
+
+    def slots_of(self, names: np.ndarray, sides) -> np.ndarray:
+        """The slots of windows by their (distinct, ascending) names; ``sides(k)`` gives those to be aligned."""
+        known = _among(names, self.names)
+        new = np.flatnonzero(~known)
+        if len(new):
+            found = Alignment(sides(new))
+            n_pairs, codes, times = found.pairs()
+            slots = np.concatenate([self.slots, len(self.text) + np.arange(len(new))])
+            merged = np.concatenate([self.names, names[new]])
+            order = np.argsort(merged, kind="stable")
+            self.names, self.slots = merged[order], slots[order]
+            self.text += found.texts(self._digits)
+            self.n_groups, self.n_pairs = np.concatenate([self.n_groups, found.n_groups]), np.concatenate([self.n_pairs, n_pairs])
+            self.codes, self.times = np.concatenate([self.codes, codes]), np.concatenate([self.times, times])
+        return self.slots[np.searchsorted(self.names, names)]
 
     @property
     def full(self) -> bool:
-        return len(self.text) > KEEP_WINDOWS or self.size > KEEP_PAIRS
+        return len(self.text) > KEEP_WINDOWS or len(self.codes) > KEEP_PAIRS
 
 
 _windows: dict[tuple[str, str], Windows] = {}
@@ -174,7 +231,9 @@ class Aligned:
 
     def __init__(self, texts: pa.Array, path_a: str, path_b: str):
         a, b = byte_vocabulary(path_a), piece_vocabulary(path_b)
-        self.memo = _windows.setdefault((path_a, path_b), Windows())
+        if (path_a, path_b) not in _windows:
+            _windows[path_a, path_b] = Windows(max(len(a.sizes), len(b.sizes)))
+        self.memo = _windows[path_a, path_b]
         if self.memo.full:
             self.memo.clear()
         buf, bounds = W.buffer_of(texts)
@@ -208,8 +267,11 @@ class Aligned:
             opens.append(token_ends[-1] - v.sizes[ids])
         # anchors: the texts' ends, and shared ends at which both next tokens begin with a space
         spaced = [o[v.spaced[i]] for o, i, (v, _, _) in zip(opens, self.ids, sides, strict=True)]
-        anchors = np.union1d(np.intersect1d(*spaced, assume_unique=True), text_ends)
-        self.ends = anchors = anchors[anchors > 0]
+        is_anchor = np.zeros(int(text_ends[-1]) + 1 if n else 1, bool)
+        is_anchor[spaced[0][_among(*spaced)]] = True
+        is_anchor[text_ends] = True
+        is_anchor[0] = False
+        anchors = np.flatnonzero(is_anchor)
         self.owner = np.searchsorted(text_ends, anchors, side="left")
         cuts = [np.concatenate([[0], np.searchsorted(t, anchors, side="right")]) for t in token_ends]
         self.counts = [np.bincount(np.searchsorted(text_ends, t, side="left"), minlength=n) for t in token_ends]
@@ -247,19 +309,22 @@ class Aligned:
             sums = np.concatenate([[_U(0)], np.cumsum(W.mix(ids.astype(_U) + (place.astype(_U) << _U(32)) + _U(1)))])
             named.append(sums[cut[1:]] - sums[cut[:-1]])
         names = W.mix(named[0]) + named[1]
-        _, first, back = np.unique(names, return_index=True, return_inverse=True)
-        (a, b), (sa, sb), memo = self.ids, self.sizes, self.memo
-        (ca, cb) = (c.tolist() for c in cuts)
-        numbers = [
-            memo.number(a[ca[k] : ca[k + 1]], sa[ca[k] : ca[k + 1]], b[cb[k] : cb[k + 1]], sb[cb[k] : cb[k + 1]]) for k in first.tolist()
-        ]
-        self.windows = np.array(numbers, np.int64)[back] if numbers else np.zeros(0, np.int64)
+        distinct, first, back = np.unique(names, return_index=True, return_inverse=True)
+
+        def sides(new: np.ndarray):
+            picked = first[new]
+            for ids, sizes, cut in zip(self.ids, self.sizes, cuts, strict=True):
+                counts = cut[picked + 1] - cut[picked]
+                at = W.ranges(cut[picked], counts)
+                yield ids[at], sizes[at], counts
+
+        self.windows = self.memo.slots_of(distinct, lambda new: list(sides(new)))[back] if len(names) else np.zeros(0, np.int64)
 
     def rows(self) -> tuple[list[np.ndarray], list[str], np.ndarray, np.ndarray, np.ndarray]:
         """[n_a, n_b, n_groups, n_links], digests; and each text's distinct pairs: bounds, codes, links."""
         memo, n = self.memo, len(self.texts)
-        groups, pairs, first = (np.array(x, np.int64) for x in (memo.n_groups, memo.n_pairs, memo.first))
-        codes, times = np.array(memo.codes, _U), np.array(memo.times, np.int64)
+        groups, pairs, codes, times = memo.n_groups, memo.n_pairs, memo.codes, memo.times
+        first = np.cumsum(pairs) - pairs
         cut = np.searchsorted(self.owner, np.arange(n + 1))
         n_groups = W.sums_by_text(groups[self.windows], cut) if n else np.zeros(0, np.int64)
         # a text's distinct windows, then its distinct pairs
@@ -275,7 +340,7 @@ class Aligned:
         owner, found = owner[opens], found[opens]
         bounds = np.searchsorted(owner, np.arange(n + 1))
         text, numbers, cut = memo.text, self.windows.tolist(), cut.tolist()
-        digests = [hashlib.sha256(";".join([text[w] for w in numbers[a:b]]).encode()).hexdigest() for a, b in zip(cut, cut[1:], strict=False)]
+        digests = [hashlib.sha256(b"".join([text[w] for w in numbers[a:b]])[:-1]).hexdigest() for a, b in zip(cut, cut[1:], strict=False)]
         columns = [np.zeros(self.n, np.int64) for _ in range(4)]
         for c, v in zip(columns, [*self.counts, n_groups, W.sums_by_text(links, bounds)], strict=True):
             c[self.texts] = v
