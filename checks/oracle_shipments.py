@@ -131,3 +131,10 @@ def not_received_sql(mode, start, end, vendor=None, filter_type="All Locations",
             final += f" UNION ALL SELECT DISTINCT * FROM ({warehouse} WHERE ShipmentType = '{X.WAREHOUSE_TYPE}')"
     body = _chain(filter_type, dyn, *ctes) + final
     return with_standins(body) if standins else body
+
+
+def positions_sql(mode: str, start: str, end: str, vendor: str | None = None) -> str:
+    """The report and each row's place in its order (dates as the text they are shown as)."""
+    order = "Location, ShipmentDate, ShipmentNumber, ShipmentType" + (", Vendor" if mode == "vendor" else "")
+    firsts = ", ".join(f"{c} ASC NULLS FIRST" for c in order.split(", "))
+    return f"SELECT *, row_number() OVER (ORDER BY {firsts}) AS position FROM ({not_received_sql(mode, start, end, vendor)})"

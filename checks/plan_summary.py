@@ -62,7 +62,7 @@ def fact_side(spark, sf_dir) -> dict:
     from tillroll.sources.standins import standin_tables
 
     t = standin_tables(spark, sf_dir)
-    keys = run_profit(t, AS_OF, overlap=False).weights.keys
+    keys = run_profit(t, AS_OF).weights.keys
     return {
         "fact side: receipt_sums (current receipts)": R.receipt_sums(t["receipt_header"], t["receipt_detail"], keys),
         "fact side: legacy_sums": R.legacy_sums(t["pop_receipt_header"], t["pop_receipt_line"], keys),

@@ -6,13 +6,17 @@ full; parameters are the reports' own (date range, store filter, vendor).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from checks import oracle_shipments as OS
 from tillroll.operators import shipments as S
+from tillroll.operators.order import with_position
 from tillroll.plans.shipment_report import shipment_not_received
+from tillroll.plans.stages import checkpoint_dir, checkpointed
+from tillroll.sources import canonical_tables, ingest_tables, load_tables
 from tillroll.sources.standins import standin_tables
 
 # Fixed report parameters used by the registered queries.
@@ -85,6 +89,16 @@ def q_nr_vendor(spark, sf_dir):
     return shipment_not_received(standin_tables(spark, sf_dir), SR_START, SR_END, "All Locations", None, SR_VENDOR)
 
 
+@register("not_received_cdc_positions", OS.positions_sql("cdc", SR_START, SR_END))
+def q_nr_cdc_positions(spark, sf_dir):
+    return with_position(q_nr_cdc(spark, sf_dir), S.CDC_ORDER, checkpointed)
+
+
+@register("not_received_vendor_positions", OS.positions_sql("vendor", SR_START, SR_END, SR_VENDOR))
+def q_nr_vendor_positions(spark, sf_dir):
+    return with_position(q_nr_vendor(spark, sf_dir), S.VENDOR_ORDER, checkpointed)
+
+
 def _filter_query(key: str, ftype: str, dyn: str):
     @register(f"not_received_all_{key}", OS.not_received_sql("all", SR_START, SR_END, None, ftype, dyn))
     def q(spark, sf_dir):
@@ -97,11 +111,44 @@ for _k, (_ft, _dyn) in STORE_FILTERS.items():
     _filter_query(_k, _ft, _dyn)
 
 
+# ---- the same reports on carelessly written codes (mixed case, trailing blanks) ----
+
+
+def _ingested(spark, sf_dir):
+    """The rough tables after ingestion: with stamped shadow columns, which the jobs must find."""
+
+    def build():
+        base = f"{checkpoint_dir(spark).rstrip('/')}/ingested-{uuid.uuid4().hex}"
+        ingest_tables(standin_tables(spark, sf_dir, rough=True), base)
+        return canonical_tables(load_tables(spark, base), require_stamp=True)
+
+    return _shared("ingested", spark, sf_dir, build)
+
+
+@register("not_received_all_rough", OS.not_received_sql("all", SR_START, SR_END))
+def q_nr_all_rough(spark, sf_dir):
+    return shipment_not_received(standin_tables(spark, sf_dir, rough=True), SR_START, SR_END, "ALL locations  ", None, "all")
+
+
+@register("not_received_all_rdc_rough", OS.not_received_sql("all", SR_START, SR_END, None, *STORE_FILTERS["rdc"]))
+def q_nr_rdc_rough(spark, sf_dir):
+    return shipment_not_received(standin_tables(spark, sf_dir, rough=True), SR_START, SR_END, "rdc ", "00002 ", "All")
+
+
+@register("not_received_all_state_ingested", OS.not_received_sql("all", SR_START, SR_END, None, *STORE_FILTERS["state"]))
+def q_nr_state_ingested(spark, sf_dir):
+    return shipment_not_received(_ingested(spark, sf_dir), SR_START, SR_END, "state", "st1 ", "All")
+
+
+@register("not_received_vendor_ingested", OS.not_received_sql("vendor", SR_START, SR_END, SR_VENDOR))
+def q_nr_vendor_ingested(spark, sf_dir):
+    return shipment_not_received(_ingested(spark, sf_dir), SR_START, SR_END, "All Locations", None, SR_VENDOR)
+
+
 # ---- tracked items (M1-M7) -----------------------------------------------
 
 from checks import oracle_profit as OP  # noqa: E402
 from tillroll.operators import items as I  # noqa: E402
-from tillroll.plans.stages import checkpointed  # noqa: E402
 
 AS_OF = OP.AS_OF
 
@@ -208,12 +255,19 @@ def q_profit(spark, sf_dir):
     return _run(spark, sf_dir).report
 
 
-# ---- audits and the report sink (M16, M23-M25, S9) -------------------------
+@register("profit_by_title_rough", OP.profit())
+def q_profit_rough(spark, sf_dir):
+    return PJ.run_profit(standin_tables(spark, sf_dir, rough=True), AS_OF).report
+
 
-import uuid  # noqa: E402
+@register("profit_by_title_ingested", OP.profit())
+def q_profit_ingested(spark, sf_dir):
+    return PJ.run_profit(_ingested(spark, sf_dir), AS_OF).report
+
+
+# ---- audits and the report sink (M16, M23-M25, S9) -------------------------
 
 from tillroll.operators import audit as A  # noqa: E402
-from tillroll.plans.stages import checkpoint_dir  # noqa: E402
 
 
 @register("dup_reorderable_report_codes", OP.dup_report_codes())
@@ -221,17 +275,61 @@ def q_dup_codes(spark, sf_dir):
     return A.duplicate_keys(_item_stages(spark, sf_dir).reorderables, ["ReportItemCode"])
 
 
+def _report(spark, sf_dir):
+    """The dry run, written once: the audits read it several times."""
+    return _shared("report", spark, sf_dir, lambda: checkpointed(_run(spark, sf_dir).report)[0])
+
+
+def _stored(spark, sf_dir):
+    """The report as the last refresh stored it."""
+
+    def build():
+        base = f"{checkpoint_dir(spark).rstrip('/')}/reports/audited-{uuid.uuid4().hex}"
+        PJ.refresh_report(_report(spark, sf_dir), base)
+        return PJ.read_report(spark, base)
+
+    return _shared("stored", spark, sf_dir, build)
+
+
 @register("dup_report_items", OP.dup_report_items())
 def q_dup_items(spark, sf_dir):
-    return A.duplicate_keys(_run(spark, sf_dir).report, ["ItemCode"])
+    return A.duplicate_keys(_report(spark, sf_dir), ["ItemCode"])
 
 
 @register("trace_duplicated_items", OP.trace_duplicated_items())
 def q_trace(spark, sf_dir):
-    report = _run(spark, sf_dir).report
+    report = _report(spark, sf_dir)
     return A.item_trace(report, A.duplicate_keys(report, ["ItemCode"]))
 
 
+@register("trace_listed_items", OP.trace_listed_items())
+def q_trace_list(spark, sf_dir):
+    return A.item_trace(_stored(spark, sf_dir), OP.LISTED_ITEMS)
+
+
+@register("key_audits", OP.key_audits())
+def q_key_audits(spark, sf_dir):
+    report = _report(spark, sf_dir)
+    return A.key_audits({
+        "stored report: ItemCode": (_stored(spark, sf_dir), ["ItemCode"]),
+        "fresh report: ItemCode": (report, ["ItemCode"]),
+        "fresh report: Title, VendorID": (report, ["Title", "VendorID"]),
+        "reorderables: ReportItemCode": (_item_stages(spark, sf_dir).reorderables, ["ReportItemCode"]),
+    })
+
+
+@register("report_diff", OP.report_diff())
+def q_report_diff(spark, sf_dir):
+    """An older stored report (items priced, dropped, listed twice by rules on their codes) against a fresh run."""
+    fresh = _report(spark, sf_dir)
+    older = fresh.selectExpr(*[f"{OP.OLDER.get(c, c)} AS {c}" for c in fresh.columns], f"explode(sequence(1, {OP.OLDER_TIMES})) AS _k")
+    base = f"{checkpoint_dir(spark).rstrip('/')}/reports/older-{uuid.uuid4().hex}"
+    PJ.refresh_report(older.filter(f"NOT ({OP.OLDER_MISSING})"), base)
+    missing = fresh.filter("right(ItemCode, 2) = '05'")  # and the older one holds what the fresh run lacks
+    return A.report_diff(PJ.read_report(spark, base), fresh.join(missing.select("ItemCode").distinct(), "ItemCode", "left_anti").select(*fresh.columns),
+                         ["ItemCode"], ("UpdateDate",))
+
+
 @register("family_fanout", OP.family_fanout())
 def q_fanout(spark, sf_dir):
     st = _item_stages(spark, sf_dir)

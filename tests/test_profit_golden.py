@@ -1,18 +1,22 @@
 """Golden fixture for the profit roll-up.
 
-The fixture is loaded into Spark and into DuckDB; DuckDB runs the oracle's
-literal SQL (bag item set, row-by-row fact joins, correlated subqueries), so
-every stage of the weighted, pre-aggregated Spark plan is checked against
-the direct form, and a few rules are also asserted by hand.
+The fixture is loaded into Spark and into DuckDB, which runs the oracle's SQL.
+As that SQL sums by code too, the stages are also checked against a plain Python
+run over item rows and fact rows (``model_profit``), and some rules by hand.
 """
 
+import copy
+import dataclasses
+from collections import Counter
 from decimal import Decimal
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from checks import oracle_profit as OP
 from checks.compare import compare
+from tests import model_profit as model
 from tests.tables import SCHEMAS, D, T, make_tables, pad20
 from tillroll.operators import audit as A
 from tillroll.plans import profit_job as PJ
@@ -246,15 +250,47 @@ def test_audits(run):
 
 
 def _rows(df):
-    from collections import Counter
-
     return Counter(tuple(r) for r in df.collect())
 
 
-def test_overlapped_fact_sums_equal_the_plain_path(spark, run):
-    plain = PJ.run_profit(make_tables(spark, **ROWS), AS_OF, overlap=False)
-    assert run._sums is not None and plain._sums is None
-    assert _rows(run.report) == _rows(plain.report)
+def test_feeds_from_the_start_equal_those_on_demand(spark, run):
+    early = PJ.run_profit(make_tables(spark, **ROWS), AS_OF, feeds=PJ.FEEDS)
+    assert set(early._sums) == set(PJ.FEEDS)
+    assert _rows(early.report) == _rows(run.report)
+
+
+def test_a_measure_sums_its_own_feed_only(spark):
+    one = PJ.run_profit(make_tables(spark, **ROWS), AS_OF)
+    one.store_sales.collect()
+    assert set(one._sums) == {"sales"} and "items" not in vars(one.items) and "flipped" not in vars(one.items)
+
+
+def check_against_model(run, rows):
+    """The job's stages against a plain Python run over item rows and fact rows."""
+    bag = model.items(rows, AS_OF)
+    names = ["Title", "ItemCode", "ReportItemCode", "ISBN", "Cost", "Price", "MSRP", "SectionCode", "VendorID", "OrgPO", "OrgBuyer"]
+    got = {tuple(r[c] for c in names): r["n"] for r in run.items.items.collect()}
+    assert got == dict(Counter(bag))
+    assert _rows(run.receipts_feeds.select("ItemCode", "RcvdDate", "RcvdQty", "RcvdAmt")) == model.receipts(bag, rows)
+    assert _rows(run.legacy_receipts.select("ItemCode", "RcvdDate", "RcvdQty", "RcvdAmt")) == model.legacy(bag, rows)
+    assert _rows(run.store_ship.select("ItemCode", "HPBShipQty", "HPBShipAmt")) == model.store_ship(bag, rows)
+    sales = run.store_sales.select("ItemCode", "HPBSoldQty", "HPBSoldAmt", "HPBAvgSoldAmt", "HPBmarkdowns")
+    assert _rows(sales) == model.store_sales(bag, rows)
+    assert _rows(run.wholesale.select("ITEMNMBR", "TTBSoldQty", "TTBSoldAmt", "TTBAvgSoldAmt")) == model.wholesale(bag, rows)
+
+
+def test_stages_equal_a_plain_python_run(run):
+    check_against_model(run, ROWS)
+
+
+def test_a_wrong_weight_is_noticed(run):
+    wrong = dataclasses.replace(run.weights, by_code=run.weights.by_code.withColumn("n", F.col("n") + 1))
+    broken = copy.copy(run)
+    for name in ("receipts_feeds", "legacy_receipts", "store_sales", "wholesale", "wholesale_feeds"):
+        broken.__dict__.pop(name, None)
+    broken.weights = wrong
+    with pytest.raises(AssertionError):
+        check_against_model(broken, ROWS)
 
 
 def test_money_mode_switch_reaches_the_percent_text(spark):

@@ -137,6 +137,6 @@ def test_received_and_open_partition_the_shipments(tables):
     stores = S.resolve_locations(tables["locations"], tables["report_locations"], "All Locations")
     ships = S.shipments_in_range(tables["shipment_header"], tables["shipment_detail"], stores, START, END, "all")
     rec = {r.ShipmentNo for r in S.received_shipments(ships, tables["sr_header"], tables["sr_detail"]).collect()}
-    opened = {r.ShipmentNumber for r in S.not_received_cdc(ships, S.received_shipments(ships, tables["sr_header"], tables["sr_detail"])).collect()}
+    opened = {r.ShipmentNumber for r in S.not_received_cdc(S.not_received(ships, S.received_shipments(ships, tables["sr_header"], tables["sr_detail"]))).collect()}
     allships = {r.ShipmentNo for r in ships.collect()}
     assert rec | opened == allships and not (rec & opened)

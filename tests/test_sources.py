@@ -1,15 +1,9 @@
-"""Ingest normalisation and the stand-in registry."""
+"""The stand-in registry."""
 
-from tillroll.sources import TABLES, normalize_table
+from tillroll.sources import TABLES
 from tillroll.sources.standins import STANDIN_SQL, duckdb_standin_sql, standin_sources
 
 
-def test_flags_upper_trimmed_keys_trimmed(spark):
-    df = spark.createDataFrame([("ttb ", "y", "0001  ", "Keep Me ")], "UserChar15 string, Reorderable string, ItemCode string, Title string")
-    r = normalize_table("product_master", df).first()
-    assert (r.UserChar15, r.Reorderable, r.ItemCode, r.Title) == ("TTB", "Y", "0001", "Keep Me ")
-
-
 def test_every_table_has_a_standin_over_driver_tables():
     assert set(STANDIN_SQL) == set(TABLES)
     for name in STANDIN_SQL:

@@ -3,22 +3,25 @@
 The reference builds ``#items`` as a *bag*: joins on a shared report code
 repeat rows, and every later fact join multiplies sums by those repeats
 (Q7).  Here the bag is kept as distinct rows plus a multiplicity column
-``n``: same information, without materialising the copies, and without
-emitting all pairs of a shared-code family (the re-added alias rows take
-the family size as a weight).
+``n``: same information, without materialising the copies.  The pairs of a
+shared-code family stay factorised (``FamilyRelation``) until the report's rows
+are written; the re-added alias rows take the family size as a weight.
 """
 
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions import key7, key20, pick_isbn
+from tillroll.operators.documents import meet_headers
 from tillroll.operators.params import one_year_before, ts_literal
 from tillroll.plans.strategy import bounded_broadcast
+from tillroll.sources.normalize import canonical_tables
 from tillroll.fixed import ALIAS_PREFIX, REORDERABLE, TTB_LINE
 
 ITEM_COLS = [
@@ -117,28 +120,62 @@ def _alias_master_codes(upc: DataFrame) -> DataFrame:
     return upc.select(F.col("ItemCode").alias("MasterCode")).distinct()
 
 
-def expand_family(cr: DataFrame, line: DataFrame, upc: DataFrame, cr_rows: int | None = None) -> DataFrame:
-    """M3: every product-line item sharing a report code with a reorderable
-    item, carrying the reorderable's attributes, plus the reorderables
-    themselves (set union).  Weighted rows, ``n`` = 1.
+ATTRIBUTES = [c for c in ITEM_COLS if c not in ("ItemCode", "ReportItemCode")]
 
-    Both sides are reduced to distinct (family, code) and distinct
-    (family, attributes) before the join, so the join emits exactly the
-    distinct output rows and nothing more.
+
+@dataclass
+class FamilyRelation:
+    """M3 factorised: every product-line item that shares a report code with a
+    reorderable item, with that item's attributes, plus the reorderables.
+
+    A family (report code) of c codes and a attribute rows stands for c * a
+    rows.  It is kept as its two sides, c + a rows; how often a code occurs and
+    its highest cost follow from the sides, so the measures never read pairs.
+    Only ``expand``, for the report's own rows, writes them out.
     """
-    fam_rows = (
+
+    codes: DataFrame  # RawReport, ItemCode; distinct
+    attributes: DataFrame  # RawReport and the attribute columns; distinct
+    alone: DataFrame  # reorderable rows whose (report code, code) is not in ``codes``; distinct
+
+    def expand(self) -> DataFrame:
+        """The rows themselves, weighted (``n`` = 1).  Both sides are distinct
+        and ``alone`` shares no (report code, code) with them: so is the union."""
+        joined = self.codes.join(self.attributes, "RawReport").withColumnRenamed("RawReport", "ReportItemCode")
+        rows = joined.select(*ITEM_COLS).unionByName(self.alone.select(*ITEM_COLS))
+        return rows.withColumn(WEIGHT, F.lit(1).cast("bigint"))
+
+    def per_code(self) -> DataFrame:
+        """(ItemCode, n, max_cost): rows for each code, by family; codes in several families repeat."""
+        sides = self.attributes.groupBy("RawReport").agg(
+            F.count(F.lit(1)).alias(WEIGHT), F.max("Cost").alias("max_cost")
+        )
+        met = meet_headers(self.codes, sides, "RawReport", "ItemCode").select("ItemCode", WEIGHT, "max_cost")
+        return met.unionByName(self.alone.select("ItemCode", F.lit(1).cast("bigint").alias(WEIGHT), F.col("Cost").alias("max_cost")))
+
+    def per_code_cost(self) -> DataFrame:
+        """(ItemCode, Cost, n): as ``per_code``, for each cost in the family."""
+        sides = self.attributes.groupBy("RawReport", "Cost").agg(F.count(F.lit(1)).alias(WEIGHT))
+        met = self.codes.join(sides, "RawReport").select("ItemCode", "Cost", WEIGHT)
+        return met.unionByName(self.alone.select("ItemCode", "Cost", F.lit(1).cast("bigint").alias(WEIGHT)))
+
+    def item_codes(self) -> DataFrame:
+        """The distinct codes of the rows."""
+        met = self.codes.join(self.attributes.select("RawReport").distinct(), "RawReport", "left_semi")
+        return met.select("ItemCode").unionByName(self.alone.select("ItemCode")).distinct()
+
+
+def family_relation(cr: DataFrame, line: DataFrame, upc: DataFrame) -> FamilyRelation:
+    """M3 from the reorderables, the product-line rows and the alias items (whose own codes stay out)."""
+    codes = (
         line.filter(F.col("RawReport").isNotNull())
         .join(_alias_master_codes(upc), "MasterCode", "left_anti")
         .select("RawReport", "ItemCode")
         .distinct()
     )
-    attrs = cr.select(
-        F.col("ReportItemCode").alias("RawReport"),
-        *[c for c in ITEM_COLS if c not in ("ItemCode", "ReportItemCode")],
-    ).distinct()
-    joined = fam_rows.join(bounded_broadcast(attrs, cr_rows), "RawReport").withColumnRenamed("RawReport", "ReportItemCode")
-    rows = joined.select(*ITEM_COLS).unionByName(cr.select(*ITEM_COLS)).distinct()
-    return rows.withColumn(WEIGHT, F.lit(1).cast("bigint"))
+    attributes = cr.select(F.col("ReportItemCode").alias("RawReport"), *ATTRIBUTES).distinct()
+    pairs = codes.withColumnRenamed("RawReport", "ReportItemCode")
+    return FamilyRelation(codes, attributes, cr.select(*ITEM_COLS).join(pairs, ["ReportItemCode", "ItemCode"], "left_anti"))
 
 
 def readd_alias_items(cr: DataFrame, line: DataFrame, upc: DataFrame, po: DataFrame) -> DataFrame:
@@ -175,16 +212,16 @@ def recent_out_of_stock(
     recent: DataFrame,
     pm: DataFrame,
     pmd: DataFrame,
-    items: DataFrame,
+    tracked: DataFrame,
     po: DataFrame,
     recent_rows: int | None = None,
 ) -> DataFrame:
     """M6: items logged out of stock within the year (``recent_oos_codes``)
-    and not yet tracked, from any product line.  Distinct rows.  Products
+    and not yet ``tracked`` (ItemCode), from any product line.  Distinct rows.  Products
     are cut to the logged codes before the product/distribution join."""
     codes = bounded_broadcast(recent.select(F.col("MasterCode").alias("ItemCode")), recent_rows)
     rows = product_rows(pm.join(codes, "ItemCode", "left_semi"), pmd)
-    rows = rows.join(items.select("ItemCode").distinct(), "ItemCode", "left_anti")
+    rows = rows.join(tracked.select("ItemCode").distinct(), "ItemCode", "left_anti")
     return _with_po(rows, po).select(*ITEM_COLS).distinct()
 
 
@@ -212,15 +249,46 @@ def weighted(df: DataFrame) -> DataFrame:
     return df.groupBy(*ITEM_COLS).agg(F.sum(WEIGHT).alias(WEIGHT))
 
 
-@dataclass
 class ItemStages:
-    reorderables: DataFrame  # M1
-    alias: DataFrame  # M2
-    family: DataFrame  # M3 (weighted)
-    readded: DataFrame  # M4 (weighted)
-    flipped: DataFrame  # M5 (weighted)
-    out_of_stock: DataFrame  # M6
-    items: DataFrame  # M7 (weighted) -- the final tracked-item set
+    """The item steps.  The weights of the item codes come from the factorised
+    family; the expanded rows are planned, and written, on first use."""
+
+    def __init__(self, stage, reorderables, alias, relation, readded, out_of_stock, order_header, rows, po_rows):
+        self._stage = stage
+        self.reorderables: DataFrame = reorderables  # M1
+        self.alias: DataFrame = alias  # M2
+        self.relation: FamilyRelation = relation  # M3, factorised
+        self.readded: DataFrame = readded  # M4 (weighted)
+        self.out_of_stock: DataFrame = out_of_stock  # M6
+        self._order_header, self._rows, self._po_rows = order_header, rows, po_rows
+
+    @cached_property
+    def family(self) -> DataFrame:  # M3 (weighted)
+        return self.relation.expand()
+
+    @cached_property
+    def flipped(self) -> DataFrame:  # M5 (weighted)
+        rows = self.family.unionByName(self.readded)
+        return self._stage(weighted(flip_report_code(rows, self.reorderables, self._rows)))[0]
+
+    @cached_property
+    def items(self) -> DataFrame:  # M7 (weighted) -- the final tracked-item set
+        one = F.lit(1).cast("bigint")
+        rows = self.flipped.unionByName(self.out_of_stock.withColumn(WEIGHT, one))
+        made = weighted(attach_buyer(rows, self._order_header, self._po_rows))
+        made, self.items_rows = self._stage(made)
+        return made
+
+    def per_code(self) -> DataFrame:
+        """(ItemCode, n, max_cost), codes repeating: what the item set holds of each code, unexpanded."""
+        own = self.readded.select("ItemCode", WEIGHT, F.col("Cost").alias("max_cost"))
+        late = self.out_of_stock.select("ItemCode", F.lit(1).cast("bigint").alias(WEIGHT), F.col("Cost").alias("max_cost"))
+        return self.relation.per_code().unionByName(own).unionByName(late)
+
+    def per_code_cost(self) -> DataFrame:
+        """(ItemCode, Cost, n), repeating, unexpanded."""
+        late = self.out_of_stock.select("ItemCode", "Cost", F.lit(1).cast("bigint").alias(WEIGHT))
+        return self.relation.per_code_cost().unionByName(self.readded.select("ItemCode", "Cost", WEIGHT)).unionByName(late)
 
 
 def _identity(df: DataFrame) -> tuple[DataFrame, int | None]:
@@ -241,6 +309,7 @@ def build_items(tables, as_of, stage=None, on_candidates=None) -> ItemStages:
     known, so fact roll-ups can start while the item steps continue.
     """
     stage = stage or _identity
+    tables = canonical_tables(tables)
     pm, pmd, od = tables["product_master"], tables["product_master_dist"], tables["order_detail"]
     # The product-line rows and the recent out-of-stock codes are
     # independent: materialise them concurrently (two jobs in flight).
@@ -255,12 +324,10 @@ def build_items(tables, as_of, stage=None, on_candidates=None) -> ItemStages:
     po, po_rows = stage(first_po(od, candidates, bound))
     # The reorderable set is small and its size is bounded by the
     # product-line rows, so it stays a plan rather than another write.
-    cr, cr_rows = reorderable_items(line, po), line_n
+    cr = reorderable_items(line, po)
     upc = alias_items(pm, pmd)
-    family = expand_family(cr, line, upc, cr_rows)
-    readded = readd_alias_items(cr, line, upc, po)
-    flipped, _ = stage(weighted(flip_report_code(family.unionByName(readded), cr, cr_rows)))
-    oos = recent_out_of_stock(recent, pm, pmd, flipped, po, recent_n)
-    with_oos = flipped.unionByName(oos.withColumn(WEIGHT, F.lit(1).cast("bigint")))
-    items = weighted(attach_buyer(with_oos, tables["order_header"], po_rows))
-    return ItemStages(cr, upc, family, readded, flipped, oos, items)
+    relation = family_relation(cr, line, upc)
+    readded, _ = stage(readd_alias_items(cr, line, upc, po))
+    tracked = relation.item_codes().unionByName(readded.select("ItemCode"))
+    oos, _ = stage(recent_out_of_stock(recent, pm, pmd, tracked, po, recent_n))
+    return ItemStages(stage, cr, upc, relation, readded, oos, tables["order_header"], line_n, po_rows)

@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions import MONEY, money, to_int
+from tillroll.operators.documents import TIMES, header_rows, meet_headers
 from tillroll.operators.weights import CodeKeys, ItemWeights
 from tillroll.plans.strategy import bounded_broadcast
+from tillroll.sources.normalize import canonical, fold_text
 from tillroll.fixed import (
     ACTIVE_STATUS,
     INTERNAL_CUSTOMER_PREFIXES,
@@ -33,7 +35,9 @@ def shipment_sums(transfer_header: DataFrame, transfer_detail: DataFrame, keys:
     d = transfer_detail.select("TransferID", F.col("ItemCode").alias("Code20"), "Qty").join(
         keys.keys20(), "Code20", "left_semi"
     )
-    return d.join(transfer_header.select("TransferID"), "TransferID").groupBy("Code20").agg(F.sum("Qty").alias("_q"))
+    per_document = d.groupBy("TransferID", "Code20").agg(F.sum("Qty").cast(QTY).alias("_q"))
+    f = meet_headers(per_document, header_rows(transfer_header, "TransferID"), "TransferID", "Code20")
+    return f.groupBy("Code20").agg(F.sum(F.col("_q") * F.col(TIMES)).cast(QTY).alias("_q"))
 
 
 def store_shipments_by_item(
@@ -54,7 +58,7 @@ def store_shipments_by_item(
 def retail_stores(locations: DataFrame) -> DataFrame:
     """Active retail stores whose number is an integer within the range."""
     lo, hi = STORE_NO_RANGE
-    return locations.filter(
+    return canonical(locations, "locations").filter(
         (F.col("RetailStore") == RETAIL_FLAG)
         & (F.col("Status") == ACTIVE_STATUS)
         & F.col("LocationNo").try_cast("int").between(lo, hi)
@@ -66,7 +70,8 @@ def sales_sums(sales: DataFrame, locations: DataFrame, keys: CodeKeys) -> DataFr
     quantity (a NULL return flag counts as a sale), amount, amount count,
     markdown count."""
     s = (
-        sales.filter(F.col("XactionType") == SALE_TYPE)
+        canonical(sales, "sales_item_history")
+        .filter(F.col("XactionType") == SALE_TYPE)
         .select(
             "LocationID",
             F.col("ItemCode").alias("Code20"),
@@ -114,11 +119,11 @@ def wholesale_orders(header: DataFrame) -> DataFrame:
         (F.col("SOPTYPE") == SOP_INVOICE_TYPE)
         & ~c.isin(*INTERNAL_CUSTOMERS)
         & (F.col("DOCID") == SOP_DOC_ID)
-        & (F.col("BCHSOURC") != SOP_VOID_BATCH)
+        & (F.col("BCHSOURC") != fold_text(SOP_VOID_BATCH))
     )
     for prefix in INTERNAL_CUSTOMER_PREFIXES:
         keep = keep & ~c.startswith(prefix)
-    return header.filter(keep).select("SOPNUMBE")
+    return canonical(header, "sop_open_header").filter(keep).select("SOPNUMBE")
 
 
 def wholesale_sums(header: DataFrame, lines: DataFrame, keys: CodeKeys) -> DataFrame:
@@ -126,8 +131,12 @@ def wholesale_sums(header: DataFrame, lines: DataFrame, keys: CodeKeys) -> DataF
     d = lines.select("SOPNUMBE", F.col("ITEMNMBR").alias("ItemCode"), "QTYTOINV", "XTNDPRCE").join(
         keys.keys7(), "ItemCode", "left_semi"
     )
-    return d.join(wholesale_orders(header), "SOPNUMBE").groupBy("ItemCode").agg(
-        F.sum("QTYTOINV").alias("_q"), F.sum("XTNDPRCE").alias("_a")
+    per_document = d.groupBy("SOPNUMBE", "ItemCode").agg(
+        F.sum("QTYTOINV").cast(QTY).alias("_q"), F.sum("XTNDPRCE").cast(QTY).alias("_a")
+    )
+    f = meet_headers(per_document, header_rows(wholesale_orders(header), "SOPNUMBE"), "SOPNUMBE", "ItemCode")
+    return f.groupBy("ItemCode").agg(
+        F.sum(F.col("_q") * F.col(TIMES)).cast(QTY).alias("_q"), F.sum(F.col("_a") * F.col(TIMES)).cast(QTY).alias("_a")
     )
 
 

@@ -1,8 +1,13 @@
 """Shipments sent to stores that were never received.
 
 Flow: pick stores (M17) -> shipments to them in a date range (M18) ->
-shipments with a positive received quantity (M19) -> anti join and label
-(M20 all vendors, M21 warehouse only, M22 one vendor).
+shipments with a positive received quantity (M19) -> the difference, one anti
+join -> labels (M20 all vendors, M21 warehouse only, M22 one vendor).
+
+The plan is the same at every size.  Tables without a date or a store (lines,
+receipt headers, receipt lines) are cut in their scans by bitmaps of the
+shipments at hand; no side is counted to choose a strategy, and dimensions are
+joined without hints, by Spark's own size estimates.
 """
 
 from __future__ import annotations
@@ -13,8 +18,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions import mmddyyyy, store_label, vendor_label
+from tillroll.operators.bitmap_cut import cut_by_bitmap
 from tillroll.operators.params import as_datetime, char_param, ts_literal
-from tillroll.plans.strategy import bounded_broadcast, fits_broadcast
+from tillroll.sources.normalize import canonical, fold_text
 from tillroll.fixed import (
     DROP_SHIP_TYPE,
     MODE_TYPES,
@@ -39,25 +45,29 @@ def resolve_locations(
 ) -> DataFrame:
     """The store set for a filter type -> (LocationNo, LocationName).
 
+    The type and the value are compared as the collation does: case and
+    trailing blanks do not count.
     'All Locations' and 'State' require LocationType 'S'; 'Store',
     'District', 'Region' and 'RDC' do not.  An unknown type gives no stores.
     """
-    ft = char_param(filter_type, PARAM_CHAR_WIDTH)
+    locations, report_locations = canonical(locations, "locations"), canonical(report_locations, "report_locations")
+    ft = fold_text(char_param(filter_type, PARAM_CHAR_WIDTH) or "")
     dyn = char_param(dyn_filter, PARAM_CHAR_WIDTH)
+    dyn = None if dyn is None else fold_text(dyn)
     retail = F.col("RetailStore") == RETAIL_FLAG
-    if ft == "All Locations":
+    if ft == "ALL LOCATIONS":
         src = locations.filter((F.col("LocationType") == STORE_TYPE) & retail)
-    elif ft == "Store":
+    elif ft == "STORE":
         src = locations.filter((F.col("LocationNo") == F.lit(dyn)) & retail)
-    elif ft == "District":
+    elif ft == "DISTRICT":
         src = locations.filter((F.col("DistrictCode") == F.lit(dyn)) & retail)
-    elif ft == "Region":
+    elif ft == "REGION":
         src = report_locations.filter((F.col("Region") == F.lit(dyn)) & (F.col("Retail") == RETAIL_FLAG))
     elif ft == "RDC":
         src = locations.filter(
             ~F.col("LocationNo").isin(*RDC_EXCLUDED) & (F.col("RDCLocationNo") == F.lit(dyn)) & retail
         )
-    elif ft == "State":
+    elif ft == "STATE":
         src = locations.filter(
             (F.col("LocationType") == STORE_TYPE) & retail & (F.col("StateCode") == F.lit(dyn))
         )
@@ -74,15 +84,18 @@ def shipments_in_range(
     end,
     mode: str = "all",
     vendor_id: str | None = None,
+    stage=None,
 ) -> DataFrame:
     """Distinct shipments to the stores, transferred from ``start`` to
     the end of day ``end`` (the end day is included).
 
     'all'/'cdc' keep a shipment when any of its lines is not a supply line;
     'vendor' keeps R shipments with a line from ``vendor_id`` and adds the
-    VendorID column.
+    VendorID column.  ``stage`` writes the headers in range once: the cut of
+    the lines and the join read them.
     """
     types = MODE_TYPES[mode]
+    shipment_header, shipment_detail = canonical(shipment_header, "shipment_header"), canonical(shipment_detail, "shipment_detail")
     end_excl = as_datetime(end) + dt.timedelta(days=1)
     sh = shipment_header.filter(
         (F.col("DateTransferred") >= ts_literal(start))
@@ -90,24 +103,20 @@ def shipments_in_range(
         & F.col("ShipmentType").isin(*types)
     ).select("ShipmentNo", "ShipmentType", "ToLocationNo", "DateTransferred")
 
+    if stage is not None:
+        sh, _ = stage(sh)
     lines = shipment_detail.filter(F.col("ShipmentType").isin(*types))
     if mode == "vendor":
-        lines = lines.filter(F.col("VendorID") == F.lit(vendor_id)).select(*SHIP_KEYS, "VendorID")
+        lines = lines.filter(F.col("VendorID") == F.lit(fold_text(vendor_id))).select(*SHIP_KEYS, "VendorID")
     else:
         lines = lines.filter(F.col("Company") != SUPPLY_COMPANY).select(*SHIP_KEYS)
-    # Lines carry no date: cut them to the shipments in range first (broadcast
-    # under the row bound), then deduplicate per shipment map-side, so one
-    # very large shipment contributes one key per map task.
-    in_range = sh.select(*SHIP_KEYS)
-    if fits_broadcast(in_range):
-        lines = lines.join(F.broadcast(in_range), SHIP_KEYS, "left_semi")
-    keep = lines.distinct()
-    if mode == "vendor":
-        sh = sh.join(keep, SHIP_KEYS, "inner")
-    else:
-        sh = sh.join(keep, SHIP_KEYS, "left_semi")
+    # Lines carry no date: cut in their scan to the shipments in range, then
+    # deduplicated per shipment map-side, so one very large shipment
+    # contributes one key per map task.
+    keep = cut_by_bitmap(lines, sh, SHIP_KEYS).distinct()
+    sh = sh.join(keep, SHIP_KEYS, "inner" if mode == "vendor" else "left_semi")
 
-    st = bounded_broadcast(stores.select(F.col("LocationNo").alias("ToLocationNo"), "LocationNo", "LocationName"))
+    st = stores.select(F.col("LocationNo").alias("ToLocationNo"), "LocationNo", "LocationName")
     j = sh.join(st, "ToLocationNo")
     cols = [
         "ShipmentNo",
@@ -125,7 +134,6 @@ def received_shipments(
     shipments: DataFrame,
     sr_header: DataFrame,
     sr_detail: DataFrame,
-    shipments_rows: int | None = None,
     stage=None,
 ) -> DataFrame:
     """(ShipmentNo, ShipmentType, qty) with ``sum(qty) > 0``.
@@ -136,23 +144,13 @@ def received_shipments(
     batch sums are rolled up per shipment, then scaled by how many rows the
     shipment has in ``shipments``.
     """
-    keys = shipments.select(*SHIP_KEYS).distinct()
+    sr_header = canonical(sr_header, "sr_header")
     rows_per_ship = shipments.groupBy(*SHIP_KEYS).agg(F.count(F.lit(1)).alias("n_rows"))
-    heads = sr_header.select(*SHIP_KEYS, "BatchID").join(
-        bounded_broadcast(keys, shipments_rows), SHIP_KEYS, "left_semi"
-    )
-    # With ``stage`` the receipt headers of these shipments are written once:
-    # the batch-id broadcast check then needs no extra scan of the headers.
-    heads_rows = None
-    if stage is not None:
-        heads, heads_rows = stage(heads)
-    batches = heads.select("BatchID").distinct()
-    batch_qty = (
-        sr_detail.select("BatchID", "qty")
-        .join(bounded_broadcast(batches, heads_rows), "BatchID", "left_semi")
-        .groupBy("BatchID")
-        .agg(F.sum("qty").alias("bq"))
-    )
+    heads = cut_by_bitmap(sr_header.select(*SHIP_KEYS, "BatchID"), shipments, SHIP_KEYS)
+    if stage is not None:  # read by the cut of the receipt lines and by the join
+        heads, _ = stage(heads)
+    lines = cut_by_bitmap(sr_detail.select("BatchID", "qty"), heads, ["BatchID"])
+    batch_qty = lines.groupBy("BatchID").agg(F.sum("qty").alias("bq"))
     per_ship = heads.join(batch_qty, "BatchID").groupBy(*SHIP_KEYS).agg(F.sum("bq").alias("q"))
     out = per_ship.join(rows_per_ship, SHIP_KEYS).select(
         *SHIP_KEYS, (F.col("q") * F.col("n_rows")).cast("decimal(38,5)").alias("qty")
@@ -160,48 +158,32 @@ def received_shipments(
     return out.filter(F.col("qty") > 0)
 
 
-def _not_received(shipments: DataFrame, received: DataFrame) -> DataFrame:
+def not_received(shipments: DataFrame, received: DataFrame) -> DataFrame:
+    """The difference: shipments without a positive received quantity.  The
+    report jobs write it once; labels and result both read it."""
     return shipments.join(received.select(*SHIP_KEYS), SHIP_KEYS, "left_anti")
 
 
-def _with_vendor_labels(
-    open_ships: DataFrame,
-    shipment_vendor_detail: DataFrame,
-    vendor_master: DataFrame,
-    ships_rows: int | None = None,
-) -> DataFrame:
+def _with_vendor_labels(open_ships: DataFrame, shipment_vendor_detail: DataFrame, vendor_master: DataFrame) -> DataFrame:
     """Left-join each drop shipment's line vendors and their names.
 
-    Lines are deduplicated per (shipment, vendor) and restricted to the
-    shipments at hand before the join; the vendor master is a dimension,
-    broadcast under the row bound.
+    Lines are cut in their scan to the shipments at hand and deduplicated per
+    (shipment, vendor) before the join; the vendor master is a dimension.
     """
-    keys = open_ships.select(*SHIP_KEYS).distinct()
-    lines = (
-        shipment_vendor_detail.filter(F.col("ShipmentType") == DROP_SHIP_TYPE)
-        .select(*SHIP_KEYS, F.col("VendorId").alias("LineVendor"))
-        .join(bounded_broadcast(keys, ships_rows), SHIP_KEYS, "left_semi")
-        .distinct()
+    vendor_master = canonical(vendor_master, "vendor_master")
+    lines = canonical(shipment_vendor_detail, "shipment_vendor_detail").filter(F.col("ShipmentType") == DROP_SHIP_TYPE).select(
+        *SHIP_KEYS, F.col("VendorId").alias("LineVendor")
     )
+    lines = cut_by_bitmap(lines, open_ships, SHIP_KEYS).distinct()
     vm = vendor_master.select(F.col("VendorID").alias("VmVendorID"), F.col("Name").alias("VmName"))
-    j = open_ships.join(lines, SHIP_KEYS, "left").join(
-        bounded_broadcast(vm), F.col("LineVendor") == F.col("VmVendorID"), "left"
-    )
+    j = open_ships.join(lines, SHIP_KEYS, "left").join(vm, F.col("LineVendor") == F.col("VmVendorID"), "left")
     return j.withColumn("VendorLabel", vendor_label(F.col("VmVendorID"), F.col("VmName")))
 
 
-def not_received_all(
-    shipments: DataFrame,
-    received: DataFrame,
-    shipment_vendor_detail: DataFrame,
-    vendor_master: DataFrame,
-    shipments_rows: int | None = None,
-) -> DataFrame:
-    """Not-received W and R shipments; W labelled 'CDC', R by vendor.
+def not_received_all(open_ships: DataFrame, shipment_vendor_detail: DataFrame, vendor_master: DataFrame) -> DataFrame:
+    """The not-received W and R shipments (``not_received``); W labelled 'CDC', R by vendor.
     Unordered, Vendor last."""
-    labelled = _with_vendor_labels(
-        _not_received(shipments, received), shipment_vendor_detail, vendor_master, shipments_rows
-    )
+    labelled = _with_vendor_labels(open_ships, shipment_vendor_detail, vendor_master)
     distinct_rows = labelled.select(
         F.col("VendorLabel").alias("Vendor"),
         "Location",
@@ -220,33 +202,25 @@ def not_received_all(
     )
 
 
-def not_received_cdc(shipments: DataFrame, received: DataFrame) -> DataFrame:
+CDC_ORDER = ["Location", "ShipmentDate", "ShipmentNumber", "ShipmentType"]
+VENDOR_ORDER = [*CDC_ORDER, "Vendor"]
+
+
+def not_received_cdc(open_ships: DataFrame) -> DataFrame:
     """Not-received warehouse shipments, ordered; Vendor is 'CDC'."""
-    return (
-        _not_received(shipments, received)
-        .select(
-            "Location",
-            "ShipmentDate",
-            F.col("ShipmentNo").alias("ShipmentNumber"),
-            "ShipmentType",
-            F.lit(WAREHOUSE_LABEL).alias("Vendor"),
-        )
-        .orderBy("Location", "ShipmentDate", "ShipmentNumber", "ShipmentType")
-    )
+    return open_ships.select(
+        "Location",
+        "ShipmentDate",
+        F.col("ShipmentNo").alias("ShipmentNumber"),
+        "ShipmentType",
+        F.lit(WAREHOUSE_LABEL).alias("Vendor"),
+    ).orderBy(*CDC_ORDER)
 
 
-def not_received_vendor(
-    shipments: DataFrame,
-    received: DataFrame,
-    shipment_vendor_detail: DataFrame,
-    vendor_master: DataFrame,
-    shipments_rows: int | None = None,
-) -> DataFrame:
+def not_received_vendor(open_ships: DataFrame, shipment_vendor_detail: DataFrame, vendor_master: DataFrame) -> DataFrame:
     """Not-received drop shipments of one vendor, labelled with every
     vendor on the shipment; Vendor first, ordered (date as text)."""
-    labelled = _with_vendor_labels(
-        _not_received(shipments, received), shipment_vendor_detail, vendor_master, shipments_rows
-    )
+    labelled = _with_vendor_labels(open_ships, shipment_vendor_detail, vendor_master)
     return (
         labelled.select(
             F.col("VendorLabel").alias("Vendor"),
@@ -256,5 +230,5 @@ def not_received_vendor(
             "ShipmentType",
         )
         .distinct()
-        .orderBy("Location", "ShipmentDate", "ShipmentNumber", "ShipmentType", "Vendor")
+        .orderBy(*VENDOR_ORDER)
     )

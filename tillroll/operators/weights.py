@@ -13,6 +13,7 @@ code once (the corrected reading of the duplicated-code audit).
 from __future__ import annotations
 
 from dataclasses import dataclass
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -78,13 +79,24 @@ def item_weights(items: DataFrame, fanout: str = "reference", rows: int | None =
 
     ``rows`` is the item set's row count when known (it bounds the keys).
     """
+    small = fits_broadcast(items.select("ItemCode"), rows)
+    return _weights(items.select("ItemCode", "n", F.col("Cost").alias("max_cost")), items.select("ItemCode", "Cost", "n"), fanout, small)
+
+
+def stage_weights(stages, fanout: str = "reference", rows: int | None = None) -> ItemWeights:
+    """The same from the item steps (``ItemStages``), without expanding a family; ``rows`` bounds the codes."""
+    per_code = stages.per_code()
+    return _weights(per_code, stages.per_code_cost(), fanout, fits_broadcast(per_code.select("ItemCode"), rows))
+
+
+def _weights(per_code: DataFrame, per_code_cost: DataFrame, fanout: str, small: bool) -> ItemWeights:
     if fanout not in FANOUTS:
         raise ValueError(f"fanout must be one of {FANOUTS}")
     w = F.sum("n") if fanout == "reference" else F.lit(1).cast("bigint")
-    by_code = items.groupBy("ItemCode").agg(w.alias("n"), F.max("Cost").alias("max_cost"))
+    by_code = per_code.groupBy("ItemCode").agg(w.alias("n"), F.max("max_cost").alias("max_cost"))
     by_code = by_code.withColumn("Code20", key20(F.col("ItemCode")))
-    by_cost = items.groupBy("ItemCode", "Cost").agg(w.alias("n")).withColumn("Code20", key20(F.col("ItemCode")))
-    return ItemWeights(by_code, by_cost, fits_broadcast(items.select("ItemCode"), rows))
+    by_cost = per_code_cost.groupBy("ItemCode", "Cost").agg(w.alias("n")).withColumn("Code20", key20(F.col("ItemCode")))
+    return ItemWeights(by_code, by_cost, small)
 
 
 def int_times(q: Column, n: Column) -> Column:
@@ -95,7 +107,7 @@ def int_times(q: Column, n: Column) -> Column:
     integer and fractional parts keeps both products exact.
     """
     whole = F.when(q >= 0, F.floor(q)).otherwise(F.ceil(q))
-    frac = (q - whole).cast("decimal(20,19)")
+    frac = (q % F.lit(Decimal(1))).cast("decimal(20,19)")  # q - whole would be rounded to 17 places
     part = frac * n.cast("decimal(10,0)")
     part_whole = F.when(part >= 0, F.floor(part)).otherwise(F.ceil(part))
     return (whole * n + part_whole).cast("int")

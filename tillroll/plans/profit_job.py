@@ -1,14 +1,15 @@
 """Entry point: the profit-by-title roll-up and its report sink.
 
-Stage plan: build the item set (checkpointed once: seven fact joins and the
-final join read it), derive per-code multiplicities, roll each fact feed up
-per item code, then left-join the measures to the items.
+Stage plan: the item codes with their multiplicities (written once: seven fact
+joins read them), each fact feed rolled up per item code, the item rows, then
+left joins of the measures to the items.
 """
 
 from __future__ import annotations
 
-import datetime as dt
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Iterable
+from concurrent.futures import Future, ThreadPoolExecutor
+from dataclasses import replace
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,63 +21,68 @@ from tillroll.operators import receipts as R
 from tillroll.operators import sales as SA
 from tillroll.operators.items import ItemStages, build_items
 from tillroll.operators.profit import REPORT_COLUMNS, profit_rows
-from tillroll.operators.weights import code_keys, item_weights
+from tillroll.operators.weights import code_keys, stage_weights
+from tillroll.plans.report_store import Commit, ReportStore
 from tillroll.plans.stages import checkpointed
+from tillroll.sources.normalize import canonical_tables
 from tillroll.sources.tables import Tables
 
 
-class ProfitRun:
-    """Every stage of one run, for audits and traces (the debug script's
-    view of the job).  The item set is built and materialised up front;
-    each measure is planned on first access, so a query that needs one
-    measure does not plan the others."""
+FEEDS = ("receipts", "archive", "legacy", "transfers", "sales", "open orders", "order history")
+
 
-    def __init__(self, tables: Tables, as_of, fanout: str, money_mode: str, reuse: bool, overlap: bool = True):
-        self._t = tables
+class ProfitRun:
+    """Every stage of one run, for audits and traces (the debug script's view
+    of the job).  The item codes and their weights are made up front.  A fact
+    feed is summed when a measure first asks for it, unless ``feeds`` names it:
+    those start in the background as soon as the codes that can become items
+    are known.  The expanded item rows are made for the report alone."""
+
+    def __init__(self, tables: Tables, as_of, fanout: str, money_mode: str, reuse: bool, feeds: tuple[str, ...] = ()):
+        self._t = tables = canonical_tables(tables)
         self.as_of = as_of
         self.money_mode = money_mode
-        self._sums: dict[str, DataFrame] | None = None
-        stage = checkpointed if reuse else None
-        overlap = overlap and reuse
-        futures = {}
-        pool = ThreadPoolExecutor(max_workers=4) if overlap else None
-
-        def start_fact_sums(candidates: DataFrame, bound: int | None) -> None:
-            # Fact roll-ups need only the codes that can become items: sum
-            # every feed per candidate code now, in background jobs, while
-            # the item steps go on.  The multiplicity join later keeps only
-            # real item codes, so the result is the same.
-            keys = code_keys(candidates.select(key7(F.col("MasterCode")).alias("ItemCode")), bound)
-            t = tables
-            makers = {
-                "rc": lambda: R.receipt_sums(t["receipt_header"], t["receipt_detail"], keys),
-                "ra": lambda: R.receipt_sums(t["ar_receipt_header"], t["ar_receipt_detail"], keys),
-                "legacy": lambda: R.legacy_sums(t["pop_receipt_header"], t["pop_receipt_line"], keys),
-                "ship": lambda: SA.shipment_sums(t["transfer_header"], t["transfer_detail"], keys),
-                "sales": lambda: SA.sales_sums(t["sales_item_history"], t["locations"], keys),
-                "wo": lambda: SA.wholesale_sums(t["sop_open_header"], t["sop_open_line"], keys),
-                "wh": lambda: SA.wholesale_sums(t["sop_hist_header"], t["sop_hist_line"], keys),
-            }
-            for name, make in makers.items():
-                futures[name] = pool.submit(lambda make=make: checkpointed(make())[0])
-
-        try:
-            st = build_items(tables, as_of, stage, start_fact_sums if overlap else None)
-            items, rows = checkpointed(st.items) if reuse else (st.items, None)
-            st.items = items
-            self.items: ItemStages = st
-            self.items_rows = rows
-            self.weights = item_weights(items, fanout, rows)
-            if overlap:
-                self._sums = {name: f.result() for name, f in futures.items()}
-        finally:
-            if pool is not None:
-                pool.shutdown(wait=True)
+        self._reuse = reuse
+        self._pool = ThreadPoolExecutor(max_workers=4)
+        self._sums: dict[str, Future] = {}
+        self._keys = None
+        codes_bound = None
+
+        def candidates_known(candidates: DataFrame, bound: int | None) -> None:
+            # Fact roll-ups need only the codes that can become items; the
+            # multiplicity join later keeps only real item codes.
+            nonlocal codes_bound
+            codes_bound = bound
+            if reuse:
+                self._keys = code_keys(candidates.select(key7(F.col("MasterCode")).alias("ItemCode")), bound)
+                self._start(feeds)
+
+        self.items: ItemStages = build_items(tables, as_of, checkpointed if reuse else None, candidates_known)
+        self.weights = stage_weights(self.items, fanout, codes_bound)
+        if reuse:
+            kept = {c: checkpointed(getattr(self.weights, c))[0] for c in ("by_code", "by_code_cost")}
+            self.weights = replace(self.weights, **kept)
+
+    def _start(self, feeds: Iterable[str]) -> None:
+        t, keys = self._t, self._keys
+        makers = {
+            "receipts": lambda: R.receipt_sums(t["receipt_header"], t["receipt_detail"], keys),
+            "archive": lambda: R.receipt_sums(t["ar_receipt_header"], t["ar_receipt_detail"], keys),
+            "legacy": lambda: R.legacy_sums(t["pop_receipt_header"], t["pop_receipt_line"], keys),
+            "transfers": lambda: SA.shipment_sums(t["transfer_header"], t["transfer_detail"], keys),
+            "sales": lambda: SA.sales_sums(t["sales_item_history"], t["locations"], keys),
+            "open orders": lambda: SA.wholesale_sums(t["sop_open_header"], t["sop_open_line"], keys),
+            "order history": lambda: SA.wholesale_sums(t["sop_hist_header"], t["sop_hist_line"], keys),
+        }
+        for name in feeds:
+            if name not in self._sums:
+                self._sums[name] = self._pool.submit(lambda make=makers[name]: checkpointed(make())[0])
 
     def _s(self, *names):
-        if self._sums is None:
+        if not self._reuse:
             return None
-        got = tuple(self._sums[n] for n in names)
+        self._start(names)
+        got = tuple(self._sums[n].result() for n in names)
         return got if len(got) > 1 else got[0]
 
     @cached_property
@@ -84,7 +90,7 @@ class ProfitRun:
         t = self._t
         return R.receipts_by_item(
             t["receipt_header"], t["receipt_detail"], t["ar_receipt_header"], t["ar_receipt_detail"], self.weights,
-            self._s("rc", "ra"),
+            self._s("receipts", "archive"),
         )
 
     @cached_property
@@ -100,7 +106,7 @@ class ProfitRun:
     @cached_property
     def store_ship(self) -> DataFrame:  # M11
         return SA.store_shipments_by_item(
-            self._t["transfer_header"], self._t["transfer_detail"], self.weights, self._s("ship")
+            self._t["transfer_header"], self._t["transfer_detail"], self.weights, self._s("transfers")
         )
 
     @cached_property
@@ -112,7 +118,7 @@ class ProfitRun:
         t = self._t
         return SA.wholesale_sales_by_item(
             t["sop_open_header"], t["sop_open_line"], t["sop_hist_header"], t["sop_hist_line"], self.weights,
-            self._s("wo", "wh"),
+            self._s("open orders", "order history"),
         )
 
     @cached_property
@@ -121,8 +127,11 @@ class ProfitRun:
 
     @cached_property
     def report(self) -> DataFrame:  # M15
+        if self._reuse:
+            self._start(FEEDS)
+        items = self.items.items
         return profit_rows(
-            self.items.items,
+            items,
             self.receipts,
             self.store_ship,
             self.store_sales,
@@ -130,7 +139,7 @@ class ProfitRun:
             self._t["wms_available_qty"],
             self.as_of,
             self.money_mode,
-            self.items_rows,
+            self.items.items_rows,
         )
 
 
@@ -140,40 +149,32 @@ def run_profit(
     fanout: str = "reference",
     money_mode: str = "half_up",
     reuse: bool = True,
-    overlap: bool = True,
+    feeds: tuple[str, ...] = (),
 ) -> ProfitRun:
-    """Build the item set (materialised when ``reuse``) and return the run.
-    With ``overlap`` the fact feeds are summed per candidate code in
-    background jobs while the item set is built; measures and the report are
-    planned lazily from the item set and those sums."""
-    return ProfitRun(tables, as_of, fanout, money_mode, reuse, overlap)
+    """Make the item codes and weights (written when ``reuse``) and return the
+    run.  Measures and the report are planned on first access; ``feeds`` (of
+    ``FEEDS``) are summed in background jobs from the start."""
+    return ProfitRun(tables, as_of, fanout, money_mode, reuse, feeds)
 
 
 def profit_by_title(tables: Tables, as_of, fanout: str = "reference", money_mode: str = "half_up", reuse: bool = True) -> DataFrame:
     """The 31-column report rows (a dry run: nothing is written)."""
-    return run_profit(tables, as_of, fanout, money_mode, reuse).report
+    return run_profit(tables, as_of, fanout, money_mode, reuse, FEEDS).report
 
 
-def refresh_report(report: DataFrame, base: str, version: str | None = None) -> str:
-    """Full refresh of the stored report.
+def refresh_report(report: DataFrame, base: str, version: str | None = None, keep: int | None = None, rebase: bool = False) -> Commit:
+    """Full refresh of the stored report; see ``ReportStore`` for its commit.
 
-    The rows go to a fresh version folder.  A version counts once its write
-    has committed (``_SUCCESS``), and readers take the newest such version, so
-    they see the old or the new report, never a partial one, and no second
-    step can fail in between.  Returns the folder.
+    ``version`` is a label kept with the commit.  ``keep`` removes all but the
+    newest commits after this one.
     """
-    version = version or dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S%fZ")
-    path = f"{base.rstrip('/')}/v={version}"
-    report.select(*REPORT_COLUMNS).write.mode("errorifexists").parquet(path)
-    return path
-
-
-def read_report(spark: SparkSession, base: str) -> DataFrame:
-    """The stored report as of the last completed refresh."""
-    jvm = spark.sparkContext._jvm
-    done = jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/v=*/_SUCCESS")
-    found = done.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(done)
-    versions = sorted(x.getPath().getParent().toString() for x in found)
-    if not versions:
-        raise FileNotFoundError(f"no completed report version below {base}")
-    return spark.read.parquet(versions[-1])
+    store = ReportStore(report.sparkSession, base)
+    commit = store.write(report.select(*REPORT_COLUMNS), version, rebase=rebase)
+    if keep is not None:
+        store.expire(keep)
+    return commit
+
+
+def read_report(spark: SparkSession, base: str, number: int | None = None) -> DataFrame:
+    """The stored report as of the newest commit (or of an older one that is kept)."""
+    return ReportStore(spark, base).read(number)

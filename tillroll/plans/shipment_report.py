@@ -9,6 +9,7 @@ from tillroll.fixed import ALL_VENDORS, VENDOR_PARAM_WIDTH, WAREHOUSE_VENDOR
 from tillroll.operators import shipments as S
 from tillroll.operators.params import varchar_param
 from tillroll.plans.stages import checkpointed
+from tillroll.sources.normalize import canonical_tables
 from tillroll.sources.tables import Tables
 
 
@@ -32,25 +33,24 @@ def shipment_not_received(
 ) -> DataFrame:
     """Shipments sent to the chosen stores in [start, end] never received.
 
-    With ``reuse`` the shipment set is checkpointed once (it feeds the
-    received roll-up, the anti join and the vendor labels) and its row count
-    steers the broadcast choices.
+    With ``reuse`` each set that several steps read is written once: the
+    headers in range, the shipments, their receipt headers, and the
+    difference, which feeds the vendor labels and the result.
     """
+    tables = canonical_tables(tables)
     mode = report_mode(vendor_id)
     vendor = (varchar_param(vendor_id, VENDOR_PARAM_WIDTH) or "").rstrip() if mode == "vendor" else None
     stores = S.resolve_locations(tables["locations"], tables["report_locations"], filter_type, dyn_filter)
+    stage = checkpointed if reuse else None
     ships = S.shipments_in_range(
-        tables["shipment_header"], tables["shipment_detail"], stores, start, end, mode, vendor
+        tables["shipment_header"], tables["shipment_detail"], stores, start, end, mode, vendor, stage
     )
-    rows = None
     if reuse:
-        ships, rows = checkpointed(ships)
-    received = S.received_shipments(
-        ships, tables["sr_header"], tables["sr_detail"], rows, checkpointed if reuse else None
-    )
-    svd, vm = tables["shipment_vendor_detail"], tables["vendor_master"]
+        ships, _ = checkpointed(ships)
+    open_ships = S.not_received(ships, S.received_shipments(ships, tables["sr_header"], tables["sr_detail"], stage))
     if mode == "cdc":
-        return S.not_received_cdc(ships, received)
-    if mode == "all":
-        return S.not_received_all(ships, received, svd, vm, rows)
-    return S.not_received_vendor(ships, received, svd, vm, rows)
+        return S.not_received_cdc(open_ships)
+    if reuse:
+        open_ships, _ = checkpointed(open_ships)
+    svd, vm = tables["shipment_vendor_detail"], tables["vendor_master"]
+    return (S.not_received_all if mode == "all" else S.not_received_vendor)(open_ships, svd, vm)

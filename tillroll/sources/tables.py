@@ -1,7 +1,6 @@
-"""Registry of the relations the two jobs read.
+"""Loading the relations the two jobs read.
 
-Each entry names a logical table and the columns the operators use.  A job
-takes a ``Tables`` mapping (name -> DataFrame), so the same operators run over
+A job takes a ``Tables`` mapping (name -> DataFrame), so the same operators run over
 catalog tables, Parquet folders, or the stand-in views of ``standins``.
 """
 
@@ -11,56 +10,39 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-# name -> columns used (types are in FIXTURES.md A)
-TABLES: dict[str, tuple[str, ...]] = {
-    "product_master": (
-        "ItemCode", "Title", "ISBN", "Cost", "Price", "MfgSuggestedPrice",
-        "SectionCode", "VendorID", "UserChar15", "Reorderable", "ItemAlias",
-    ),
-    "product_master_dist": ("ItemCode", "ReportItemCode", "UPC"),
-    "order_detail": ("PONumber", "ItemCode"),
-    "oos_item_log": ("Item", "runtime"),
-    "order_header": ("PONumber", "BuyerID"),
-    "receipt_header": ("RECEIPT_ID", "RECEIPT_DATE"),
-    "receipt_detail": ("RECEIPT_ID", "ITEM", "TOTAL_QTY"),
-    "ar_receipt_header": ("RECEIPT_ID", "RECEIPT_DATE"),
-    "ar_receipt_detail": ("RECEIPT_ID", "ITEM", "TOTAL_QTY"),
-    "pop_receipt_header": ("POPRCTNM", "receiptdate", "POPTYPE"),
-    "pop_receipt_line": ("POPRCTNM", "ITEMNMBR", "EXTDCOST", "UNITCOST"),
-    "transfer_header": ("TransferID",),
-    "transfer_detail": ("TransferID", "ItemCode", "Qty"),
-    "sales_item_history": (
-        "LocationID", "ItemCode", "isreturn", "quantity", "ExtendedAmt",
-        "unitprice", "registerprice", "XactionType",
-    ),
-    "locations": (
-        "LocationID", "LocationNo", "Name", "RetailStore", "Status",
-        "LocationType", "DistrictCode", "RDCLocationNo", "StateCode",
-    ),
-    "sop_open_header": ("SOPNUMBE", "SOPTYPE", "CUSTNMBR", "DOCID", "BCHSOURC"),
-    "sop_open_line": ("SOPNUMBE", "ITEMNMBR", "QTYTOINV", "XTNDPRCE"),
-    "sop_hist_header": ("SOPNUMBE", "SOPTYPE", "CUSTNMBR", "DOCID", "BCHSOURC"),
-    "sop_hist_line": ("SOPNUMBE", "ITEMNMBR", "QTYTOINV", "XTNDPRCE"),
-    "wms_available_qty": ("ITEM", "AvailableQty"),
-    "report_locations": ("LocationNo", "Name", "Region", "Retail"),
-    "shipment_header": ("ShipmentNo", "ShipmentType", "ToLocationNo", "DateTransferred"),
-    "shipment_detail": ("ShipmentNo", "ShipmentType", "Company", "VendorID"),
-    "shipment_vendor_detail": ("ShipmentNo", "ShipmentType", "VendorId"),
-    "sr_header": ("ShipmentNo", "ShipmentType", "BatchID"),
-    "sr_detail": ("BatchID", "qty"),
-    "vendor_master": ("VendorID", "Name"),
-}
+from tillroll.sources.contract import CONTRACT, check_required, check_schemas
 
-Tables = Mapping[str, DataFrame]
+# name -> columns used (kinds are in ``contract``)
+TABLES: dict[str, tuple[str, ...]] = {name: tuple(f.name for f in fields) for name, fields in CONTRACT.items()}
 
+Tables = Mapping[str, DataFrame]
 
-def load_tables(spark: SparkSession, base: str, names: tuple[str, ...] | None = None) -> dict[str, DataFrame]:
-    """Read ``<base>/<name>`` Parquet folders for the registered tables.
 
-    Reads are lazy; each operator selects only its columns, so Spark prunes
-    the scan (``ReadSchema``) and pushes its filters (``PushedFilters``).
+def load_tables(
+    spark: SparkSession,
+    base: str,
+    names: tuple[str, ...] | None = None,
+    catalog: bool = False,
+    stored_as: Mapping[str, str] | None = None,
+    check_nulls: bool = False,
+) -> dict[str, DataFrame]:
+    """The registered relations, checked against the contract before anything is planned on them.
+
+    ``base`` is a folder of Parquet folders, or with ``catalog`` a namespace of
+    tables.  ``stored_as`` gives a relation another place: a folder, or with
+    ``catalog`` a table's full name (the relations lie in several databases).
+    A missing column or a wrong type raises ``ContractError`` naming table and
+    column, from the schemas alone; ``check_nulls`` also counts NULLs where
+    there must be none.  Reads are lazy; each operator selects only its columns, so
+    Spark prunes the scan (``ReadSchema``) and pushes its filters (``PushedFilters``).
     """
-    out = {}
-    for name in names or tuple(TABLES):
-        out[name] = spark.read.parquet(f"{base.rstrip('/')}/{name}")
+    names, stored_as, out = tuple(names or TABLES), stored_as or {}, {}
+    for name in names:
+        if catalog:
+            out[name] = spark.table(stored_as.get(name, f"{base}.{name}"))
+        else:
+            out[name] = spark.read.parquet(stored_as.get(name, f"{base.rstrip('/')}/{name}"))
+    check_schemas(out, names)
+    if check_nulls:
+        check_required(out, names)
     return out
