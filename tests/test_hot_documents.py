@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tests.test_plans import plan_text
 from tillroll.operators import receipts as R
 from tillroll.operators import sales as SA
-from tillroll.operators.documents import header_rows, meet_headers, times
+from tillroll.operators.documents import meet_headers, times
 from tillroll.operators.weights import code_keys, int_times
 
 LINES, ITEMS, HOT = 60_000, 4_000, 7
@@ -49,15 +49,26 @@ def _sums(df):
 
 def test_no_task_has_twice_the_median(spark, feed, many_tasks):
     lines, heads = feed
-    sums = lines.groupBy("doc", "item").agg(F.sum("q").alias("q"), F.sum("a").alias("a"))
-    met = meet_headers(sums, header_rows(heads, "doc", F.min("day").alias("day")), "doc", "item")
-    rows = [r["count"] for r in met.groupBy(F.spark_partition_id().alias("p")).count().collect()]
-    assert max(rows) <= 2 * median(rows) and len(rows) >= 32
-    plain = sums.join(heads, "doc").groupBy(F.spark_partition_id().alias("p")).count().collect()
+    met = meet_headers(lines.repartition(12), heads, "doc", "day")
+    rows = {r["p"]: r["count"] for r in met.groupBy(F.spark_partition_id().alias("p")).count().collect()}
+    scans = 12
+    sides = [n for p, n in rows.items() if p < scans], [n for p, n in rows.items() if p >= scans]
+    assert len(sides[0]) == scans and len(sides[1]) == 32  # hot lines in their scan tasks; the others dealt
+    assert all(max(side) <= 2 * median(side) for side in sides)
+    assert max(rows.values()) <= LINES / 12  # no task has more than a scan reads
+    plain = lines.join(heads, "doc").groupBy(F.spark_partition_id().alias("p")).count().collect()
     assert max(r["count"] for r in plain) > 4 * median(r["count"] for r in plain)  # what the plain join would do
-    # the lines are read and summed once for all three readers
+
+
+def test_hot_lines_are_never_dealt_by_document(spark, feed, many_tasks):
+    lines, heads = feed
+    met = meet_headers(lines, heads, "doc", "day")
+    hot = met.filter(F.col("_times") > 1).select("doc").distinct().collect()
+    assert [r["doc"] for r in hot if r["doc"] == HOT]
     plan = plan_text(met)
-    assert plan.count("ReusedExchange") >= 2 and plan.count("Exchange hashpartitioning(doc") >= 2
+    assert plan.count("SortMergeJoin") == 1 and "approx_top_k" in plan
+    first = plan[: plan.index("SortMergeJoin")]  # the hot side of the union comes first: broadcasts alone
+    assert "BroadcastHashJoin" in first and "Exchange hashpartitioning(doc" not in first.split("BroadcastExchange")[0]
 
 
 def test_feeds_equal_the_plain_join(spark, feed, many_tasks):

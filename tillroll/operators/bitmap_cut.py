@@ -1,9 +1,9 @@
 """Cutting a large table to the keys of another one, with one plan at every size.
 
 The keys' hashes set bits in a bitmap of a fixed number of bits, built by one
-aggregate (4 KB pieces, combined map-side).  The bitmap has the same size
-whatever the tables hold (16 MB by default), so it can always be broadcast, and the large table
-is cut in its scan stage: rows that can't match are never exchanged.  A few
+aggregate (4 KB pieces, combined map-side).  The bitmap has a
+bounded size whatever the tables hold (at most 16 MB by default, less for few keys), so it can always
+be broadcast, and the large table is cut in its scan stage: rows that can't match are never exchanged.  A few
 rows whose hashes collide pass, so a join on the keys has to follow; with many
 more keys than bits more rows pass, but none is lost.
 """
@@ -18,10 +18,11 @@ BITS = 27
 CONF_BITS = "tillroll.bitmapCut.bits"
 
 
-def cut_by_bitmap(rows: DataFrame, keys: DataFrame, columns: list[str], bits: int | None = None) -> DataFrame:
+def cut_by_bitmap(rows: DataFrame, keys: DataFrame, columns: list[str], n_keys: int | None = None, bits: int | None = None) -> DataFrame:
     """The rows whose ``columns`` may be among those of ``keys``: all that are, and few others.
 
-    ``bits`` (default ``tillroll.bitmapCut.bits``, else 27) gives 2**bits bits.
+    The bitmap has 2**``bits`` bits (default ``tillroll.bitmapCut.bits``, else 27); with ``n_keys``,
+    the number of keys where a stage has counted them, no more than 32 bits for each.
     Whole numbers of different widths are compared as text; other types must agree.
     """
     wide = []
@@ -31,6 +32,8 @@ def cut_by_bitmap(rows: DataFrame, keys: DataFrame, columns: list[str], bits: in
             raise TypeError(f"{c} is {ours.simpleString()} on one side and {theirs.simpleString()} on the other")
         wide.append(F.col(c) if ours == theirs else F.col(c).cast("string"))
     bits = bits or int(rows.sparkSession.conf.get(CONF_BITS, str(BITS)))
+    if n_keys is not None:
+        bits = min(bits, max(15, (32 * n_keys).bit_length()))
     place = F.pmod(F.xxhash64(*wide), F.lit(1 << bits)) + 1
     marks = (
         keys.select(place.alias("_place"))

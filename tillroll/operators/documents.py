@@ -2,18 +2,18 @@
 
 The feeds (receipts, legacy receipts, transfers, wholesale orders) sum lines per
 item, but only lines whose document has a header that counts; what a header
-adds is a date and how often it stands there.  So the lines are summed twice:
-
-1. per (document, item), combined map-side and dealt by both, so a hot
-   document's lines are spread over all tasks by their items;
-2. the (document, item) sums meet one row for each document, then are
-   summed per item.
-
-In the second step a hot document could still have a row for each item.  The
-documents with the most such rows (``HOT_PER_PARTITION`` for each shuffle
-partition, a fixed number) are picked by a top-k and their headers broadcast,
-so their rows stay where step 1 put them; only documents too small to
-unbalance a task are dealt by document.
+adds is a date and how often it stands there.  Dealt by document, a hot one's
+lines would all be one task's.  So the lines are split:
+
+* the documents with the most lines come from a frequent-items sketch over all
+  lines (one small row a task, then merged).  It holds every document with more than
+  about 1 / ``TRACKED`` of the lines, and names ``HOT_PER_PARTITION`` documents for each shuffle
+  partition.  Their headers, one row each, are broadcast: at most that number.
+  Their lines stay where they are and are summed per item map-side;
+* all other lines meet their headers by an ordinary join; none of their documents
+  is large enough to unbalance it.
+
+The sketch only chooses the side a line takes: any choice gives the same sums.
 """
 
 from __future__ import annotations
@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 HOT_PER_PARTITION = 4
+TRACKED = 100_000
 TIMES = "_times"
 
 
@@ -35,29 +36,22 @@ def times(total: Column, n: Column) -> Column:
     return ((whole * n).cast("decimal(37,19)") + part.cast("decimal(37,19)")).cast("decimal(38,19)")
 
 
-def header_rows(header: DataFrame, document: str, *aggregates: Column) -> DataFrame:
-    """One row for each document that counts: ``_times`` (its header rows) and the aggregates."""
-    known = header.filter(F.col(document).isNotNull())
-    return known.groupBy(document).agg(F.count(F.lit(1)).alias(TIMES), *aggregates)
-
-
-def meet_headers(sums: DataFrame, headers: DataFrame, document: str, item: str) -> DataFrame:
-    """``sums`` (one row for each document and item) joined to ``headers`` (one row for each document).
-
-    A document's weight counts its rows, and again each value in them, so that all three
-    readers of ``sums`` need all its columns and share one exchange.
-    """
-    sums = sums.filter(F.col(document).isNotNull())
-    k = HOT_PER_PARTITION * int(sums.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    values = [c for c in sums.columns if c not in (document, item)]
-    weight = sum((F.col(c).isNotNull().cast("int") for c in values), F.lit(1))
-    hot = (
-        sums.groupBy(document)
-        .agg(F.sum(weight).alias("_weight"))
-        .orderBy(F.col("_weight").desc(), document)
-        .limit(k)
-        .select(document)
+def meet_headers(lines: DataFrame, headers: DataFrame, document: str, date: str | None = None) -> DataFrame:
+    """``lines`` whose document has a header row, with ``_times`` (a line's sums count so often) and, if
+    ``date`` names a header column, ``_date`` (the earliest for the line).  A document's header rows all
+    count, so a line may come several times with ``_times`` 1 or once with their number."""
+    spark = lines.sparkSession
+    k = min(TRACKED // 2, HOT_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    lines = lines.filter(F.col(document).isNotNull())
+    heads = headers.filter(F.col(document).isNotNull())
+    heads = heads.select(document, *([F.col(date).alias("_date")] if date else []))
+    top = lines.agg(F.expr(f"approx_top_k(`{document}`, {k}, {TRACKED})").alias("_top"))
+    hot = top.select(F.explode("_top").alias("_x")).select(F.col("_x.item").alias(document))
+    dates = [F.min("_date").alias("_date")] if date else []
+    hot_heads = heads.join(F.broadcast(hot), document, "left_semi").groupBy(document).agg(
+        F.count(F.lit(1)).alias(TIMES), *dates
+    )  # at most k rows
+    rest = lines.join(F.broadcast(hot), document, "left_anti").join(
+        heads.withColumn(TIMES, F.lit(1).cast("bigint")), document
     )
-    hot_headers = headers.join(F.broadcast(hot), document, "left_semi")  # at most k rows
-    rest = sums.join(F.broadcast(hot), document, "left_anti").join(headers, document)
-    return sums.join(F.broadcast(hot_headers), document).unionByName(rest)
+    return lines.join(F.broadcast(hot_heads), document).unionByName(rest)

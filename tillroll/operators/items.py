@@ -18,7 +18,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions import key7, key20, pick_isbn
-from tillroll.operators.documents import meet_headers
 from tillroll.operators.params import one_year_before, ts_literal
 from tillroll.plans.strategy import bounded_broadcast
 from tillroll.sources.normalize import canonical_tables
@@ -150,7 +149,7 @@ class FamilyRelation:
         sides = self.attributes.groupBy("RawReport").agg(
             F.count(F.lit(1)).alias(WEIGHT), F.max("Cost").alias("max_cost")
         )
-        met = meet_headers(self.codes, sides, "RawReport", "ItemCode").select("ItemCode", WEIGHT, "max_cost")
+        met = self.codes.join(sides, "RawReport").select("ItemCode", WEIGHT, "max_cost")
         return met.unionByName(self.alone.select("ItemCode", F.lit(1).cast("bigint").alias(WEIGHT), F.col("Cost").alias("max_cost")))
 
     def per_code_cost(self) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions import money, to_int
-from tillroll.operators.documents import TIMES, header_rows, meet_headers, times
+from tillroll.operators.documents import TIMES, meet_headers, times
 from tillroll.operators.params import ts_literal
 from tillroll.operators.weights import CodeKeys, ItemWeights, int_times
 from tillroll.fixed import POP_CUTOFF, POP_RECEIPT_TYPE
@@ -18,17 +18,16 @@ RECEIPT_COLS = ["ItemCode", "RcvdDate", "RcvdQty", "RcvdAmt"]
 
 def receipt_sums(header: DataFrame, detail: DataFrame, keys: CodeKeys) -> DataFrame:
     """One receipt feed summed per item code (the fact-side work): lines cut
-    to the codes and summed per document before they meet their header."""
+    to the codes meet their header, then are summed per item, map-side first."""
     d = detail.select("RECEIPT_ID", F.col("ITEM").alias("ItemCode"), "TOTAL_QTY").join(
         keys.keys7(), "ItemCode", "left_semi"
     )
-    per_document = d.groupBy("RECEIPT_ID", "ItemCode").agg(F.sum("TOTAL_QTY").cast(QTY).alias("_q"))
-    f = meet_headers(per_document, header_rows(header, "RECEIPT_ID", F.min("RECEIPT_DATE").alias("_date")), "RECEIPT_ID", "ItemCode")
-    q = F.col("_q") * F.col(TIMES)
+    f = meet_headers(d, header, "RECEIPT_ID", "RECEIPT_DATE")
+    q = F.col("TOTAL_QTY") * F.col(TIMES)
     return f.groupBy("ItemCode").agg(
         F.min("_date").alias("RcvdDate"),
-        F.sum(F.coalesce(q, F.lit(0))).alias("_q0"),
-        F.sum(q).alias("_q1"),
+        F.sum(F.coalesce(q, F.lit(0))).cast(QTY).alias("_q0"),
+        F.sum(q).cast(QTY).alias("_q1"),
     )
 
 
@@ -72,15 +71,12 @@ def legacy_sums(pop_header: DataFrame, pop_line: DataFrame, keys: CodeKeys, cuto
         (F.col("POPTYPE") == POP_RECEIPT_TYPE) & (F.col("receiptdate") < ts_literal(cutoff))
     ).select("POPRCTNM", "receiptdate")
     unit = F.when(F.col("UNITCOST") == 0, F.lit(1)).otherwise(F.col("UNITCOST"))
-    per_document = d.groupBy("POPRCTNM", "ItemCode").agg(
-        F.sum(F.coalesce(F.col("EXTDCOST") / unit, F.lit(0))).alias("_q"),
-        F.sum(F.coalesce(F.col("EXTDCOST"), F.lit(0))).cast(QTY).alias("_amt"),
-    )
-    f = meet_headers(per_document, header_rows(h, "POPRCTNM", F.min("receiptdate").alias("_date")), "POPRCTNM", "ItemCode")
+    ratio = F.coalesce(F.col("EXTDCOST") / unit, F.lit(0)).cast("decimal(38,19)")
+    f = meet_headers(d, h, "POPRCTNM", "receiptdate")
     return f.groupBy("ItemCode").agg(
         F.min("_date").alias("RcvdDate"),
-        F.sum(times(F.col("_q"), F.col(TIMES))).alias("_q"),
-        F.sum(F.col("_amt") * F.col(TIMES)).alias("_amt"),
+        F.sum(times(ratio, F.col(TIMES))).alias("_q"),
+        F.sum(F.coalesce(F.col("EXTDCOST"), F.lit(0)) * F.col(TIMES)).cast(QTY).alias("_amt"),
     )
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions import MONEY, money, to_int
-from tillroll.operators.documents import TIMES, header_rows, meet_headers
+from tillroll.operators.documents import TIMES, meet_headers
 from tillroll.operators.weights import CodeKeys, ItemWeights
 from tillroll.plans.strategy import bounded_broadcast
 from tillroll.sources.normalize import canonical, fold_text
@@ -35,9 +35,8 @@ def shipment_sums(transfer_header: DataFrame, transfer_detail: DataFrame, keys:
     d = transfer_detail.select("TransferID", F.col("ItemCode").alias("Code20"), "Qty").join(
         keys.keys20(), "Code20", "left_semi"
     )
-    per_document = d.groupBy("TransferID", "Code20").agg(F.sum("Qty").cast(QTY).alias("_q"))
-    f = meet_headers(per_document, header_rows(transfer_header, "TransferID"), "TransferID", "Code20")
-    return f.groupBy("Code20").agg(F.sum(F.col("_q") * F.col(TIMES)).cast(QTY).alias("_q"))
+    f = meet_headers(d, transfer_header, "TransferID")
+    return f.groupBy("Code20").agg(F.sum(F.col("Qty") * F.col(TIMES)).cast(QTY).alias("_q"))
 
 
 def store_shipments_by_item(
@@ -131,12 +130,10 @@ def wholesale_sums(header: DataFrame, lines: DataFrame, keys: CodeKeys) -> DataF
     d = lines.select("SOPNUMBE", F.col("ITEMNMBR").alias("ItemCode"), "QTYTOINV", "XTNDPRCE").join(
         keys.keys7(), "ItemCode", "left_semi"
     )
-    per_document = d.groupBy("SOPNUMBE", "ItemCode").agg(
-        F.sum("QTYTOINV").cast(QTY).alias("_q"), F.sum("XTNDPRCE").cast(QTY).alias("_a")
-    )
-    f = meet_headers(per_document, header_rows(wholesale_orders(header), "SOPNUMBE"), "SOPNUMBE", "ItemCode")
+    f = meet_headers(d, wholesale_orders(header), "SOPNUMBE")
     return f.groupBy("ItemCode").agg(
-        F.sum(F.col("_q") * F.col(TIMES)).cast(QTY).alias("_q"), F.sum(F.col("_a") * F.col(TIMES)).cast(QTY).alias("_a")
+        F.sum(F.col("QTYTOINV") * F.col(TIMES)).cast(QTY).alias("_q"),
+        F.sum(F.col("XTNDPRCE") * F.col(TIMES)).cast(QTY).alias("_a"),
     )
 
 

@@ -103,8 +103,9 @@ def shipments_in_range(
         & F.col("ShipmentType").isin(*types)
     ).select("ShipmentNo", "ShipmentType", "ToLocationNo", "DateTransferred")
 
+    n = None
     if stage is not None:
-        sh, _ = stage(sh)
+        sh, n = stage(sh)
     lines = shipment_detail.filter(F.col("ShipmentType").isin(*types))
     if mode == "vendor":
         lines = lines.filter(F.col("VendorID") == F.lit(fold_text(vendor_id))).select(*SHIP_KEYS, "VendorID")
@@ -113,7 +114,7 @@ def shipments_in_range(
     # Lines carry no date: cut in their scan to the shipments in range, then
     # deduplicated per shipment map-side, so one very large shipment
     # contributes one key per map task.
-    keep = cut_by_bitmap(lines, sh, SHIP_KEYS).distinct()
+    keep = cut_by_bitmap(lines, sh, SHIP_KEYS, n).distinct()
     sh = sh.join(keep, SHIP_KEYS, "inner" if mode == "vendor" else "left_semi")
 
     st = stores.select(F.col("LocationNo").alias("ToLocationNo"), "LocationNo", "LocationName")
@@ -135,6 +136,7 @@ def received_shipments(
     sr_header: DataFrame,
     sr_detail: DataFrame,
     stage=None,
+    shipments_rows: int | None = None,
 ) -> DataFrame:
     """(ShipmentNo, ShipmentType, qty) with ``sum(qty) > 0``.
 
@@ -146,10 +148,11 @@ def received_shipments(
     """
     sr_header = canonical(sr_header, "sr_header")
     rows_per_ship = shipments.groupBy(*SHIP_KEYS).agg(F.count(F.lit(1)).alias("n_rows"))
-    heads = cut_by_bitmap(sr_header.select(*SHIP_KEYS, "BatchID"), shipments, SHIP_KEYS)
+    heads = cut_by_bitmap(sr_header.select(*SHIP_KEYS, "BatchID"), shipments, SHIP_KEYS, shipments_rows)
+    n = None
     if stage is not None:  # read by the cut of the receipt lines and by the join
-        heads, _ = stage(heads)
-    lines = cut_by_bitmap(sr_detail.select("BatchID", "qty"), heads, ["BatchID"])
+        heads, n = stage(heads)
+    lines = cut_by_bitmap(sr_detail.select("BatchID", "qty"), heads, ["BatchID"], n)
     batch_qty = lines.groupBy("BatchID").agg(F.sum("qty").alias("bq"))
     per_ship = heads.join(batch_qty, "BatchID").groupBy(*SHIP_KEYS).agg(F.sum("bq").alias("q"))
     out = per_ship.join(rows_per_ship, SHIP_KEYS).select(
@@ -164,7 +167,7 @@ def not_received(shipments: DataFrame, received: DataFrame) -> DataFrame:
     return shipments.join(received.select(*SHIP_KEYS), SHIP_KEYS, "left_anti")
 
 
-def _with_vendor_labels(open_ships: DataFrame, shipment_vendor_detail: DataFrame, vendor_master: DataFrame) -> DataFrame:
+def _with_vendor_labels(open_ships: DataFrame, shipment_vendor_detail: DataFrame, vendor_master: DataFrame, rows: int | None) -> DataFrame:
     """Left-join each drop shipment's line vendors and their names.
 
     Lines are cut in their scan to the shipments at hand and deduplicated per
@@ -174,16 +177,16 @@ def _with_vendor_labels(open_ships: DataFrame, shipment_vendor_detail: DataFrame
     lines = canonical(shipment_vendor_detail, "shipment_vendor_detail").filter(F.col("ShipmentType") == DROP_SHIP_TYPE).select(
         *SHIP_KEYS, F.col("VendorId").alias("LineVendor")
     )
-    lines = cut_by_bitmap(lines, open_ships, SHIP_KEYS).distinct()
+    lines = cut_by_bitmap(lines, open_ships, SHIP_KEYS, rows).distinct()
     vm = vendor_master.select(F.col("VendorID").alias("VmVendorID"), F.col("Name").alias("VmName"))
     j = open_ships.join(lines, SHIP_KEYS, "left").join(vm, F.col("LineVendor") == F.col("VmVendorID"), "left")
     return j.withColumn("VendorLabel", vendor_label(F.col("VmVendorID"), F.col("VmName")))
 
 
-def not_received_all(open_ships: DataFrame, shipment_vendor_detail: DataFrame, vendor_master: DataFrame) -> DataFrame:
+def not_received_all(open_ships: DataFrame, shipment_vendor_detail: DataFrame, vendor_master: DataFrame, rows: int | None = None) -> DataFrame:
     """The not-received W and R shipments (``not_received``); W labelled 'CDC', R by vendor.
-    Unordered, Vendor last."""
-    labelled = _with_vendor_labels(open_ships, shipment_vendor_detail, vendor_master)
+    Unordered, Vendor last.  ``rows``: their number, if known."""
+    labelled = _with_vendor_labels(open_ships, shipment_vendor_detail, vendor_master, rows)
     distinct_rows = labelled.select(
         F.col("VendorLabel").alias("Vendor"),
         "Location",
@@ -217,10 +220,10 @@ def not_received_cdc(open_ships: DataFrame) -> DataFrame:
     ).orderBy(*CDC_ORDER)
 
 
-def not_received_vendor(open_ships: DataFrame, shipment_vendor_detail: DataFrame, vendor_master: DataFrame) -> DataFrame:
+def not_received_vendor(open_ships: DataFrame, shipment_vendor_detail: DataFrame, vendor_master: DataFrame, rows: int | None = None) -> DataFrame:
     """Not-received drop shipments of one vendor, labelled with every
     vendor on the shipment; Vendor first, ordered (date as text)."""
-    labelled = _with_vendor_labels(open_ships, shipment_vendor_detail, vendor_master)
+    labelled = _with_vendor_labels(open_ships, shipment_vendor_detail, vendor_master, rows)
     return (
         labelled.select(
             F.col("VendorLabel").alias("Vendor"),

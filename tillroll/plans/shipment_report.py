@@ -45,12 +45,13 @@ def shipment_not_received(
     ships = S.shipments_in_range(
         tables["shipment_header"], tables["shipment_detail"], stores, start, end, mode, vendor, stage
     )
+    n = n_open = None
     if reuse:
-        ships, _ = checkpointed(ships)
-    open_ships = S.not_received(ships, S.received_shipments(ships, tables["sr_header"], tables["sr_detail"], stage))
+        ships, n = checkpointed(ships)
+    open_ships = S.not_received(ships, S.received_shipments(ships, tables["sr_header"], tables["sr_detail"], stage, n))
     if mode == "cdc":
         return S.not_received_cdc(open_ships)
     if reuse:
-        open_ships, _ = checkpointed(open_ships)
+        open_ships, n_open = checkpointed(open_ships)
     svd, vm = tables["shipment_vendor_detail"], tables["vendor_master"]
-    return (S.not_received_all if mode == "all" else S.not_received_vendor)(open_ships, svd, vm)
+    return (S.not_received_all if mode == "all" else S.not_received_vendor)(open_ships, svd, vm, n_open)
