@@ -146,7 +146,7 @@ def test_undated_lines_are_cut_before_any_exchange_at_both_extremes(spark, lake)
             df = S.shipments_in_range(t["shipment_header"], t["shipment_detail"], stores, *DATES, "all")
             plan = plan_text(df)
             lines = plan[: plan.index("Company_folded")].splitlines()
-            above = [x for x in lines if "Exchange hashpartitioning(ShipmentNo" in x or "_bucket" in x and "BroadcastHashJoin" in x]
+            above = [x for x in lines if "Exchange hashpartitioning(ShipmentNo" in x or "_word" in x and "BroadcastHashJoin" in x]
             assert "BroadcastHashJoin" in above[-1], plan  # nearest to the scan of the lines: the bitmap, not an exchange
             found.append(sorted(map(str, df.collect())))
     finally:

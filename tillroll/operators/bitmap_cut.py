@@ -1,11 +1,12 @@
 """Cutting a large table to the keys of another one, with one plan at every size.
 
-The keys' hashes set bits in a bitmap of a fixed number of bits, built by one
-aggregate (4 KB pieces, combined map-side).  The bitmap has a
-bounded size whatever the tables hold (at most 16 MB by default, less for few keys), so it can always
-be broadcast, and the large table is cut in its scan stage: rows that can't match are never exchanged.  A few
-rows whose hashes collide pass, so a join on the keys has to follow; with many
-more keys than bits more rows pass, but none is lost.
+The keys' hashes set bits in a bitmap, built by one aggregate: words of 64 bits,
+combined map-side; only words with a bit set are rows.  The bitmap has at most
+2**bits / 64 rows whatever the tables hold (a million by default, some 50 MB, and no more
+than one for each key), so it can always be broadcast, and the large table is cut in its scan stage by integer arithmetic: rows
+that can't match are never exchanged.  A few rows whose hashes collide pass, so
+a join on the keys has to follow; with many more keys than bits more rows
+pass, but none is lost.
 """
 
 from __future__ import annotations
@@ -14,14 +15,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
-BITS = 27
+BITS = 26
 CONF_BITS = "tillroll.bitmapCut.bits"
 
 
 def cut_by_bitmap(rows: DataFrame, keys: DataFrame, columns: list[str], n_keys: int | None = None, bits: int | None = None) -> DataFrame:
     """The rows whose ``columns`` may be among those of ``keys``: all that are, and few others.
 
-    The bitmap has 2**``bits`` bits (default ``tillroll.bitmapCut.bits``, else 27); with ``n_keys``,
+    The bitmap has 2**``bits`` bits (default ``tillroll.bitmapCut.bits``, else 26); with ``n_keys``,
     the number of keys where a stage has counted them, no more than 32 bits for each.
     Whole numbers of different widths are compared as text; other types must agree.
     """
@@ -34,21 +35,17 @@ def cut_by_bitmap(rows: DataFrame, keys: DataFrame, columns: list[str], n_keys:
     bits = bits or int(rows.sparkSession.conf.get(CONF_BITS, str(BITS)))
     if n_keys is not None:
         bits = min(bits, max(15, (32 * n_keys).bit_length()))
-    place = F.pmod(F.xxhash64(*wide), F.lit(1 << bits)) + 1
+    place = F.pmod(F.xxhash64(*wide), F.lit(1 << bits))
+    bit = "shiftleft(1L, cast(_place % 64 AS int))"
     marks = (
         keys.select(place.alias("_place"))
-        .groupBy(F.bitmap_bucket_number("_place").alias("_bucket"))
-        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("_place")).alias("_bits"))
+        .groupBy(F.shiftright("_place", 6).alias("_word"))
+        .agg(F.bit_or(F.expr(bit)).alias("_bits"))
     )
-    at = F.bitmap_bit_position("_place")
-    byte = F.conv(F.hex(F.substring(F.col("_bits"), (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    is_set = F.expr("shiftright(_byte, _bit) & 1") == 1
     return (
         rows.withColumn("_place", place)
-        .withColumn("_bucket", F.bitmap_bucket_number("_place"))
-        .join(F.broadcast(marks), "_bucket")
-        .withColumn("_byte", byte)
-        .withColumn("_bit", (at % 8).cast("int"))
-        .filter(is_set)
+        .withColumn("_word", F.shiftright("_place", 6))
+        .join(F.broadcast(marks), "_word")
+        .filter(F.expr(f"(_bits & {bit}) <> 0"))
         .select(*rows.columns)
     )
