@@ -9,9 +9,11 @@ A fingerprint is a sample of the prefix array: the places to sample are chosen
 by the eight bytes that follow them, so equal regions are sampled alike, and by
 levels (trailing zero bits), so that two fingerprints can be brought to the same
 density.  As entries of a prefix array, any two of the sampled ones name the
-span between them; the likeness of two fingerprints is the share of bytes in
-equal spans.  A fingerprint covers the whole text at any length, in at most
-``CUTS`` cuts.
+span between them.  Beside these cuts, of which there are at most ``CUTS``, a
+fingerprint holds the entries at the fixed places of ``LADDER``; a binary search
+over them finds how far two texts agree from their starts, also where they
+are too short or too repetitive for cuts.  The likeness of two
+fingerprints is the share of bytes in equal spans or, if larger, in the common start.
 """
 
 from __future__ import annotations
@@ -43,6 +45,8 @@ LEAST_LEVEL = 3
 NO_LEVEL = 32
 CUTS = 24
 PIECE_BYTES = 1 << 20
+#: 1, 2, 3, 4, 6, 8, 12, ...: a common start is known to two thirds of its length at least.
+LADDER = np.unique([w << k for k in range(40) for w in (2, 3)] + [1]).astype(np.int64)
 _HEAD = struct.Struct("<QBQ")
 _CUT = np.dtype([("at", "<u4"), ("zeros", "u1"), ("sum", "<u4")])
 
@@ -147,11 +151,15 @@ class PrefixHashes:
 
 class Fingerprints:
     """Those of texts: ``size`` (bytes), ``level``, ``whole`` for each text; its cuts are ``first[i]:first[i + 1]``
-    of ``at``, ``zeros`` and ``sum`` (the prefix array's entry there, counted from the text's start)."""
+    of ``at``, ``zeros`` and ``sum`` (the prefix array's entry there, counted from the text's start).  ``rungs``
+    has the entries at the places of ``LADDER`` below its size, from ``rung_first[i]`` on."""
 
-    def __init__(self, size, level, whole, first, at, zeros, sums):
+    def __init__(self, size, level, whole, first, at, zeros, sums, rungs):
         self.size, self.level, self.whole = size, level, whole
         self.first, self.at, self.zeros, self.sum = first, at, zeros, sums
+        self.n_rungs = np.searchsorted(LADDER, size)
+        self.rung_first = np.concatenate([[0], np.cumsum(self.n_rungs)])
+        self.rungs = rungs
 
     @classmethod
     def of(cls, hashes: PrefixHashes, bounds: np.ndarray) -> Fingerprints:
@@ -169,24 +177,45 @@ class Fingerprints:
         at, zeros, owner = at[keep], zeros[keep], owner[keep]
         sums = hashes._span(0, start[owner], at)
         first = np.searchsorted(owner, np.arange(texts + 1))
-        return cls(end - start, level, hashes.names(start, end), first, at - start[owner], zeros, sums)
+        n = np.searchsorted(LADDER, end - start)
+        base = np.repeat(start, n)
+        rungs = hashes._span(0, base, base + LADDER[ranges(np.zeros(texts, np.int64), n)])
+        return cls(end - start, level, hashes.names(start, end), first, at - start[owner], zeros, sums, rungs)
 
     def texts(self) -> list[str]:
         """Each as a string."""
         cuts = np.empty(len(self.at), _CUT)
         cuts["at"], cuts["zeros"], cuts["sum"] = self.at, self.zeros, self.sum
-        raw, wide = cuts.tobytes(), _CUT.itemsize
-        heads = zip(self.size.tolist(), self.level.tolist(), self.whole.tolist(), self.first.tolist(), self.first[1:].tolist(), strict=False)
-        return [base64.b64encode(_HEAD.pack(n, k, h) + raw[a * wide : b * wide]).decode() for n, k, h, a, b in heads]
+        raw, wide, rungs = cuts.tobytes(), _CUT.itemsize, self.rungs.astype("<u4").tobytes()
+        heads = zip(self.size.tolist(), self.level.tolist(), self.whole.tolist(), strict=True)
+        cut, rung = (x.tolist() for x in (self.first * wide, self.rung_first * 4))
+        return [
+            base64.b64encode(_HEAD.pack(*head) + raw[cut[i] : cut[i + 1]] + rungs[rung[i] : rung[i + 1]]).decode()
+            for i, head in enumerate(heads)
+        ]
 
     @classmethod
     def parse(cls, texts: list[str]) -> Fingerprints:
         raw = [base64.b64decode(t) for t in texts]
         heads = [_HEAD.unpack_from(r) for r in raw]
-        cuts = np.frombuffer(b"".join(r[_HEAD.size :] for r in raw), _CUT)
-        counts = [(len(r) - _HEAD.size) // _CUT.itemsize for r in raw]
         size, level, whole = (np.array([h[k] for h in heads], t) for k, t in ((0, np.int64), (1, np.int64), (2, _U)))
-        return cls(size, level, whole, np.cumsum([0, *counts]), cuts["at"].astype(np.int64), cuts["zeros"].astype(np.int64), cuts["sum"].astype(_U))
+        tail = [len(r) - 4 * n for r, n in zip(raw, np.searchsorted(LADDER, size).tolist(), strict=True)]
+        cuts = np.frombuffer(b"".join(r[_HEAD.size : n] for r, n in zip(raw, tail, strict=True)), _CUT)
+        rungs = np.frombuffer(b"".join(r[n:] for r, n in zip(raw, tail, strict=True)), "<u4").astype(_U)
+        first = np.cumsum([0, *((n - _HEAD.size) // _CUT.itemsize for n in tail)])
+        return cls(size, level, whole, first, cuts["at"].astype(np.int64), cuts["zeros"].astype(np.int64), cuts["sum"].astype(_U), rungs)
+
+    def common_starts(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """A length that texts left[k] and right[k] have in common from their starts: the last place of the ladder at
+        which both agree, found by binary search (where they agree at a place, they do at all before it)."""
+        low, high = np.zeros(len(left), np.int64), np.minimum(self.n_rungs[left], self.n_rungs[right])
+        while (low < high).any():
+            mid = (low + high + 1) >> 1
+            at = np.maximum(mid - 1, 0)
+            i, j = (np.minimum(self.rung_first[x] + at, max(0, len(self.rungs) - 1)) for x in (left, right))
+            same = (self.rungs[i] == self.rungs[j]) | (mid == 0)
+            low, high = np.where(same, mid, low), np.where(same, high, mid - 1)
+        return np.where(low > 0, LADDER[np.maximum(low - 1, 0)], 0)
 
     def _spans(self, of: np.ndarray, level: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(k, name, length) of the spans between the cuts that fingerprint of[k] has at level[k] or above."""
@@ -206,8 +235,8 @@ class Fingerprints:
         return owner[i], mix(name | (length.astype(_U) << _BITS)), length
 
     def likeness(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        """Of the fingerprints left[k] and right[k]: twice the bytes in equal spans over all bytes, repeats paired
-        one to one; 1 for two empty texts."""
+        """Of the fingerprints left[k] and right[k]: twice the bytes in equal spans (repeats paired one to one), or
+        in the common start if that is more, over all bytes; 1 for two empty texts."""
         level = np.maximum(self.level[left], self.level[right])
         sides = [self._spans(left, level), self._spans(right, level)]
         k, name, length = (np.concatenate(x) for x in zip(*sides, strict=True))
@@ -220,6 +249,7 @@ class Fingerprints:
             opens = np.flatnonzero(np.r_[True, (k[1:] != k[:-1]) | (name[1:] != name[:-1])])
             ones, all_ = np.add.reduceat(side, opens), np.diff(np.r_[opens, len(k)])
             np.add.at(shared, k[opens], np.minimum(ones, all_ - ones) * length[opens])
+        shared = np.maximum(shared, self.common_starts(left, right))
         return np.where(total > 0, 2 * shared / np.maximum(total, 1), 1.0)
 
 
