@@ -268,14 +268,14 @@ class ItemStages:
     @cached_property
     def flipped(self) -> DataFrame:  # M5 (weighted)
         rows = self.family.unionByName(self.readded)
-        return self._stage(weighted(flip_report_code(rows, self.reorderables, self._rows)))[0]
+        return self._stage(weighted(flip_report_code(rows, self.reorderables, self._rows)), "flipped")[0]
 
     @cached_property
     def items(self) -> DataFrame:  # M7 (weighted) -- the final tracked-item set
         one = F.lit(1).cast("bigint")
         rows = self.flipped.unionByName(self.out_of_stock.withColumn(WEIGHT, one))
         made = weighted(attach_buyer(rows, self._order_header, self._po_rows))
-        made, self.items_rows = self._stage(made)
+        made, self.items_rows = self._stage(made, "items")
         return made
 
     def per_code(self) -> DataFrame:
@@ -290,7 +290,7 @@ class ItemStages:
         return self.relation.per_code_cost().unionByName(self.readded.select("ItemCode", "Cost", WEIGHT)).unionByName(late)
 
 
-def _identity(df: DataFrame) -> tuple[DataFrame, int | None]:
+def _identity(df: DataFrame, name: str) -> tuple[DataFrame, int | None]:
     return df, None
 
 
@@ -313,20 +313,20 @@ def build_items(tables, as_of, stage=None, on_candidates=None) -> ItemStages:
     # The product-line rows and the recent out-of-stock codes are
     # independent: materialise them concurrently (two jobs in flight).
     with ThreadPoolExecutor(max_workers=2) as pool:
-        f_line = pool.submit(stage, line_rows(pm, pmd))
-        f_recent = pool.submit(stage, recent_oos_codes(tables["oos_item_log"], as_of))
+        f_line = pool.submit(stage, line_rows(pm, pmd), "line")
+        f_recent = pool.submit(stage, recent_oos_codes(tables["oos_item_log"], as_of), "recent")
         (line, line_n), (recent, recent_n) = f_line.result(), f_recent.result()
     candidates = line.select("MasterCode").unionByName(recent).distinct()
     bound = None if line_n is None or recent_n is None else line_n + recent_n
     if on_candidates is not None:
         on_candidates(candidates, bound)
-    po, po_rows = stage(first_po(od, candidates, bound))
+    po, po_rows = stage(first_po(od, candidates, bound), "first-po")
     # The reorderable set is small and its size is bounded by the
     # product-line rows, so it stays a plan rather than another write.
     cr = reorderable_items(line, po)
     upc = alias_items(pm, pmd)
     relation = family_relation(cr, line, upc)
-    readded, _ = stage(readd_alias_items(cr, line, upc, po))
+    readded, _ = stage(readd_alias_items(cr, line, upc, po), "readded")
     tracked = relation.item_codes().unionByName(readded.select("ItemCode"))
-    oos, _ = stage(recent_out_of_stock(recent, pm, pmd, tracked, po, recent_n))
+    oos, _ = stage(recent_out_of_stock(recent, pm, pmd, tracked, po, recent_n), "out-of-stock")
     return ItemStages(stage, cr, upc, relation, readded, oos, tables["order_header"], line_n, po_rows)

@@ -19,7 +19,7 @@ def with_position(df: DataFrame, order: list[str], stage, name: str = "position"
     that agree in ``order`` take neighbouring positions.
     """
     ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
-    numbered, _ = stage(ranged.withColumn("_id", F.monotonically_increasing_id()))
+    numbered, _ = stage(ranged.withColumn("_id", F.monotonically_increasing_id()), name)
     part = F.shiftright("_id", _ROW_BITS)
     counts = sorted((r["part"], r["count"]) for r in numbered.groupBy(part.alias("part")).count().collect())
     before, offsets = 0, []

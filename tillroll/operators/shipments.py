@@ -105,7 +105,7 @@ def shipments_in_range(
 
     n = None
     if stage is not None:
-        sh, n = stage(sh)
+        sh, n = stage(sh, "headers-in-range")
     lines = shipment_detail.filter(F.col("ShipmentType").isin(*types))
     if mode == "vendor":
         lines = lines.filter(F.col("VendorID") == F.lit(fold_text(vendor_id))).select(*SHIP_KEYS, "VendorID")
@@ -151,7 +151,7 @@ def received_shipments(
     heads = cut_by_bitmap(sr_header.select(*SHIP_KEYS, "BatchID"), shipments, SHIP_KEYS, shipments_rows)
     n = None
     if stage is not None:  # read by the cut of the receipt lines and by the join
-        heads, n = stage(heads)
+        heads, n = stage(heads, "receipt-headers")
     lines = cut_by_bitmap(sr_detail.select("BatchID", "qty"), heads, ["BatchID"], n)
     batch_qty = lines.groupBy("BatchID").agg(F.sum("qty").alias("bq"))
     per_ship = heads.join(batch_qty, "BatchID").groupBy(*SHIP_KEYS).agg(F.sum("bq").alias("q"))

@@ -38,11 +38,12 @@ class ProfitRun:
     those start in the background as soon as the codes that can become items
     are known.  The expanded item rows are made for the report alone."""
 
-    def __init__(self, tables: Tables, as_of, fanout: str, money_mode: str, reuse: bool, feeds: tuple[str, ...] = ()):
+    def __init__(self, tables: Tables, as_of, fanout: str, money_mode: str, reuse: bool, feeds: tuple[str, ...] = (), stage=None):
         self._t = tables = canonical_tables(tables)
         self.as_of = as_of
         self.money_mode = money_mode
         self._reuse = reuse
+        self._stage = stage or checkpointed
         self._pool = ThreadPoolExecutor(max_workers=4)
         self._sums: dict[str, Future] = {}
         self._keys = None
@@ -57,10 +58,10 @@ class ProfitRun:
                 self._keys = code_keys(candidates.select(key7(F.col("MasterCode")).alias("ItemCode")), bound)
                 self._start(feeds)
 
-        self.items: ItemStages = build_items(tables, as_of, checkpointed if reuse else None, candidates_known)
+        self.items: ItemStages = build_items(tables, as_of, self._stage if reuse else None, candidates_known)
         self.weights = stage_weights(self.items, fanout, codes_bound)
         if reuse:
-            kept = {c: checkpointed(getattr(self.weights, c))[0] for c in ("by_code", "by_code_cost")}
+            kept = {c: self._stage(getattr(self.weights, c), c)[0] for c in ("by_code", "by_code_cost")}
             self.weights = replace(self.weights, **kept)
 
     def _start(self, feeds: Iterable[str]) -> None:
@@ -76,7 +77,7 @@ class ProfitRun:
         }
         for name in feeds:
             if name not in self._sums:
-                self._sums[name] = self._pool.submit(lambda make=makers[name]: checkpointed(make())[0])
+                self._sums[name] = self._pool.submit(lambda name=name: self._stage(makers[name](), f"feed-{name.replace(' ', '-')}")[0])
 
     def _s(self, *names):
         if not self._reuse:
@@ -150,11 +151,13 @@ def run_profit(
     money_mode: str = "half_up",
     reuse: bool = True,
     feeds: tuple[str, ...] = (),
+    stage=None,
 ) -> ProfitRun:
     """Make the item codes and weights (written when ``reuse``) and return the
     run.  Measures and the report are planned on first access; ``feeds`` (of
-    ``FEEDS``) are summed in background jobs from the start."""
-    return ProfitRun(tables, as_of, fanout, money_mode, reuse, feeds)
+    ``FEEDS``) are summed in background jobs from the start.  ``stage`` writes the
+    stages (default ``checkpointed``; ``StageCatalog.stage`` finds those of a failed run)."""
+    return ProfitRun(tables, as_of, fanout, money_mode, reuse, feeds, stage)
 
 
 def profit_by_title(tables: Tables, as_of, fanout: str = "reference", money_mode: str = "half_up", reuse: bool = True) -> DataFrame:

@@ -39,9 +39,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     )
 
 
-def checkpointed(df: DataFrame) -> tuple[DataFrame, int]:
+def checkpointed(df: DataFrame, name: str = "") -> tuple[DataFrame, int]:
     """Materialise ``df`` and return it with its row count.  The count is an
-    observed metric of the write itself, so it costs no extra job."""
+    observed metric of the write itself, so it costs no extra job.  (``name``
+    is for stages that a later run may find again: see ``stage_catalog``.)"""
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/tillroll-stages/{uuid.uuid4().hex}"
     obs = Observation(f"stage_rows_{uuid.uuid4().hex}")  # unique: stages may run concurrently
