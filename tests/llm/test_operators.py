@@ -247,6 +247,41 @@ def test_mixture(docs, empty):
     assert mix_sources(empty).count() == 0
 
 
+def test_mixture_takes_no_text_more_often_than_its_cap(spark):
+    # the small source is clamped at two times; half of its texts have no words
+    rows = [(i, "" if i % 2 else f"word {i}", "a") for i in range(40)] + [(100 + i, f"long text of many words {i} " * 20, "b") for i in range(40)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mix_sources(table).collect()
+    assert {r["times"] for r in got if r["source"] == "a"} == {2} and all(r["times"] <= 2 for r in got)
+    names = ["doc_id", "source", "size", "source_size", "target", "times", "taken"]
+    want = _duck(Q.OP10, [(i, t, "en", s) for i, t, s in rows])
+    assert Counter(tuple(r[n] for n in names) for r in got) == Counter(tuple(r[n] for n in names) for r in want)
+    taken = Counter(r["doc_id"] for r in mixed_documents(table).collect())
+    assert all(taken[r["doc_id"]] == r["times"] for r in got)
+
+
+def test_columns_with_the_names_that_operators_use(spark):
+    names = ["whole", "cut", "_row", "_text", "_lang", "_s", "_n", "of", "copy", "Row", "lot", "root", "node"]
+    names = list(dict.fromkeys(names))
+    rows = [(*r[:4], *[f"{n}-{k}" for n in names]) for k, r in enumerate(_docs()) if r[0] != 6 and r[0] != 7]
+    table = spark.createDataFrame(rows, ", ".join(["doc_id long", "text string", "lang string", "source string", *[f"`{n}` string" for n in names]]))
+    items = spark.createDataFrame([(1, "no such text")], "item_id long, text string")
+    everything = {tuple(r) for r in table.collect()}
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    for out in (mixed_documents(table), one_of_each(table, width=5, percent=80), keep_good(table, path), clean_documents(table, items)):
+        assert out.columns == table.columns
+        assert {tuple(r) for r in out.collect()} <= everything
+    assert {tuple(r) for r in clean_documents(table, items).collect()} == everything
+
+
+def test_one_of_each_keeps_one_of_a_group_without_ids(spark):
+    base = " ".join(f"word{i}" for i in range(100))
+    rows = [(None, base), (None, base + " tail"), (None, base + " end"), (None, "another text of six words"), (None, None), (7, "x")]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [r["text"] for r in one_of_each(table, width=5, percent=80).collect()]
+    assert sum(1 for t in kept if t and t.startswith(base)) == 1 and len(kept) == 4
+
+
 def _backoff(training, text, discount=0.75):
     """log10 probability of text by a trigram model of training (text: times), written down plainly."""
     grams = [Counter(), Counter(), Counter()]

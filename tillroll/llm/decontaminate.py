@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.llm import words as W
-from tillroll.llm.tables import plain
+from tillroll.llm.tables import plain, spare
 
 WIDTH = 5
 PERCENT = 80
@@ -131,13 +131,14 @@ def item_blocks(items: DataFrame, width: int, percent: int, step: int) -> Iterat
 def clean_documents(docs: DataFrame, items: DataFrame, width: int = WIDTH, percent: int = PERCENT, step: int = ITEMS) -> DataFrame:
     """The rows of docs, all their columns, that hold no item; one pass for each block of items, no shuffle."""
     schema, columns = docs.schema, docs.columns
+    (text,) = spare(docs, "whole_text")
     for index in item_blocks(items, width, percent, step):
 
         def keep(batches: Iterator[pa.RecordBatch], index: ItemIndex = index) -> Iterator[pa.RecordBatch]:
-            for piece in W.pieces(batches, "_text"):
+            for piece in W.pieces(batches, text):
                 clean = np.ones(piece.num_rows, dtype=bool)
-                clean[index.search(piece.column("_text"))[0]] = False
+                clean[index.search(piece.column(text))[0]] = False
                 yield piece.filter(pa.array(clean)).select(range(len(columns)))
 
-        docs = docs.withColumn("_text", F.col("text").cast("string")).mapInArrow(keep, schema)
+        docs = docs.withColumn(text, F.col("text").cast("string")).mapInArrow(keep, schema)
     return docs

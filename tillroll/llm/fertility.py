@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.llm import words as W
-from tillroll.llm.tables import plain
+from tillroll.llm.tables import plain, spare
 from tillroll.llm.vocab import sentencepiece_coder
 
 SYMBOLS = b"#*$%&|<>"
@@ -167,12 +167,13 @@ def measure(docs: DataFrame, vocabulary: str, languages: dict[str, Band] | None
 def keep_good(docs: DataFrame, vocabulary: str, languages: dict[str, Band] | None = None, scripts: dict[str, Band] | None = None) -> DataFrame:
     """The rows of docs, all their columns, that the rules keep; one pass, no shuffle."""
     rules = Rules(vocabulary, languages, scripts)
-    judged = docs.withColumn("_text", F.col("text").cast("string")).withColumn("_lang", F.col("lang").cast("string"))
+    text, lang = spare(docs, "whole_text", "whole_lang")
+    judged = docs.withColumn(text, F.col("text").cast("string")).withColumn(lang, F.col("lang").cast("string"))
     columns = docs.columns
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in W.pieces(batches, "_text"):
-            seen = pa.RecordBatch.from_arrays([piece.column("_text"), piece.column("_lang")], names=["text", "lang"])
+        for piece in W.pieces(batches, text):
+            seen = pa.RecordBatch.from_arrays([piece.column(text), piece.column(lang)], names=["text", "lang"])
             kept = piece.filter(pa.array(rules.figures(seen)["kept"]))
             yield kept.select(range(len(columns)))
 

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from tillroll.llm import packed
 from tillroll.llm import words as W
 from tillroll.llm.components import components
-from tillroll.llm.tables import Stages, buckets, plain
+from tillroll.llm.tables import Stages, buckets, plain, spare
 
 _U = np.uint64
 #: Counters of the frequency estimate: about one for every 50 shingles tells rare from frequent ones well.
@@ -98,7 +98,7 @@ class Order:
 def jaccard_components(
     docs: DataFrame, width: int = 4, percent: int = 85, fragments: int = FRAGMENTS, sketch_bits: int = SKETCH_BITS
 ) -> DataFrame:
-    """One row for each row of docs: doc_id, row, n_shingles, component_id, class_id, n_links.
+    """One row for each row of docs: doc_id, row, n_shingles, component_id, class_id, n_links, root.
 
     Two texts link when 100 * intersection >= percent * union of their sets of
     distinct ``width``-word shingles (A-Z folded); a text of fewer words has
@@ -109,7 +109,7 @@ def jaccard_components(
     empty; an empty text links with nothing, has its own doc_id as both ids.
     A null doc_id is never smallest unless all ids of the component are null.
     Repeated rows are rows of one class.  row is xxhash64(doc_id, text), for joins
-    back.  Other columns are not read; an empty table gives an empty result.
+    back; root names the component whatever its ids are.  Other columns are not read; an empty table gives an empty result.
     """
     spark = docs.sparkSession
     stages, count = Stages(spark, "jaccard"), buckets(spark)
@@ -344,7 +344,7 @@ def jaccard_components(
         .select("node", "class_id", F.coalesce("root", "node").alias("root"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
     )
     least = classes.groupBy("root").agg(F.min("class_id").alias("component_id"))
-    classes = stages.write(classes.join(least, "root").select("node", "class_id", "component_id", "n_links"), "classes")
+    classes = stages.write(classes.join(least, "root").select("node", "root", "class_id", "component_id", "n_links"), "classes")
     rounds = [f"{x}-{k}" for k in range(ROUNDS) for x in ("best", "tried", "rest")]
     stages.drop("posted", "star", "pairs", "judged", "sketched", "rest", "more", *rounds)
     alone = F.col("n") == 0
@@ -355,6 +355,7 @@ def jaccard_components(
         F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
         F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
         "n_links",
+        "root",
     )
 
 
@@ -362,14 +363,15 @@ def one_of_each(docs: DataFrame, **settings) -> DataFrame:
     """The rows of docs, all their columns, but one alone of each component: that of the smallest
     doc_id (nulls last), then of the smallest hash of its text.  Empty texts stay, each once by doc_id."""
     found = jaccard_components(docs, **settings)
-    group = F.when(F.col("n_shingles") > 0, F.col("component_id"))
-    # texts without words, and components without any id, stand for themselves
+    group = F.when(F.col("n_shingles") > 0, F.col("root"))
+    # texts without words stand for themselves
     alone = F.when(group.isNull(), F.col("row"))
     kept = found.groupBy(group.alias("g"), alone.alias("s")).agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("best"))
-    kept = kept.select(F.col("best.row").alias("_row")).distinct()
+    (key,) = spare(docs, "row")
+    kept = kept.select(F.col("best.row").alias(key)).distinct()
     row = F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     # equal rows lie side by side after the join
-    one = docs.withColumn("_row", row).join(kept, "_row", "left_semi").dropDuplicates(["_row"])
+    one = docs.withColumn(key, row).join(kept, key, "left_semi").dropDuplicates([key])
     return one.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 

@@ -15,10 +15,12 @@ the documents of one prefix.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillroll.llm.tables import Stages, plain
+from tillroll.llm.tables import Stages, plain, spare
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -80,7 +82,10 @@ def plan_mix(
         totals.select(F.col("source").alias("s"), "rest"), F.col("source").eqNullSafe(F.col("s"))
     )
     cut_step = stages.write(
-        steps.where((F.col("before") <= F.col("rest")) & (F.col("before") + F.col("n") > F.col("rest"))).select("source", "start", "before", "rest"),
+        # a source clamped at its cap has no rest to fill: not even a text without words goes once more
+        steps.where((F.col("rest") > 0) & (F.col("before") <= F.col("rest")) & (F.col("before") + F.col("n") > F.col("rest"))).select(
+            "source", "start", "before", "rest"
+        ),
         "cut_steps",
     )
     fine = rows.withColumn("start", start).join(
@@ -96,11 +101,12 @@ def plan_mix(
     return stages.write(totals.join(cuts, F.col("source").eqNullSafe(F.col("c")), "left").drop("c", "rest"), "plan")
 
 
-def with_times(rows: DataFrame, plan: DataFrame) -> DataFrame:
-    """rows (with source and lot) and source_size, target, and times: how often each is taken."""
+def with_times(rows: DataFrame, plan: DataFrame, epochs: float = EPOCHS) -> DataFrame:
+    """rows (with source and lot) and source_size, target, and times: how often each is taken (``epochs``, rounded up, at most)."""
     plan = plan.select(F.col("source").alias("_s"), "source_size", "target", "whole", "cut")
     once = F.when(F.col("lot") <= F.col("cut"), 1).otherwise(0)
-    return rows.join(plan, F.col("source").eqNullSafe(F.col("_s"))).withColumn("times", F.col("whole") + once).drop("_s", "whole", "cut")
+    times = F.least(F.col("whole") + once, F.lit(math.ceil(epochs)))
+    return rows.join(plan, F.col("source").eqNullSafe(F.col("_s"))).withColumn("times", times).drop("_s", "whole", "cut")
 
 
 def mix_sources(docs: DataFrame, seed: int = SEED, **settings) -> DataFrame:
@@ -118,17 +124,19 @@ def mix_sources(docs: DataFrame, seed: int = SEED, **settings) -> DataFrame:
     stages = Stages(docs.sparkSession, "mixture")
     rows = stages.write(sized(docs, seed), "sized")
     plan = plan_mix(rows, stages, **settings)
-    return with_times(rows, plan).select(
+    return with_times(rows, plan, settings.get("epochs", EPOCHS)).select(
         "doc_id", "source", "size", "source_size", "target", "times", (F.col("times") * F.col("size")).alias("taken")
     )
 
 
 def mixed_documents(docs: DataFrame, seed: int = SEED, **settings) -> DataFrame:
-    """The rows of docs, all their columns, each as often as ``mix_sources`` takes it."""
+    """The rows of docs, all their columns whatever their names, each as often as ``mix_sources`` takes it."""
     stages = Stages(docs.sparkSession, "mixture")
     plan = plan_mix(stages.write(sized(docs, seed), "sized"), stages, **settings)
-    plan = plan.select(F.col("source").alias("_s"), "whole", "cut")
-    times = F.col("whole") + F.when(lot(F.col("doc_id"), F.col("text"), seed) <= F.col("cut"), 1).otherwise(0)
-    joined = docs.join(plan, docs["source"].cast("string").eqNullSafe(F.col("_s")))
-    repeated = joined.withColumn("_n", F.explode(F.array_repeat(F.lit(0), times.cast("int"))))
+    of, whole, cut, copy = spare(docs, "of", "whole", "cut", "copy")
+    plan = plan.select(F.col("source").alias(of), F.col("whole").alias(whole), F.col("cut").alias(cut))
+    times = F.col(whole) + F.when(lot(F.col("doc_id"), F.col("text"), seed) <= F.col(cut), 1).otherwise(0)
+    times = F.least(times, F.lit(math.ceil(settings.get("epochs", EPOCHS))))
+    joined = docs.join(plan, F.col("source").cast("string").eqNullSafe(F.col(of)))
+    repeated = joined.withColumn(copy, F.explode(F.array_repeat(F.lit(0), times.cast("int"))))
     return repeated.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -181,8 +181,8 @@ WITH d AS (
   FROM d JOIN t ON t.source IS NOT DISTINCT FROM d.source
 )
 SELECT doc_id, source, size, CAST(total AS BIGINT) AS source_size, target,
-  CAST(whole + CASE WHEN before + size / 2.0::DOUBLE <= target - whole * total THEN 1 ELSE 0 END AS INTEGER) AS times,
-  CAST(size * (whole + CASE WHEN before + size / 2.0::DOUBLE <= target - whole * total THEN 1 ELSE 0 END) AS BIGINT) AS taken
+  CAST(whole + CASE WHEN target > whole * total AND before + size / 2.0::DOUBLE <= target - whole * total THEN 1 ELSE 0 END AS INTEGER) AS times,
+  CAST(size * (whole + CASE WHEN target > whole * total AND before + size / 2.0::DOUBLE <= target - whole * total THEN 1 ELSE 0 END) AS BIGINT) AS taken
 FROM o
 """
 

@@ -66,6 +66,17 @@ def plain(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*[F.col(f"`{name}`").cast(kind).alias(name) for name, kind in columns.items()])
 
 
+def spare(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores before it as no column of df has (whatever the case)."""
+    taken, found = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        found.append(name)
+    return found
+
+
 def buckets(spark: SparkSession) -> int:
     """Hash buckets for packed exchanges: as many as shuffle partitions, so that they grow with the cluster's setting."""
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
