@@ -8,6 +8,9 @@ of the sketch.  (A sketch of a long document could not promise that for a short
 item, so documents are probed with all their shingles, cut off at the
 partitions' largest sketch hash.)  Candidates are verified by exact
 containment of the item's whole shingle set.
+
+An item of fewer words than a shingle has is one shingle, its whole word
+sequence; documents are probed for it with their windows of as many words.
 """
 
 from __future__ import annotations
@@ -34,15 +37,25 @@ class ItemIndex:
     """Sketches by size partition, and the items' whole shingle sets."""
 
     def __init__(self, ids: list, texts: list, width: int, percent: int):
-        owner, names = W.distinct_pairs(*W.shingles(W.words_of(pa.array(texts, pa.large_string()), fold=True), width))
+        words = W.words_of(pa.array(texts, pa.large_string()), fold=True)
+        owner, names = W.distinct_pairs(*W.shingles(words, width))
         self.width, self.percent, self.ids = width, percent, ids
         self.sizes = np.bincount(owner, minlength=len(ids))
+        # items of fewer words than a shingle has: number of words -> (names in order, their items)
+        few = words.counts[owner] < width
+        self.short = {}
+        for n in np.unique(words.counts[owner[few]]):
+            same = few & (words.counts[owner] == n)
+            by = np.argsort(names[same], kind="stable")
+            self.short[int(n)] = names[same][by], owner[same][by]
+        owner, names = owner[~few], names[~few]
+        long_sizes = np.bincount(owner, minlength=len(ids))
         self.owner, self.names = owner, names
         parts = np.frexp(np.maximum(self.sizes, 1))[1]
         probe_names, probe_items = [], []
-        rank = np.arange(len(names)) - np.repeat(np.cumsum(self.sizes) - self.sizes, self.sizes)  # names are in order
-        for part in np.unique(parts[self.sizes > 0]):
-            largest = int(self.sizes[parts == part].max())
+        rank = np.arange(len(names)) - np.repeat(np.cumsum(long_sizes) - long_sizes, long_sizes)  # names are in order
+        for part in np.unique(parts[long_sizes > 0]):
+            largest = int(long_sizes[parts == part].max())
             length = largest - -(-percent * largest // 100) + 1
             use = (parts[owner] == part) & (rank < length)
             probe_names.append(names[use])
@@ -58,6 +71,25 @@ class ItemIndex:
     def search(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(text, item, shared) of every text that holds the threshold's share of an item."""
         words = W.words_of(texts, fold=True)
+        text, item, shared = self._long(words, len(texts))
+        few_text, few_item = self._short(words)
+        return np.concatenate([text, few_text]), np.concatenate([item, few_item]), np.concatenate([shared, np.ones(len(few_text), np.int64)])
+
+    def _short(self, words: W.Words) -> tuple[np.ndarray, np.ndarray]:
+        """(text, item) for the items of fewer words than a shingle has: a window of the text is the item."""
+        found = [np.zeros(0, np.int64)]
+        for n, (ordered, items) in self.short.items():
+            at = W.window_starts(words.first, n)
+            names = W.window_hashes(words.hash, n)[at]
+            hit = ordered[np.minimum(np.searchsorted(ordered, names), len(ordered) - 1)] == names
+            owner = np.searchsorted(words.first, at[hit], side="right") - 1
+            text, item = self._joined(*W.distinct_pairs(owner, names[hit]), ordered, items)
+            found.append(text * len(self.ids) + item)
+        pair = np.concatenate(found)
+        return pair // max(len(self.ids), 1), pair % max(len(self.ids), 1)
+
+    def _long(self, words: W.Words, n_texts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(text, item, shared) for the others."""
         none = np.zeros(0, np.int64)
         if not len(self.probe):
             return none, none, none
@@ -71,7 +103,7 @@ class ItemIndex:
         wanted = np.unique(text * len(self.ids) + item)
         # exact: all shingles of the candidate texts against the whole sets
         docs = np.unique(wanted // len(self.ids))
-        mine = np.zeros(len(texts), dtype=bool)
+        mine = np.zeros(n_texts, dtype=bool)
         mine[docs] = True
         owner, names = W.distinct_pairs(owner[mine[owner]], names[mine[owner]])
         text, item = self._joined(owner, names, self.all_names, self.all_items)
@@ -94,8 +126,8 @@ def contaminated(docs: DataFrame, items: DataFrame, width: int = WIDTH, percent:
     ``percent`` of the distinct ``width``-word shingles of an item.
 
     Reads doc_id and text of docs, item_id and text of items.  Words are parted
-    by ASCII blanks, A-Z folded; a text of fewer words has its word sequence as
-    its one shingle.  Null and empty texts hold nothing and are held by nothing.
+    by ASCII blanks, A-Z folded; an item of fewer words has its word sequence as
+    its one shingle, held by a document in which those words stand consecutively.  Null and empty texts hold nothing and are held by nothing.
     Equal rows give one row each; null ids are kept as they are.  Other columns are not read.
     The items are searched in blocks of ``step`` rows, so the memory a task
     needs for them is bounded; each block is one pass over the documents.

@@ -188,15 +188,23 @@ FROM o
 
 OP9 = r"""
 WITH d AS (
-  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
     '[^\x20\x09-\x0D]+') AS w FROM documents
 ), b AS (
   SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
     '[^\x20\x09-\x0D]+') AS w FROM benchmark
+), k AS (
+  SELECT 5 AS k UNION SELECT len(w) FROM b WHERE len(w) BETWEEN 1 AND 4
+), e AS (
+  SELECT r, doc_id, unnest(w) AS w, generate_subscripts(w, 1) AS i FROM d
+), g AS (
+  SELECT doc_id, w AS w1, lead(w, 1) OVER p AS w2, lead(w, 2) OVER p AS w3, lead(w, 3) OVER p AS w4, lead(w, 4) OVER p AS w5
+  FROM e WINDOW p AS (PARTITION BY r ORDER BY i)
 ), x AS (
   SELECT DISTINCT doc_id, h FROM (
-    SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
-      ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS h FROM d)
+    SELECT doc_id, CASE k WHEN 1 THEN w1 WHEN 2 THEN w1 || ' ' || w2 WHEN 3 THEN w1 || ' ' || w2 || ' ' || w3
+      WHEN 4 THEN w1 || ' ' || w2 || ' ' || w3 || ' ' || w4 ELSE w1 || ' ' || w2 || ' ' || w3 || ' ' || w4 || ' ' || w5 END AS h FROM g, k)
+  WHERE h IS NOT NULL
 ), y AS (
   SELECT DISTINCT item_id, h FROM (
     SELECT item_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
