@@ -14,7 +14,7 @@ import pytest
 from tillroll.llm import queries as Q
 from tillroll.llm.backoff_lm import score_documents
 from tillroll.llm.decontaminate import clean_documents, contaminated
-from tillroll.llm.fertility import keep_good, measure
+from tillroll.llm.fertility import LANGUAGES, SCRIPTS, keep_good, measure, relative_entropy
 from tillroll.llm.jaccard import jaccard_components, one_of_each
 from tillroll.llm.licences import TEMPLATES, scan_licences
 from tillroll.llm.mixture import mix_sources, mixed_documents
@@ -187,6 +187,46 @@ def test_quality(docs, empty):
     assert keep_good(docs, path).columns == docs.columns and keep_good(empty, path).count() == 0
 
 
+def test_token_entropy_of_texts_of_any_length():
+    rng = np.random.default_rng(5)
+
+    def plain(ids):
+        n = len(ids)
+        return -sum(c / n * math.log2(c / n) for c in Counter(ids.tolist()).values()) / math.log2(n) if n > 1 else 0.0
+
+    for n in (0, 1, 2, 50, 1023, 1024):
+        ids = rng.zipf(1.3, n) % 5000
+        assert math.isclose(relative_entropy(ids), plain(ids), abs_tol=1e-12)
+    for n in (1025, 2049, 30_001):
+        ids, k = rng.zipf(1.3, n) % 5000, math.ceil(n / 1024)
+        parts = [ids[i * n // k : (i + 1) * n // k] for i in range(k)]
+        assert math.isclose(relative_entropy(ids), sum(plain(p) * len(p) for p in parts) / n)
+    # never beyond 1, and alike for a text and for many of its kind in a row
+    assert math.isclose(relative_entropy(np.arange(100_000)), 1.0)
+    mixed = [relative_entropy(rng.zipf(1.5, n) % 5000) for n in (1024, 4096, 65_536)]
+    assert max(mixed) - min(mixed) < 0.05
+
+
+def test_quality_verdict_against_plain_python(spark, docs):
+    import sentencepiece
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    coder = sentencepiece.SentencePieceProcessor(model_file=path)
+    got = {(r["doc_id"], r["n_words"]): r for r in measure(docs, path).collect()}
+    for i, t, lang, *_ in _docs():
+        words = _words(t)
+        ids = [x for w in words for x in coder.encode(w)]
+        r = got[i, len(words)]
+        n = max(len(ids), 1)
+        assert math.isclose(r["chars_per_token"], sum(map(len, words)) / n)
+        assert math.isclose(r["byte_share"], sum(coder.is_byte(x) for x in ids) / n)
+        assert math.isclose(r["token_entropy"], relative_entropy(np.array(ids, dtype=np.int64)), abs_tol=1e-9)
+        band = LANGUAGES.get(lang) or SCRIPTS["latin"]
+        low, high = band.chars_per_token
+        fine = low <= r["chars_per_token"] <= high and r["byte_share"] <= band.max_byte_share and r["token_entropy"] >= band.min_entropy
+        assert r["kept"] == (fine and not r["base_failed"])
+
+
 def test_toxicity(spark, empty):
     rows = [(i, f"the {g} walked home today number {i}" + (" awful vermin" if i % 4 == 0 else ""), i % 4 == 0)
             for i in range(200) for g in ["man" if i % 8 < 4 else "woman"]]
@@ -236,6 +276,30 @@ def test_decontamination(spark, docs, empty):
     assert contaminated(empty, table).count() == 0 and clean_documents(docs, empty.selectExpr("doc_id item_id", "text")).count() == len(_docs())
 
 
+def test_short_benchmark_items_inside_longer_documents(spark):
+    texts = ["question: What is TWO plus three", "what is", "is two", "two", "x what is two", "what two is", "", None, "what is two plus three four five " * 40]
+    items = [(1, "what is two"), (2, "two"), (3, "what is two"), (4, "plus three"), (5, "is two plus three four"), (6, "what is two plus three four"), (7, " "), (8, None)]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+
+    def grams(t, n):
+        w = _words(t, True)
+        return {tuple(w[i : i + n]) for i in range(len(w) - n + 1)}
+
+    want = set()
+    for i, t in enumerate(texts):
+        for k, item in items:
+            n = min(5, len(_words(item)))
+            if n and 100 * len(grams(t, n) & grams(item, n)) >= 80 * len(grams(item, n)):
+                want.add((i, k, len(grams(t, n) & grams(item, n)), len(grams(item, n))))
+    names = ["doc_id", "item_id", "n_shared", "n_item"]
+    for step in (20_000, 3):
+        assert _rows(contaminated(table, bench, step=step), *names) == Counter(want)
+    assert {x for x in want} == {tuple(r[n] for n in names) for r in _duck(Q.OP9, [(i, t, None, None) for i, t in enumerate(texts)], items)}
+    clean = clean_documents(table, bench.where("item_id in (1, 4)"))
+    assert {r["doc_id"] for r in clean.collect()} == {1, 2, 3, 5, 6, 7}
+
+
 def test_mixture(docs, empty):
     names = ["doc_id", "source", "size", "source_size", "target", "times", "taken"]
     got = mix_sources(docs)

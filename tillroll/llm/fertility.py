@@ -4,7 +4,8 @@ A tokeniser trained on ordinary text cuts ordinary text into few tokens.  For
 every document the words are encoded with a byte-fallback vocabulary, and
 three figures are taken: code points per token, the share of byte-fallback
 tokens, and the entropy of the document's tokens, relative to what so many
-tokens could have.  Each has a band for the document's script or language; a
+tokens could have (texts fall in spans of a bounded number of tokens, and have
+the mean of their spans: the figure of a whole text would fall with its length).  Each has a band for the document's script or language; a
 document outside any band is rejected.  Bands are fixed parameters, so the
 verdict on a document depends on that document alone.
 """
@@ -27,6 +28,8 @@ SYMBOLS = b"#*$%&|<>"
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 REPEAT_WIDTH = 8
+#: Tokens of a span of which the entropy is taken.
+SPAN = 1024
 
 
 @dataclass(frozen=True)
@@ -108,13 +111,7 @@ def fertility(words: W.Words, word_chars: np.ndarray, path: str) -> dict[str, np
     bounds = np.concatenate([[0], np.cumsum(counts)])[words.first]
     n = np.diff(bounds)
     some = np.maximum(n, 1)
-    # entropy in bits over log2 of the number of tokens: 1 where all differ, 0 where all are one
-    entropy = np.zeros(len(n))
-    for i, (a, b) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)):
-        if b - a > 1:
-            seen = np.bincount(ids[a:b])
-            p = seen[seen > 0] / (b - a)
-            entropy[i] = -(p * np.log2(p)).sum() / np.log2(min(b - a, 1024))
+    entropy = np.array([relative_entropy(ids[a:b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)], dtype=np.float64)
     return {
         "chars_per_token": word_chars / some,
         "byte_share": W.sums_by_text(is_byte[ids], bounds) / some,
@@ -122,6 +119,20 @@ def fertility(words: W.Words, word_chars: np.ndarray, path: str) -> dict[str, np
     }
 
 
+def relative_entropy(ids: np.ndarray, span: int = SPAN) -> float:
+    """The entropy of the ids over the largest that so many could have: 1 where all differ, 0 where all are
+    one (or there is at most one).  The ids fall in the fewest spans of at most ``span``, as equal as can
+    be; of several the mean by their lengths is taken."""
+    edges = len(ids) * np.arange(-(-len(ids) // span) + 1) // max(-(-len(ids) // span), 1)
+    total = 0.0
+    for a, b in zip(edges[:-1], edges[1:], strict=True):
+        if b - a > 1:
+            seen = np.unique(ids[a:b], return_counts=True)[1]
+            p = seen / (b - a)
+            total += -(p * np.log2(p)).sum() / np.log2(b - a) * (b - a)
+    return float(total / max(len(ids), 1))
+
+
 class Rules:
     """The verdicts on pieces of a table with text and lang."""
 
