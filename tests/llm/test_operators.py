@@ -16,7 +16,7 @@ from tillroll.llm.backoff_lm import score_documents
 from tillroll.llm.decontaminate import clean_documents, contaminated
 from tillroll.llm.fertility import LANGUAGES, SCRIPTS, keep_good, measure, relative_entropy
 from tillroll.llm.jaccard import jaccard_components, one_of_each
-from tillroll.llm.licences import TEMPLATES, scan_licences
+from tillroll.llm.licences import TEMPLATES, Notice, scan_licences
 from tillroll.llm.mixture import mix_sources, mixed_documents
 from tillroll.llm.recompress import remove_repeats
 from tillroll.llm.sharding import _capacity, _cuts, Positions, shard_documents
@@ -396,19 +396,29 @@ def test_licence_blocks_across_lines_against_brute_force(spark):
         w, got, best = names(text), set(), 0.0
         for label, templates in TEMPLATES.items():
             for t in templates:
-                words = set(names(t))
-                reach = math.ceil(100 * len(names(t)) / 80)
-                top = max((len(words & set(w[i : i + reach])) / len(words) for i in range(len(w))), default=0.0)
+                words, deciding, barred = set(names(t.text)), set(names(t.deciding)), set(names(t.barred))
+                reach, top = math.ceil(100 * len(names(t.text)) / 80), 0.0
+                for i in range(len(w)):
+                    block = []
+                    for x in w[i : i + reach]:
+                        if x in barred:
+                            break
+                        block.append(x)
+                    if deciding <= set(block):
+                        top = max(top, len(words & set(block)) / len(words))
                 if 100 * round(top * len(words)) >= 80 * len(words):
                     got, best = got | {label}, max(best, top)
         return ",".join(sorted(got)), best
 
-    mit, bsd = TEMPLATES["mit"][1], TEMPLATES["bsd"][0]
+    mit, bsd = TEMPLATES["mit"][1].text, TEMPLATES["bsd"][0].text
     filler = " ".join(f"word{i}" for i in range(400))
-    texts = [t.replace(" ", "\n", k) for ts in TEMPLATES.values() for t in ts for k in (0, 1, 100)]
+    texts = [t.text.replace(" ", "\n", k) for ts in TEMPLATES.values() for t in ts for k in (0, 1, 100)]
+    texts += [" ".join(f"{t.text} {mark}" for mark in marks) for ts in TEMPLATES.values() for t in ts for marks in (["sa", "nc"], ["2"], ["lesser", "3", "x"])]
     texts += [mit.replace("obtaining", "obtaining\n * "), mit + " " + bsd.replace(" ", "\n", 3), f"{filler} {mit} {filler} {mit}",
               "released " + filler + " under the " + filler + " license", mit.replace(" ", " x "), filler, "the the the of of to", ""]
     rng = np.random.default_rng(3)
+    short = [names(f"{t.text} {t.barred}") for ts in TEMPLATES.values() for t in ts if t.deciding]
+    texts += [" ".join(rng.permutation([*short[k % len(short)], *short[rng.integers(len(short))]])) for k in range(120)]
     texts += [" ".join(rng.permutation([*names(mit), *names(bsd)[: rng.integers(1, 19)], *["x"] * rng.integers(0, 6)])) for _ in range(60)]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r["doc_id"]: r for r in scan_licences(docs, phrases={"no such phrase": "none"}).collect()}
@@ -421,6 +431,33 @@ def test_licence_blocks_across_lines_against_brute_force(spark):
     assert got[at["released " + filler + " under the " + filler + " license"]]["labels"] == ""
 
 
+def test_licences_told_apart_by_their_deciding_words(spark):
+    want = {
+        "Released under the BSD License": "",
+        "Released under the GPL license": "",
+        "Released under the MIT License": "mit",
+        "Licensed under the Mozilla Public License, Version 2.0": "",
+        "Licensed under the GNU General Public License, version 2.0": "",
+        "Licensed under the Apache License, Version 2.0": "apache-2.0",
+        "Licensed under the Apache License, Version 1.1": "",
+        "Licensed under the Apache License, Version 1.1. Licensed under the Apache License, Version 2.0": "apache-2.0",
+        "Licensed under CC BY 4.0": "",
+        "Licensed under CC BY-SA 4.0": "",
+        "Licensed under CC BY-NC-SA 4.0": "",
+        "Licensed under CC BY-NC 4.0": "cc-by-nc",
+        "This work is licensed under the GNU General Public License, version 2": "",
+        "This work is licensed under the GNU Lesser General Public License, version 3": "",
+        "This work is licensed under the GNU General Public License, version 3": "gpl-3.0",
+        "This Source Code Form is subject to the terms of the Eclipse Public License, v. 2.0": "",
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0": "mpl-2.0",
+    }
+    docs = spark.createDataFrame(list(enumerate(want)), "doc_id long, text string")
+    got = {r["doc_id"]: (r["labels"], r["n_blocks"]) for r in scan_licences(docs, phrases={"no such phrase": "none"}).collect()}
+    assert got == {i: (label, int(label != "")) for i, label in enumerate(want.values())}
+    with pytest.raises(ValueError, match="deciding"):
+        scan_licences(docs, {"x": [Notice("a b c", "d")]})
+
+
 def test_toxicity_learns_from_all_of_twenty_thousand_rows(spark):
     # ten words, each in five toxic texts of 8000 rows: all five are needed
     rows = [(i, f"plain talk number {i}" + (f" xq{i // 10 % 10}z" if i % 10 == 0 and i < 500 else ""), int(i % 10 == 0)) for i in range(8_000)]

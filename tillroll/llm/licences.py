@@ -3,7 +3,10 @@
 A block is a run of words of one text, across line breaks, and a set of words.  It
 matches a template of m words when it has at most m * 100 / percent words (so as
 many foreign ones as the threshold lets a template's own words be missing) and
-holds the threshold's share of the template's distinct words.  All template
+holds the threshold's share of the template's distinct words.  A template may
+name deciding words, which a block must hold, and barred words, which it must
+not: a short notice differs from another licence's by a name or a version alone,
+which the threshold would let be missing.  All template
 words stand in one order, rarest first by their count over the whole input.  A
 block can only match a template if it holds one of the first
 |T| - need + 1 words of it (prefix filter); from the place of its first word in
@@ -37,22 +40,32 @@ PHRASES = {
     "all rights reserved": "reserved",
 }
 
+@dataclass(frozen=True)
+class Notice:
+    """A template's text; the words of it that a block must hold, and words that none may hold, because
+    they tell its licence from others with nearly the same words."""
+
+    text: str
+    deciding: str = ""
+    barred: str = ""
+
+
 # The standard short notices of public licences, by label.
 TEMPLATES = {
-    "apache-2.0": ["Licensed under the Apache License, Version 2.0"],
+    "apache-2.0": [Notice("Licensed under the Apache License, Version 2.0", "apache 2")],
     "bsd": [
-        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
+        Notice("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
     ],
-    "cc-by-nc": ["Licensed under CC BY-NC 4.0"],
-    "cc0": ["To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work"],
-    "gpl-3.0": ["This work is licensed under the GNU General Public License, version 3"],
-    "isc": ["Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"],
+    "cc-by-nc": [Notice("Licensed under CC BY-NC 4.0", "cc nc", "sa nd")],
+    "cc0": [Notice("To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work")],
+    "gpl-3.0": [Notice("This work is licensed under the GNU General Public License, version 3", "general 3", "lesser library affero")],
+    "isc": [Notice("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted")],
     "mit": [
-        "Released under the MIT License",
-        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files",
+        Notice("Released under the MIT License", "mit"),
+        Notice("Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"),
     ],
-    "mpl-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"],
-    "public-domain": ["This is free and unencumbered software released into the public domain"],
+    "mpl-2.0": [Notice("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0", "mozilla 2")],
+    "public-domain": [Notice("This is free and unencumbered software released into the public domain")],
 }
 
 SCHEMA = "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double, n_blocks long"
@@ -65,19 +78,23 @@ def _names(text: str) -> np.ndarray:
 class TemplateIndex:
     """The templates with their words in the global order."""
 
-    def __init__(self, templates: dict[str, list[str]], percent: int, counts: dict[int, int]):
+    def __init__(self, templates: dict[str, list[Notice]], percent: int, counts: dict[int, int]):
         self.templates: list[Template] = []
-        vocabulary = {int(h) for texts in templates.values() for t in texts for h in _names(t)}
+        vocabulary = {int(h) for notices in templates.values() for t in notices for h in _names(f"{t.text} {t.barred}")}
         self.order = {h: i for i, h in enumerate(sorted(vocabulary, key=lambda h: (counts.get(h, 0), h)))}
-        for label, texts in templates.items():
-            for text in texts:
-                sequence = _names(text)
+        for label, notices in templates.items():
+            for notice in notices:
+                sequence = _names(notice.text)
                 words = sorted({int(h) for h in sequence}, key=self.order.get)
                 if not words:
                     continue
                 need = -(-percent * len(words) // 100)
                 prefix = np.array(sorted(words[: len(words) - need + 1]), dtype=_U)
-                self.templates.append(Template(label, np.array(sorted(words), dtype=_U), prefix, need, -(-100 * len(sequence) // percent)))
+                deciding, barred = np.unique(_names(notice.deciding)), np.unique(_names(notice.barred))
+                held = np.array(sorted(words), dtype=_U)
+                if not _among(deciding, held).all() or _among(barred, held).any():
+                    raise ValueError(f"{label}: deciding words must be words of the notice, barred words must not")
+                self.templates.append(Template(label, held, prefix, need, -(-100 * len(sequence) // percent), deciding, barred))
         self.known = np.array(sorted(vocabulary), dtype=_U)
 
 
@@ -90,12 +107,18 @@ class Template:
     prefix: np.ndarray
     need: int
     reach: int
+    deciding: np.ndarray
+    barred: np.ndarray
 
     def matches(self, place: np.ndarray, name: np.ndarray, opens: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(start, end, containment) by end of a matching block: the shortest block that ends there, and the
         largest containment of one that does.  From the places and names of template words, and the
         number of the first word of each one's text."""
         none = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        if len(self.barred) and len(place):
+            # a block starts behind the last barred word
+            behind = np.maximum.accumulate(np.where(_among(name, self.barred), place + 1, 0))
+            opens = np.maximum(opens, behind)
         use = _among(name, self.words)
         place, name, opens = place[use], name[use], opens[use]
         # a block holds a word of the prefix
@@ -116,11 +139,16 @@ class Template:
         shared = np.zeros(len(enough), dtype=np.int64)
         for h in self.words:
             shared += self._last(place, name, h)[enough] >= low[enough]
-        found = enough[shared >= self.need]
+        fits = shared >= self.need
+        decided = np.full(len(enough), np.iinfo(np.int64).max)
+        for h in self.deciding:
+            decided = np.minimum(decided, self._last(place, name, h)[enough])
+        fits &= decided >= low[enough]
+        found = enough[fits]
         if not len(found):
             return none
         latest = np.sort(np.stack([self._last(place, name, h)[found] for h in self.words]), axis=0)
-        return latest[-self.need], place[found], shared[shared >= self.need] / len(self.words)
+        return np.minimum(latest[-self.need], decided[fits]), place[found], shared[fits] / len(self.words)
 
     @staticmethod
     def _last(place: np.ndarray, name: np.ndarray, h: int) -> np.ndarray:
@@ -138,11 +166,13 @@ def _apart(start: np.ndarray, end: np.ndarray) -> list[int]:
 
 
 def _among(values: np.ndarray, ordered: np.ndarray) -> np.ndarray:
+    if not len(ordered):
+        return np.zeros(len(values), dtype=bool)
     at = np.minimum(np.searchsorted(ordered, values), len(ordered) - 1)
     return ordered[at] == values
 
 
-def scan_licences(docs: DataFrame, templates: dict[str, list[str]] | None = None, phrases: dict[str, str] | None = None, percent: int = PERCENT) -> DataFrame:
+def scan_licences(docs: DataFrame, templates: dict[str, list[Notice]] | None = None, phrases: dict[str, str] | None = None, percent: int = PERCENT) -> DataFrame:
     """One row for each row of docs: ``SCHEMA``.
 
     Reads doc_id and text.  A-Z are folded; words are runs of digits, letters
