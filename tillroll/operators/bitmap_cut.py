@@ -35,7 +35,9 @@ def cut_by_bitmap(rows: DataFrame, keys: DataFrame, columns: list[str], n_keys:
     bits = bits or int(rows.sparkSession.conf.get(CONF_BITS, str(BITS)))
     if n_keys is not None:
         bits = min(bits, max(15, (32 * n_keys).bit_length()))
-    place = F.pmod(F.xxhash64(*wide), F.lit(1 << bits))
+    # a mask, not pmod: never NULL, so that no not-null test of the hashed columns is made in the scan, where Spark
+    # would write each column's whole expression out again, several times for a code folded in the plan
+    place = F.xxhash64(*wide).bitwiseAND(F.lit((1 << bits) - 1))
     bit = "shiftleft(1L, cast(_place % 64 AS int))"
     marks = (
         keys.select(place.alias("_place"))
