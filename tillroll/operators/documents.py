@@ -13,7 +13,9 @@ lines would all be one task's.  So the lines are split:
 * all other lines meet their headers by an ordinary join; none of their documents
   is large enough to unbalance it.
 
-The sketch only chooses the side a line takes: any choice gives the same sums.
+The sketch only chooses the side a line takes: any choice gives the same sums.  Sketch and sides each read
+the lines: a job has them written once, cut to the items, so that the line table is scanned and its codes are
+folded once.
 """
 
 from __future__ import annotations
@@ -36,12 +38,15 @@ def times(total: Column, n: Column) -> Column:
     return ((whole * n).cast("decimal(37,19)") + part.cast("decimal(37,19)")).cast("decimal(38,19)")
 
 
-def meet_headers(lines: DataFrame, headers: DataFrame, document: str, date: str | None = None) -> DataFrame:
+def meet_headers(lines: DataFrame, headers: DataFrame, document: str, date: str | None = None, stage=None) -> DataFrame:
     """``lines`` whose document has a header row, with ``_times`` (a line's sums count so often) and, if
     ``date`` names a header column, ``_date`` (the earliest for the line).  A document's header rows all
-    count, so a line may come several times with ``_times`` 1 or once with their number."""
+    count, so a line may come several times with ``_times`` 1 or once with their number.  ``stage`` writes
+    the lines once: the sketch and both sides read them."""
     spark = lines.sparkSession
     k = min(TRACKED // 2, HOT_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    if stage is not None:
+        lines, _ = stage(lines)
     lines = lines.filter(F.col(document).isNotNull())
     heads = headers.filter(F.col(document).isNotNull())
     heads = heads.select(document, *([F.col(date).alias("_date")] if date else []))

@@ -18,8 +18,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions import key7, key20, pick_isbn
+from tillroll.operators.bitmap_cut import cut_by_bitmap
 from tillroll.operators.params import one_year_before, ts_literal
-from tillroll.plans.strategy import bounded_broadcast
+from tillroll.plans.strategy import bounded_broadcast, fits_broadcast, semi_join
 from tillroll.sources.normalize import canonical_tables
 from tillroll.fixed import ALIAS_PREFIX, REORDERABLE, TTB_LINE
 
@@ -78,11 +79,14 @@ def first_po(order_detail: DataFrame, master_codes: DataFrame, rows: int | None
     """Lowest PO number per master code, for the given codes only.
 
     Order lines are cut to the wanted codes before aggregating (broadcast
-    semi join under the row bound, else a shuffle semi join); ``min``
+    semi join under the row bound, else a bitmap and a shuffle semi join); ``min``
     aggregates map-side.  ``rows`` is a known upper bound on the codes.
     """
     keys = master_codes.select(F.col("MasterCode").alias("ItemCode")).distinct()
-    od = order_detail.select("ItemCode", "PONumber").join(bounded_broadcast(keys, rows), "ItemCode", "left_semi")
+    od, small = order_detail.select("ItemCode", "PONumber"), fits_broadcast(keys, rows)
+    if not small:
+        od = cut_by_bitmap(od, keys, ["ItemCode"])
+    od = semi_join(od, keys, "ItemCode", small)
     return od.groupBy("ItemCode").agg(F.min("PONumber").alias("OrgPO")).withColumnRenamed("ItemCode", "MasterCode")
 
 

@@ -16,13 +16,11 @@ QTY = "decimal(38,5)"
 RECEIPT_COLS = ["ItemCode", "RcvdDate", "RcvdQty", "RcvdAmt"]
 
 
-def receipt_sums(header: DataFrame, detail: DataFrame, keys: CodeKeys) -> DataFrame:
+def receipt_sums(header: DataFrame, detail: DataFrame, keys: CodeKeys, stage=None) -> DataFrame:
     """One receipt feed summed per item code (the fact-side work): lines cut
-    to the codes meet their header, then are summed per item, map-side first."""
-    d = detail.select("RECEIPT_ID", F.col("ITEM").alias("ItemCode"), "TOTAL_QTY").join(
-        keys.keys7(), "ItemCode", "left_semi"
-    )
-    f = meet_headers(d, header, "RECEIPT_ID", "RECEIPT_DATE")
+    to the codes (written once by ``stage``, if given) meet their header, then are summed per item, map-side first."""
+    d = keys.cut(detail.select("RECEIPT_ID", F.col("ITEM").alias("ItemCode"), "TOTAL_QTY"), "ItemCode")
+    f = meet_headers(d, header, "RECEIPT_ID", "RECEIPT_DATE", stage)
     q = F.col("TOTAL_QTY") * F.col(TIMES)
     return f.groupBy("ItemCode").agg(
         F.min("_date").alias("RcvdDate"),
@@ -60,19 +58,17 @@ def receipts_by_item(
     return _scale_receipts(cur, w).unionByName(_scale_receipts(arc, w)).distinct()
 
 
-def legacy_sums(pop_header: DataFrame, pop_line: DataFrame, keys: CodeKeys, cutoff: str = POP_CUTOFF) -> DataFrame:
+def legacy_sums(pop_header: DataFrame, pop_line: DataFrame, keys: CodeKeys, cutoff: str = POP_CUTOFF, stage=None) -> DataFrame:
     """Legacy purchasing receipts before ``cutoff`` summed per item code.
     Quantity is extended cost / unit cost (unit cost 0 read as 1, NULL ratio
-    as 0)."""
-    d = pop_line.select("POPRCTNM", F.col("ITEMNMBR").alias("ItemCode"), "EXTDCOST", "UNITCOST").join(
-        keys.keys7(), "ItemCode", "left_semi"
-    )
+    as 0).  ``stage`` as in ``receipt_sums``."""
+    d = keys.cut(pop_line.select("POPRCTNM", F.col("ITEMNMBR").alias("ItemCode"), "EXTDCOST", "UNITCOST"), "ItemCode")
     h = pop_header.filter(
         (F.col("POPTYPE") == POP_RECEIPT_TYPE) & (F.col("receiptdate") < ts_literal(cutoff))
     ).select("POPRCTNM", "receiptdate")
     unit = F.when(F.col("UNITCOST") == 0, F.lit(1)).otherwise(F.col("UNITCOST"))
     ratio = F.coalesce(F.col("EXTDCOST") / unit, F.lit(0)).cast("decimal(38,19)")
-    f = meet_headers(d, h, "POPRCTNM", "receiptdate")
+    f = meet_headers(d, h, "POPRCTNM", "receiptdate", stage)
     return f.groupBy("ItemCode").agg(
         F.min("_date").alias("RcvdDate"),
         F.sum(times(ratio, F.col(TIMES))).alias("_q"),

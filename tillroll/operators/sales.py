@@ -30,12 +30,10 @@ QTY = "decimal(38,5)"
 AVG = "decimal(38,6)"
 
 
-def shipment_sums(transfer_header: DataFrame, transfer_detail: DataFrame, keys: CodeKeys) -> DataFrame:
-    """Store-shipment quantity summed per padded item code."""
-    d = transfer_detail.select("TransferID", F.col("ItemCode").alias("Code20"), "Qty").join(
-        keys.keys20(), "Code20", "left_semi"
-    )
-    f = meet_headers(d, transfer_header, "TransferID")
+def shipment_sums(transfer_header: DataFrame, transfer_detail: DataFrame, keys: CodeKeys, stage=None) -> DataFrame:
+    """Store-shipment quantity summed per padded item code.  ``stage`` writes the lines cut to the codes once."""
+    d = keys.cut(transfer_detail.select("TransferID", F.col("ItemCode").alias("Code20"), "Qty"), "Code20", padded=True)
+    f = meet_headers(d, transfer_header, "TransferID", stage=stage)
     return f.groupBy("Code20").agg(F.sum(F.col("Qty") * F.col(TIMES)).cast(QTY).alias("_q"))
 
 
@@ -80,9 +78,8 @@ def sales_sums(sales: DataFrame, locations: DataFrame, keys: CodeKeys) -> DataFr
             "unitprice",
             "registerprice",
         )
-        .join(keys.keys20(), "Code20", "left_semi")
-        .join(bounded_broadcast(retail_stores(locations)), "LocationID")
     )
+    s = keys.cut(s, "Code20", padded=True).join(bounded_broadcast(retail_stores(locations)), "LocationID")
     signed = F.when(F.col("isreturn") == RETURN_FLAG, -F.col("quantity")).otherwise(F.col("quantity"))
     marked = F.when(
         (F.col("unitprice") > F.col("registerprice")) & (F.col("isreturn") == NOT_RETURN_FLAG), 1
@@ -125,12 +122,10 @@ def wholesale_orders(header: DataFrame) -> DataFrame:
     return canonical(header, "sop_open_header").filter(keep).select("SOPNUMBE")
 
 
-def wholesale_sums(header: DataFrame, lines: DataFrame, keys: CodeKeys) -> DataFrame:
-    """One wholesale feed (open or history) summed per item code."""
-    d = lines.select("SOPNUMBE", F.col("ITEMNMBR").alias("ItemCode"), "QTYTOINV", "XTNDPRCE").join(
-        keys.keys7(), "ItemCode", "left_semi"
-    )
-    f = meet_headers(d, wholesale_orders(header), "SOPNUMBE")
+def wholesale_sums(header: DataFrame, lines: DataFrame, keys: CodeKeys, stage=None) -> DataFrame:
+    """One wholesale feed (open or history) summed per item code.  ``stage`` writes the lines cut to the codes once."""
+    d = keys.cut(lines.select("SOPNUMBE", F.col("ITEMNMBR").alias("ItemCode"), "QTYTOINV", "XTNDPRCE"), "ItemCode")
+    f = meet_headers(d, wholesale_orders(header), "SOPNUMBE", stage=stage)
     return f.groupBy("ItemCode").agg(
         F.sum(F.col("QTYTOINV") * F.col(TIMES)).cast(QTY).alias("_q"),
         F.sum(F.col("XTNDPRCE") * F.col(TIMES)).cast(QTY).alias("_a"),

@@ -19,7 +19,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions import key20
-from tillroll.plans.strategy import fits_broadcast
+from tillroll.operators.bitmap_cut import cut_by_bitmap
+from tillroll.plans.strategy import fits_broadcast, semi_join
 
 FANOUTS = ("reference", "unique")
 
@@ -40,6 +41,15 @@ class CodeKeys:
     def keys20(self, name: str = "Code20") -> DataFrame:
         return self._b(self.short.select(key20(F.col("ItemCode")).alias(name)).distinct())
 
+    def cut(self, lines: DataFrame, name: str, padded: bool = False) -> DataFrame:
+        """The lines whose code ``name`` (short, or ``padded``) is among the keys: by a broadcast semi join, or, with
+        more keys than may be broadcast, by a bitmap in the scan first, so that few other lines are exchanged."""
+        code = key20(F.col("ItemCode")) if padded else F.col("ItemCode")
+        keys = self.short.select(code.alias(name)).distinct()
+        if not self.small:
+            lines = cut_by_bitmap(lines, keys, [name])
+        return semi_join(lines, keys, name, self.small)
+
 
 def code_keys(short_codes: DataFrame, rows: int | None = None) -> CodeKeys:
     """Keys from a DataFrame with a short ``ItemCode`` column; ``rows``

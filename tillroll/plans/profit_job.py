@@ -66,18 +66,26 @@ class ProfitRun:
 
     def _start(self, feeds: Iterable[str]) -> None:
         t, keys = self._t, self._keys
+        def lines(feed):
+            return lambda df: self._stage(df, f"lines-{feed}")
+
         makers = {
-            "receipts": lambda: R.receipt_sums(t["receipt_header"], t["receipt_detail"], keys),
-            "archive": lambda: R.receipt_sums(t["ar_receipt_header"], t["ar_receipt_detail"], keys),
-            "legacy": lambda: R.legacy_sums(t["pop_receipt_header"], t["pop_receipt_line"], keys),
-            "transfers": lambda: SA.shipment_sums(t["transfer_header"], t["transfer_detail"], keys),
-            "sales": lambda: SA.sales_sums(t["sales_item_history"], t["locations"], keys),
-            "open orders": lambda: SA.wholesale_sums(t["sop_open_header"], t["sop_open_line"], keys),
-            "order history": lambda: SA.wholesale_sums(t["sop_hist_header"], t["sop_hist_line"], keys),
+            "receipts": lambda st: R.receipt_sums(t["receipt_header"], t["receipt_detail"], keys, st),
+            "archive": lambda st: R.receipt_sums(t["ar_receipt_header"], t["ar_receipt_detail"], keys, st),
+            "legacy": lambda st: R.legacy_sums(t["pop_receipt_header"], t["pop_receipt_line"], keys, stage=st),
+            "transfers": lambda st: SA.shipment_sums(t["transfer_header"], t["transfer_detail"], keys, st),
+            "sales": lambda st: SA.sales_sums(t["sales_item_history"], t["locations"], keys),
+            "open orders": lambda st: SA.wholesale_sums(t["sop_open_header"], t["sop_open_line"], keys, st),
+            "order history": lambda st: SA.wholesale_sums(t["sop_hist_header"], t["sop_hist_line"], keys, st),
         }
+
+        def summed(name):
+            feed = name.replace(" ", "-")
+            return self._stage(makers[name](lines(feed)), f"feed-{feed}")[0]
+
         for name in feeds:
             if name not in self._sums:
-                self._sums[name] = self._pool.submit(lambda name=name: self._stage(makers[name](), f"feed-{name.replace(' ', '-')}")[0])
+                self._sums[name] = self._pool.submit(summed, name)
 
     def _s(self, *names):
         if not self._reuse:

@@ -32,6 +32,18 @@ def fits_broadcast(df: DataFrame, rows: int | None = None, limit: int | None = N
     return rows <= limit
 
 
+def semi_join(rows: DataFrame, keys: DataFrame, column: str, broadcast: bool) -> DataFrame:
+    """``rows`` whose ``column`` is among the distinct values of ``keys`` (NULL never is), as ``left_semi`` gives;
+    ``broadcast`` hints that they fit.
+
+    The comparison is null-safe over keys without NULL: from a plain one Spark infers that ``column`` is not NULL
+    and tests that in the scan, writing the column's whole expression out again there.  For a code that is folded
+    in the plan this costs more than the fold itself.
+    """
+    known = keys.select(F.col(column).alias("_known")).filter(F.col("_known").isNotNull())
+    return rows.join(F.broadcast(known) if broadcast else known, F.col(column).eqNullSafe(F.col("_known")), "left_semi")
+
+
 def bounded_broadcast(df: DataFrame, rows: int | None = None, limit: int | None = None) -> DataFrame:
     """``broadcast(df)`` when its row count is within the bound, else ``df``.
 
