@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from tillroll.functions import key7, key20, pick_isbn
 from tillroll.operators.bitmap_cut import cut_by_bitmap
 from tillroll.operators.params import one_year_before, ts_literal
-from tillroll.plans.strategy import bounded_broadcast, fits_broadcast, semi_join
+from tillroll.plans.strategy import bounded_broadcast, dealt, fits_broadcast, semi_join
 from tillroll.sources.normalize import canonical_tables
 from tillroll.fixed import ALIAS_PREFIX, REORDERABLE, TTB_LINE
 
@@ -45,7 +45,7 @@ def product_rows(pm: DataFrame, pmd: DataFrame, keep: tuple[str, ...] = ()) -> D
     """
     p = pm.select("ItemCode", "Title", "ISBN", "Cost", "Price", "MfgSuggestedPrice", "SectionCode", "VendorID", *keep)
     d = pmd.select("ItemCode", F.col("ReportItemCode").alias("RawReport"), "UPC")
-    return p.join(d, "ItemCode").select(
+    return p.join(dealt(d), "ItemCode").select(
         *keep,
         F.col("ItemCode").alias("MasterCode"),
         "Title",
@@ -91,7 +91,7 @@ def first_po(order_detail: DataFrame, master_codes: DataFrame, rows: int | None
 
 
 def _with_po(rows: DataFrame, po: DataFrame) -> DataFrame:
-    return rows.join(po, "MasterCode", "left").withColumn("OrgBuyer", F.lit(""))
+    return rows.join(dealt(po), "MasterCode", "left").withColumn("OrgBuyer", F.lit(""))
 
 
 def line_rows(pm: DataFrame, pmd: DataFrame) -> DataFrame:
@@ -116,7 +116,7 @@ def alias_items(pm: DataFrame, pmd: DataFrame) -> DataFrame:
         .distinct()
     )
     ttb = _ttb(pm).select("ItemCode").join(bounded_broadcast(targets), "ItemCode", "left_semi")
-    return ttb.join(pmd.select("ItemCode", "ReportItemCode"), "ItemCode")
+    return ttb.join(dealt(pmd.select("ItemCode", "ReportItemCode")), "ItemCode")
 
 
 def _alias_master_codes(upc: DataFrame) -> DataFrame:
@@ -144,7 +144,7 @@ class FamilyRelation:
     def expand(self) -> DataFrame:
         """The rows themselves, weighted (``n`` = 1).  Both sides are distinct
         and ``alone`` shares no (report code, code) with them: so is the union."""
-        joined = self.codes.join(self.attributes, "RawReport").withColumnRenamed("RawReport", "ReportItemCode")
+        joined = self.codes.join(dealt(self.attributes), "RawReport").withColumnRenamed("RawReport", "ReportItemCode")
         rows = joined.select(*ITEM_COLS).unionByName(self.alone.select(*ITEM_COLS))
         return rows.withColumn(WEIGHT, F.lit(1).cast("bigint"))
 
@@ -172,13 +172,13 @@ def family_relation(cr: DataFrame, line: DataFrame, upc: DataFrame) -> FamilyRel
     """M3 from the reorderables, the product-line rows and the alias items (whose own codes stay out)."""
     codes = (
         line.filter(F.col("RawReport").isNotNull())
-        .join(_alias_master_codes(upc), "MasterCode", "left_anti")
+        .join(dealt(_alias_master_codes(upc)), "MasterCode", "left_anti")
         .select("RawReport", "ItemCode")
         .distinct()
     )
     attributes = cr.select(F.col("ReportItemCode").alias("RawReport"), *ATTRIBUTES).distinct()
     pairs = codes.withColumnRenamed("RawReport", "ReportItemCode")
-    return FamilyRelation(codes, attributes, cr.select(*ITEM_COLS).join(pairs, ["ReportItemCode", "ItemCode"], "left_anti"))
+    return FamilyRelation(codes, attributes, cr.select(*ITEM_COLS).join(dealt(pairs), ["ReportItemCode", "ItemCode"], "left_anti"))
 
 
 def readd_alias_items(cr: DataFrame, line: DataFrame, upc: DataFrame, po: DataFrame) -> DataFrame:
@@ -187,7 +187,7 @@ def readd_alias_items(cr: DataFrame, line: DataFrame, upc: DataFrame, po: DataFr
     The reference inserts each such row once per reorderable row of the
     family (no dedup); the weight ``n`` is that family size.
     """
-    rows = line.join(_alias_master_codes(upc), "MasterCode", "left_semi")
+    rows = line.join(dealt(_alias_master_codes(upc)), "MasterCode", "left_semi")
     fam_size = cr.groupBy(F.col("ReportItemCode").alias("RawReport")).agg(F.count(F.lit(1)).alias(WEIGHT))
     rows = rows.join(fam_size, "RawReport")
     return _with_po(rows, po).groupBy(*ITEM_COLS).agg(F.sum(WEIGHT).alias(WEIGHT))

@@ -32,6 +32,12 @@ def fits_broadcast(df: DataFrame, rows: int | None = None, limit: int | None = N
     return rows <= limit
 
 
+def dealt(df: DataFrame) -> DataFrame:
+    """``df`` as the side of a join that is never broadcast, whatever its size is taken for: attribute rows, which
+    grow with the items, are joined by an exchange at every size and don't pass the driver."""
+    return df.hint("merge")
+
+
 def semi_join(rows: DataFrame, keys: DataFrame, column: str, broadcast: bool) -> DataFrame:
     """``rows`` whose ``column`` is among the distinct values of ``keys`` (NULL never is), as ``left_semi`` gives;
     ``broadcast`` hints that they fit.
