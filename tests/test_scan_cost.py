@@ -3,11 +3,11 @@
 from pyspark.sql import functions as F
 
 from tests.tables import make_tables
-from tests.test_plans import logical_text
+from tests.test_plans import logical_text, plan_text
 from tillroll.operators.bitmap_cut import cut_by_bitmap
 from tillroll.operators.documents import meet_headers
 from tillroll.operators.items import first_po
-from tillroll.operators.weights import CodeKeys
+from tillroll.operators.weights import CodeKeys, ItemWeights
 from tillroll.plans.stages import checkpointed
 from tillroll.sources import ingest_tables
 from tillroll.sources.normalize import canonical
@@ -75,3 +75,11 @@ def test_ingested_files_are_compressed_well_and_whole(spark, tmp_path):
         assert files and all(f.endswith(".zstd.parquet") for f in files)
         lake = spark.read.parquet(f"{tmp_path}/{name}")
         assert sorted(map(str, canonical(lake, name).collect())) == sorted(map(str, canonical(raw[name], name).collect()))
+
+
+def test_no_item_rows_pass_the_driver(spark):
+    w = ItemWeights(*(spark.createDataFrame([("0000001", "1".rjust(20, "0"), 2, c)], f"ItemCode string, Code20 string, n bigint, {n} decimal(19,4)") for n, c in (("max_cost", None), ("Cost", None))), True)
+    sums = spark.sql("SELECT '0000001' ItemCode, 3BD _q, 4BD _a")
+    for side in (w.per_code(), w.per_code_cost()):
+        met = sums.join(side, "ItemCode")
+        assert met.count() == 1 and "BroadcastHashJoin" not in plan_text(met)

@@ -18,7 +18,7 @@ from tillroll.functions import (
 )
 from tillroll.operators.items import ITEM_COLS
 from tillroll.operators.params import as_datetime
-from tillroll.plans.strategy import bounded_broadcast
+from tillroll.plans.strategy import bounded_broadcast, dealt
 
 REPORT_COLUMNS = [
     "ItemCode", "Title", "ISBN", "SectionCode", "VendorID", "Cost", "Price", "MSRP",
@@ -73,18 +73,14 @@ def profit_rows(
     w = wms.select(F.col("ITEM").alias("ItemCode"), F.col("AvailableQty").alias("w_qty")).join(
         bounded_broadcast(keys, items_rows), "ItemCode", "left_semi"
     )
-    # Each measure has at most one row per item row (one per code, or per
-    # distinct (code, cost) for shipments), so the item set's row count
-    # bounds it: broadcast under the row bound, no sort-merge chain.
-    def small(df: DataFrame) -> DataFrame:
-        return bounded_broadcast(df, items_rows) if items_rows is not None else df
-
+    # Each measure grows with the items: none passes the driver.  All joins
+    # are on the item code, so the items are exchanged once for the chain.
     j = (
-        i.join(small(r), "ItemCode", "left")
-        .join(small(ship), "ItemCode", "left")
-        .join(small(ss), "ItemCode", "left")
-        .join(small(ws), "ItemCode", "left")
-        .join(w, "ItemCode", "left")
+        i.join(dealt(r), "ItemCode", "left")
+        .join(dealt(ship), "ItemCode", "left")
+        .join(dealt(ss), "ItemCode", "left")
+        .join(dealt(ws), "ItemCode", "left")
+        .join(dealt(w), "ItemCode", "left")
     )
 
     c = F.col

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from tillroll.functions import key20
 from tillroll.operators.bitmap_cut import cut_by_bitmap
-from tillroll.plans.strategy import fits_broadcast, semi_join
+from tillroll.plans.strategy import dealt, fits_broadcast, semi_join
 
 FANOUTS = ("reference", "unique")
 
@@ -64,9 +64,6 @@ class ItemWeights:
     by_code_cost: DataFrame  # ItemCode, Code20, Cost, n
     small: bool  # the key set is within the broadcast bound
 
-    def _b(self, df: DataFrame) -> DataFrame:
-        return F.broadcast(df) if self.small else df
-
     @property
     def keys(self) -> CodeKeys:
         return CodeKeys(self.by_code.select("ItemCode"), self.small)
@@ -78,10 +75,10 @@ class ItemWeights:
         return self.keys.keys20(name)
 
     def per_code(self) -> DataFrame:
-        return self._b(self.by_code)
+        return dealt(self.by_code)
 
     def per_code_cost(self) -> DataFrame:
-        return self._b(self.by_code_cost)
+        return dealt(self.by_code_cost)
 
 
 def item_weights(items: DataFrame, fanout: str = "reference", rows: int | None = None) -> ItemWeights:
