@@ -9,13 +9,14 @@ from collections import Counter
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 
 from tillroll.llm import queries as Q
 from tillroll.llm.backoff_lm import score_documents
 from tillroll.llm.decontaminate import clean_documents, contaminated
 from tillroll.llm.fertility import LANGUAGES, SCRIPTS, keep_good, measure, relative_entropy
-from tillroll.llm.jaccard import jaccard_components, one_of_each
+from tillroll.llm.jaccard import _across, jaccard_components, odd_sketches, one_of_each
 from tillroll.llm.licences import TEMPLATES, Notice, scan_licences
 from tillroll.llm.mixture import mix_sources, mixed_documents
 from tillroll.llm.recompress import remove_repeats
@@ -166,6 +167,32 @@ def test_jaccard(docs, empty):
     assert jaccard_components(empty).count() == 0
 
 
+def test_pairs_of_a_large_group_come_in_rounds():
+    """150 texts that all may link: a round gives few pairs of each text, and all rounds give every pair once."""
+    texts, size = 150, 40
+    node = np.arange(texts, dtype=np.int64) * 1009 + 7
+    # texts differ in one n-gram; each stands in two lists, each its own component
+    names = np.concatenate([np.append(np.arange(size - 1), 10_000 + k) for k in range(texts)]).astype(np.uint64)
+    sketch = odd_sketches(np.repeat(np.arange(texts), size), names, texts)
+    tried, seen, slots = {int(x): None for x in node}, set(), 1
+    while True:
+        table = pa.table({
+            "name": np.repeat(np.array([5, 6]), texts), "node": np.tile(node, 2), "n": np.full(2 * texts, size, dtype=np.int32),
+            "early": np.ones(2 * texts, dtype=bool), "root": np.tile(node, 2), "hub": np.tile(node, 2), "far": np.zeros(2 * texts),
+            "sketch": pa.array(sketch * 2, pa.binary()), "tried": pa.array([tried[int(x)] for x in node] * 2, pa.list_(pa.int64())),
+        })
+        got = _across(85, slots)(table).to_pylist()
+        assert len(got) <= texts * slots and all(r["lists"] == 2 and r["na"] == r["nb"] == size for r in got)
+        if not got:
+            break
+        for r in got:
+            assert r["a"] < r["b"] and (r["a"], r["b"]) not in seen
+            seen.add((r["a"], r["b"]))
+            tried[r["a"]] = [*(tried[r["a"]] or []), r["b"]]
+        slots *= 4
+    assert len(seen) == texts * (texts - 1) // 2
+
+
 def test_substring_dedup(docs, empty):
     names = ["doc_id", "n_words", "n_removed", "kept_sha256"]
     rows = [r for r in dict.fromkeys(_docs()) if r[0] is not None]
