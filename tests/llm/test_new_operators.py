@@ -2,6 +2,7 @@
 ties, repeated rows, empty tables and extra columns."""
 
 import hashlib
+import time
 from collections import Counter
 from itertools import permutations
 
@@ -13,6 +14,7 @@ import pytest
 from tillroll.llm import prefix_hashes as P
 from tillroll.llm import queries as Q
 from tillroll.llm.filter_audit import audit_filters, removal_intervals, removals
+from tillroll.llm.tables import Stages
 from tillroll.llm.token_alignment import _byte_letters, _unit_starts, align_tokens
 
 SCHEMA = "doc_id long, text string, lang string, source string, kind string, part int, row string, a int, bits int, good string"
@@ -256,3 +258,21 @@ def test_filter_audit_of_one_hot_text(spark):
     names, want = _audit_by_sql(rows)
     got = audit_filters(spark.createDataFrame(rows, SCHEMA), labels)
     assert Counter(tuple(r[n] for n in names) for r in got.collect()) == want
+
+
+def test_a_written_stage_leaves_no_shuffle_files(spark):
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def files():
+        found = disk.getAllFiles()
+        names = [found.apply(k).getName() for k in range(found.length())]
+        return {x for x in names if x.startswith("shuffle_")}
+
+    stages, before = Stages(spark, "test-release"), files()
+    stages.write(spark.range(1000).repartition(4), "dealt")
+    for _ in range(50):
+        if not files() - before:
+            break
+        time.sleep(0.1)
+    assert not files() - before
+    assert spark.read.parquet(f"{stages.root}/dealt").count() == 1000

@@ -43,7 +43,9 @@ END, START = W.mix(np.array([2, 3], _U))
 #: The bit table has 2**(FILTER_BITS + 6) bits.
 FILTER_BITS = 21
 #: Entries that a task holds before it sends them (n-grams have two names and weights, so fewer than ``packed.FLUSH``).
-HELD = 1_500_000
+HELD = 600_000
+#: Text that a task takes at once.
+PIECE_BYTES = 1 << 20
 
 
 @dataclass
@@ -70,6 +72,14 @@ def _maybe(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return (bits[keys >> _U(64 - FILTER_BITS)] >> ((keys >> _U(58 - FILTER_BITS)) & _U(63))) & _U(1) > 0
 
 
+def _added(key: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(key, place of one of its entries, sum of n) of the distinct keys."""
+    by = np.argsort(key)
+    key = key[by]
+    first = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else by
+    return key[first], by[first], np.add.reduceat(n[by], first, dtype=n.dtype) if len(key) else n
+
+
 def _filter(kept: DataFrame) -> np.ndarray:
     place = F.expr(f"shiftrightunsigned(key, {64 - FILTER_BITS})").alias("place")
     bit = F.expr(f"shiftleft(1L, cast(shiftrightunsigned(key, {58 - FILTER_BITS}) & 63 as int))").alias("bit")
@@ -106,28 +116,27 @@ def train(docs: DataFrame, stages: Stages, order: int = ORDER, least: int = LEAS
         shared = spark.sparkContext.broadcast(filters)
 
         def sent(out: packed.Packer, held: list[tuple[np.ndarray, ...]], last: bool) -> Iterator[pa.RecordBatch]:
-            """Distinct n-grams of what is held, once that is much."""
-            if held and (last or sum(len(x[0]) for x in held) >= (HELD if level else packed.FLUSH)):
-                key, *parts = (np.concatenate(x) for x in zip(*held, strict=True))
+            """Distinct n-grams of what is held, once that is much, by prefix: equal ones side by side pack well."""
+            if held and (last or sum(len(x[0]) for x in held) >= HELD):
+                key, n, *parts = (np.concatenate(x) for x in zip(*held, strict=True))
                 held.clear()
-                key, at, n = np.unique(key, return_index=True, return_counts=True)
-                parts = [x[at] for x in parts]
-                del at
-                yield from out.add((W.mix(key) % _U(count)).astype(np.int64), *([key] if not level else parts), n.astype(np.uint32))
+                key, at, n = _added(key, n)
+                parts = [x[at] for x in parts] if level else [key]
+                by = np.argsort(parts[0])
+                yield from out.add((W.mix(key[by]) % _U(count)).astype(np.int64), *[x[by] for x in parts], n[by].astype(np.uint32))
                 yield from out.flush()
 
         columns = ("prefix", "n") if not level else names[1:]
 
         def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             out, held = packed.Packer(count, columns), []
-            for piece in W.pieces(batches):
+            for piece in W.pieces(batches, limit=PIECE_BYTES):
                 tokens, bounds = _tokens(piece.column("text"))
-                place, key, prefix, suffix = _grams(tokens, bounds, level, shared.value)
+                _, key, prefix, suffix = _grams(tokens, bounds, level, shared.value)
                 if not level:
-                    use = key != START
-                    held.append((key[use],))
-                else:
-                    held.append((key, prefix, suffix))
+                    key = key[key != START]
+                key, at, n = _added(key, np.ones(len(key), dtype=np.int64))
+                held.append((key, n, prefix[at], suffix[at]) if level else (key, n))
                 yield from sent(out, held, False)
             yield from sent(out, held, True)
 
@@ -135,10 +144,10 @@ def train(docs: DataFrame, stages: Stages, order: int = ORDER, least: int = LEAS
             prefix, n = packed.unpack(table, "prefix", _U), packed.unpack(table, "n", np.uint32)
             suffix = packed.unpack(table, "suffix", _U) if level else prefix
             key = W.mix(prefix * _U(0xD6E8FEB86659FD93) + suffix + _U(level)) if level else prefix
-            key, at, to = np.unique(key, return_index=True, return_inverse=True)
-            n = np.bincount(to, weights=n, minlength=len(key)).astype(np.int64)
+            key, at, n = _added(key, n.astype(np.int64))
             use = n >= least
-            return pa.table({c: x[use].view(np.int64) for c, x in zip(names, (key, prefix[at], suffix[at], n), strict=True)})
+            key, at, n = key[use], at[use], n[use]
+            return pa.table({c: x.view(np.int64) for c, x in zip(names, (key, prefix[at], suffix[at], n), strict=True)})
 
         summed = docs.mapInArrow(entries, packed.schema(columns)).groupBy("bucket").applyInArrow(added, "key long, prefix long, suffix long, n long")
         return summed if level else summed.select("key", "n")
@@ -195,7 +204,7 @@ def score_documents(docs: DataFrame, learn: str = "true", order: int = ORDER, le
     shared = spark.sparkContext.broadcast(model.filters)
 
     def sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in W.pieces(batches):
+        for piece in W.pieces(batches, limit=PIECE_BYTES):
             words = W.words_of(piece.column("text"), fold=True)
             yield pa.RecordBatch.from_arrays([piece.column("row"), pa.array(words.counts + 1)], names=["row", "n_tokens"])
 
@@ -215,22 +224,20 @@ def score_documents(docs: DataFrame, learn: str = "true", order: int = ORDER, le
 
     def answer(asked: pa.Table, kept: pa.Table) -> pa.Table:
         """Each text's sums over the n-grams of a bucket, in rows packed by text."""
-        name, doc, n = (packed.unpack(asked, c, t) for c, t in (("name", _U), ("doc", np.int64), ("n", np.int32)))
         key, c, value = (packed.unpack(kept, x, t) for x, t in (("key", _U), ("c", np.int64), ("value", np.float64)))
         by = np.argsort(key)
         key, c, value = key[by], c[by], value[by]
-        if len(key):
+        out, batches = packed.Packer(count, ("doc", "known", "base", "score")), []
+        # one packed row at a time: a text's n-grams were sent together
+        for k in range(asked.num_rows if len(key) else 0):
+            row = asked.slice(k, 1)
+            name, doc, n = (packed.unpack(row, c, t) for c, t in (("name", _U), ("doc", np.int64), ("n", np.int32)))
             at = np.minimum(np.searchsorted(key, name), len(key) - 1)
             hit = key[at] == name
-            at = at[hit]
-        else:
-            hit, at = np.zeros(len(name), dtype=bool), np.zeros(0, np.int64)
-        n = n[hit]
-        docs, sums = summed(doc[hit], n * (c[at] > 0), n * np.log10(c[at] + 1.0), n * value[at])
-        out = packed.Packer(count, ("doc", "known", "base", "score"))
-        to = (W.mix(docs.view(_U)) % _U(count)).astype(np.int64)
-        batches = [*out.add(to, docs, *sums), *out.flush()]
-        return pa.Table.from_batches(batches, _ANSWER)
+            at, n = at[hit], n[hit]
+            docs, sums = summed(doc[hit], n * (c[at] > 0), n * np.log10(c[at] + 1.0), n * value[at])
+            batches.extend(out.add((W.mix(docs.view(_U)) % _U(count)).astype(np.int64), docs, *sums))
+        return pa.Table.from_batches([*batches, *out.flush()], _ANSWER)
 
     def document_sums(table: pa.Table) -> pa.Table:
         doc, *values = (packed.unpack(table, c, t) for c, t in (("doc", np.int64), ("known", np.float64), ("base", np.float64), ("score", np.float64)))
@@ -240,19 +247,19 @@ def score_documents(docs: DataFrame, learn: str = "true", order: int = ORDER, le
     def sums_of(level: int) -> DataFrame:
         def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             out = packed.Packer(count, ("name", "doc", "n"))
-            for piece in W.pieces(batches):
+            for piece in W.pieces(batches, limit=PIECE_BYTES):
                 tokens, bounds = _tokens(piece.column("text"))
                 place, name, _, _ = _grams(tokens, bounds, level, shared.value)
                 owner = np.searchsorted(bounds, place, side="right") - 1
                 if level:
                     may = _maybe(shared.value[level], name)
                     owner, name = owner[may], name[may]
-                by = np.lexsort((name, owner))
-                owner, name = owner[by], name[by]
-                first = np.flatnonzero(np.append(True, (owner[1:] != owner[:-1]) | (name[1:] != name[:-1]))) if len(by) else by
-                n = np.diff(np.append(first, len(by))).astype(np.int32)
-                name = name[first]
-                yield from out.add((W.mix(name) % _U(count)).astype(np.int64), name, piece.column("row").to_numpy()[owner[first]], n)
+                # equal n-grams of a text are one entry; a text's entries stay together
+                _, at, n = _added(name ^ W.mix(owner.view(_U) ^ _U(0x5851F42D4C957F2D)), np.ones(len(name), dtype=np.int32))
+                by = np.argsort(at)
+                at, n = at[by], n[by]
+                name, owner = name[at], owner[at]
+                yield from out.add((W.mix(name) % _U(count)).astype(np.int64), name, piece.column("row").to_numpy()[owner], n)
                 if out.size >= HELD:
                     yield from out.flush()
             yield from out.flush()

@@ -37,8 +37,10 @@ class Packer:
             return
         target, *arrays = (np.concatenate(x) for x in zip(*self.held, strict=True))
         self.held, self.size = [], 0
+        if self.count <= 1 << 16:
+            target = target.astype(np.uint16)  # sorted by digits, in one pass
         order = np.argsort(target, kind="stable")
-        at = np.searchsorted(target[order], np.arange(self.count + 1))
+        at = np.append(0, np.cumsum(np.bincount(target, minlength=self.count)))
         full = np.flatnonzero(np.diff(at))
         columns = [pa.array(full.astype(np.int32))]
         for values in arrays:
