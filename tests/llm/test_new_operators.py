@@ -14,6 +14,7 @@ import pytest
 from tillroll.llm import prefix_hashes as P
 from tillroll.llm import queries as Q
 from tillroll.llm.filter_audit import audit_filters, removal_intervals, removals
+from tillroll.llm.jaccard import jaccard_components
 from tillroll.llm.tables import Stages
 from tillroll.llm.token_alignment import _byte_letters, _unit_starts, align_tokens
 
@@ -276,3 +277,38 @@ def test_a_written_stage_leaves_no_shuffle_files(spark):
         time.sleep(0.1)
     assert not files() - before
     assert spark.read.parquet(f"{stages.root}/dealt").count() == 1000
+
+
+def _stages_that_read(monkeypatch, folder):
+    """The names of the stage tables that are written from the files below folder."""
+    read, write = [], Stages.write
+
+    def seen(self, df, name):
+        if any(str(folder) in f for f in df.inputFiles()):
+            read.append(name)
+        return write(self, df, name)
+
+    monkeypatch.setattr(Stages, "write", seen)
+    return read
+
+
+def test_rounds_read_only_their_own_texts(spark, tmp_path, monkeypatch):
+    """A chain of texts whose neighbours link, and a group that is near but doesn't: the whole table is read a fixed number of times."""
+    words = [f"w{k}" for k in range(80)]
+    chain = [" ".join(words[k : k + 40]) for k in range(0, 30, 2)]
+    # each of the group shares the most of its shingles with the others, and too few to link
+    group = [" ".join([f"g{k}" for k in range(40)] + [f"x{i}y{k}" for k in range(7)]) for i in range(12)]
+    rows = [(i, t) for i, t in enumerate(chain + group + [chain[0]])]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "d"))
+    docs = spark.read.parquet(str(tmp_path / "d"))
+    read = _stages_that_read(monkeypatch, tmp_path / "d")
+    got = {r["doc_id"]: r["component_id"] for r in jaccard_components(docs).collect()}
+    assert set(read) == {"described", "posted", "judged-sets", "texts"} and len(read) == 4
+    sets = [{tuple(t.split()[k : k + 4]) for k in range(len(t.split()) - 3)} for _, t in rows]
+    root = list(range(len(rows)))
+    for _ in rows:
+        for a in range(len(rows)):
+            for b in range(a):
+                if 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b]):
+                    root[a] = root[b] = min(root[a], root[b])
+    assert got == dict(enumerate(root))

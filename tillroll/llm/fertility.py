@@ -28,6 +28,8 @@ SYMBOLS = b"#*$%&|<>"
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 REPEAT_WIDTH = 8
+#: Text that a task filters at once.
+PIECE_BYTES = 1 << 20
 #: Tokens of a span of which the entropy is taken.
 SPAN = 1024
 
@@ -183,7 +185,7 @@ def keep_good(docs: DataFrame, vocabulary: str, languages: dict[str, Band] | Non
     columns = docs.columns
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in W.pieces(batches, text):
+        for piece in W.pieces(batches, text, PIECE_BYTES):
             seen = pa.RecordBatch.from_arrays([piece.column(text), piece.column(lang)], names=["text", "lang"])
             kept = piece.filter(pa.array(rules.figures(seen)["kept"]))
             yield kept.select(range(len(columns)))

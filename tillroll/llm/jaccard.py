@@ -20,7 +20,8 @@ judged against its likeliest partner among these, then against the likeliest of
 each of 4, 16, ... hash classes of them, so a task emits a bounded number of
 pairs for each text it holds.  What is judged joins components or is remembered
 as unlinked; the rounds end when no pair is left, so no link between components
-is lost.  Equal sets are one node from the start.
+is lost.  The rounds read the texts of their own nodes alone, written once.
+Equal sets are one node from the start.
 """
 
 from __future__ import annotations
@@ -49,6 +50,8 @@ SHARED = 4
 STEP = 1 << 18
 #: Bits of the sketches that pairs are tested by.
 SKETCH = 1024
+#: Text that a task takes at once.
+PIECE_BYTES = 1 << 20
 #: Each round judges so many times more partners of a text than the one before it.
 SLOTS = 4
 
@@ -117,9 +120,9 @@ def jaccard_components(
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << sketch_bits, dtype=np.int64)
-        for piece in W.pieces(batches):
+        for piece in W.pieces(batches, limit=PIECE_BYTES):
             _, names, sizes, node = sets_of(piece.column("text"), width)
-            counts += np.bincount((names % _U(len(counts))).astype(np.int64), minlength=len(counts))
+            np.add.at(counts, (names % _U(len(counts))).astype(np.int64), 1)
             none = [pa.nulls(piece.num_rows, kind) for kind in (pa.int32(), pa.binary())]
             yield pa.RecordBatch.from_arrays(
                 [piece.column("doc_id"), piece.column("row"), pa.array(sizes), pa.array(node), *none],
@@ -154,7 +157,7 @@ def jaccard_components(
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out, order = packed.Packer(count, ("name", "node", "n")), shared.value
-        for piece in W.pieces(batches):
+        for piece in W.pieces(batches, limit=PIECE_BYTES):
             owner, names, sizes, node = sets_of(piece.column("text"), width)
             once = np.zeros(len(node), dtype=bool)
             once[np.unique(node, return_index=True)[1]] = True
@@ -201,7 +204,7 @@ def jaccard_components(
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order = shared.value
-        for piece in W.pieces(batches):
+        for piece in W.pieces(batches, limit=PIECE_BYTES):
             owner, names, _, node = sets_of(piece.column("text"), width)
             part = order.fragment(order.rank(names))
             by = np.lexsort((names, part, owner))
@@ -216,12 +219,14 @@ def jaccard_components(
 
     def texts_of(nodes: DataFrame) -> DataFrame:
         rows = members.join(nodes, "node", "left_semi").groupBy("node").agg(F.min("row").alias("row"))
-        return docs.join(rows.select("row"), "row").select("text")
+        return docs.join(rows, "row").select("node", "text")
 
-    def overlaps(pairs: DataFrame, name: str) -> DataFrame:
-        """pairs (a, b, na, nb) with the size of their intersection: partial counts by fragment, summed."""
+    def overlaps(pairs: DataFrame, name: str, texts: DataFrame | None = None) -> DataFrame:
+        """pairs (a, b, na, nb) with the size of their intersection: partial counts by fragment, summed.
+        The texts (node, text) hold all ends of the pairs; without them the ends are looked up in docs."""
         ends = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-        sets = texts_of(ends).mapInArrow(cut, "node long, part int, names array<long>")
+        found = texts_of(ends) if texts is None else texts.join(ends, "node", "left_semi")
+        sets = found.select("text").mapInArrow(cut, "node long, part int, names array<long>")
         sets = stages.write(sets, f"{name}-sets")
         left = sets.select(F.col("node").alias("a"), "part", F.col("names").alias("x"))
         right = sets.select(F.col("node").alias("b"), "part", F.col("names").alias("y"))
@@ -252,13 +257,14 @@ def jaccard_components(
     )
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in W.pieces(batches):
+        for piece in W.pieces(batches, limit=PIECE_BYTES):
             owner, names, _, node = sets_of(piece.column("text"), width)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(node), pa.array(odd_sketches(owner, names, len(node)), pa.binary())], names=["node", "sketch"]
             )
 
-    sketched = texts_of(known.select("node").distinct()).mapInArrow(sketch, "node long, sketch binary")
+    texts = stages.write(texts_of(known.select("node").distinct()), "texts")
+    sketched = texts.select("text").mapInArrow(sketch, "node long, sketch binary")
     sketched = stages.write(sketched.dropDuplicates(["node"]), "sketched")
 
     links, found, failed, rounds = judged.where(linked).select("a", "b"), first, None, 0
@@ -283,7 +289,7 @@ def jaccard_components(
         )
         best = ends.groupBy("end.node", F.pmod(F.xxhash64("end.partner"), F.lit(slots))).agg(F.min(F.struct("odds", "a", "b", "na", "nb")).alias("best"))
         best = stages.write(best.select("best.a", "best.b", "best.na", "best.nb").distinct(), f"best-{rounds}")
-        judged = overlaps(best, f"tried-{rounds}")
+        judged = overlaps(best, f"tried-{rounds}", texts)
         links = links.union(judged.where(linked).select("a", "b"))
         failed = judged.where(~linked) if failed is None else failed.union(judged.where(~linked))
         found = components(links, stages, f"joined-{rounds}")
@@ -300,7 +306,7 @@ def jaccard_components(
     )
     least = classes.groupBy("root").agg(F.min("class_id").alias("component_id"))
     classes = stages.write(classes.join(least, "root").select("node", "root", "class_id", "component_id", "n_links"), "classes")
-    stages.drop("posted", "star", "pairs", "judged", "known", "sketched", *[f"{x}-{k}" for k in range(rounds + 1) for x in ("rest", "best", "tried", "known")])
+    stages.drop("posted", "star", "pairs", "judged", "known", "texts", "sketched", *[f"{x}-{k}" for k in range(rounds + 1) for x in ("rest", "best", "tried", "known")])
     alone = F.col("n") == 0
     return members.join(classes, "node").select(
         "doc_id",

@@ -15,7 +15,7 @@ import numpy as np
 
 from tillroll.llm import words as W
 
-KEEP = 4_000_000
+KEEP = 1_000_000
 _U = np.uint64
 _coders: dict = {}
 
