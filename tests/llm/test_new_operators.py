@@ -13,6 +13,7 @@ import pytest
 
 from tillroll.llm import prefix_hashes as P
 from tillroll.llm import queries as Q
+from tillroll.llm.backoff_lm import score_documents
 from tillroll.llm.filter_audit import audit_filters, removal_intervals, removals
 from tillroll.llm.jaccard import jaccard_components
 from tillroll.llm.tables import Stages
@@ -312,3 +313,18 @@ def test_rounds_read_only_their_own_texts(spark, tmp_path, monkeypatch):
                 if 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b]):
                     root[a] = root[b] = min(root[a], root[b])
     assert got == dict(enumerate(root))
+
+
+def test_language_model_scores_without_a_pass_for_sizes(spark):
+    """Token counts come with the words; the values of arcs and failures add up where they meet; unseen and repeated texts too."""
+    rows = [(1, "a b c"), (1, "a b c"), (2, None), (3, "A b zz\tzz"), (None, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = Counter((i, 1 + len((t or "").split())) for i, t in rows)
+    for learn in ("true", "doc_id = 1", "false"):
+        scored = score_documents(docs, learn)
+        # the last job joins sums alone, and reads no text in Python
+        assert "MapInArrow" not in scored._jdf.queryExecution().analyzed().toString()
+        got = scored.collect()
+        assert Counter((r["doc_id"], r["n_tokens"]) for r in got) == want
+        known = {r["doc_id"]: r["n_known"] for r in got}
+        assert known == {"true": {1: 4, 2: 1, 3: 5, None: 1}, "doc_id = 1": {1: 4, 2: 1, 3: 3, None: 1}, "false": dict.fromkeys(known, 0)}[learn]

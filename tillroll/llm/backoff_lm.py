@@ -50,8 +50,8 @@ PIECE_BYTES = 1 << 20
 
 @dataclass
 class Model:
-    """values[k]: a table (key, c, value) of the kept n-grams of k + 1 words; filters[k]: their bit table;
-    total and types of the training tokens."""
+    """values[k]: a table (key, c, value) of the kept n-grams of k + 1 words, where the rows of a key add up;
+    filters[k]: their bit table; total and types of the training tokens."""
 
     total: int
     types: int
@@ -92,17 +92,20 @@ def _filter(kept: DataFrame) -> np.ndarray:
 def _grams(names: np.ndarray, bounds: np.ndarray, level: int, filters: list[np.ndarray]) -> tuple[np.ndarray, ...]:
     """(place, key, prefix, suffix) of the n-grams of level + 1 tokens that end at each place and may be kept by
     their parts; a word is its own prefix and suffix."""
-    keys, place = names, np.arange(len(names))
-    inside = place - np.repeat(bounds[:-1], np.diff(bounds))
-    may = np.ones(len(names), dtype=bool)
+    place, keys = np.arange(len(names)), names
     prefix = suffix = keys
+    opens = np.zeros(len(names), dtype=bool)
+    opens[bounds[:-1]] = True
     for k in range(1, level + 1):
-        may &= _maybe(filters[k - 1], keys)
-        may[1:] &= may[:-1].copy()
-        may &= inside >= k
-        prefix, suffix = np.roll(keys, 1), keys
+        # the n-grams before stand at ``place``; two neighbours of one text that may be kept make a longer one
+        may = _maybe(filters[k - 1], keys)
+        may[1:] &= may[:-1] & (place[1:] == place[:-1] + 1)
+        may[:1] = False
+        may &= ~opens[place]
+        at = np.flatnonzero(may)
+        place, prefix, suffix = place[at], keys[at - 1], keys[at]
         keys = W.mix(prefix * _U(0xD6E8FEB86659FD93) + suffix + _U(k))
-    return place[may], keys[may], prefix[may], suffix[may]
+    return place, keys, prefix, suffix
 
 
 def train(docs: DataFrame, stages: Stages, order: int = ORDER, least: int = LEAST, discount: float = DISCOUNT) -> Model:
@@ -172,15 +175,16 @@ def train(docs: DataFrame, stages: Stages, order: int = ORDER, least: int = LEAS
         arcs = arcs.withColumn("delta", F.log10(F.col("p") / (F.col("failure") * F.col("short"))))
         arcs = stages.write(arcs.select("key", "delta", *(["n", "p"] if level < order - 1 else [])), f"arcs-{level}")
         stages.drop(f"grams-{level}")
-        model.values.append(_valued(known.join(failures.select("key", F.log10("failure").alias("leave")), "key", "left")))
+        leave = failures.select("key", F.lit(0).cast("long").alias("c"), F.coalesce(F.log10("failure"), F.lit(0.0)).alias("delta"))
+        model.values.append(_valued(known.unionByName(leave)))
         known, states = arcs.select("key", F.lit(0).cast("long").alias("c"), "delta"), arcs.drop("delta")
     model.filters.append(_filter(states))
-    model.values.append(_valued(known.withColumn("leave", F.lit(0.0))))
+    model.values.append(_valued(known))
     return model
 
 
 def _valued(known: DataFrame) -> DataFrame:
-    return known.select("key", "c", (F.col("delta") + F.coalesce("leave", F.lit(0.0))).alias("value"))
+    return known.select("key", "c", F.col("delta").alias("value"))
 
 
 def score_documents(docs: DataFrame, learn: str = "true", order: int = ORDER, least: int = LEAST, discount: float = DISCOUNT) -> DataFrame:
@@ -203,77 +207,86 @@ def score_documents(docs: DataFrame, learn: str = "true", order: int = ORDER, le
     scale = float(np.log10(model.total + model.types + 1.0))
     shared = spark.sparkContext.broadcast(model.filters)
 
-    def sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in W.pieces(batches, limit=PIECE_BYTES):
-            words = W.words_of(piece.column("text"), fold=True)
-            yield pa.RecordBatch.from_arrays([piece.column("row"), pa.array(words.counts + 1)], names=["row", "n_tokens"])
-
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out = packed.Packer(count, ("key", "c", "value"))
-        for batch in batches:
-            key, c, value = (batch.column(name).to_numpy() for name in ("key", "c", "value"))
-            key = key.view(_U)
-            yield from out.add((W.mix(key) % _U(count)).astype(np.int64), key, c, value)
-            if out.size >= HELD:
-                yield from out.flush()
-        yield from out.flush()
-
-    def summed(doc: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
-        docs, to = np.unique(doc, return_inverse=True)
-        return docs, [np.bincount(to, weights=x, minlength=len(docs)) for x in values]
-
-    def answer(asked: pa.Table, kept: pa.Table) -> pa.Table:
-        """Each text's sums over the n-grams of a bucket, in rows packed by text."""
-        key, c, value = (packed.unpack(kept, x, t) for x, t in (("key", _U), ("c", np.int64), ("value", np.float64)))
-        by = np.argsort(key)
-        key, c, value = key[by], c[by], value[by]
-        out, batches = packed.Packer(count, ("doc", "known", "base", "score")), []
-        # one packed row at a time: a text's n-grams were sent together
-        for k in range(asked.num_rows if len(key) else 0):
-            row = asked.slice(k, 1)
-            name, doc, n = (packed.unpack(row, c, t) for c, t in (("name", _U), ("doc", np.int64), ("n", np.int32)))
-            at = np.minimum(np.searchsorted(key, name), len(key) - 1)
-            hit = key[at] == name
-            at, n = at[hit], n[hit]
-            docs, sums = summed(doc[hit], n * (c[at] > 0), n * np.log10(c[at] + 1.0), n * value[at])
-            batches.extend(out.add((W.mix(docs.view(_U)) % _U(count)).astype(np.int64), docs, *sums))
-        return pa.Table.from_batches([*batches, *out.flush()], _ANSWER)
-
-    def document_sums(table: pa.Table) -> pa.Table:
-        doc, *values = (packed.unpack(table, c, t) for c, t in (("doc", np.int64), ("known", np.float64), ("base", np.float64), ("score", np.float64)))
-        docs, (known, base, score) = summed(doc, *values)
-        return pa.table({"row": docs, "n_known": known.astype(np.int64), "base": base, "score": score})
-
     def sums_of(level: int) -> DataFrame:
+        # only words are counted; an n-gram adds to the score alone
+        columns = ("score",) if level else ("n_tokens", "times", "n_known", "base", "score")
+        sent, answers = ("key", "value") if level else ("key", "c", "value"), ("doc", *columns)
+        schema = pa.schema([("bucket", pa.int32()), *[(c, pa.binary()) for c in answers]])
+
+        def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            out = packed.Packer(count, sent)
+            for batch in batches:
+                key, *rest = (batch.column(name).to_numpy() for name in sent)
+                key = key.view(_U)
+                yield from out.add((W.mix(key) % _U(count)).astype(np.int64), key, *rest)
+                if out.size >= HELD:
+                    yield from out.flush()
+            yield from out.flush()
+
         def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             out = packed.Packer(count, ("name", "doc", "n"))
             for piece in W.pieces(batches, limit=PIECE_BYTES):
                 tokens, bounds = _tokens(piece.column("text"))
                 place, name, _, _ = _grams(tokens, bounds, level, shared.value)
-                owner = np.searchsorted(bounds, place, side="right") - 1
+                owner = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))[place]
                 if level:
                     may = _maybe(shared.value[level], name)
                     owner, name = owner[may], name[may]
                 # equal n-grams of a text are one entry; a text's entries stay together
                 _, at, n = _added(name ^ W.mix(owner.view(_U) ^ _U(0x5851F42D4C957F2D)), np.ones(len(name), dtype=np.int32))
-                by = np.argsort(at)
-                at, n = at[by], n[by]
-                name, owner = name[at], owner[at]
+                times = np.zeros(len(name), dtype=np.int32)
+                times[at] = n
+                at = np.flatnonzero(times)
+                name, owner, n = name[at], owner[at], times[at]
                 yield from out.add((W.mix(name) % _U(count)).astype(np.int64), name, piece.column("row").to_numpy()[owner], n)
                 if out.size >= HELD:
                     yield from out.flush()
             yield from out.flush()
 
+        def answer(asked: pa.Table, kept: pa.Table) -> pa.Table:
+            """Each text's sums over the n-grams of a bucket, in rows packed by text."""
+            key, found = packed.unpack(kept, "key", _U), []
+            for name, kind in (("value", np.float64), ("c", np.int64))[: len(sent) - 1]:
+                found.append(_added(key, packed.unpack(kept, name, kind))[2])
+            # no n-gram of the bucket is kept: one without value stands there
+            key, found = (_added(key, key)[0], found) if len(key) else (np.zeros(1, _U), [np.zeros(1)] * len(found))
+            out, batches = packed.Packer(count, answers), []
+            # one packed row at a time: a text's n-grams were sent together
+            for k in range(asked.num_rows):
+                row = asked.slice(k, 1)
+                name, doc, n = (packed.unpack(row, c, t) for c, t in (("name", _U), ("doc", np.int64), ("n", np.int32)))
+                at = np.minimum(np.searchsorted(key, name), len(key) - 1)
+                hit = key[at] == name
+                if level:
+                    at, n, doc = at[hit], n[hit], doc[hit]
+                    sums = [n * found[0][at]]
+                else:
+                    value, c = (np.where(hit, x[at], 0) for x in found)
+                    opens = name == START
+                    sums = [n * ~opens, n * opens, n * (c > 0), n * np.log10(c + 1.0), n * value]
+                if len(doc):
+                    first = np.flatnonzero(np.append(True, doc[1:] != doc[:-1]))
+                    doc, sums = doc[first], [np.add.reduceat(x, first, dtype=np.float64) for x in sums]
+                    batches.extend(out.add((W.mix(doc.view(_U)) % _U(count)).astype(np.int64), doc, *sums))
+            return pa.Table.from_batches([*batches, *out.flush()], schema)
+
+        def document_sums(table: pa.Table) -> pa.Table:
+            docs, to = np.unique(packed.unpack(table, "doc", np.int64), return_inverse=True)
+            values = [np.bincount(to, weights=packed.unpack(table, c, np.float64), minlength=len(docs)) for c in columns]
+            return pa.table({"row": docs, **{c: x if c in ("base", "score") else x.astype(np.int64) for c, x in zip(columns, values, strict=True)}})
+
         asked = docs.select("text", "row").mapInArrow(ask, packed.schema(("name", "doc", "n")))
-        kept = model.values[level].mapInArrow(pack, packed.schema(("key", "c", "value")))
-        answered = asked.groupBy("bucket").cogroup(kept.groupBy("bucket")).applyInArrow(answer, packed.schema(("doc", "known", "base", "score")))
-        answered = answered.groupBy("bucket").applyInArrow(document_sums, "row long, n_known long, base double, score double")
-        return stages.write(answered, f"sums-{level}")
+        kept = model.values[level].select(*sent).mapInArrow(pack, packed.schema(sent))
+        answered = asked.groupBy("bucket").cogroup(kept.groupBy("bucket")).applyInArrow(answer, packed.schema(answers))
+        kinds = ", ".join(f"{c} {'double' if c in ('base', 'score') else 'long'}" for c in columns)
+        return stages.write(answered.groupBy("bucket").applyInArrow(document_sums, f"row long, {kinds}"), f"sums-{level}")
 
-    parts = docs.select("text", "row").mapInArrow(sizes, "row long, n_tokens long")
-    parts = parts.select("row", "n_tokens", F.lit(0).cast("long").alias("n_known"), (-scale * F.col("n_tokens")).alias("base"), F.lit(0.0).alias("score"), F.lit(1).alias("times"))
+    parts = None
     for level in reversed(range(order)):
-        parts = parts.unionByName(sums_of(level).select("row", F.lit(0).cast("long").alias("n_tokens"), "n_known", "base", "score", F.lit(0).alias("times")))
+        sums = sums_of(level)
+        # every text has a start and an end, so the words' sums have all texts and tell how often each occurs
+        sums = sums if level else sums.withColumn("base", F.col("base") - scale * F.col("n_tokens"))
+        parts = sums if parts is None else parts.unionByName(sums, allowMissingColumns=True)
         # lower levels read the tables of their own and the failures of the next
         stages.drop(*([f"arcs-{level}", f"failures-{level + 1}"] if level else ["words", "failures-1"]))
     # equal rows of docs share a key: their sums are alike, so each has its part
@@ -286,6 +299,3 @@ def score_documents(docs: DataFrame, learn: str = "true", order: int = ORDER, le
         (F.col("base") / F.col("times")).alias("base_score"),
         ((F.col("base") + F.col("score")) / F.col("times")).alias("score"),
     )
-
-
-_ANSWER = pa.schema([("bucket", pa.int32()), *[(c, pa.binary()) for c in ("doc", "known", "base", "score")]])
