@@ -415,6 +415,28 @@ def test_language_model_keeps_rare_ngrams_of_a_large_corpus(spark):
     assert want <= got
 
 
+@pytest.mark.parametrize("common", [0, 12, 1 << 17])
+def test_language_model_is_the_same_with_any_share_of_common_ngrams(spark, common):
+    # no n-gram, the commonest ones, or all are looked up in the task that reads the text; the rest travel
+    texts = {"a b a b c": 3, "A b c d e": 2, "x y z once": 1, "": 2, "a b " * 60 + "end": 1, "Ü b c d": 4}
+    rows = [(None if not t and k else 10 * i + k, t) for i, (t, n) in enumerate(texts.items()) for k in range(n)]
+    asked = [*rows, (99, None), (99, None), (98, "new words a b new words"), rows[0]]
+    learn = "coalesce(doc_id, 0) < 98"
+    docs = spark.createDataFrame(asked, "doc_id long, text string").repartition(3)
+    got = score_documents(docs, learn, common=common).collect()
+    training = Counter(t for i, t in [*rows, rows[0]])
+    words = Counter(w for t, n in training.items() for w in [*_words(t, True), None] for _ in range(n))
+    n, v = sum(words.values()), len(words)
+
+    def want(i, t):
+        ts = [*_words(t or "", True), None]
+        base = sum(math.log10((words[w] + 1) / (n + v + 1)) for w in ts)
+        return i, (i or 0) >= 98, len(ts), sum(words[w] > 0 for w in ts), n, round(base, 8), round(_backoff(training, t or ""), 8)
+
+    columns = ("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+    assert Counter(tuple(round(r[c], 8) if "score" in c else r[c] for c in columns) for r in got) == Counter(want(i, t) for i, t in asked)
+
+
 def test_licence_blocks_across_lines_against_brute_force(spark):
     def names(t):
         return re.findall("[0-9a-z]+", t.lower())

@@ -15,7 +15,9 @@ a token has no arc, log p is the failure's log plus that of the shorter context,
 so a text's score is a sum over its n-grams of one value each: log p less what
 the shorter contexts give, and the n-gram's own log failure for the token behind
 it.  Each text's n-grams travel to hash buckets in packed rows, meet the values
-there, and the text's sums travel on, level by level.
+there, and the text's sums travel on, level by level.  The commonest n-grams do not travel: an
+n-gram is common if it makes up at least one in ``COMMON`` of the tokens, so
+there are at most ``COMMON`` of each length, and every task has their values.
 
 Tasks know kept n-grams by a bit table of fixed size; a false hit costs a
 needless entry and never changes a result.
@@ -42,21 +44,45 @@ DISCOUNT = 0.75
 END, START = W.mix(np.array([2, 3], _U))
 #: The bit table has 2**(FILTER_BITS + 6) bits.
 FILTER_BITS = 21
+#: An n-gram that makes up one in so many tokens is common.
+COMMON = 1 << 17
+#: Common n-grams are found in one look in 2**SLOT_BITS slots.
+SLOT_BITS = 20
 #: Entries that a task holds before it sends them (n-grams have two names and weights, so fewer than ``packed.FLUSH``).
-HELD = 600_000
+HELD = 400_000
 #: Text that a task takes at once.
 PIECE_BYTES = 1 << 20
 
 
+class Common:
+    """c and value of the common n-grams.  Of those that share a slot one is found; the others travel."""
+
+    def __init__(self, rows: pa.Table):
+        key = rows.column("key").to_numpy().view(_U)
+        self.key, _, self.c = _added(key, rows.column("c").to_numpy())
+        self.value = _added(key, rows.column("value").to_numpy())[2]
+        self.slots = np.zeros(1 << SLOT_BITS, dtype=np.int32)
+        self.slots[self.key >> _U(64 - SLOT_BITS)] = np.arange(len(self.key))
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(which of the keys are found, the places of those)."""
+        if not len(self.key):
+            return np.zeros(len(keys), dtype=bool), np.zeros(0, np.int32)
+        at = self.slots[keys >> _U(64 - SLOT_BITS)]
+        hit = self.key[at] == keys
+        return hit, at[hit]
+
+
 @dataclass
 class Model:
-    """values[k]: a table (key, c, value) of the kept n-grams of k + 1 words, where the rows of a key add up;
-    filters[k]: their bit table; total and types of the training tokens."""
+    """values[k]: a table (key, n, c, value) of the kept n-grams of k + 1 words, where c and value of a key's rows add up;
+    filters[k]: their bit table; common[k]: the common ones; total and types of the training tokens."""
 
     total: int
     types: int
     values: list[DataFrame]
     filters: list[np.ndarray]
+    common: list[Common]
 
 
 def _tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -72,28 +98,50 @@ def _maybe(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return (bits[keys >> _U(64 - FILTER_BITS)] >> ((keys >> _U(58 - FILTER_BITS)) & _U(63))) & _U(1) > 0
 
 
+def _runs(x: np.ndarray) -> np.ndarray:
+    """Where the runs of equal neighbours begin."""
+    return np.flatnonzero(np.append(True, x[1:] != x[:-1])[: len(x)])
+
+
 def _added(key: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(key, place of one of its entries, sum of n) of the distinct keys."""
     by = np.argsort(key)
     key = key[by]
-    first = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else by
+    first = _runs(key)
     return key[first], by[first], np.add.reduceat(n[by], first, dtype=n.dtype) if len(key) else n
 
 
 def _filter(kept: DataFrame) -> np.ndarray:
-    place = F.expr(f"shiftrightunsigned(key, {64 - FILTER_BITS})").alias("place")
-    bit = F.expr(f"shiftleft(1L, cast(shiftrightunsigned(key, {58 - FILTER_BITS}) & 63 as int))").alias("bit")
-    got = kept.select(place, bit).groupBy("place").agg(F.bit_or("bit").alias("bit")).toArrow()  # at most 2**FILTER_BITS rows
-    bits = np.zeros(1 << FILTER_BITS, dtype=_U)
-    bits[got.column("place").to_numpy()] = got.column("bit").to_numpy().view(_U)
-    return bits
-
-
-def _grams(names: np.ndarray, bounds: np.ndarray, level: int, filters: list[np.ndarray]) -> tuple[np.ndarray, ...]:
-    """(place, key, prefix, suffix) of the n-grams of level + 1 tokens that end at each place and may be kept by
+    """The bit table of the keys, put together by ranges of its words."""
+    low = FILTER_BITS - 6
+
+    def bits_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits, out = np.zeros(1 << FILTER_BITS, dtype=_U), packed.Packer(64, ("place", "bits"))
+        for batch in batches:
+            key = batch.column("key").to_numpy().view(_U)
+            np.bitwise_or.at(bits, key >> _U(64 - FILTER_BITS), _U(1) << ((key >> _U(58 - FILTER_BITS)) & _U(63)))
+        place = np.flatnonzero(bits)
+        yield from out.add(place >> low, place.astype(np.uint32), bits[place])
+        yield from out.flush()
+
+    def joined(table: pa.Table) -> pa.Table:
+        place, found = packed.unpack(table, "place", np.uint32), np.zeros(1 << low, dtype=_U)
+        np.bitwise_or.at(found, place & np.uint32((1 << low) - 1), packed.unpack(table, "bits", _U))
+        return pa.table({"bucket": table.column("bucket").slice(0, 1), "bits": pa.array([found.tobytes()], pa.binary())})
+
+    ranges = kept.select("key").mapInArrow(bits_of, packed.schema(("place", "bits")))
+    got = ranges.groupBy("bucket").applyInArrow(joined, packed.schema(("bits",))).toArrow()  # 64 rows, 2**FILTER_BITS words in all
+    bits = np.zeros((64, 1 << low), dtype=_U)
+    for at, words in zip(got.column("bucket").to_pylist(), got.column("bits").to_pylist(), strict=True):
+        bits[at] = np.frombuffer(words, _U)
+    return bits.ravel()
+
+
+def _grams(names: np.ndarray, bounds: np.ndarray, level: int, filters: list[np.ndarray]) -> Iterator[tuple[np.ndarray, ...]]:
+    """For 1 to level + 1 tokens: (place, key, prefix, suffix) of the n-grams that end at each place and may be kept by
     their parts; a word is its own prefix and suffix."""
     place, keys = np.arange(len(names)), names
-    prefix = suffix = keys
+    yield place, keys, keys, keys
     opens = np.zeros(len(names), dtype=bool)
     opens[bounds[:-1]] = True
     for k in range(1, level + 1):
@@ -105,41 +153,53 @@ def _grams(names: np.ndarray, bounds: np.ndarray, level: int, filters: list[np.n
         at = np.flatnonzero(may)
         place, prefix, suffix = place[at], keys[at - 1], keys[at]
         keys = W.mix(prefix * _U(0xD6E8FEB86659FD93) + suffix + _U(k))
-    return place, keys, prefix, suffix
+        yield place, keys, prefix, suffix
 
 
-def train(docs: DataFrame, stages: Stages, order: int = ORDER, least: int = LEAST, discount: float = DISCOUNT) -> Model:
+def train(docs: DataFrame, stages: Stages, order: int = ORDER, least: int = LEAST, discount: float = DISCOUNT, common: int = COMMON) -> Model:
     """The model of the rows of docs (text)."""
     spark = docs.sparkSession
     count = buckets(spark)
     names = ("key", "prefix", "suffix", "n")
 
     def totals(level: int, filters: list[np.ndarray], least: int) -> DataFrame:
-        """key, prefix, suffix, n of the n-grams that are counted ``least`` times."""
+        """A written table: key, prefix, suffix, n of the n-grams that are counted ``least`` times."""
         shared = spark.sparkContext.broadcast(filters)
 
+        columns = ("prefix", "n") if not level else names[1:]
+
         def sent(out: packed.Packer, held: list[tuple[np.ndarray, ...]], last: bool) -> Iterator[pa.RecordBatch]:
             """Distinct n-grams of what is held, once that is much, by prefix: equal ones side by side pack well."""
-            if held and (last or sum(len(x[0]) for x in held) >= HELD):
-                key, n, *parts = (np.concatenate(x) for x in zip(*held, strict=True))
-                held.clear()
-                key, at, n = _added(key, n)
-                parts = [x[at] for x in parts] if level else [key]
-                by = np.argsort(parts[0])
-                yield from out.add((W.mix(key[by]) % _U(count)).astype(np.int64), *[x[by] for x in parts], n[by].astype(np.uint32))
-                yield from out.flush()
-
-        columns = ("prefix", "n") if not level else names[1:]
+            if not held or not (last or sum(len(x[0]) for x in held) >= HELD):
+                return
+            key, *parts = (np.concatenate(x) for x in zip(*held, strict=True))
+            held.clear()
+            if level:
+                # one sort for both: equal keys are neighbours, but for a few that meet others' halves and stay apart
+                low = _U((1 << 32) - 1)
+                by = np.argsort((parts[0] & ~low) | (key >> _U(32)))
+                key = key[by]
+                first = _runs(key)
+                at, key, n = by[first], key[first], np.diff(np.append(first, len(key)))
+                parts = [x[at] for x in parts]
+            else:
+                key, _, n = _added(key, parts[0])
+                parts = [key]
+            yield from out.add((W.mix(key) % _U(count)).astype(np.int64), *parts, n.astype(np.uint32))
+            yield from out.flush()
 
         def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             out, held = packed.Packer(count, columns), []
             for piece in W.pieces(batches, limit=PIECE_BYTES):
                 tokens, bounds = _tokens(piece.column("text"))
-                _, key, prefix, suffix = _grams(tokens, bounds, level, shared.value)
-                if not level:
+                *_, (_, key, prefix, suffix) = _grams(tokens, bounds, level, shared.value)
+                if level:
+                    if len(key):
+                        held.append((key, prefix, suffix))
+                else:
                     key = key[key != START]
-                key, at, n = _added(key, np.ones(len(key), dtype=np.int64))
-                held.append((key, n, prefix[at], suffix[at]) if level else (key, n))
+                    key, _, n = _added(key, np.ones(len(key), dtype=np.int64))
+                    held.append((key, n))
                 yield from sent(out, held, False)
             yield from sent(out, held, True)
 
@@ -153,41 +213,49 @@ def train(docs: DataFrame, stages: Stages, order: int = ORDER, least: int = LEAS
             return pa.table({c: x.view(np.int64) for c, x in zip(names, (key, prefix[at], suffix[at], n), strict=True)})
 
         summed = docs.mapInArrow(entries, packed.schema(columns)).groupBy("bucket").applyInArrow(added, "key long, prefix long, suffix long, n long")
-        return summed if level else summed.select("key", "n")
+        table = stages.write(summed, f"grams-{level}") if level else stages.write(summed.select("key", "n"), "words")
+        shared.destroy()
+        return table
 
-    words = stages.write(totals(0, [], 1), "words")
+    words = totals(0, [], 1)
     total, types, texts = words.agg(
         F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1)), F.coalesce(F.sum(F.when(F.col("key") == int(END.view(np.int64)), F.col("n"))), F.lit(0))
     ).first()
     opening = spark.createDataFrame([(int(START.view(np.int64)), int(texts))], "key long, n long")
-    # c of a word, and what the n-gram adds to the logarithm of the shorter context's
-    known = words.unionByName(opening.select("key", F.lit(0).cast("long").alias("n"))).select("key", F.col("n").alias("c"), F.lit(0.0).alias("delta"))
+    # n, c of a word, and what the n-gram adds to the logarithm of the shorter context's
+    none = F.lit(0).cast("long").alias("c")
+    known = words.select("key", "n", F.col("n").alias("c"), F.lit(0.0).alias("delta")).unionByName(opening.select("key", "n", none, F.lit(0.0).alias("delta")))
     states = words.where(F.col("n") >= least).unionByName(opening).withColumn("p", (F.col("n") + 1) / F.lit(float(total + types + 1)))
-    model = Model(int(total), int(types), [], [])
+    model = Model(int(total), int(types), [], [], [])
     for level in range(1, order):
         model.filters.append(_filter(states))
-        grams = stages.write(totals(level, list(model.filters), least), f"grams-{level}")
+        grams = totals(level, list(model.filters), least)
         held = grams.groupBy(F.col("prefix").alias("key")).agg(F.sum(F.col("n") - F.lit(discount)).alias("held"))
         failures = stages.write(held.join(states, "key").select("key", F.col("n").alias("of"), (1 - F.col("held") / F.col("n")).alias("failure")), f"failures-{level}")
         shorter = states.select(F.col("key").alias("suffix"), F.col("p").alias("short"))
         arcs = grams.join(failures.withColumnRenamed("key", "prefix"), "prefix").join(shorter, "suffix")
         arcs = arcs.withColumn("p", (F.col("n") - F.lit(discount)) / F.col("of") + F.col("failure") * F.col("short"))
         arcs = arcs.withColumn("delta", F.log10(F.col("p") / (F.col("failure") * F.col("short"))))
-        arcs = stages.write(arcs.select("key", "delta", *(["n", "p"] if level < order - 1 else [])), f"arcs-{level}")
+        arcs = stages.write(arcs.select("key", "n", "delta", *(["p"] if level < order - 1 else [])), f"arcs-{level}")
         stages.drop(f"grams-{level}")
-        leave = failures.select("key", F.lit(0).cast("long").alias("c"), F.coalesce(F.log10("failure"), F.lit(0.0)).alias("delta"))
+        leave = failures.select("key", F.col("of").alias("n"), none, F.coalesce(F.log10("failure"), F.lit(0.0)).alias("delta"))
         model.values.append(_valued(known.unionByName(leave)))
-        known, states = arcs.select("key", F.lit(0).cast("long").alias("c"), "delta"), arcs.drop("delta")
+        stages.release()
+        known, states = arcs.select("key", "n", none, "delta"), arcs.drop("delta")
     model.filters.append(_filter(states))
     model.values.append(_valued(known))
+    for values in model.values:
+        model.common.append(Common(values.where(F.col("n") * common >= model.total).drop("n").toArrow()))  # at most ``common`` keys
     return model
 
 
 def _valued(known: DataFrame) -> DataFrame:
-    return known.select("key", "c", F.col("delta").alias("value"))
+    return known.select("key", "n", "c", F.col("delta").alias("value"))
 
 
-def score_documents(docs: DataFrame, learn: str = "true", order: int = ORDER, least: int = LEAST, discount: float = DISCOUNT) -> DataFrame:
+def score_documents(
+    docs: DataFrame, learn: str = "true", order: int = ORDER, least: int = LEAST, discount: float = DISCOUNT, common: int = COMMON
+) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score, one row for each row of docs.
 
     Reads doc_id and text.  Rows for which the SQL condition ``learn`` holds
@@ -203,15 +271,20 @@ def score_documents(docs: DataFrame, learn: str = "true", order: int = ORDER, le
     stages, count = Stages(spark, "lm"), buckets(spark)
     docs = plain(docs, doc_id="long", text="string")
     docs = docs.withColumn("learn", F.coalesce(F.expr(learn), F.lit(False))).withColumn("row", F.xxhash64("doc_id", "text"))
-    model = train(docs.where("learn").select("text"), stages, order, least, discount)
+    model = train(docs.where("learn").select("text"), stages, order, least, discount, common)
     scale = float(np.log10(model.total + model.types + 1.0))
-    shared = spark.sparkContext.broadcast(model.filters)
+    shared = spark.sparkContext.broadcast((model.filters, model.common))
 
     def sums_of(level: int) -> DataFrame:
         # only words are counted; an n-gram adds to the score alone
         columns = ("score",) if level else ("n_tokens", "times", "n_known", "base", "score")
         sent, answers = ("key", "value") if level else ("key", "c", "value"), ("doc", *columns)
         schema = pa.schema([("bucket", pa.int32()), *[(c, pa.binary()) for c in answers]])
+        asking = pa.schema([("bucket", pa.int32()), *[(c, pa.binary()) for c in ("name", *answers)]])
+
+        def parts(value: np.ndarray, c: np.ndarray) -> list[np.ndarray]:
+            """What n-grams add to the columns that are looked up."""
+            return [value] if level else [(c > 0).astype(np.float64), np.log10(c + 1.0), value]
 
         def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             out = packed.Packer(count, sent)
@@ -224,24 +297,37 @@ def score_documents(docs: DataFrame, learn: str = "true", order: int = ORDER, le
             yield from out.flush()
 
         def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            out = packed.Packer(count, ("name", "doc", "n"))
+            """The n-grams to look up, and in rows without names each text's sums over the common ones."""
+            out, own = packed.Packer(count, ("name", "doc")), packed.Packer(count, answers)
+            filters, common = shared.value
+            adds = parts(common[level].value, common[level].c)
+
+            def framed(batch: pa.RecordBatch) -> pa.RecordBatch:
+                rows = [batch.column(c) if c in batch.schema.names else pa.nulls(batch.num_rows, pa.binary()) for c in asking.names]
+                return pa.RecordBatch.from_arrays(rows, schema=asking)
+
             for piece in W.pieces(batches, limit=PIECE_BYTES):
                 tokens, bounds = _tokens(piece.column("text"))
-                place, name, _, _ = _grams(tokens, bounds, level, shared.value)
-                owner = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))[place]
+                docs, texts = piece.column("row").to_numpy(), np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+                sums = np.zeros((len(columns), len(docs)))
+                if not level:
+                    sums[0], sums[1] = np.diff(bounds) - 1, 1
+                *_, (place, name, _, _) = _grams(tokens, bounds, level, filters)
+                owner = texts[place]
                 if level:
-                    may = _maybe(shared.value[level], name)
+                    may = _maybe(filters[level], name)
                     owner, name = owner[may], name[may]
-                # equal n-grams of a text are one entry; a text's entries stay together
-                _, at, n = _added(name ^ W.mix(owner.view(_U) ^ _U(0x5851F42D4C957F2D)), np.ones(len(name), dtype=np.int32))
-                times = np.zeros(len(name), dtype=np.int32)
-                times[at] = n
-                at = np.flatnonzero(times)
-                name, owner, n = name[at], owner[at], times[at]
-                yield from out.add((W.mix(name) % _U(count)).astype(np.int64), name, piece.column("row").to_numpy()[owner], n)
-                if out.size >= HELD:
-                    yield from out.flush()
-            yield from out.flush()
+                hit, at = common[level].find(name)
+                mine = owner[hit]
+                first = _runs(mine)
+                for k, add in enumerate(reversed(adds), 1):
+                    sums[-k, mine[first]] += np.add.reduceat(add[at], first) if len(first) else 0
+                owner, name = owner[~hit], name[~hit]
+                yield from map(framed, out.add((W.mix(name) % _U(count)).astype(np.int64), name, docs[owner]))
+                yield from map(framed, own.add((W.mix(docs.view(_U)) % _U(count)).astype(np.int64), docs, *sums))
+                if out.size + own.size >= HELD:
+                    yield from map(framed, (*out.flush(), *own.flush()))
+            yield from map(framed, (*out.flush(), *own.flush()))
 
         def answer(asked: pa.Table, kept: pa.Table) -> pa.Table:
             """Each text's sums over the n-grams of a bucket, in rows packed by text."""
@@ -250,24 +336,26 @@ def score_documents(docs: DataFrame, learn: str = "true", order: int = ORDER, le
                 found.append(_added(key, packed.unpack(kept, name, kind))[2])
             # no n-gram of the bucket is kept: one without value stands there
             key, found = (_added(key, key)[0], found) if len(key) else (np.zeros(1, _U), [np.zeros(1)] * len(found))
+            adds = parts(found[0], found[-1])
             out, batches = packed.Packer(count, answers), []
             # one packed row at a time: a text's n-grams were sent together
             for k in range(asked.num_rows):
                 row = asked.slice(k, 1)
-                name, doc, n = (packed.unpack(row, c, t) for c, t in (("name", _U), ("doc", np.int64), ("n", np.int32)))
-                at = np.minimum(np.searchsorted(key, name), len(key) - 1)
-                hit = key[at] == name
-                if level:
-                    at, n, doc = at[hit], n[hit], doc[hit]
-                    sums = [n * found[0][at]]
+                doc = packed.unpack(row, "doc", np.int64)
+                if row.column("name").null_count:
+                    sums = [packed.unpack(row, c, np.float64) for c in columns]
                 else:
-                    value, c = (np.where(hit, x[at], 0) for x in found)
-                    opens = name == START
-                    sums = [n * ~opens, n * opens, n * (c > 0), n * np.log10(c + 1.0), n * value]
-                if len(doc):
-                    first = np.flatnonzero(np.append(True, doc[1:] != doc[:-1]))
-                    doc, sums = doc[first], [np.add.reduceat(x, first, dtype=np.float64) for x in sums]
-                    batches.extend(out.add((W.mix(doc.view(_U)) % _U(count)).astype(np.int64), doc, *sums))
+                    name = packed.unpack(row, "name", _U)
+                    by = np.argsort(name)  # sorted names are found faster, as their places are near each other
+                    at = np.empty(len(name), dtype=np.int64)
+                    at[by] = np.minimum(np.searchsorted(key, name[by]), len(key) - 1)
+                    hit = key[at] == name
+                    at, doc = at[hit], doc[hit]
+                    first = _runs(doc)
+                    sums = [np.add.reduceat(x[at], first) if len(first) else x[at] for x in adds]
+                    doc = doc[first]
+                    sums = [np.zeros(len(doc))] * (len(columns) - len(sums)) + sums
+                batches.extend(out.add((W.mix(doc.view(_U)) % _U(count)).astype(np.int64), doc, *sums))
             return pa.Table.from_batches([*batches, *out.flush()], schema)
 
         def document_sums(table: pa.Table) -> pa.Table:
@@ -275,22 +363,24 @@ def score_documents(docs: DataFrame, learn: str = "true", order: int = ORDER, le
             values = [np.bincount(to, weights=packed.unpack(table, c, np.float64), minlength=len(docs)) for c in columns]
             return pa.table({"row": docs, **{c: x if c in ("base", "score") else x.astype(np.int64) for c, x in zip(columns, values, strict=True)}})
 
-        asked = docs.select("text", "row").mapInArrow(ask, packed.schema(("name", "doc", "n")))
+        asked = docs.select("text", "row").mapInArrow(ask, packed.schema(("name", *answers)))
         kept = model.values[level].select(*sent).mapInArrow(pack, packed.schema(sent))
         answered = asked.groupBy("bucket").cogroup(kept.groupBy("bucket")).applyInArrow(answer, packed.schema(answers))
         kinds = ", ".join(f"{c} {'double' if c in ('base', 'score') else 'long'}" for c in columns)
         return stages.write(answered.groupBy("bucket").applyInArrow(document_sums, f"row long, {kinds}"), f"sums-{level}")
 
-    parts = None
+    totals = None
     for level in reversed(range(order)):
         sums = sums_of(level)
         # every text has a start and an end, so the words' sums have all texts and tell how often each occurs
         sums = sums if level else sums.withColumn("base", F.col("base") - scale * F.col("n_tokens"))
-        parts = sums if parts is None else parts.unionByName(sums, allowMissingColumns=True)
+        totals = sums if totals is None else totals.unionByName(sums, allowMissingColumns=True)
         # lower levels read the tables of their own and the failures of the next
+        stages.release()
         stages.drop(*([f"arcs-{level}", f"failures-{level + 1}"] if level else ["words", "failures-1"]))
+    shared.destroy()
     # equal rows of docs share a key: their sums are alike, so each has its part
-    sums = parts.groupBy("row").agg(*[F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base", "score", "times")])
+    sums = totals.groupBy("row").agg(*[F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base", "score", "times")])
     return docs.select("doc_id", "learn", "row").join(sums, "row").select(
         "doc_id",
         (~F.col("learn")).alias("held_out"),

@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 BLANKS = b" \t\n\v\f\r"
 #: Everything but digits, lower-case letters and bytes above 0x7F (after folding A-Z).
 NON_ALNUM = bytes(x for x in range(0x80) if not (48 <= x <= 57 or 97 <= x <= 122))
-BLOCK = 1 << 18
+BLOCK = 1 << 15
 PIECE_BYTES = 4 << 20
 
 _U = np.uint64
