@@ -20,7 +20,7 @@ from tillroll.llm.jaccard import _across, jaccard_components, odd_sketches, one_
 from tillroll.llm.licences import TEMPLATES, Notice, scan_licences
 from tillroll.llm.mixture import mix_sources, mixed_documents
 from tillroll.llm.recompress import remove_repeats
-from tillroll.llm.sharding import _capacity, _cuts, Positions, shard_documents
+from tillroll.llm.sharding import _capacity, _cuts, Positions, minimax_cuts, shard_documents
 from tillroll.llm.token_codes import Codes, encode, read_codes, write_codes
 from tillroll.llm.toxicity import _named, score_toxicity, train
 from tillroll.llm.words import word_hash
@@ -100,6 +100,17 @@ def test_least_capacity_and_cuts_against_brute_force():
             assert b - a <= least or ((starts >= a) & (starts < b)).sum() == 1
 
 
+def test_cuts_that_lie_in_thousands_of_separate_blocks(spark):
+    # some 1900 ranges of starts are read again at once
+    sizes = np.random.default_rng(0).lognormal(7, 1.1, 20_000).astype(int) + 17
+    pos, total = np.cumsum(sizes) - sizes, int(sizes.sum())
+    starts = spark.createDataFrame(pa.table({"pos": pos}))
+    capacity, cuts = minimax_cuts(starts, total, 500)
+    known = Positions(pos, pos, total)
+    assert _capacity(known, 500) == (capacity, capacity)
+    assert [(c, c) for c in cuts] == _cuts(known, capacity, 500)
+
+
 def test_shards(docs, empty):
     rows = shard_documents(docs, 4).collect()
     assert Counter(r["doc_id"] for r in rows) == Counter(r[0] for r in _docs())

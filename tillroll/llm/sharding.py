@@ -140,10 +140,22 @@ def minimax_cuts(starts: DataFrame, total: int, shards: int, blocks: int = BLOCK
     """(capacity, starts of shards 1 to shards - 1) for the group starts in ``starts.pos``."""
 
     def fetch(spans: list[Span], width: int) -> tuple[np.ndarray, np.ndarray]:
-        where = F.lit(False)
-        for a, b in spans:
-            where = where | F.col("pos").between(a, b)
-        got = starts.where(where).groupBy(F.floor(F.col("pos") / width)).agg(F.min("pos").alias("a"), F.max("pos").alias("b")).collect()
+        """First and last start of each block of ``width`` within the spans (in order, apart).  There may be
+        thousands of spans: tasks look them up, as one condition of all of them is too deep for Spark's planner."""
+        low, high = np.array(spans, dtype=np.int64).T
+
+        def within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                pos = np.sort(batch.column("pos").to_numpy())
+                at = np.searchsorted(low, pos, side="right") - 1
+                pos = pos[(at >= 0) & (pos <= high[at])]
+                block = pos // width
+                new = np.append(True, block[1:] != block[:-1])[: len(pos)]
+                last = np.append(new[1:], True)[: len(pos)]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (block[new], pos[new], pos[last])], names=["block", "a", "b"])
+
+        blocks = starts.select("pos").mapInArrow(within, "block long, a long, b long")
+        got = blocks.groupBy("block").agg(F.min("a").alias("a"), F.max("b").alias("b")).collect()
         return np.array([x["a"] for x in got], np.int64), np.array([x["b"] for x in got], np.int64)
 
     known = Positions(*fetch([(0, total)], max(1, total // blocks)), total)
