@@ -1,13 +1,18 @@
 """What a job does for each row of a large table: codes folded in the plan are worked out once, and each line table is scanned once."""
 
+from pathlib import Path
+from urllib.parse import urlparse
+
 from pyspark.sql import functions as F
 
 from tests.tables import make_tables
 from tests.test_plans import logical_text, plan_text
-from tillroll.operators.bitmap_cut import cut_by_bitmap
+from tests.test_profit_golden import AS_OF, ROWS
+from tillroll.operators.bitmap_cut import CONF_BITS, cut_by_bitmap
 from tillroll.operators.documents import meet_headers
 from tillroll.operators.items import first_po
 from tillroll.operators.weights import CodeKeys, ItemWeights
+from tillroll.plans import profit_job as PJ
 from tillroll.plans.stages import checkpointed
 from tillroll.sources import ingest_tables
 from tillroll.sources.normalize import canonical
@@ -40,6 +45,50 @@ def test_lines_are_cut_to_the_codes_without_folding_them_twice(spark):
         assert not _scan_filters(cut)
 
 
+def test_no_line_is_exchanged_for_its_code(spark):
+    short = spark.createDataFrame([(k,) for k in KEYS], "ItemCode string")
+    keys, bits = CodeKeys(short, False), spark.conf.get(CONF_BITS, None)
+    spark.conf.set(CONF_BITS, "1")  # so that other codes pass the bitmap
+    try:
+        cut = keys.cut(_lines(spark), "ItemCode")
+        assert "BroadcastHashJoin" in plan_text(cut) and "SortMergeJoin" not in plan_text(cut)
+        assert cut.count() > 3
+        sums = keys.exact(cut.groupBy("ItemCode").agg(F.sum("QTYTOINV").alias("q")), "ItemCode")
+        assert sorted(map(tuple, sums.collect())) == [("0000001", 6), ("0000003", 4)]
+    finally:
+        spark.conf.set(CONF_BITS, bits) if bits else spark.conf.unset(CONF_BITS)
+
+
+def test_written_lines_have_headers_and_go_with_their_feed(spark, monkeypatch):
+    counts, folders = [], {}
+
+    def stage(df):
+        table, n = checkpointed(df)
+        counts.append(n)
+        return table, n
+
+    heads = spark.createDataFrame([("S1",), ("S1",), (None,)], "SOPNUMBE string")
+    keys = CodeKeys(spark.createDataFrame([("0000001",), ("0000002",), ("0000003",)], "ItemCode string"), True)
+    met = meet_headers(keys.cut(_lines(spark), "ItemCode"), heads, "SOPNUMBE", stage=stage)
+    assert counts == [2] and met.agg(F.sum(F.col("QTYTOINV") * F.col("_times"))).first()[0] == 12
+    # ids stored as a number in one table and as text in the other are compared by the join alone
+    numbers = _lines(spark).select(F.lit(7).alias("SOPNUMBE"), "ItemCode", "QTYTOINV")
+    met = meet_headers(numbers, spark.createDataFrame([("7",)], "SOPNUMBE string"), "SOPNUMBE", stage=stage)
+    assert counts == [2, 5] and met.count() == 5
+
+    def named(df, name=""):
+        table, n = checkpointed(df)
+        folders[name] = Path(urlparse(table.inputFiles()[0]).path).parent
+        return table, n
+
+    monkeypatch.setattr(PJ, "checkpointed", named)
+    run = PJ.run_profit(make_tables(spark, **ROWS), AS_OF)
+    assert run.report.count() > 0
+    lines = {name for name in folders if name.startswith("lines-")}
+    assert len(lines) == 6 and "feed-legacy" in folders
+    assert {name for name, folder in folders.items() if not folder.exists()} == lines
+
+
 def test_first_po_folds_once(spark):
     od = canonical(spark.createDataFrame([("P2", "a "), ("P1", "A"), ("P0", "b"), ("P0", None)], "PONumber string, ItemCode string"), "order_detail")
     codes = spark.createDataFrame([("A",), (None,), ("C",)], "MasterCode string")

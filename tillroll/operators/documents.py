@@ -24,6 +24,9 @@ from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
+
+from tillroll.operators.bitmap_cut import cut_by_bitmap
 
 HOT_PER_PARTITION = 4
 TRACKED = 100_000
@@ -38,18 +41,27 @@ def times(total: Column, n: Column) -> Column:
     return ((whole * n).cast("decimal(37,19)") + part.cast("decimal(37,19)")).cast("decimal(38,19)")
 
 
+def _with_header(lines: DataFrame, heads: DataFrame, document: str) -> DataFrame:
+    """The lines without most of those whose document has no header that counts (by a bitmap; ids stored in types
+    that it can't compare stay as they are)."""
+    ours, theirs = lines.schema[document].dataType, heads.schema[document].dataType
+    if ours != theirs and not (isinstance(ours, IntegralType) and isinstance(theirs, IntegralType)):
+        return lines
+    return cut_by_bitmap(lines, heads.select(document), [document])
+
+
 def meet_headers(lines: DataFrame, headers: DataFrame, document: str, date: str | None = None, stage=None) -> DataFrame:
     """``lines`` whose document has a header row, with ``_times`` (a line's sums count so often) and, if
     ``date`` names a header column, ``_date`` (the earliest for the line).  A document's header rows all
     count, so a line may come several times with ``_times`` 1 or once with their number.  ``stage`` writes
-    the lines once: the sketch and both sides read them."""
+    the lines once, without most of those that have no such header: the sketch and both sides read them."""
     spark = lines.sparkSession
     k = min(TRACKED // 2, HOT_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions")))
-    if stage is not None:
-        lines, _ = stage(lines)
-    lines = lines.filter(F.col(document).isNotNull())
     heads = headers.filter(F.col(document).isNotNull())
     heads = heads.select(document, *([F.col(date).alias("_date")] if date else []))
+    if stage is not None:
+        lines, _ = stage(_with_header(lines, heads, document))
+    lines = lines.filter(F.col(document).isNotNull())
     top = lines.agg(F.expr(f"approx_top_k(`{document}`, {k}, {TRACKED})").alias("_top"))
     hot = top.select(F.explode("_top").alias("_x")).select(F.col("_x.item").alias(document))
     dates = [F.min("_date").alias("_date")] if date else []

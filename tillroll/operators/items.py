@@ -79,15 +79,16 @@ def first_po(order_detail: DataFrame, master_codes: DataFrame, rows: int | None
     """Lowest PO number per master code, for the given codes only.
 
     Order lines are cut to the wanted codes before aggregating (broadcast
-    semi join under the row bound, else a bitmap and a shuffle semi join); ``min``
-    aggregates map-side.  ``rows`` is a known upper bound on the codes.
+    semi join under the row bound, else a bitmap, and the shuffle semi join of
+    what is aggregated); ``min`` aggregates map-side.  ``rows`` is a known upper bound on the codes.
     """
-    keys = master_codes.select(F.col("MasterCode").alias("ItemCode")).distinct()
+    keys = master_codes.select(F.col("MasterCode").alias("ItemCode")).filter(F.col("ItemCode").isNotNull()).distinct()
     od, small = order_detail.select("ItemCode", "PONumber"), fits_broadcast(keys, rows)
+    od = semi_join(od, keys, "ItemCode", True) if small else cut_by_bitmap(od, keys, ["ItemCode"])
+    po = od.groupBy("ItemCode").agg(F.min("PONumber").alias("OrgPO"))
     if not small:
-        od = cut_by_bitmap(od, keys, ["ItemCode"])
-    od = semi_join(od, keys, "ItemCode", small)
-    return od.groupBy("ItemCode").agg(F.min("PONumber").alias("OrgPO")).withColumnRenamed("ItemCode", "MasterCode")
+        po = semi_join(po, keys, "ItemCode", False)
+    return po.withColumnRenamed("ItemCode", "MasterCode")
 
 
 def _with_po(rows: DataFrame, po: DataFrame) -> DataFrame:

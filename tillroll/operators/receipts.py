@@ -22,11 +22,12 @@ def receipt_sums(header: DataFrame, detail: DataFrame, keys: CodeKeys, stage=Non
     d = keys.cut(detail.select("RECEIPT_ID", F.col("ITEM").alias("ItemCode"), "TOTAL_QTY"), "ItemCode")
     f = meet_headers(d, header, "RECEIPT_ID", "RECEIPT_DATE", stage)
     q = F.col("TOTAL_QTY") * F.col(TIMES)
-    return f.groupBy("ItemCode").agg(
+    sums = f.groupBy("ItemCode").agg(
         F.min("_date").alias("RcvdDate"),
         F.sum(F.coalesce(q, F.lit(0))).cast(QTY).alias("_q0"),
         F.sum(q).cast(QTY).alias("_q1"),
     )
+    return keys.exact(sums, "ItemCode")
 
 
 def _scale_receipts(sums: DataFrame, w: ItemWeights) -> DataFrame:
@@ -69,11 +70,12 @@ def legacy_sums(pop_header: DataFrame, pop_line: DataFrame, keys: CodeKeys, cuto
     unit = F.when(F.col("UNITCOST") == 0, F.lit(1)).otherwise(F.col("UNITCOST"))
     ratio = F.coalesce(F.col("EXTDCOST") / unit, F.lit(0)).cast("decimal(38,19)")
     f = meet_headers(d, h, "POPRCTNM", "receiptdate", stage)
-    return f.groupBy("ItemCode").agg(
+    sums = f.groupBy("ItemCode").agg(
         F.min("_date").alias("RcvdDate"),
         F.sum(times(ratio, F.col(TIMES))).alias("_q"),
         F.sum(F.coalesce(F.col("EXTDCOST"), F.lit(0)) * F.col(TIMES)).cast(QTY).alias("_amt"),
     )
+    return keys.exact(sums, "ItemCode")
 
 
 def legacy_receipts_by_item(

@@ -34,7 +34,7 @@ def shipment_sums(transfer_header: DataFrame, transfer_detail: DataFrame, keys:
     """Store-shipment quantity summed per padded item code.  ``stage`` writes the lines cut to the codes once."""
     d = keys.cut(transfer_detail.select("TransferID", F.col("ItemCode").alias("Code20"), "Qty"), "Code20", padded=True)
     f = meet_headers(d, transfer_header, "TransferID", stage=stage)
-    return f.groupBy("Code20").agg(F.sum(F.col("Qty") * F.col(TIMES)).cast(QTY).alias("_q"))
+    return keys.exact(f.groupBy("Code20").agg(F.sum(F.col("Qty") * F.col(TIMES)).cast(QTY).alias("_q")), "Code20", padded=True)
 
 
 def store_shipments_by_item(
@@ -84,12 +84,13 @@ def sales_sums(sales: DataFrame, locations: DataFrame, keys: CodeKeys) -> DataFr
     marked = F.when(
         (F.col("unitprice") > F.col("registerprice")) & (F.col("isreturn") == NOT_RETURN_FLAG), 1
     ).otherwise(0)
-    return s.groupBy("Code20").agg(
+    sums = s.groupBy("Code20").agg(
         F.sum(signed).alias("_sq"),
         F.sum("ExtendedAmt").alias("_amt"),
         F.count("ExtendedAmt").alias("_cnt"),
         F.sum(marked).alias("_md"),
     )
+    return keys.exact(sums, "Code20", padded=True)
 
 
 def retail_sales_by_item(sales: DataFrame, locations: DataFrame, w: ItemWeights, sums: DataFrame | None = None) -> DataFrame:
@@ -126,10 +127,11 @@ def wholesale_sums(header: DataFrame, lines: DataFrame, keys: CodeKeys, stage=No
     """One wholesale feed (open or history) summed per item code.  ``stage`` writes the lines cut to the codes once."""
     d = keys.cut(lines.select("SOPNUMBE", F.col("ITEMNMBR").alias("ItemCode"), "QTYTOINV", "XTNDPRCE"), "ItemCode")
     f = meet_headers(d, wholesale_orders(header), "SOPNUMBE", stage=stage)
-    return f.groupBy("ItemCode").agg(
+    sums = f.groupBy("ItemCode").agg(
         F.sum(F.col("QTYTOINV") * F.col(TIMES)).cast(QTY).alias("_q"),
         F.sum(F.col("XTNDPRCE") * F.col(TIMES)).cast(QTY).alias("_a"),
     )
+    return keys.exact(sums, "ItemCode")
 
 
 def _scale_wholesale(sums: DataFrame, w: ItemWeights) -> DataFrame:

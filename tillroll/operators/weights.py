@@ -43,12 +43,18 @@ class CodeKeys:
 
     def cut(self, lines: DataFrame, name: str, padded: bool = False) -> DataFrame:
         """The lines whose code ``name`` (short, or ``padded``) is among the keys: by a broadcast semi join, or, with
-        more keys than may be broadcast, by a bitmap in the scan first, so that few other lines are exchanged."""
+        more keys than may be broadcast, by a bitmap in the scan.  That lets a few lines of other codes pass:
+        ``exact`` cuts what is summed of them.  No line is exchanged for its code."""
+        keys = self._named(name, padded)
+        return semi_join(lines, keys, name, True) if self.small else cut_by_bitmap(lines, keys, [name])
+
+    def exact(self, sums: DataFrame, name: str, padded: bool = False) -> DataFrame:
+        """Sums by code of lines that were ``cut``, without codes that are none of the keys."""
+        return sums if self.small else semi_join(sums, self._named(name, padded), name, False)
+
+    def _named(self, name: str, padded: bool) -> DataFrame:
         code = key20(F.col("ItemCode")) if padded else F.col("ItemCode")
-        keys = self.short.select(code.alias(name)).distinct()
-        if not self.small:
-            lines = cut_by_bitmap(lines, keys, [name])
-        return semi_join(lines, keys, name, self.small)
+        return self.short.select(code.alias(name)).filter(F.col(name).isNotNull()).distinct()
 
 
 def code_keys(short_codes: DataFrame, rows: int | None = None) -> CodeKeys:

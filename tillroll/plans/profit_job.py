@@ -23,11 +23,12 @@ from tillroll.operators.items import ItemStages, build_items
 from tillroll.operators.profit import REPORT_COLUMNS, profit_rows
 from tillroll.operators.weights import code_keys, stage_weights
 from tillroll.plans.report_store import Commit, ReportStore
-from tillroll.plans.stages import checkpointed
+from tillroll.plans.stages import checkpointed, discard, release
 from tillroll.sources.normalize import canonical_tables
 from tillroll.sources.tables import Tables
 
 
+SUMMED_AT_ONCE = 2  # feeds whose lines and shuffle files are on disk at the same time
 FEEDS = ("receipts", "archive", "legacy", "transfers", "sales", "open orders", "order history")
 
 
@@ -44,7 +45,7 @@ class ProfitRun:
         self.money_mode = money_mode
         self._reuse = reuse
         self._stage = stage or checkpointed
-        self._pool = ThreadPoolExecutor(max_workers=4)
+        self._pool = ThreadPoolExecutor(max_workers=SUMMED_AT_ONCE)
         self._sums: dict[str, Future] = {}
         self._keys = None
         codes_bound = None
@@ -66,8 +67,13 @@ class ProfitRun:
 
     def _start(self, feeds: Iterable[str]) -> None:
         t, keys = self._t, self._keys
-        def lines(feed):
-            return lambda df: self._stage(df, f"lines-{feed}")
+
+        def lines(feed, written):
+            def stage(df):
+                written.append(self._stage(df, f"lines-{feed}"))
+                return written[-1]
+
+            return stage
 
         makers = {
             "receipts": lambda st: R.receipt_sums(t["receipt_header"], t["receipt_detail"], keys, st),
@@ -80,8 +86,13 @@ class ProfitRun:
         }
 
         def summed(name):
-            feed = name.replace(" ", "-")
-            return self._stage(makers[name](lines(feed)), f"feed-{feed}")[0]
+            feed, written = name.replace(" ", "-"), []
+            sums = self._stage(makers[name](lines(feed, written)), f"feed-{feed}")[0]
+            if self._stage is checkpointed:  # a catalog's stages are kept for a run that resumes
+                for table, _ in written:
+                    discard(table)
+            release(sums.sparkSession)
+            return sums
 
         for name in feeds:
             if name not in self._sums:

@@ -19,7 +19,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.plans.stages import checkpoint_dir
+from tillroll.plans.stages import CODEC, checkpoint_dir
 
 
 class StageOwnerLost(RuntimeError):
@@ -79,7 +79,7 @@ class StageCatalog:
         if self._fs.exists(self._path(f"{name}/_SUCCESS")):
             self.found.append(name)
         else:
-            df.write.mode("overwrite").parquet(path)
+            df.write.mode("overwrite").option("compression", CODEC).parquet(path)
             self.written.append(name)
         table = self._spark.read.schema(df.schema).parquet(path)
         return table, table.count()  # from the footers

@@ -12,12 +12,15 @@ master is local (tests, single-machine runs).
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+CODEC = "zstd"
+
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """The session's checkpoint folder, configuring it from the conf if needed."""
@@ -46,5 +49,22 @@ def checkpointed(df: DataFrame, name: str = "") -> tuple[DataFrame, int]:
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/tillroll-stages/{uuid.uuid4().hex}"
     obs = Observation(f"stage_rows_{uuid.uuid4().hex}")  # unique: stages may run concurrently
-    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.option("compression", CODEC).parquet(path)
     return spark.read.parquet(path), int(obs.get["rows"])
+
+
+def discard(table: DataFrame) -> None:
+    """Delete a stage that ``checkpointed`` wrote and that nothing reads any more."""
+    spark = table.sparkSession
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for folder in {name.rsplit("/", 1)[0] for name in table.inputFiles()}:
+        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(folder))
+        path.getFileSystem(conf).delete(path, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Free the shuffle files of queries that have ended: Spark deletes them once the driver's JVM has collected
+    their plans, which a large heap does late.  It holds the last job, so one without a shuffle takes its place."""
+    spark.range(1).collect()
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
